@@ -1,0 +1,292 @@
+from __future__ import annotations
+
+import time
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sluiceworks.operators import KeyedTable, latest_per_key
+from sluiceworks.storage import SharedFiles, scratch_dir
+from sluiceworks.streaming import append_batches, finish, merge_batches, start
+from sluiceworks.sources import append_stream
+from tests.conftest import plan_of
+
+SCHEMA = T.StructType().add("id", T.LongType()).add("seq", T.IntegerType()).add("x", T.StringType())
+
+
+def batch(spark, *rows, schema="id bigint, seq int, x string"):
+    return spark.createDataFrame(list(rows), schema)
+
+
+def make(spark, buckets=4, schema=SCHEMA, keys=("id",)):
+    return KeyedTable.create_if_absent(spark, scratch_dir(spark, "t"), schema, list(keys), buckets)
+
+
+def rows(table):
+    return sorted((tuple(r) for r in table.read().collect()), key=repr)
+
+
+# ---- latest_per_key ---------------------------------------------------------------------
+
+
+def test_latest_row_wins_and_nulls_rank_lowest(spark):
+    df = batch(spark, (1, 1, "a"), (1, 3, "c"), (1, None, "n"), (2, None, "only"), (3, 5, None))
+    got = sorted(tuple(r) for r in latest_per_key(df, ["id"], ["seq"]).collect())
+    assert got == [(1, 3, "c"), (2, None, "only"), (3, 5, None)]
+
+
+def test_ties_do_not_depend_on_the_layout(spark):
+    df = batch(spark, *[(1, 7, c) for c in "abcdefgh"])
+    found = {latest_per_key(df.repartition(n), ["id"], ["seq"]).first()["x"] for n in (1, 3, 8)}
+    assert found == {"h"}
+
+
+def test_map_columns_are_carried_along(spark):
+    df = spark.sql("SELECT 1 AS id, 2 AS seq, map('a', 1) AS m UNION ALL SELECT 1, 1, map('b', 2)")
+    assert latest_per_key(df, ["id"], ["seq"]).first()["m"] == {"a": 1}
+
+
+def test_a_hot_key_is_reduced_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") * 0).alias("k"), F.col("id").alias("seq"))
+    plan = plan_of(latest_per_key(df, ["k"], ["seq"]))
+    assert plan.index("Exchange") < plan.index("partial_max_by")
+    assert "Window" not in plan
+
+
+# ---- merge ------------------------------------------------------------------------------
+
+
+def test_create_if_absent_keeps_what_is_there(spark):
+    table = make(spark)
+    table.merge(batch(spark, (1, 1, "a")), ["seq"])
+    again = KeyedTable.create_if_absent(spark, table.path, T.StructType(), ["other"], 9)
+    assert rows(again) == [(1, 1, "a")]
+    with pytest.raises(ValueError):
+        make(spark, keys=["nope"])
+    with pytest.raises(FileNotFoundError):
+        KeyedTable(spark, scratch_dir(spark, "none")).read()
+
+
+def test_new_table_is_empty(spark):
+    table = make(spark)
+    assert rows(table) == [] and table.read().columns == ["id", "seq", "x"]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_update_and_insert(spark, broadcast_bytes):
+    """Both ways through a merge: the small batch and the one-shuffle way."""
+    table = make(spark)
+    table.merge(batch(spark, *[(i, 0, f"old{i}") for i in range(20)]), ["seq"])
+    updates = batch(spark, (3, 1, "new3"), (3, 2, "newer3"), (4, 1, None), (50, 1, "fifty"))
+    assert table.merge(updates, ["seq"], broadcast_bytes=broadcast_bytes)
+    expected = {i: (i, 0, f"old{i}") for i in range(20)}
+    expected |= {3: (3, 2, "newer3"), 4: (4, 1, None), 50: (50, 1, "fifty")}
+    assert rows(table) == sorted(expected.values(), key=repr)
+
+
+def test_only_touched_buckets_are_rewritten(spark):
+    table = make(spark, buckets=16)
+    table.merge(batch(spark, *[(i, 0, "a") for i in range(200)]), ["seq"])
+    before = table._manifest()["buckets"]
+    table.merge(batch(spark, (1, 1, "b")), ["seq"])
+    after = table._manifest()["buckets"]
+    assert len(before) == 16
+    assert sum(before[k] != after[k] for k in before) == 1
+
+
+def test_replayed_batch_is_skipped(spark):
+    table = make(spark)
+    assert table.merge(batch(spark, (1, 1, "a")), ["seq"], batch_id=0)
+    assert table.merge(batch(spark, (1, 2, "b")), ["seq"], batch_id=1)
+    assert not table.merge(batch(spark, (1, 1, "a")), ["seq"], batch_id=0)
+    assert not table.merge(batch(spark, (1, 2, "b")), ["seq"], batch_id=1)
+    assert table.merge(batch(spark, (2, 1, "c")), ["seq"], batch_id=0, source="other")
+    assert rows(table) == [(1, 2, "b"), (2, 1, "c")]
+
+
+def test_empty_batch_counts_as_applied(spark):
+    table = make(spark)
+    assert table.merge(batch(spark), ["seq"], batch_id=0)
+    assert not table.merge(batch(spark, (1, 1, "a")), ["seq"], batch_id=0)
+    assert rows(table) == []
+
+
+def test_crash_before_publishing_changes_nothing(spark, monkeypatch):
+    table = make(spark)
+    table.merge(batch(spark, (1, 1, "a")), ["seq"], batch_id=0)
+
+    def die(*_):
+        raise RuntimeError
+
+    with monkeypatch.context() as patched:
+        patched.setattr(KeyedTable, "_publish", die)
+        with pytest.raises(RuntimeError):
+            table.merge(batch(spark, (1, 2, "lost"), (9, 9, "lost")), ["seq"], batch_id=1)
+    assert rows(table) == [(1, 1, "a")]
+    assert table.merge(batch(spark, (1, 2, "b")), ["seq"], batch_id=1)
+    assert rows(table) == [(1, 2, "b")]
+
+
+def test_a_reader_keeps_the_version_it_started_with(spark):
+    table = make(spark)
+    table.merge(batch(spark, (1, 1, "a")), ["seq"])
+    held = table.read()
+    table.merge(batch(spark, (1, 2, "b")), ["seq"])
+    assert [tuple(r) for r in held.collect()] == [(1, 1, "a")]
+
+
+def test_null_key_is_an_error(spark):
+    table = make(spark)
+    with pytest.raises(ValueError, match="null"):
+        table.merge(batch(spark, (None, 1, "a")), ["seq"])
+    assert rows(table) == []
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_new_columns_join_the_table(spark, broadcast_bytes):
+    table = make(spark, buckets=2)
+    table.merge(batch(spark, *[(i, 0, "a") for i in range(6)]), ["seq"])
+    updates = batch(spark, (1, 1, "b", 2.5), schema="id bigint, seq int, x string, extra double")
+    table.merge(updates, ["seq"], broadcast_bytes=broadcast_bytes)
+    assert table.schema.names == ["id", "seq", "x", "extra"]
+    got = {r["id"]: r for r in table.read().collect()}
+    assert got[1]["extra"] == 2.5 and got[2]["extra"] is None and len(got) == 6
+
+
+def test_table_that_starts_with_its_key(spark):
+    table = make(spark, schema=T.StructType().add("id", T.LongType(), False))
+    table.merge(batch(spark, (1, 1, "a")), ["seq"])
+    assert rows(table) == [(1, 1, "a")]
+
+
+def test_absent_columns_keep_their_values(spark):
+    table = make(spark, buckets=2)
+    table.merge(batch(spark, (1, 0, "a"), (2, 0, "b")), ["seq"])
+    table.merge(batch(spark, (1, 5), (7, 5), schema="id bigint, seq int"), ["seq"])
+    assert rows(table) == [(1, 5, "a"), (2, 0, "b"), (7, 5, None)]
+
+
+def test_column_types_and_names(spark):
+    table = make(spark)
+    table.merge(batch(spark, (1, 1, "a"), schema="ID int, Seq smallint, X string"), ["seq"])
+    assert rows(table) == [(1, 1, "a")] and table.schema == SCHEMA
+    with pytest.raises(ValueError, match="is bigint"):
+        table.merge(batch(spark, ("1", 1, "a"), schema="id string, seq int, x string"), ["seq"])
+    with pytest.raises(ValueError, match="lack"):
+        table.merge(batch(spark, (1,), schema="id bigint"), ["seq"])
+    with pytest.raises(ValueError, match="taken"):
+        table.merge(batch(spark, (1, 1, 1), schema="id bigint, seq int, key_bucket int"), ["seq"])
+
+
+def test_compound_string_keys(spark):
+    schema = T.StructType().add("a", T.StringType()).add("b", T.DateType()).add("n", T.LongType())
+    table = make(spark, schema=schema, keys=["a", "b"])
+    for n in (1, 2):
+        table.merge(spark.sql(f"SELECT 'k' AS a, DATE '2024-01-01' AS b, {n}L AS n"), ["n"])
+    assert [r["n"] for r in table.read().collect()] == [2]
+
+
+updates = st.lists(
+    st.tuples(st.integers(0, 6), st.sampled_from(["a", "b", None])), min_size=1, max_size=14
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=updates, cuts=st.lists(st.integers(0, 14), max_size=2), small=st.booleans())
+def test_any_batch_split_gives_the_latest_row_per_key(spark, data, cuts, small):
+    numbered = [(k, i, x) for i, (k, x) in enumerate(data)]
+    table = make(spark, buckets=2)
+    edges = sorted({0, len(numbered), *[c for c in cuts if c < len(numbered)]})
+    for n, (a, b) in enumerate(zip(edges, edges[1:])):
+        table.merge(
+            batch(spark, *numbered[a:b]), ["seq"], n, broadcast_bytes=(1 << 20) if small else 0
+        )
+    assert rows(table) == sorted({k: (k, i, x) for k, i, x in numbered}.values(), key=repr)
+
+
+def test_merge_from_a_stream(spark, tmp_path):
+    table = make(spark)
+    for n in range(3):
+        append_batches(f"{tmp_path}/in")(batch(spark, (n % 2, n, f"v{n}")), n)
+        stream = append_stream(spark, f"{tmp_path}/in/batchId=*", SCHEMA)
+        sink = merge_batches(table, ["seq"])
+        finish(start(stream, f"{tmp_path}/checkpoint", each_batch=sink))
+    assert rows(table) == [(0, 2, "v2"), (1, 1, "v1")]
+
+
+# ---- plans ------------------------------------------------------------------------------
+
+
+def test_small_batch_does_not_shuffle_the_table(spark, monkeypatch):
+    table = make(spark)
+    table.merge(batch(spark, *[(i, 0, "a") for i in range(100)]), ["seq"])
+    plans = []
+    write = KeyedTable._write
+
+    def spy(self, df, folder):
+        plans.append(plan_of(df))
+        write(self, df, folder)
+
+    monkeypatch.setattr(KeyedTable, "_write", spy)
+    table.merge(batch(spark, (1, 1, "b")), ["seq"])
+    assert "BroadcastHashJoin" in plans[-1] and "hashpartitioning" not in plans[-1]
+    table.merge(batch(spark, (1, 2, "c")), ["seq"], broadcast_bytes=0)
+    assert plans[-1].count("hashpartitioning") == 1 and "SortMergeJoin" not in plans[-1]
+
+
+# ---- maintenance ------------------------------------------------------------------------
+
+
+def grown(spark, merges=4):
+    table = make(spark, buckets=2)
+    for n in range(merges):
+        table.merge(batch(spark, *[(i, n, f"v{n}") for i in range(n, 40)]), ["seq"])
+    return table
+
+
+def test_compaction_keeps_the_content_and_cuts_files(spark):
+    table = grown(spark)
+    before, files = rows(table), table.files()
+    assert table.compact() == 2
+    assert rows(table) == before
+    assert table.files() == 2 < files
+    assert table.compact() == 0
+
+
+def test_compaction_towards_a_size(spark):
+    table = make(spark, buckets=1)
+    data = spark.range(20000).select("id", F.lit(0).alias("seq"), F.md5(F.col("id").cast("string")).alias("x"))
+    table.merge(data, ["seq"])
+    table.merge(batch(spark, (1, 1, "b")), ["seq"])
+    size = table._manifest()["buckets"]["0"]["bytes"]
+    assert table.compact(target_bytes=size) == 1 and 1 <= table.files() <= 2
+    table.merge(batch(spark, (1, 2, "b")), ["seq"])
+    assert table.compact(target_bytes=size // 2) in (0, 1)
+    assert table.read().count() == 20000
+
+
+def test_vacuum_deletes_what_nobody_needs(spark):
+    table = grown(spark)
+    table.compact()
+    before = rows(table)
+    with pytest.raises(ValueError):
+        table.vacuum(0.01)
+    assert table.vacuum(1, force=True) == 0
+    time.sleep(0.05)
+    assert table.vacuum(0, force=True) > 0
+    assert rows(table) == before
+    assert table.vacuum(0, force=True) == 0
+    table.merge(batch(spark, (1, 99, "z")), ["seq"])
+    assert (1, 99, "z") in rows(table)
+
+
+def test_vacuum_removes_leftovers_of_a_crash(spark):
+    table = grown(spark, 1)
+    files = SharedFiles(spark)
+    orphan = f"{table.path}/data/table_version=99u/key_bucket=0"
+    batch(spark, (1, 1, "x")).write.parquet(orphan)
+    table.vacuum(0, force=True)
+    assert not files.exists(orphan) and len(rows(table)) == 40
