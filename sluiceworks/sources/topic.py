@@ -150,7 +150,8 @@ class TopicTable:
                 partition = F.when(F.col("key").isNull(), 0).otherwise(
                     F.pmod(F.xxhash64("key"), F.lit(self.partitions))
                 )
-            rows = messages.withColumn("partition", partition.cast("int"))
+            known = F.coalesce(partition.cast("int"), F.lit(0))
+            rows = messages.withColumn("partition", known)
             if "timestamp" not in rows.columns:
                 rows = rows.withColumn("timestamp", F.current_timestamp())
             numbered = dense_offsets(rows, "partition", order_by, starts)
