@@ -51,6 +51,7 @@ ORACLE: dict[str, str] = {
     "csv_feed": "SELECT * FROM events WHERE event_id % 10 <> 0",
     "csv_feed_rejected": "SELECT event_id FROM events WHERE event_id % 10 = 0",
     "table_stream_copy": "SELECT * FROM orders",
+    "table_overwrite": "SELECT * FROM orders",
     "hash_projection": """
         SELECT md5(CAST(event_id AS VARCHAR)) AS md5, event_id AS value,
                event_id % 100 AS id, ts AS "timestamp"
@@ -96,6 +97,7 @@ ORACLE: dict[str, str] = {
     "incr_restart": _ORDERS_IN_TWO,
     "incr_bounded": "SELECT * FROM orders",
     "incr_jdbc": _ORDERS_IN_TWO,
+    "stream_jdbc": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "join_inner_key": """
         SELECT o_orderkey, o_custkey, o_totalprice, c_custkey, c_name
         FROM orders JOIN customer ON o_custkey = c_custkey

@@ -39,6 +39,7 @@ from sluiceworks.sources import (
     jdbc_stream,
     jdbc_table,
     rate_stream,
+    register_stream_source,
     rejected,
 )
 from sluiceworks.sources import offset_bounds as bounds_of
@@ -48,6 +49,7 @@ from sluiceworks.streaming import (
     UpsertWriter,
     append_batches,
     append_jdbc_batches,
+    database_insert,
     database_upsert,
     finish,
     merge_batches,
@@ -181,6 +183,15 @@ def table_stream_copy(spark, sf):
     return settle(stream(spark, sf, "orders"), "copy")
 
 
+def table_overwrite(spark, sf):
+    """A batch write replaces what is there."""
+    place = scratch_dir(spark, "overwrite")
+    orders = table(spark, sf, "orders")
+    for rows in (orders.where("o_orderkey % 2 = 0"), orders):
+        rows.write.mode("overwrite").parquet(place)
+    return spark.read.schema(orders.schema).parquet(place)
+
+
 def _derby(spark, label) -> dict[str, str]:
     folder = scratch_dir(spark, label).removeprefix("file:")
     return {"url": f"jdbc:derby:{folder};create=true", "driver": DERBY}
@@ -322,6 +333,34 @@ def incr_jdbc(spark, sf):
     return wall_clocks(read_batches(spark, f"{place}/rows", orders.schema))
 
 
+def stream_jdbc(spark, sf):
+    """Embedded database: the events arrive in SQLite in two parts, a stream reads each."""
+    path = _sqlite(spark, "stream", f"CREATE TABLE rows ({_EVENT_DDL})")
+    register_stream_source(spark)
+    place = scratch_dir(spark, "copy")
+    insert = database_insert(lambda: sqlite3.connect(path, timeout=60), "rows", max_connections=2)
+
+    def grow(batch: DataFrame, batch_id: int) -> None:
+        insert(_event_rows(batch), batch_id)
+        arriving = (
+            spark.readStream.format("jdbc-streaming")
+            .schema(_EVENT_ROW)
+            .options(
+                connect="sqlite3:connect",
+                url=path,
+                dbtable="rows",
+                offsetColumn="EVENT_ID",
+                numPartitions=4,
+            )
+            .load()
+        )
+        finish(start(arriving, f"{place}/checkpoint", f"{place}/rows"))
+
+    _events_in_rounds(spark, sf, grow, rounds=2)
+    rows = spark.read.schema(_EVENT_ROW).parquet(f"{place}/rows")
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 # ---- joins ------------------------------------------------------------------------------
 
 
@@ -642,6 +681,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_feed": csv_feed_accepted,
     "csv_feed_rejected": csv_feed_rejected,
     "table_stream_copy": table_stream_copy,
+    "table_overwrite": table_overwrite,
     "hash_projection": hash_projection,
     "filter_ieq": filter_ieq,
     "day_of_week": day_of_week,
@@ -661,6 +701,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incr_restart": incr_restart,
     "incr_bounded": incr_bounded,
     "incr_jdbc": incr_jdbc,
+    "stream_jdbc": stream_jdbc,
     "join_inner_key": join_inner_key,
     "join_inner_interval": join_inner_interval,
     "join_left_outer_interval": join_left_outer_interval,

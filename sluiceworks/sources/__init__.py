@@ -8,6 +8,7 @@ from sluiceworks.sources.incremental import (
     offset_bounds,
 )
 from sluiceworks.sources.rate import rate_stream
+from sluiceworks.sources.stream_source import register as register_stream_source
 from sluiceworks.sources.tables import append_stream, jdbc_table
 from sluiceworks.sources.topic import TopicTable, dense_offsets, from_offsets, kafka_stream
 
@@ -27,5 +28,6 @@ __all__ = [
     "kafka_stream",
     "offset_bounds",
     "rate_stream",
+    "register_stream_source",
     "rejected",
 ]

@@ -1,6 +1,7 @@
 from sluiceworks.streaming.database import (
     InsertWriter,
     UpsertWriter,
+    database_insert,
     database_upsert,
     insert_statement,
     upsert_statement,
@@ -13,6 +14,7 @@ __all__ = [
     "UpsertWriter",
     "append_batches",
     "append_jdbc_batches",
+    "database_insert",
     "database_upsert",
     "finish",
     "insert_statement",

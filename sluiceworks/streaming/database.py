@@ -79,23 +79,51 @@ def database_upsert(
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        columns = batch.columns
-        sql = upsert_statement(table, columns, keys, dialect, mark)
+        sql = upsert_statement(table, batch.columns, keys, dialect, mark)
+        rows = latest_per_key(batch, keys, order_by)
+        rows.coalesce(max_connections).foreachPartition(
+            _sending(connect, sql, batch.columns, batch_size)
+        )
+
+    return write
 
-        def send(rows: Iterator[Row]) -> None:
-            writer = _Sender(connect, sql, columns, batch_size)
-            try:
-                for row in rows:
-                    writer.add(row)
-                writer.commit()
-            finally:
-                writer.close()
 
-        latest_per_key(batch, keys, order_by).coalesce(max_connections).foreachPartition(send)
+def database_insert(
+    connect: Callable[[], object],
+    table: str,
+    batch_size: int = 1000,
+    max_connections: int = 16,
+    mark: str = "?",
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that inserts every row; a repeated task inserts again.
+
+    Use ``InsertWriter`` or ``append_jdbc_batches`` where a repeat must not show.
+    """
+
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        sql = insert_statement(table, batch.columns, mark)
+        batch.coalesce(max_connections).foreachPartition(
+            _sending(connect, sql, batch.columns, batch_size)
+        )
 
     return write
 
 
+def _sending(connect, sql: str, columns: list[str], batch_size: int):
+    """The function that sends one partition in one transaction."""
+
+    def send(rows: Iterator[Row]) -> None:
+        sender = _Sender(connect, sql, columns, batch_size)
+        try:
+            for row in rows:
+                sender.add(row)
+            sender.commit()
+        finally:
+            sender.close()
+
+    return send
+
+
 class _Sender:
     """Rows to one connection in calls of ``size`` rows; opens it with the first row."""
 

@@ -2,13 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Join state off the Java heap, changes uploaded instead of whole snapshots, and one store
+# per partition instead of four.
+_STATE = {
+    _PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+_lock = threading.Lock()
+
+
+@contextmanager
+def _state_settings(spark: SparkSession) -> Iterator[None]:
+    """The settings above while a query starts, which is when it copies them.
+
+    A session that names a state store provider keeps all its own settings.
+    """
+    with _lock:
+        before = {name: spark.conf.get(name, None) for name in _STATE}
+        mine = {} if before[_PROVIDER] else {n: v for n, v in _STATE.items() if not before[n]}
+        for name, value in mine.items():
+            spark.conf.set(name, value)
+        try:
+            yield
+        finally:
+            for name in mine:
+                spark.conf.unset(name)
 
 
 def start(
@@ -28,7 +55,7 @@ def start(
     The rows go to ``each_batch``, to ``each_row`` or to ``format`` at ``path``
     (``console`` and ``memory`` need no path). ``every`` is a processing-time
     interval; without it the query handles all available input and ends. Join
-    state lives in RocksDB, off the Java heap, unless the session names a provider.
+    state lives in RocksDB unless the session names a state store provider.
     """
     writer = (
         df.writeStream.outputMode(output_mode)
@@ -42,16 +69,8 @@ def start(
         writer = writer.foreach(each_row)
     else:
         writer = writer.format(format)
-    conf = df.sparkSession.conf
-    named = conf.get(_PROVIDER, None)
-    chosen_by_caller = named is not None and "HDFSBackedStateStoreProvider" not in named
-    if not chosen_by_caller:
-        conf.set(_PROVIDER, _ROCKSDB)  # the query copies the settings when it starts
-    try:
+    with _state_settings(df.sparkSession):
         return writer.start(path) if path else writer.start()
-    finally:
-        if not chosen_by_caller:
-            conf.unset(_PROVIDER) if named is None else conf.set(_PROVIDER, named)
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> bool:

@@ -265,3 +265,15 @@ def test_state_provider_setting_is_left_alone(spark, tmp_path):
     rows = rate_stream(spark, rows_per_batch=3)
     finish(start(rows, f"{tmp_path}/a", f"{tmp_path}/out"))
     assert spark.conf.get(name, None) == before
+
+
+def test_own_state_provider_is_used(spark, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    own = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(name, own)
+    try:
+        finish(start(rate_stream(spark, rows_per_batch=3), f"{tmp_path}/a", f"{tmp_path}/out"))
+        assert spark.conf.get(name) == own
+        assert spark.conf.get("spark.sql.streaming.join.stateFormatVersion", None) is None
+    finally:
+        spark.conf.unset(name)
