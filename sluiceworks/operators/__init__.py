@@ -1,5 +1,5 @@
-from sluiceworks.operators.joins import interval_join, key_join
+from sluiceworks.operators.joins import hot_keys, interval_join, key_join
 from sluiceworks.operators.keyed_table import KeyedTable
 from sluiceworks.operators.latest import latest_per_key
 
-__all__ = ["KeyedTable", "interval_join", "key_join", "latest_per_key"]
+__all__ = ["KeyedTable", "hot_keys", "interval_join", "key_join", "latest_per_key"]

@@ -9,6 +9,7 @@ so every matching pair meets exactly once and a left outer join stays correct.
 
 from __future__ import annotations
 
+import math
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -24,15 +25,59 @@ def _check_how(how: str) -> None:
         raise ValueError(f"how must be 'inner' or 'left_outer', not {how!r}")
 
 
+def hot_keys(df: DataFrame, columns: list[str], share: float = 0.01) -> list[tuple]:
+    """The keys, nulls included, that hold more than ``share`` of the rows.
+
+    A frequent-item sketch per task names the candidates, at most ``2 / share``; a second
+    pass counts these alone. No shuffle carries the keys of the table.
+    """
+    if not 0 < share < 1:
+        raise ValueError("share must be between 0 and 1")
+    keys = [F.col(f"`{c}`") for c in columns]
+    tracked, wanted = math.ceil(20 / share), math.ceil(2 / share)
+    hashed = df.select(F.xxhash64(*keys).alias("h"), (F.spark_partition_id() % 256).alias("g"))
+    sketches = hashed.groupBy("g").agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s")
+    )
+    row = sketches.groupBy(F.lit("all")).agg(  # grouped, so that no rows give no sketch
+        F.sum("n").alias("n"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {wanted})").alias("top"),
+    ).first()
+    if row is None or not row["top"]:
+        return []
+    total, candidates = row["n"], [item["item"] for item in row["top"]]
+    counts = df.where(F.xxhash64(*keys).isin(candidates)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    found = counts.where(F.col("_n") > total * share).select(*keys)
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def _is_hot(columns: list[str], hot: list[tuple]) -> Column:
+    found = F.lit(False)
+    for values in hot:
+        same = F.lit(True)
+        for column, value in zip(columns, values, strict=True):
+            same = same & (F.col(column) == F.lit(value))
+        found = found | same
+    return found
+
+
 def _salted(
-    left: DataFrame, right: DataFrame, salts: int
+    left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], hot: list[tuple], salts: int
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Spread each left key over ``salts`` groups and repeat the right rows in all of them."""
-    if salts <= 1:
+    """Spread the left rows of hot keys over ``salts`` groups and repeat the right rows of
+    these keys in all of them. The other keys stay in one group. Left rows with a null
+    key match nothing, so they are spread as well and nothing is repeated for them."""
+    if not hot or salts <= 1:
         return left, right, []
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
-    left = left.withColumn(f"{_SALT}_l", spread.cast("int"))
-    right = right.withColumn(f"{_SALT}_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    known = [values for values in hot if None not in values]
+    group = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
+    left_hot = F.coalesce(_is_hot([a for a, _ in keys], known), F.lit(False))
+    for a, _ in keys:
+        left_hot = left_hot | F.col(a).isNull()
+    right_hot = F.coalesce(_is_hot([b for _, b in keys], known), F.lit(False))
+    every, one = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))
+    left = left.withColumn(f"{_SALT}_l", F.when(left_hot, group.cast("int")).otherwise(0))
+    right = right.withColumn(f"{_SALT}_r", F.explode(F.when(right_hot, every).otherwise(one)))
     return left, right, [_SALT]
 
 
@@ -48,18 +93,19 @@ def key_join(
     right: DataFrame,
     keys: list[tuple[str, str]],
     how: str = "inner",
-    salts: int = 1,
+    hot: list[tuple] = (),
+    salts: int = 8,
 ) -> DataFrame:
     """Equality join; on two streams the state grows without bound, so only ``inner``.
 
     ``keys`` pairs a left with a right column name; names must differ between the sides.
-    ``salts`` > 1 spreads a hot left key; choose it when ``right`` is the smaller side.
+    The left rows of the ``hot`` keys (see ``hot_keys``) are spread over ``salts`` tasks.
     """
     _check_how(how)
     if how == "left_outer" and (left.isStreaming or right.isStreaming):
         raise ValueError("an outer join of streams needs a time interval: use interval_join")
     wanted = left.columns + right.columns
-    left, right, helpers = _salted(left, right, salts)
+    left, right, helpers = _salted(left, right, keys, list(hot), salts)
     return left.join(right, _equalities(keys, helpers), how).select(*wanted)
 
 
@@ -74,7 +120,8 @@ def interval_join(
     how: str = "inner",
     left_delay: str | None = None,
     right_delay: str | None = None,
-    salts: int = 1,
+    hot: list[tuple] = (),
+    salts: int = 8,
 ) -> DataFrame:
     """Pairs with equal keys and ``right_time`` in ``[left_time + lower, left_time + upper]``.
 
@@ -82,6 +129,10 @@ def interval_join(
     they are ignored. On streams an unmatched left row of ``left_outer`` appears once the
     watermark has passed the last moment at which a partner could still come. Column
     names must differ between the sides.
+
+    Bins spread a frequent key over time but not within a micro-batch that spans few of
+    them; the left rows of the ``hot`` keys (see ``hot_keys``) are also spread over
+    ``salts`` tasks. A stream must restart with the list it started with.
     """
     _check_how(how)
     if upper < lower:
@@ -106,7 +157,7 @@ def interval_join(
         f"{_BIN}_r",
         F.explode(F.expr(f"sequence({bin_of(right_time, high)}, {bin_of(right_time, low)})")),
     )
-    left, right, helpers = _salted(left, right, salts)
+    left, right, helpers = _salted(left, right, keys, list(hot), salts)
     condition = (
         _equalities(keys, [_BIN, *helpers])
         & (F.col(right_time) >= F.col(left_time) + F.lit(lower))

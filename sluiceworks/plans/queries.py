@@ -28,7 +28,7 @@ from sluiceworks.functions import (
     register_functions,
     wall_clocks,
 )
-from sluiceworks.operators import KeyedTable, interval_join, key_join
+from sluiceworks.operators import KeyedTable, hot_keys, interval_join, key_join
 from sluiceworks.sources import (
     FrameTable,
     IncrementalReader,
@@ -380,7 +380,8 @@ def _clicks(events):
     )
 
 
-def _views_with_clicks(events: DataFrame, how: str) -> DataFrame:
+def _views_with_clicks(events: DataFrame, how: str, whole: DataFrame) -> DataFrame:
+    views = whole.where(equals_ignore_case("event_type", "view"))
     return interval_join(
         _views(events),
         _clicks(events),
@@ -392,30 +393,39 @@ def _views_with_clicks(events: DataFrame, how: str) -> DataFrame:
         how=how,
         left_delay="20 minutes",
         right_delay="30 minutes",
+        hot=hot_keys(views, ["user_id"]),
     )
 
 
+def _view_stream(spark, sf, how):
+    events = table(spark, sf, "events")
+    return settle(_views_with_clicks(stream(spark, sf, "events"), how, events), "join")
+
+
 def join_left_outer_interval(spark, sf):
-    return settle(_views_with_clicks(stream(spark, sf, "events"), "left_outer"), "join")
+    return _view_stream(spark, sf, "left_outer")
 
 
 def join_inner_interval(spark, sf):
-    return settle(_views_with_clicks(stream(spark, sf, "events"), "inner"), "join")
+    return _view_stream(spark, sf, "inner")
 
 
 def join_batch_interval(spark, sf):
     """The same join on tables, where every unmatched view appears."""
-    return wall_clocks(_views_with_clicks(table(spark, sf, "events"), "left_outer"))
+    events = table(spark, sf, "events")
+    return wall_clocks(_views_with_clicks(events, "left_outer", events))
 
 
 def join_inner_key(spark, sf):
     orders = stream(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     customers = stream(spark, sf, "customer").select("c_custkey", "c_name")
-    return settle(key_join(orders, customers, [("o_custkey", "c_custkey")], salts=4), "join")
+    hot = hot_keys(table(spark, sf, "orders"), ["o_custkey"])
+    return settle(key_join(orders, customers, [("o_custkey", "c_custkey")], hot=hot), "join")
 
 
 def join_left_outer_table(spark, sf):
     """One table split by type: the right row is at most 90 days older than the left."""
+    whole = table(spark, sf, "orders")
     orders = instants(stream(spark, sf, "orders"))
     newer = orders.where(equals_ignore_case("o_orderstatus", "o")).select(
         F.col("o_orderkey").alias("l_key"),
@@ -438,6 +448,7 @@ def join_left_outer_table(spark, sf):
         how="left_outer",
         left_delay="5 days",
         right_delay="5 days",
+        hot=hot_keys(whole.where(equals_ignore_case("o_orderstatus", "o")), ["o_custkey"]),
     )
     return settle(joined, "join")
 

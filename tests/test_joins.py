@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluiceworks.operators import interval_join, key_join
+from sluiceworks.operators import hot_keys, interval_join, key_join
 from sluiceworks.sources import append_stream
 from sluiceworks.streaming import finish, start
 from tests.conftest import plan_of
@@ -109,7 +109,7 @@ def brute(left, right, lower, upper, outer):
     return sorted(pairs, key=repr)
 
 
-def batch_join(spark, left, right, lower, upper, how, salts=1):
+def batch_join(spark, left, right, lower, upper, how, hot=()):
     a = spark.createDataFrame(
         [(k, DAWN + timedelta(seconds=t), i) for k, t, i in left], "k int, t timestamp, i int"
     )
@@ -117,7 +117,7 @@ def batch_join(spark, left, right, lower, upper, how, salts=1):
         [(k, DAWN + timedelta(seconds=t), i) for k, t, i in right], "q int, u timestamp, j int"
     )
     span = (timedelta(seconds=lower), timedelta(seconds=upper))
-    return interval_join(a, b, [("k", "q")], "t", "u", *span, how, salts=salts)
+    return interval_join(a, b, [("k", "q")], "t", "u", *span, how, hot=hot, salts=3)
 
 
 times = st.lists(st.tuples(st.integers(0, 1), st.integers(-20, 20)), min_size=1, max_size=12)
@@ -130,13 +130,13 @@ times = st.lists(st.tuples(st.integers(0, 1), st.integers(-20, 20)), min_size=1,
     lower=st.integers(-6, 6),
     width=st.integers(0, 7),
     how=st.sampled_from(["inner", "left_outer"]),
-    salts=st.sampled_from([1, 3]),
+    hot=st.sampled_from([[], [(1,)], [(0,), (1,)], [(None,)], [(None,), (0,)]]),
 )
-def test_equals_the_definition(spark, left, right, lower, width, how, salts):
+def test_equals_the_definition(spark, left, right, lower, width, how, hot):
     number = itertools.count()
     left = [(k, t, next(number)) for k, t in left]
     right = [(k, t, next(number)) for k, t in right]
-    got = batch_join(spark, left, right, lower, lower + width, how, salts)
+    got = batch_join(spark, left, right, lower, lower + width, how, hot)
     found = sorted(((r["i"], r["j"]) for r in got.collect()), key=repr)
     assert found == brute(left, right, lower, lower + width, how == "left_outer")
 
@@ -150,6 +150,41 @@ def test_a_hot_key_is_spread_over_time(spark):
     assert "_bin_l" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_hot_keys_are_the_frequent_ones(spark):
+    df = spark.range(300).select(
+        F.when(F.col("id") < 100, 7).when(F.col("id") < 200, None).otherwise(F.col("id")).alias("k"),
+        F.lit("x").alias("s"),
+    )
+    assert hot_keys(df, ["k"], 0.1) == [(7,), (None,)]
+    assert hot_keys(df, ["k", "s"], 0.1) == [(7, "x"), (None, "x")]
+    assert hot_keys(df, ["k"], 0.5) == []
+    assert hot_keys(df.limit(0), ["k"], 0.5) == []
+    with pytest.raises(ValueError):
+        hot_keys(df, ["k"], 0)
+
+
+def test_hot_key_in_one_bin_is_spread_and_stays_whole(spark):
+    """A third of the rows have one key and nearly one time."""
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 7).alias("t"),
+        F.col("id").alias("i"),
+    )
+    right = spark.createDataFrame([(-1, 1), (4, 2)], "q bigint, j int").withColumn(
+        "u", F.timestamp_seconds(F.lit(1_700_000_003))
+    )
+    hot = hot_keys(left, ["k"])
+    assert hot == [(-1,)]
+    span = (timedelta(seconds=-60), timedelta(seconds=60))
+    joined = interval_join(left, right, [("k", "q")], "t", "u", *span, "left_outer", hot=hot)
+    assert joined.count() == 3000 and joined.where("j = 1").count() == 1000
+    assert joined.where("j = 2").count() == 1
+    assert "_salt_l" in plan_of(joined)
+    two = [("k", "q"), ("i", "j")]
+    twice = interval_join(left, right, two, "t", "u", *span, "inner", hot=[(-1, 1), (4, 2)])
+    assert twice.count() == left.where("(k = -1 and i = 1) or (k = 4 and i = 2)").count()
+
+
 def test_null_times_and_keys(spark):
     a = spark.createDataFrame([(1, None), (None, DAWN), (2, DAWN)], "k int, t timestamp")
     b = spark.createDataFrame([(1, DAWN), (None, DAWN), (2, None)], "q int, u timestamp")
@@ -160,7 +195,7 @@ def test_null_times_and_keys(spark):
 def test_key_join_on_streams(spark, ticks, tmp_path):
     left = ticks().select(F.col("value").alias("a"), "timestamp")
     right = ticks().select((F.col("value") % 50).alias("b"), F.col("value").alias("c"))
-    got = settle(key_join(left, right, [("a", "b")], salts=3), tmp_path)
+    got = settle(key_join(left, right, [("a", "b")], hot=[(7,)], salts=3), tmp_path)
     assert got.count() == 200 and got.where("a <> b").count() == 0
 
 
