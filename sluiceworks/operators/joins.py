@@ -1,10 +1,10 @@
 """Joins of two streams, or of two tables, on keys and a time interval.
 
-The time axis is cut into bins as wide as the interval and the bin joins as one
-more key. A key that holds a large share of the rows is thereby spread over as
-many tasks (or state partitions) as there are bins, and rows meet only rows of
-the same or the next bin. The left row has one bin and the right row one or two,
-so every matching pair meets exactly once and a left outer join stays correct.
+The time axis is cut into bins a few intervals wide and the bin joins as one more key.
+A key that holds a large share of the rows is thereby spread over as many tasks (or state
+partitions) as there are bins, and rows meet only rows of the same bin. The left row has
+one bin and the right row that of every possible partner, mostly one and at most two, so
+every matching pair meets exactly once and a left outer join stays correct.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 _BIN = "_bin"
 _SALT = "_salt"
 _MICROSECOND = timedelta(microseconds=1)
+_INTERVALS_PER_BIN = 4  # a right row is repeated for one bin edge in this many intervals
 
 
 def _check_how(how: str) -> None:
@@ -25,15 +26,27 @@ def _check_how(how: str) -> None:
         raise ValueError(f"how must be 'inner' or 'left_outer', not {how!r}")
 
 
-def hot_keys(df: DataFrame, columns: list[str], share: float = 0.01) -> list[tuple]:
+def time_bin(
+    column: str, lower: timedelta, upper: timedelta, shift: timedelta = timedelta(0)
+) -> Column:
+    """The number of the bin that holds the column's time less ``shift``."""
+    width = max(upper - lower, _MICROSECOND) // _MICROSECOND * _INTERVALS_PER_BIN
+    instant = F.unix_micros(F.col(column).cast("timestamp")) - F.lit(shift // _MICROSECOND)
+    return F.call_function("div", instant - F.pmod(instant, F.lit(width)), F.lit(width))
+
+
+def hot_keys(
+    df: DataFrame, columns: list[str], share: float = 0.01, within: Column | None = None
+) -> list[tuple]:
     """The keys, nulls included, that hold more than ``share`` of the rows.
 
-    A frequent-item sketch per task names the candidates, at most ``2 / share``; a second
-    pass counts these alone. No shuffle carries the keys of the table.
+    With ``within``, such as ``time_bin(...)``, the rows of a key that have one value of it
+    must be that many. A frequent-item sketch per task names the candidates, at most
+    ``2 / share``; a second pass counts these alone. No shuffle carries the whole table.
     """
     if not 0 < share < 1:
         raise ValueError("share must be between 0 and 1")
-    keys = [F.col(f"`{c}`") for c in columns]
+    keys = [F.col(f"`{c}`") for c in columns] + ([] if within is None else [within.alias("_in")])
     tracked, wanted = math.ceil(20 / share), math.ceil(2 / share)
     hashed = df.select(F.xxhash64(*keys).alias("h"), (F.spark_partition_id() % 256).alias("g"))
     sketches = hashed.groupBy("g").agg(
@@ -47,8 +60,8 @@ def hot_keys(df: DataFrame, columns: list[str], share: float = 0.01) -> list[tup
         return []
     total, candidates = row["n"], [item["item"] for item in row["top"]]
     counts = df.where(F.xxhash64(*keys).isin(candidates)).groupBy(*keys).agg(F.count("*").alias("_n"))
-    found = counts.where(F.col("_n") > total * share).select(*keys)
-    return sorted((tuple(r) for r in found.collect()), key=repr)
+    found = counts.where(F.col("_n") > total * share).select(*columns)
+    return sorted({tuple(r) for r in found.collect()}, key=repr)
 
 
 def _is_hot(columns: list[str], hot: list[tuple]) -> Column:
@@ -145,18 +158,10 @@ def interval_join(
         right = right.withWatermark(right_time, right_delay)
 
     wanted = left.columns + right.columns
-    width = max(upper - lower, _MICROSECOND) // _MICROSECOND
-    low, high = lower // _MICROSECOND, upper // _MICROSECOND
-
-    def bin_of(column: str, shift: int) -> str:
-        instant = f"(unix_micros(cast(`{column}` as timestamp)) - ({shift}L))"
-        return f"({instant} - pmod({instant}, {width}L)) div {width}L"
-
-    left = left.withColumn(f"{_BIN}_l", F.expr(bin_of(left_time, 0)))
-    right = right.withColumn(
-        f"{_BIN}_r",
-        F.explode(F.expr(f"sequence({bin_of(right_time, high)}, {bin_of(right_time, low)})")),
-    )
+    left = left.withColumn(f"{_BIN}_l", time_bin(left_time, lower, upper))
+    first = time_bin(right_time, lower, upper, shift=upper)
+    last = time_bin(right_time, lower, upper, shift=lower)
+    right = right.withColumn(f"{_BIN}_r", F.explode(F.sequence(first, last)))
     left, right, helpers = _salted(left, right, keys, list(hot), salts)
     condition = (
         _equalities(keys, [_BIN, *helpers])

@@ -28,7 +28,7 @@ from sluiceworks.functions import (
     register_functions,
     wall_clocks,
 )
-from sluiceworks.operators import KeyedTable, hot_keys, interval_join, key_join
+from sluiceworks.operators import KeyedTable, hot_keys, interval_join, key_join, time_bin
 from sluiceworks.sources import (
     FrameTable,
     IncrementalReader,
@@ -381,19 +381,19 @@ def _clicks(events):
 
 
 def _views_with_clicks(events: DataFrame, how: str, whole: DataFrame) -> DataFrame:
-    views = whole.where(equals_ignore_case("event_type", "view"))
+    span = timedelta(0), timedelta(hours=6)
+    hot = hot_keys(_views(whole), ["imp_user"], within=time_bin("imp_ts", *span))
     return interval_join(
         _views(events),
         _clicks(events),
-        keys=[("imp_user", "clk_user")],
-        left_time="imp_ts",
-        right_time="clk_ts",
-        lower=timedelta(0),
-        upper=timedelta(hours=6),
+        [("imp_user", "clk_user")],
+        "imp_ts",
+        "clk_ts",
+        *span,
         how=how,
         left_delay="20 minutes",
         right_delay="30 minutes",
-        hot=hot_keys(views, ["user_id"]),
+        hot=hot,
     )
 
 
@@ -425,30 +425,32 @@ def join_inner_key(spark, sf):
 
 def join_left_outer_table(spark, sf):
     """One table split by type: the right row is at most 90 days older than the left."""
-    whole = table(spark, sf, "orders")
-    orders = instants(stream(spark, sf, "orders"))
-    newer = orders.where(equals_ignore_case("o_orderstatus", "o")).select(
-        F.col("o_orderkey").alias("l_key"),
-        F.col("o_custkey").alias("l_cust"),
-        F.col("o_orderdate").alias("l_ts"),
-    )
-    older = orders.where(equals_ignore_case("o_orderstatus", "f")).select(
+    def newer(orders: DataFrame) -> DataFrame:
+        return instants(orders.where(equals_ignore_case("o_orderstatus", "o"))).select(
+            F.col("o_orderkey").alias("l_key"),
+            F.col("o_custkey").alias("l_cust"),
+            F.col("o_orderdate").alias("l_ts"),
+        )
+
+    orders = stream(spark, sf, "orders")
+    older = instants(orders.where(equals_ignore_case("o_orderstatus", "f"))).select(
         F.col("o_orderkey").alias("r_key"),
         F.col("o_custkey").alias("r_cust"),
         F.col("o_orderdate").alias("r_ts"),
     )
+    span = timedelta(days=-90), timedelta(0)
+    whole = newer(table(spark, sf, "orders"))
     joined = interval_join(
-        newer,
+        newer(orders),
         older,
-        keys=[("l_cust", "r_cust")],
-        left_time="l_ts",
-        right_time="r_ts",
-        lower=timedelta(days=-90),
-        upper=timedelta(0),
+        [("l_cust", "r_cust")],
+        "l_ts",
+        "r_ts",
+        *span,
         how="left_outer",
         left_delay="5 days",
         right_delay="5 days",
-        hot=hot_keys(whole.where(equals_ignore_case("o_orderstatus", "o")), ["o_custkey"]),
+        hot=hot_keys(whole, ["l_cust"], within=time_bin("l_ts", *span)),
     )
     return settle(joined, "join")
 

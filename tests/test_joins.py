@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluiceworks.operators import hot_keys, interval_join, key_join
+from sluiceworks.operators import hot_keys, interval_join, key_join, time_bin
 from sluiceworks.sources import append_stream
 from sluiceworks.streaming import finish, start
 from tests.conftest import plan_of
@@ -163,6 +163,29 @@ def test_hot_keys_are_the_frequent_ones(spark):
         hot_keys(df, ["k"], 0)
 
 
+def test_a_key_is_hot_within_a_bin(spark):
+    """Key 1 is frequent but spread over time; key 2 is frequent in one bin."""
+    span = timedelta(0), timedelta(seconds=1)
+    df = spark.range(400).select(
+        (F.col("id") % 2 + 1).alias("k"),
+        F.timestamp_seconds(F.when(F.col("id") % 2 == 0, F.col("id") * 50).otherwise(0)).alias("t"),
+    )
+    assert hot_keys(df, ["k"]) == [(1,), (2,)]
+    assert hot_keys(df, ["k"], within=time_bin("t", *span)) == [(2,)]
+
+
+def test_bins_of_distant_times(spark):
+    times = [datetime(1, 1, 1), datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(9999, 12, 31)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    micro = timedelta(microseconds=1)
+    day = timedelta(days=1)
+    for lower, upper in ((timedelta(0), micro), (-day, day), (timedelta(0), timedelta(0))):
+        width = max((upper - lower) // micro, 1) * 4
+        expected = [(t - datetime(1970, 1, 1)) // micro // width for t in times]
+        got = [r[0] for r in df.select(time_bin("t", lower, upper)).collect()]
+        assert got == expected
+
+
 def test_hot_key_in_one_bin_is_spread_and_stays_whole(spark):
     """A third of the rows have one key and nearly one time."""
     left = spark.range(3000).select(
