@@ -27,6 +27,7 @@ from sluiceworks.operators.latest import latest_per_key
 from sluiceworks.storage import SharedFiles
 
 _BUCKET, _VERSION, _SLICE, _RANK = "key_bucket", "table_version", "_slice", "_rank"
+_MOST_SMALL = 16  # surplus files of a bucket at which a merge also packs it
 _KEY_OVERHEAD = 64  # bytes per key in a broadcast hash table beside the key's own
 
 # Types an update column may widen from, per target type.
@@ -187,7 +188,10 @@ class KeyedTable:
             target = self._scan(after, rewritten)
             fresh = self._read(staged_type, dict.fromkeys(rewritten, staged_folder))
             key_size = facts["key_bytes"] + facts["rows"] * _KEY_OVERHEAD
-            if not absent and key_size <= broadcast_bytes:
+            crowded = any(
+                _small_files(before["buckets"][k], file_bytes) > _MOST_SMALL for k in rewritten
+            )
+            if not absent and not crowded and key_size <= broadcast_bytes:
                 # small batch: the table's rows stay where the scan puts them
                 stale = F.broadcast(fresh.select(*_cols(keys)))
                 merged = target.join(stale, keys, "left_anti").unionByName(fresh)
@@ -282,7 +286,7 @@ class KeyedTable:
         due = {
             k: b["bytes"]
             for k, b in before["buckets"].items()
-            if b["files"] > max(1, math.ceil(b["bytes"] / target_bytes))
+            if _small_files(b, target_bytes) > 0
         }
         if not due:
             return 0
@@ -329,6 +333,11 @@ def _cols(names) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]
 
 
+def _small_files(bucket: dict, file_bytes: int) -> int:
+    """Files beyond those that the bucket's size calls for."""
+    return bucket["files"] - max(1, math.ceil(bucket["bytes"] / file_bytes))
+
+
 def _any_null(keys: list[str]) -> Column:
     found = F.lit(False)
     for key in _cols(keys):

@@ -120,7 +120,9 @@ class JdbcTable:
         split_column: str | None = None,
         **options: str,
     ):
-        self.spark, self.url, self.dbtable, self.options = spark, url, dbtable, options
+        # without a fetch size some drivers hold a whole result in memory
+        self.options = {"fetchsize": "10000", **{k.lower(): v for k, v in options.items()}}
+        self.spark, self.url, self.dbtable = spark, url, dbtable
         self.num_partitions, self.split_column = num_partitions, split_column
         self.schema = self._reader().option("dbtable", dbtable).load().schema
         field = resolve_column(self.schema, offset_column)

@@ -36,6 +36,8 @@ def jdbc_table(
     With a partition column and bounds, ``partitions`` tasks read a stride each; the
     bounds place the strides and drop no rows.
     """
+    # without a fetch size some drivers hold a whole result in memory
+    options = {"fetchsize": "10000", **{k.lower(): v for k, v in options.items()}}
     reader = spark.read.format("jdbc").options(url=url, dbtable=dbtable, **options)
     if partition_column is not None and partitions > 1:
         reader = reader.options(

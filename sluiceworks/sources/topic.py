@@ -28,6 +28,9 @@ ENVELOPE = T.StructType(
     ]
 )
 
+_MOST_CHUNKS = 1_000
+_KEPT_ENTRIES = 100
+
 # What the message source takes for "from the start" and "from the end".
 EARLIEST, LATEST = -2, -1
 
@@ -78,18 +81,20 @@ def dense_offsets(
     puts its rows in the same chunks.
     """
     position = _position(df, order_by[0])
-    chunks = min(1_000, -(-df.count() // rows_per_chunk))
     chunk, split = F.lit(0), F.lit(0)
-    if chunks > 1:
-        shares = [i / chunks for i in range(1, chunks)]
-        quantiles = df.agg(F.percentile_approx(position, shares, 10 * chunks)).first()[0] or []
+    shares = [i / _MOST_CHUNKS for i in range(1, _MOST_CHUNKS)]
+    total, fine = df.agg(
+        F.count("*"), F.percentile_approx(position, shares, 10 * _MOST_CHUNKS)
+    ).first()
+    chunks = min(_MOST_CHUNKS, -(-total // rows_per_chunk))
+    if chunks > 1 and fine:
+        quantiles = [fine[_MOST_CHUNKS * i // chunks - 1] for i in range(1, chunks)]
         crowded = {v: n for v, n in Counter(quantiles).items() if n > 1}
         just_below = [
             v - 1 if isinstance(v, int) else math.nextafter(v, -math.inf) for v in crowded
         ]
         cuts = sorted({*quantiles, *just_below})
-        if cuts:
-            chunk = F.coalesce(_count_below(cuts, position), F.lit(0))
+        chunk = F.coalesce(_count_below(cuts, position), F.lit(0))
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
         for value, times in crowded.items():
             split = F.when(position == value, F.pmod(spread, F.lit(times + 1))).otherwise(split)
@@ -163,6 +168,7 @@ class TopicTable:
         ends = written.groupBy("partition").agg((F.max("offset") + 1).alias("end")).collect()
         following = {**starts, **{r["partition"]: r["end"] for r in ends}}
         self._files.publish_text(entry, json.dumps({str(p): o for p, o in following.items()}))
+        self._files.delete(f"{self.path}/next/{batch_id - _KEPT_ENTRIES:012d}")
 
     def read(
         self,

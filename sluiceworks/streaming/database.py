@@ -80,10 +80,9 @@ def database_upsert(
 
     def write(batch: DataFrame, _batch_id: int) -> None:
         sql = upsert_statement(table, batch.columns, keys, dialect, mark)
-        rows = latest_per_key(batch, keys, order_by)
-        rows.coalesce(max_connections).foreachPartition(
-            _sending(connect, sql, batch.columns, batch_size)
-        )
+        # a shuffle, not coalesce, which would also run the aggregate in so few tasks
+        rows = latest_per_key(batch, keys, order_by).repartition(max_connections, *keys)
+        rows.foreachPartition(_sending(connect, sql, batch.columns, batch_size))
 
     return write
 

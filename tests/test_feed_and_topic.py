@@ -177,6 +177,17 @@ def test_offsets_go_on_over_batches_and_replays(spark, tmp_path):
     assert read(topic) == sorted((k % 2, k // 2, k) for k in range(10))
 
 
+def test_old_offset_entries_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sluiceworks.sources.topic._KEPT_ENTRIES", 2)
+    topic = TopicTable(spark, str(tmp_path), "t", 2)
+    for n in range(4):
+        send(topic, n, 2 * n, 2)
+    assert sorted(p.name for p in (tmp_path / "next").iterdir() if p.name[0] != ".") == [
+        f"{n:012d}" for n in (2, 3)
+    ]
+    assert read(topic) == sorted((k % 2, k // 2, k) for k in range(8))
+
+
 def test_replay_after_a_crash_before_the_offsets_were_noted(spark, tmp_path, monkeypatch):
     topic = TopicTable(spark, str(tmp_path), "t", 2)
     send(topic, 0, 0, 4)

@@ -237,6 +237,16 @@ def test_small_batch_does_not_shuffle_the_table(spark, monkeypatch):
     assert plans[-1].count("hashpartitioning") == 1 and "SortMergeJoin" not in plans[-1]
 
 
+def test_many_small_merges_keep_the_file_count_bounded(spark, monkeypatch):
+    monkeypatch.setattr("sluiceworks.operators.keyed_table._MOST_SMALL", 3)
+    table = make(spark, buckets=1)
+    counts = []
+    for n in range(9):
+        table.merge(batch(spark, (n, n, "a"), (0, n, "b")), ["seq"])
+        counts.append(table.files())
+    assert max(counts) <= 6 and table.read().count() == 9
+
+
 # ---- maintenance ------------------------------------------------------------------------
 
 
