@@ -1,7 +1,9 @@
 """Micro-batch sinks: functions of ``(batch, batch_id)`` for ``foreachBatch``.
 
 The same functions serve ``IncrementalReader.run``. All of them may see a batch id again
-after a failure and leave the same result as if they had seen it once.
+after a failure and leave the same result as if they had seen it once. Batch ids start at
+0 with every new checkpoint or offset log, so a sink belongs to one of them: with a new one
+use a new path or table, or for ``merge_batches`` a new ``source`` name.
 """
 
 from __future__ import annotations
@@ -13,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceworks.operators.keyed_table import KeyedTable
-from sluiceworks.storage import SharedFiles
 
 BatchSink = Callable[[DataFrame, int], None]
 
