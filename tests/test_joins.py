@@ -273,3 +273,41 @@ def test_late_row_is_dropped_once_the_watermark_is_old(spark, tmp_path):
     run()
     got = spark.read.parquet(f"{tmp_path}/out").collect()
     assert sorted(r["l_k"] for r in got) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("hot", [[], [(0,)]])
+def test_many_restarts_give_the_rows_of_one_run(spark, tmp_path, hot):
+    """Input lands in five parts by time; each run restores its state from the checkpoint."""
+    everything = spark.range(1200).select(
+        (F.col("id") % 5 % 4).alias("k"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 7).alias("ts"),
+        (F.xxhash64("id") % 3 == 0).alias("is_left"),
+        F.col("id").alias("n"),
+    )
+    span = timedelta(seconds=-10), timedelta(seconds=25)
+
+    def sides(rows):
+        left = rows.where("is_left").select(*[F.col(c).alias(f"l_{c}") for c in ("k", "ts", "n")])
+        right = rows.where("not is_left").select(*[F.col(c).alias(f"r_{c}") for c in ("k", "ts", "n")])
+        return left, right
+
+    def joined(rows):
+        keys = [("l_k", "r_k")]
+        return interval_join(
+            *sides(rows), keys, "l_ts", "r_ts", *span, "left_outer", "20 seconds", "40 seconds", hot=hot
+        )
+
+    for part in range(5):
+        mine = everything.where(F.col("n").between(240 * part, 240 * part + 239))
+        mine.coalesce(2).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = append_stream(spark, f"{tmp_path}/in", everything.schema)
+        finish(start(joined(stream), f"{tmp_path}/checkpoint", f"{tmp_path}/out"))
+
+    left, right = sides(everything)
+    newest_left = left.agg(F.max("l_ts")).first()[0] - timedelta(seconds=20)
+    newest_right = right.agg(F.max("r_ts")).first()[0] - timedelta(seconds=40)
+    limit = min(newest_left, newest_right) - span[1]
+    expected = joined(everything).where(F.col("r_n").isNotNull() | (F.col("l_ts") < F.lit(limit)))
+    got = spark.read.schema(expected.schema).parquet(f"{tmp_path}/out")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+    assert got.where("r_n is null").count() > 0
