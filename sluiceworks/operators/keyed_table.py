@@ -2,8 +2,9 @@
 
 Layout, all below one path::
 
-    data/table_version=<n><u|m>/key_bucket=<k>/*.parquet    written once, never changed
-    manifests/<n>                                           JSON: every bucket's folder
+    data/table_version=<n>/key_bucket=<k>/*.parquet    written once, never changed
+    manifests/<n>                                      JSON: every bucket's folder
+    staged/<n>                                         the batch of a merge that is running
 
 ``key_bucket = pmod(xxhash64(keys), buckets)``. A merge reads and rewrites only the buckets
 that occur in the batch, then publishes a manifest; a reader holds on to the manifest it
@@ -27,6 +28,7 @@ from sluiceworks.operators.latest import latest_per_key
 from sluiceworks.storage import SharedFiles
 
 _BUCKET, _VERSION, _SLICE, _RANK = "key_bucket", "table_version", "_slice", "_rank"
+_LISTED_HERE = 64  # bucket folders up to which the driver lists files itself
 _MOST_SMALL = 16  # surplus files of a bucket at which a merge also packs it
 _KEY_OVERHEAD = 64  # bytes per key in a broadcast hash table beside the key's own
 
@@ -111,7 +113,7 @@ class KeyedTable:
         return self._read(T.StructType.fromJson(manifest["schema"]), folders)
 
     def _read(self, schema: T.StructType, folders: dict[str, str]) -> DataFrame:
-        """One scan over the given folder of each bucket."""
+        """One scan over the given folder of each bucket, with one path per folder."""
         wanted = T.StructType(
             [T.StructField(f.name, f.dataType) for f in schema.fields]
             + [T.StructField(_BUCKET, T.IntegerType())]
@@ -119,7 +121,10 @@ class KeyedTable:
         if not folders:
             return self.spark.createDataFrame([], wanted)
         base = f"{self.path}/data"
-        paths = [f"{base}/{folder}/{_BUCKET}={k}" for k, folder in folders.items()]
+        members: dict[str, list[str]] = {}
+        for k, folder in folders.items():
+            members.setdefault(folder, []).append(k)
+        paths = [f"{base}/{folder}/{_BUCKET}={{{','.join(ks)}}}" for folder, ks in members.items()]
         reader = self.spark.read.schema(wanted).option("basePath", base)
         return reader.parquet(*paths).select(*_cols(wanted.names))
 
@@ -149,61 +154,78 @@ class KeyedTable:
         schema, updates, absent = _align(
             T.StructType.fromJson(before["schema"]), updates, keys, order_by
         )
-        version = before["version"] + 1
-
-        # The deduplicated batch is written first: later steps read exactly these rows
-        # again whatever happens to executors, and buckets that are new to the table can
-        # use the files as they are.
-        staged_folder = f"{_VERSION}={version}u"
         bucket = F.pmod(F.xxhash64(*_cols(keys)), F.lit(before["bucket_count"])).cast("int")
-        staged = latest_per_key(updates, keys, order_by).select(
-            *[
-                F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
-                for f in schema.fields
-                if f.name not in absent
-            ],
+        given = [f for f in schema.fields if f.name not in absent]
+        latest = latest_per_key(updates, keys, order_by).select(
+            *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in given],
             bucket.alias(_BUCKET),
         )
-        self._write(staged.hint("rebalance", _BUCKET), staged_folder)
-        arrived = self._sizes(staged_folder)
-        if not arrived:  # an empty batch still counts as applied
-            return self._finish(before, schema, {}, batch_id, source)
-
-        staged_type = T.StructType([f for f in schema.fields if f.name not in absent])
-        staged = self._read(staged_type, dict.fromkeys(arrived, staged_folder))
-        facts = staged.agg(
-            F.count("*").alias("rows"),
-            F.sum(F.octet_length(F.concat_ws("", *[c.cast("string") for c in _cols(keys)]))).alias(
-                "key_bytes"
-            ),
-            F.max(_any_null(keys)).alias("null_key"),
-        ).first()
-        if facts["null_key"]:
+        folder = f"{_VERSION}={before['version'] + 1}"
+        if not before["buckets"]:
+            self._first_load(latest, schema, absent, keys, folder)
+        else:
+            staged = f"{self.path}/staged/{before['version'] + 1}"
+            merged = self._merged(
+                before, latest, schema, absent, staged, broadcast_bytes, file_bytes
+            )
+            if merged is None:  # an empty batch still counts as applied
+                return self._finish(before, schema, {}, batch_id, source)
+            self._write(merged.select(*_cols(schema.names), _BUCKET), folder)
+        self._finish(before, schema, self._sizes(folder), batch_id, source)
+        self._files.delete(f"{self.path}/staged")
+        return True
+
+    def _first_load(self, latest, schema, absent, keys, folder) -> None:
+        """Into an empty table: the rows go straight to their buckets."""
+        kept = [F.lit(None).cast(schema[c].dataType).alias(c) for c in absent]
+        rows = latest.select("*", *kept).select(*_cols(schema.names), _BUCKET)
+        self._write(rows.hint("rebalance", _BUCKET), folder)
+        written = self._read(schema, dict.fromkeys(self._sizes(folder), folder))
+        if not written.where(_any_null(keys)).isEmpty():
             raise ValueError(f"null in a key column {keys}")
 
-        after = dict(before, schema=json.loads(schema.json()))
-        rewritten = [k for k in arrived if k in before["buckets"]]
-        changed = {k: arrived[k] for k in arrived if k not in before["buckets"]}
-        if rewritten:
-            target = self._scan(after, rewritten)
-            fresh = self._read(staged_type, dict.fromkeys(rewritten, staged_folder))
-            key_size = facts["key_bytes"] + facts["rows"] * _KEY_OVERHEAD
-            crowded = any(
-                _small_files(before["buckets"][k], file_bytes) > _MOST_SMALL for k in rewritten
+    def _merged(
+        self, before, latest, schema, absent, staged, broadcast_bytes, file_bytes
+    ) -> DataFrame | None:
+        """The new rows of every bucket in the batch.
+
+        The deduplicated batch is written first, so that all later steps read the same
+        rows, whatever happens to executors or to the source.
+        """
+        latest.write.mode("overwrite").parquet(staged)
+        fresh = self.spark.read.schema(latest.schema).parquet(staged)
+        keys = before["keys"]
+        key_text = F.concat_ws("", *[c.cast("string") for c in _cols(keys)])
+        arrived = (
+            fresh.groupBy(_BUCKET)
+            .agg(
+                F.count("*").alias("n"),
+                F.sum(F.octet_length(key_text)).alias("key_bytes"),
+                F.max(_any_null(keys)).alias("null_key"),
             )
-            if not absent and not crowded and key_size <= broadcast_bytes:
-                # small batch: the table's rows stay where the scan puts them
-                stale = F.broadcast(fresh.select(*_cols(keys)))
-                merged = target.join(stale, keys, "left_anti").unionByName(fresh)
-            else:
-                sizes = {
-                    k: before["buckets"][k]["bytes"] + arrived[k]["bytes"] for k in rewritten
-                }
-                merged = self._one_shuffle(target, fresh, keys, absent, sizes, file_bytes)
-            folder = f"{_VERSION}={version}m"
-            self._write(merged.select(*_cols(schema.names), _BUCKET), folder)
-            changed.update(self._sizes(folder))
-        return self._finish(before, schema, changed, batch_id, source)
+            .collect()
+        )
+        if not arrived:
+            return None
+        if any(r["null_key"] for r in arrived):
+            raise ValueError(f"null in a key column {keys}")
+        rows = {str(r[_BUCKET]): r["n"] for r in arrived}
+        known = [k for k in rows if k in before["buckets"]]
+        target = self._scan(dict(before, schema=json.loads(schema.json())), known)
+        total = sum(rows.values())
+        key_size = sum(r["key_bytes"] for r in arrived) + total * _KEY_OVERHEAD
+        crowded = any(_small_files(before["buckets"][k], file_bytes) > _MOST_SMALL for k in known)
+        if not absent and not crowded and key_size <= broadcast_bytes:
+            # a small batch: the table's rows stay where the scan puts them
+            tasks = min(len(rows), self.spark.sparkContext.defaultParallelism)
+            stale = F.broadcast(fresh.select(*_cols(keys)))
+            kept = target.join(stale, keys, "left_anti")
+            return kept.unionByName(fresh.repartition(tasks, _BUCKET))
+        row_bytes = self._files.size(staged)[1] / total
+        sizes = {k: n * row_bytes for k, n in rows.items()}
+        for k in known:
+            sizes[k] += before["buckets"][k]["bytes"]
+        return self._one_shuffle(target, fresh, keys, absent, sizes, file_bytes)
 
     def _finish(self, before, schema, changed, batch_id, source) -> bool:
         applied = dict(before["applied"])
@@ -266,11 +288,15 @@ class KeyedTable:
     def _sizes(self, folder: str) -> dict[str, dict]:
         """Folder, file count and bytes of every bucket written in one go."""
         base = f"{self.path}/data/{folder}"
-        found = {}
-        for name, _ in self._files.children(base, f"{_BUCKET}=*"):
-            files, size = self._files.size(f"{base}/{name}")
-            found[name.split("=")[1]] = {"folder": folder, "files": files, "bytes": size}
-        return found
+        names = [name for name, _ in self._files.children(base, f"{_BUCKET}=*")]
+        if len(names) <= _LISTED_HERE:
+            found = {n.split("=")[1]: self._files.size(f"{base}/{n}") for n in names}
+        else:  # Spark lists many folders in parallel; the content of the files is not read
+            files = self.spark.read.format("binaryFile").load(f"{base}/{_BUCKET}=*/part-*")
+            name = F.regexp_extract("path", f"{_BUCKET}=(\\d+)/", 1)
+            sums = files.groupBy(name.alias("k")).agg(F.count("*").alias("n"), F.sum("length").alias("b"))
+            found = {r["k"]: (r["n"], r["b"]) for r in sums.collect()}
+        return {k: {"folder": folder, "files": n, "bytes": b} for k, (n, b) in found.items()}
 
     # ---- maintenance ----------------------------------------------------------------
 
@@ -290,7 +316,7 @@ class KeyedTable:
         }
         if not due:
             return 0
-        folder = f"{_VERSION}={before['version'] + 1}m"
+        folder = f"{_VERSION}={before['version'] + 1}"
         rows = self._by_slice(self._scan(before, due), before["keys"], due, target_bytes)
         schema = T.StructType.fromJson(before["schema"])
         self._write(rows.select(*_cols(schema.names), _BUCKET), folder)
@@ -324,6 +350,9 @@ class KeyedTable:
                 if (folder, name.split("=")[1]) not in needed and modified < limit:
                     self._files.delete(f"{self.path}/data/{folder}/{name}")
                     deleted += 1
+        for name, modified in self._files.children(f"{self.path}/staged"):
+            if modified < limit:
+                self._files.delete(f"{self.path}/staged/{name}")
         for v in expired:
             self._files.delete(f"{self.path}/manifests/{v:012d}")
         return deleted

@@ -87,6 +87,38 @@ def test_update_and_insert(spark, broadcast_bytes):
     assert rows(table) == sorted(expected.values(), key=repr)
 
 
+def test_first_batch_may_lack_columns(spark):
+    table = make(spark)
+    table.merge(batch(spark, (1, 5), (7, 5), schema="id bigint, seq int"), ["seq"])
+    assert rows(table) == [(1, 5, None), (7, 5, None)]
+    with pytest.raises(ValueError, match="null"):
+        table.merge(batch(spark, (None, 1, "a")), ["seq"])
+    assert rows(table) == [(1, 5, None), (7, 5, None)]
+
+
+def test_buckets_that_are_new_to_the_table(spark):
+    table = make(spark, buckets=64)
+    table.merge(batch(spark, (1, 0, "a")), ["seq"])
+    table.merge(batch(spark, *[(i, 1, "b") for i in range(50)]), ["seq"])
+    table.merge(batch(spark, *[(i, 2, "c") for i in range(200)]), ["seq"], broadcast_bytes=0)
+    assert rows(table) == sorted(((i, 2, "c") for i in range(200)), key=repr)
+
+
+def test_many_buckets_are_listed_by_spark(spark, monkeypatch):
+    table = make(spark, buckets=16)
+    table.merge(batch(spark, *[(i, 0, "a") for i in range(300)]), ["seq"])
+    direct = table._sizes("table_version=1")
+    monkeypatch.setattr("sluiceworks.operators.keyed_table._LISTED_HERE", 2)
+    assert table._sizes("table_version=1") == direct and len(direct) == 16
+
+
+def test_staged_rows_are_removed(spark):
+    table = make(spark)
+    for n in range(3):
+        table.merge(batch(spark, (1, n, "a")), ["seq"])
+    assert SharedFiles(spark).children(f"{table.path}/staged") == []
+
+
 def test_only_touched_buckets_are_rewritten(spark):
     table = make(spark, buckets=16)
     table.merge(batch(spark, *[(i, 0, "a") for i in range(200)]), ["seq"])
@@ -231,8 +263,9 @@ def test_small_batch_does_not_shuffle_the_table(spark, monkeypatch):
         write(self, df, folder)
 
     monkeypatch.setattr(KeyedTable, "_write", spy)
-    table.merge(batch(spark, (1, 1, "b")), ["seq"])
-    assert "BroadcastHashJoin" in plans[-1] and "hashpartitioning" not in plans[-1]
+    table.merge(batch(spark, *[(i, 1, "b") for i in range(30)]), ["seq"])
+    assert "BroadcastHashJoin" in plans[-1]
+    assert plans[-1].count("hashpartitioning") == 1  # that of the batch
     table.merge(batch(spark, (1, 2, "c")), ["seq"], broadcast_bytes=0)
     assert plans[-1].count("hashpartitioning") == 1 and "SortMergeJoin" not in plans[-1]
 
@@ -296,7 +329,7 @@ def test_vacuum_deletes_what_nobody_needs(spark):
 def test_vacuum_removes_leftovers_of_a_crash(spark):
     table = grown(spark, 1)
     files = SharedFiles(spark)
-    orphan = f"{table.path}/data/table_version=99u/key_bucket=0"
+    orphan = f"{table.path}/data/table_version=99/key_bucket=0"
     batch(spark, (1, 1, "x")).write.parquet(orphan)
     table.vacuum(0, force=True)
     assert not files.exists(orphan) and len(rows(table)) == 40
