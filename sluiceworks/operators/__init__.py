@@ -3,4 +3,12 @@ from sluiceworks.operators.joins import hot_keys, interval_join, key_join, time_
 from sluiceworks.operators.keyed_table import KeyedTable
 from sluiceworks.operators.latest import latest_per_key
 
-__all__ = ["KeyedTable", "hot_keys", "interval_join", "key_join", "latest_per_key", "merge_into", "time_bin"]
+__all__ = [
+    "KeyedTable",
+    "hot_keys",
+    "interval_join",
+    "key_join",
+    "latest_per_key",
+    "merge_into",
+    "time_bin",
+]

@@ -59,7 +59,8 @@ def hot_keys(
     if row is None or not row["top"]:
         return []
     total, candidates = row["n"], [item["item"] for item in row["top"]]
-    counts = df.where(F.xxhash64(*keys).isin(candidates)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    likely = df.where(F.xxhash64(*keys).isin(candidates))
+    counts = likely.groupBy(*keys).agg(F.count("*").alias("_n"))
     found = counts.where(F.col("_n") > total * share).select(*columns)
     return sorted({tuple(r) for r in found.collect()}, key=repr)
 

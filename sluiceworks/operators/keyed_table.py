@@ -28,6 +28,7 @@ from sluiceworks.operators.latest import latest_per_key
 from sluiceworks.storage import SharedFiles
 
 _BUCKET, _VERSION, _SLICE, _RANK = "key_bucket", "table_version", "_slice", "_rank"
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 _LISTED_HERE = 64  # bucket folders up to which the driver lists files itself
 _MOST_SMALL = 16  # surplus files of a bucket at which a merge also packs it
 _KEY_OVERHEAD = 64  # bytes per key in a broadcast hash table beside the key's own
@@ -283,7 +284,16 @@ class KeyedTable:
         )
 
     def _write(self, df: DataFrame, folder: str) -> None:
-        df.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.path}/data/{folder}")
+        """A task with few buckets keeps a file open for each instead of sorting its rows."""
+        conf = df.sparkSession.conf
+        own = conf.get(_OPEN_FILES, None)
+        if own is None:
+            conf.set(_OPEN_FILES, "8")
+        try:
+            df.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.path}/data/{folder}")
+        finally:
+            if own is None:
+                conf.unset(_OPEN_FILES)
 
     def _sizes(self, folder: str) -> dict[str, dict]:
         """Folder, file count and bytes of every bucket written in one go."""
@@ -294,8 +304,8 @@ class KeyedTable:
         else:  # Spark lists many folders in parallel; the content of the files is not read
             files = self.spark.read.format("binaryFile").load(f"{base}/{_BUCKET}=*/part-*")
             name = F.regexp_extract("path", f"{_BUCKET}=(\\d+)/", 1)
-            sums = files.groupBy(name.alias("k")).agg(F.count("*").alias("n"), F.sum("length").alias("b"))
-            found = {r["k"]: (r["n"], r["b"]) for r in sums.collect()}
+            sums = files.groupBy(name.alias("k")).agg(F.count("*"), F.sum("length"))
+            found = {k: (n, size) for k, n, size in sums.collect()}
         return {k: {"folder": folder, "files": n, "bytes": b} for k, (n, b) in found.items()}
 
     # ---- maintenance ----------------------------------------------------------------
@@ -346,7 +356,8 @@ class KeyedTable:
             replaced_at = manifest["published_ms"]
         deleted = 0
         for folder, _ in self._files.children(f"{self.path}/data"):
-            for name, modified in self._files.children(f"{self.path}/data/{folder}", f"{_BUCKET}=*"):
+            written = self._files.children(f"{self.path}/data/{folder}", f"{_BUCKET}=*")
+            for name, modified in written:
                 if (folder, name.split("=")[1]) not in needed and modified < limit:
                     self._files.delete(f"{self.path}/data/{folder}/{name}")
                     deleted += 1

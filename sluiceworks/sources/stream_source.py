@@ -167,7 +167,8 @@ class _RangeStream(DataSourceStreamReader):
     def _queries(self, low, compare: str, high) -> Iterator[tuple[str, tuple]]:
         db, column, n = self.database, self.field.name, self.database.parts
         names = ", ".join(self.schema.fieldNames())
-        base = f"SELECT {names} FROM {db.table} WHERE {column} {{}} {db.mark} AND {column} <= {db.mark}"
+        inside = f"{column} {{}} {db.mark} AND {column} <= {db.mark}"
+        base = f"SELECT {names} FROM {db.table} WHERE {inside}"
         if db.split_column and n > 1:
             for i in range(n):
                 part = f"ABS({db.split_column}) % {n} = {i}"

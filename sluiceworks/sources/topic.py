@@ -139,7 +139,11 @@ class TopicTable:
         return {int(p): o for p, o in entry.items()}
 
     def append(
-        self, messages: DataFrame, batch_id: int, order_by: list[str], partition: Column | None = None
+        self,
+        messages: DataFrame,
+        batch_id: int,
+        order_by: list[str],
+        partition: Column | None = None,
     ) -> None:
         """Write one micro-batch of ``key, value`` rows (and the columns in ``order_by``).
 

@@ -33,10 +33,13 @@ def append_batches(path: str) -> BatchSink:
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What ``append_batches`` wrote; a filter on ``batchId`` prunes folders."""
-    return spark.read.schema(T.StructType(list(schema.fields)).add("batchId", T.LongType())).parquet(path)
+    with_id = T.StructType(list(schema.fields)).add("batchId", T.LongType())
+    return spark.read.schema(with_id).parquet(path)
 
 
-def append_jdbc_batches(url: str, table: str, max_connections: int = 16, **options: str) -> BatchSink:
+def append_jdbc_batches(
+    url: str, table: str, max_connections: int = 16, **options: str
+) -> BatchSink:
     """Append to a database table, adding ``batchId``.
 
     Rows that an earlier try of the same batch left behind are deleted first. At most
