@@ -8,7 +8,7 @@
 4. A bucket gives a star: an edge from its first member to each other one, so n - 1 pairs. Pairs whose
    sizes rule a link out are left away. Every other edge is confirmed on the full sets.
 5. Confirmed links are followed to components. A bucket whose members beyond the centres tried so far
-   still lie in several components gets more stars, with four times the centres each round, over
+   still lie in several components gets more stars, with eight times the centres each round, over
    members of different components only. So a bucket loses no link because its first centre was a poor one.
 """
 
@@ -390,7 +390,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     labels = stored(spark, components(spark, links), "labels")
     left = _open_members(spark, left.drop("centre"), labels, percent)
     shared = stored(spark, _shared(sets, left.select("node", "component").distinct()), "shared")
-    left, centres = left.join(shared, "node"), 1
+    left, centres = left.join(shared, "node"), 2
     while True:
         left = _open_members(spark, left, labels, percent)
         if left.isEmpty():
@@ -403,7 +403,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
                 links = links.union(new)
                 labels = stored(spark, components(spark, links), "labels")
             release(spark)
-        centres *= 4
+        centres *= 8
     named = (
         classes.join(labels, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
