@@ -2,22 +2,79 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluiceworks.llm.arrow_words import text_bytes
+from sluiceworks.llm.byte_cnn import CUT, held_out, score_quality
+from sluiceworks.llm.curve_packing import pack
 from sluiceworks.llm.near_dedup import near_duplicates
+from sluiceworks.llm.pii import KINDS, find_personal_data
+from sluiceworks.llm.substring_dedup import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _word_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text as the sha256 of its words joined by one space."""
+    for batch in batches:
+        offsets, data = text_bytes(batch.column(3))
+        digests = [
+            hashlib.sha256(b" ".join(data[a:b].tobytes().split())).hexdigest()
+            for a, b in zip(offsets[:-1], offsets[1:], strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array(digests, pa.string())],
+            ["doc_id", "n_words", "n_removed", "kept_sha256"],
+        )
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", "text").mapInArrow(
+        _word_digests, "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    )
+
+
+def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+    counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op10_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= CUT).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_minhash_near_dedup,)
+    f.__name__: f
+    for f in (
+        op3_substring_dedup,
+        op4_curve_packing,
+        op7_minhash_near_dedup,
+        op9_contextual_pii,
+        op10_byte_cnn_quality,
+    )
 }
 ORACLE: dict[str, str] = {}
