@@ -8,9 +8,10 @@ share one.
 2. The stretches of text around the other anchors are cut out. Equal stretches become one row with
    the smallest and largest doc_id, so a passage that a third of all documents share is one row a
    task before it is shuffled.
-3. Stretches meet by anchor. A run of anchors is a shard: the windows found in several documents are
-   its confirmed phrases, from which one automaton over word numbers is compiled; all stretches of
-   the shard stream through it and every occurrence gets the phrase's first document. An anchor with
+3. Stretches meet by anchor. A run of anchors is a shard. Windows in several documents are confirmed;
+   those that follow each other and have the same first document make up a passage. The shard's
+   passages are compiled into one automaton over word numbers, all stretches of the shard stream
+   through it, and every occurrence gets the passage's first document. An anchor with
    more than MOST_STRETCHES different stretches is left out of this and its windows become
    stretches with anchors of their own, so no shard grows with the number of documents.
 4. Occurrences go back to the documents, which drop the words that windows of earlier documents cover.
@@ -26,15 +27,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sluiceworks.llm.arrow_words import Chunk, WordReader, sliding_min, text_bytes
-from sluiceworks.llm.tables import release, stored
+from sluiceworks.llm.tables import release, stored, unused
 
 WINDOW = 13
 GRAM = 5
 MOST_WINDOWS = 64  # windows of one stretch; a longer run is cut into several
 MOST_STRETCHES = 4096
-SHARD_STRETCHES = 20_000
+SHARD_STRETCHES = 500  # the library scans the branches of a node one by one
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -147,19 +149,32 @@ def occurrences(shard: list[tuple[bytes, int, int]], n: int) -> list[list[int |
             at[0] = min(at[0], low)
             at[1] = max(at[1], high)
     phrases = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    firsts: list[int] = []
-    for key, (low, high) in seen.items():
-        if low < high:
-            phrases.add_word(key, len(firsts))
-            firsts.append(low)
-    out: list[list[int | None]] = []
-    if firsts:
+    passages: dict[tuple[int, ...], int] = {}
+    runs: list[tuple[int, int]] = []  # windows and first document of each passage
+    for key in spelled:
+        ends = [seen[key[i : i + n]] for i in range(len(key) - n + 1)]
+        i = 0
+        while i < len(ends):
+            low, high = ends[i]
+            j = i + 1
+            while j < len(ends) and ends[j][0] == low and (ends[j][1] > low) == (high > low):
+                j += 1
+            passage = key[i : j + n - 1]
+            if low < high and passage not in passages:
+                passages[passage] = len(runs)
+                phrases.add_word(passage, len(runs))
+                runs.append((j - i, low))
+            i = j
+    if runs:
         phrases.make_automaton()
+    out: list[list[int | None]] = []
     for key in spelled:
         found: list[int | None] = [None] * (len(key) - n + 1)
-        if firsts:
+        if runs:
             for end, phrase in phrases.iter(key):
-                found[end - n + 1] = firsts[phrase]
+                windows, low = runs[phrase]
+                last = end - n + 2
+                found[last - windows : last] = [low] * windows
         out.append(found)
     return out
 
@@ -216,49 +231,49 @@ def without(text: bytes, starts: list[int], n: int) -> tuple[bytes, int]:
     return b"".join(kept), sum(gone)
 
 
-def _removed(n: int):
+def _removed(n: int, text_at: int):
+    """The last column has the covers; it gives way to the numbers of words and of removed words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets, data = text_bytes(batch.column(1))
+            column = batch.column(text_at)
+            offsets, data = text_bytes(column)
             texts, words, removed = [], [], []
-            for i, starts in enumerate(batch.column(2).to_pylist()):
+            for i, starts in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 text, gone = data[offsets[i] : offsets[i + 1]].tobytes(), 0
                 words.append(len(text.split()))
                 if starts:
                     text, gone = without(text, starts, n)
-                texts.append(text if batch.column(1)[i].is_valid else None)
+                texts.append(text if column[i].is_valid else None)
                 removed.append(gone)
+            columns = batch.columns[:-1]
+            columns[text_at] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(texts, pa.binary()).cast(pa.string()),
-                    pa.array(words, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                ],
-                ["doc_id", "text", "n_words", "n_removed"],
+                [*columns, pa.array(words, pa.int64()), pa.array(removed, pa.int64())],
+                [*batch.schema.names[:-1], "n_words", "n_removed"],
             )
 
     return run
 
 
 def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
-    """doc_id, text, n_words, n_removed for each row of ``docs`` (doc_id, text, ...).
+    """The columns of ``docs`` (doc_id, text, ...), then n_words and n_removed.
 
     Words are runs of anything but ASCII white space. A word goes if a window of ``n`` words that
     covers it also starts in a document with a smaller doc_id; windows are judged on the texts as
     they came. ``text`` is what is left, with the white space before each kept run. A null text
     stays null, with 0 words. A text of fewer than ``n`` words, and a row without doc_id, stays
     whole and removes nothing. Repeated rows stay as they came: rows of one doc_id never remove
-    words from each other. An empty table gives an empty result. Columns other than doc_id and
-    text aren't read.
+    words from each other. An empty table gives an empty result. Other columns are handed on; if
+    one has the name of a new column, the new one's gets an underscore.
     """
     if n < GRAM:
         raise ValueError(f"a window has at least {GRAM} words")
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn(
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    real = texts.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn(
         "print", F.xxhash64("text")
     )
-    real = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     anchors = real.mapInArrow(_anchors(n), "anchor long, doc_id long, print long")
     recurring = stored(
         spark, anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors"
@@ -316,8 +331,11 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     )
     covers = stored(spark, covers, "covers")
     release(spark)
-    return (
-        docs.join(covers, ["doc_id", "print"], "left")
-        .select("doc_id", "text", "starts")
-        .mapInArrow(_removed(n), "doc_id long, text string, n_words long, n_removed long")
+    covers = covers.select(F.struct("doc_id", "print").alias("_of"), F.col("starts").alias("_starts"))
+    own = F.struct(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]))
+    both = docs.join(covers, own == F.col("_of"), "left").select(
+        *[docs[c] for c in docs.columns], covers["_starts"]
     )
+    new = unused(docs, "n_words"), unused(docs, "n_removed")
+    kind = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in new]])
+    return both.mapInArrow(_removed(n, docs.columns.index("text")), kind)

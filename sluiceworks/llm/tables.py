@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,15 +13,24 @@ from sluiceworks.storage import scratch_dir
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` and read it back: later steps start from files, not from its lineage."""
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now, not at some later collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Let Spark delete the shuffle files of finished steps now, not at some later collection.
+
+    The first collection frees what still holds the last step's plan, the second its shuffles.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the like of it, that is no column of ``df`` in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
