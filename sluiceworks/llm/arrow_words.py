@@ -16,7 +16,8 @@ CHUNK_BYTES = 1 << 20
 _rng = np.random.default_rng(20240607)
 BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 BASE = int(_rng.integers(1 << 62, 1 << 63)) | 5
-MASK = (1 << 64) - 1
+NOT_SPACE = np.ones(256, dtype=bool)  # ASCII white space parts words
+NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -80,8 +81,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class WordReader:
     """Cuts string columns into chunks; keeps the tables of powers between them."""
 
-    def __init__(self, lower: bool = False, chunk_bytes: int = CHUNK_BYTES):
-        self.lower = lower
+    def __init__(
+        self, lower: bool = False, chunk_bytes: int = CHUNK_BYTES, inside: np.ndarray = NOT_SPACE
+    ):
+        """``lower`` lowers A-Z; ``inside`` says of each byte, once lowered, if it is part of a word."""
+        self.lower, self.inside = lower, inside
         self.chunk_bytes = chunk_bytes
         self.power, self.inverse = powers(2 * chunk_bytes)
 
@@ -101,7 +105,7 @@ class WordReader:
         n = len(data)
         if n >= len(self.power):
             self.power, self.inverse = powers(n)
-        inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+        inside = self.inside[data]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         closes = inside.copy()

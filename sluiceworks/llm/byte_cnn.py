@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sluiceworks.llm.arrow_words import text_bytes
 
@@ -243,15 +244,24 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ByteCn
     return train(texts, [r["quality"] for r in found], rates)
 
 
-def _scored(model: ByteCnn):
+def _scored(model: ByteCnn, text: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = model.score(*text_bytes(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
+            scores = model.score(*text_bytes(batch.column(text)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(scores)], [*batch.schema.names, "score"]
+            )
 
     return run
 
 
+def add_score(docs: DataFrame, labels: DataFrame, name: str, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``docs`` with the score of its text as one more column; see score_quality."""
+    model = learn(docs, labels, rows)
+    kind = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    return docs.mapInArrow(_scored(model, docs.columns.index("text")), kind)
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, score for each row of ``docs`` (doc_id, text, ...); a high score is a good text.
 
@@ -260,6 +270,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     0.5, with labels of one class that class. An empty table gives an empty result. Columns other
     than doc_id and text of ``docs`` and doc_id and quality of ``labels`` aren't read.
     """
-    model = learn(docs, labels, rows)
-    rows_ = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows_.mapInArrow(_scored(model), "doc_id long, score double")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return add_score(texts, labels, "score", rows)

@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -263,5 +262,13 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     )
 
 
-def digest(spans: str) -> str:
-    return hashlib.sha256(spans.encode()).hexdigest()
+def mask(text: str | None, spans: str | None) -> str | None:
+    """The text with each span replaced by its kind in angle brackets; overlapping ones by one."""
+    if not text or not spans:
+        return text
+    parts, at = [], 0
+    for kind, a, b in (s.split(":") for s in spans.split(",")):
+        if int(a) >= at:
+            parts.append(f"{text[at : int(a)]}<{kind}>")
+        at = max(at, int(b))
+    return "".join(parts) + text[at:]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,15 +14,34 @@ from pyspark.sql import functions as F
 from sluiceworks.llm.arrow_words import text_bytes
 from sluiceworks.llm.byte_cnn import CUT, held_out, score_quality
 from sluiceworks.llm.curve_packing import pack
+from sluiceworks.llm.hamming_search import nearest, sign_code
+from sluiceworks.llm.license_scan import scan_licenses
 from sluiceworks.llm.near_dedup import near_duplicates
 from sluiceworks.llm.pii import KINDS, find_personal_data
+from sluiceworks.llm.quality_rules import judge
 from sluiceworks.llm.substring_dedup import remove_repeats
+from sluiceworks.llm.token_files import read_digests, token_folder, write_tokens
+from sluiceworks.llm.trie_bpe import decode, encode
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "documents"))
+
+
+def op2_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_tokens(
+        _table(spark, sf_dir, "documents"),
+        token_folder(spark),
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=1,
+    )
+    return read_digests(files)
+
+
 def _word_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text as the sha256 of its words joined by one space."""
     for batch in batches:
@@ -47,10 +67,50 @@ def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _token_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed ids as the sha256 of the decimal ids joined by commas, a text as its sha256."""
+    signs: list[bytes] = []
+    for batch in batches:
+        ids, texts, n = [], [], []
+        for packed, text in zip(batch.column(1), batch.column(2), strict=True):
+            own = np.frombuffer(packed.as_buffer(), "<u4")
+            most = int(own.max(initial=0))
+            signs.extend(b"%d" % i for i in range(len(signs), most + 1))
+            joined = b",".join([signs[i] for i in own.tolist()])
+            n.append(len(own))
+            ids.append(hashlib.sha256(joined).hexdigest())
+            texts.append(hashlib.sha256(text.as_buffer()).hexdigest())
+        columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(texts)]
+        yield pa.RecordBatch.from_arrays(
+            columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        )
+
+
+def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    back = decode(encode(_table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    return back.mapInArrow(
+        _token_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    )
+
+
+def op6_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest sign codes of every vector whose id is divisible by 20, among all vectors."""
+    codes = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), sign_code("embedding").alias("code")
+    )
+    queries = codes.where("id % 20 = 0").withColumnRenamed("id", "query_id")
+    return nearest(codes, queries, k=10).withColumnRenamed("id", "vec_id")
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op9_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(_table(spark, sf_dir, "documents"))
     counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
@@ -70,11 +130,35 @@ def op10_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_adaptive_quality_rules,
+        op2_packed_token_files,
         op3_substring_dedup,
         op4_curve_packing,
+        op5_trie_bpe,
+        op6_hamming_top_k,
         op7_minhash_near_dedup,
+        op8_license_automaton,
         op9_contextual_pii,
         op10_byte_cnn_quality,
     )
 }
-ORACLE: dict[str, str] = {}
+
+_CODES = """
+    SELECT vec_id, list_transform(range(1, 65), i -> coalesce(embedding[i], 0) > 0) AS signs
+    FROM embeddings
+"""
+
+ORACLE: dict[str, str] = {
+    "op6_hamming_top_k": f"""
+        WITH codes AS ({_CODES}),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   len(list_filter(range(1, 65), i -> q.signs[i] <> c.signs[i])) AS distance
+            FROM codes q, codes c WHERE q.vec_id % 20 = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+            FROM pairs)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
+        FROM ranked WHERE rank <= 10
+    """,
+}
