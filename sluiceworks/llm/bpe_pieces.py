@@ -1,16 +1,18 @@
-"""Ids of whole texts from the tokenizers library, which sees each distinct piece of a block once.
+"""Ids of whole texts from the tokenizers library, which sees each distinct piece once in a while.
 
 A byte-pair tokenizer first cuts a text into pieces (words, numbers, runs of signs or white space)
-and encodes each by itself. Texts whose characters all lie in a range where the pieces are known are
-cut here, their distinct pieces encoded by the library, and the answers strung together. Any other
-text, and one that spells an added token, goes to the library whole. Both ways give the same ids.
+and encodes each by itself with its model. Texts whose characters all lie in a range where the
+pieces are known are cut here, and the model's answers for distinct pieces are remembered and strung
+together. Any other text, and one that spells an added token, goes to the library whole. Both ways
+give the same ids.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -26,10 +28,44 @@ BYTE_LEVEL = re.compile(
     rf"{ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
 )
 WORD_LEVEL = re.compile(rf"{ENDINGS}|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
-MOST_KEPT = 400_000  # pieces remembered by a task; then it starts anew
+SPACES = " \n\t\r\v\f\xa0"  # all that UNKNOWN lets through
+MOST_KEPT = 200_000  # words remembered by a task; then it starts anew
 BLOCK_CHARS = 1 << 20
 
 
+def byte_signs() -> dict[str, int]:
+    """The printable sign that stands for each byte in a byte-level vocabulary."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+class _Pieces(dict):
+    """Piece to packed ids, asked of the model when first needed."""
+
+    def __init__(self, model, code: str):
+        self.model, self.code = model, code
+        self.signs = {byte: sign for sign, byte in byte_signs().items()}
+
+    def __missing__(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(self.signs)
+        found = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        self[piece] = found
+        return found
+
+
+class _Words(dict):
+    """Word to the packed ids of its pieces; ``before`` is what always stands before it."""
+
+    def __init__(self, pieces: _Pieces, cut: re.Pattern, before: str):
+        self.pieces, self.cut, self.before = pieces, cut, before
+
+    def __missing__(self, word: str) -> bytes:
+        own = self.cut.findall(self.before + word)
+        found = self[word] = b"".join(map(self.pieces.__getitem__, own))
+        return found
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -38,15 +74,18 @@ class PieceEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
+        code = "H" if self.size <= 1 << 16 else "I"
+        self.dtype = np.dtype(code)
         self.added = [t["content"] for t in spec["added_tokens"]]
-        self.pieces, self.lower = None, False
+        self.cut, self.lower = None, False
         plain = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         if spec["normalizer"] is None and spec["pre_tokenizer"] == plain:
-            self.pieces = BYTE_LEVEL
+            self.cut = BYTE_LEVEL
         elif spec["normalizer"] and self._word_level(spec):
-            self.pieces, self.lower = WORD_LEVEL, True
-        self.known: dict[str, bytes] = {}
+            self.cut, self.lower = WORD_LEVEL, True
+        if self.cut:
+            self.pieces = _Pieces(self.library.model, code)
+            self.words = _Words(self.pieces, self.cut, "" if self.lower else " ")
 
     @staticmethod
     def _word_level(spec: dict) -> bool:
@@ -59,38 +98,24 @@ class PieceEncoder:
             and cut.get("pattern") == {"Regex": ENDINGS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
         )
 
-    def _cut(self, text: str) -> list[str] | None:
-        """The pieces, or None if the library has to find them."""
-        if self.pieces is None or UNKNOWN.search(text) or any(t in text for t in self.added):
-            return None
-        return self.pieces.findall(text.lower() if self.lower else text)
-
-    def _pack(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
-
-    def _block(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self._cut(t) for t in texts]
-        whole = iter(self._pack([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        if len(self.known) > MOST_KEPT:
-            self.known.clear()
-        new: set[str] = set()
-        for c in cut:
-            if c:
-                new.update(c)
-        missing = [p for p in new if p not in self.known]
-        self.known.update(zip(missing, self._pack(missing), strict=True))
-        look = self.known.__getitem__
-        for c in cut:
-            yield next(whole) if c is None else b"".join(map(look, c))
-
-    def encode(self, texts: Iterator[str | None]) -> Iterator[bytes]:
-        """The ids of each text (null: empty) as little-endian unsigned integers of ``dtype``."""
-        block, chars = [], 0
-        for t in texts:
-            block.append(t or "")
-            chars += len(block[-1])
-            if chars >= BLOCK_CHARS:
-                yield from self._block(block)
-                block, chars = [], 0
-        yield from self._block(block)
+    def one(self, text: str) -> bytes:
+        """The ids of a text as integers of ``dtype``."""
+        if self.cut is None or UNKNOWN.search(text) or any(t in text for t in self.added):
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            return np.array(ids, dtype=self.dtype).tobytes()
+        if len(self.words) > MOST_KEPT or len(self.pieces) > MOST_KEPT:
+            self.words.clear()
+            self.pieces.clear()
+        if self.lower:  # white space parts words and is dropped
+            return b"".join(map(self.words.__getitem__, text.lower().split()))
+        if len(text.split()) != 1 + sum(map(text.count, SPACES)):  # runs of them, or at an end
+            return b"".join(map(self.pieces.__getitem__, self.cut.findall(text)))
+        # a single space goes with the word after it
+        first, *words = text.split(" ")
+        own = map(self.pieces.__getitem__, self.cut.findall(first))
+        return b"".join(own) + b"".join(map(self.words.__getitem__, words))
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text; a null is an empty text."""
+        for text in texts:
+            yield self.one(text or "")

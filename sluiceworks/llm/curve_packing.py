@@ -2,8 +2,8 @@
 
 A document is a vector of hashed words, projected to DIMS dimensions by random signs drawn from the
 hashes themselves. Its place on the Hilbert curve through that space is its sort key: documents with
-many words in common come close to each other. Spark sorts by range of (key, doc_id), so that a group
-of copies is cut like anything else, and each partition fills its sequences in that order.
+many words in common come close to each other. Spark deals the documents by ranges of the key, a large
+group of copies to several, and sorts each; a partition fills its sequences in that order.
 """
 
 from __future__ import annotations
@@ -17,12 +17,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceworks.llm.arrow_words import WordReader
+from sluiceworks.llm.arrow_words import WordReader, mix
 from sluiceworks.llm.bpe_pieces import PieceEncoder
+from sluiceworks.llm.tables import partitions
 
 DIMS = 4
 BITS = 15  # of each dimension; the key has DIMS * BITS
 LENGTH = 1024
+LEAST_ROWS = 1000  # documents of a range on average, so that its one unfilled sequence is little
+BOUND_ROWS = 20_000  # documents whose keys set the bounds of the ranges, drawn from all
 KIND = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -71,13 +74,31 @@ def hilbert_key(places: np.ndarray) -> np.ndarray:
     return key
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    reader = WordReader(lower=True)
-    for batch in batches:
-        for chunk in reader.chunks(batch.column(1)):
-            key = hilbert_key(project(chunk.hashes, chunk.bounds))
-            rows = batch.slice(chunk.first, len(chunk))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(key)], ["doc_id", "text", "key"])
+def parts_of(keys: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The range of the sorted bounds that each key lies in.
+
+    A key that is a bound several times over, as that of a large group of copies, may go to any
+    of the ranges that it bounds; the ids decide.
+    """
+    low, high = np.searchsorted(bounds, keys, "left"), np.searchsorted(bounds, keys, "right")
+    return low + (mix(ids.astype(np.uint64)) % (high - low + 1).astype(np.uint64)).astype(np.int64)
+
+
+def _keyed(bounds: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = WordReader(lower=True)
+        for batch in batches:
+            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            for chunk in reader.chunks(batch.column(1)):
+                key = hilbert_key(project(chunk.hashes, chunk.bounds))
+                rows = batch.slice(chunk.first, len(chunk))
+                part = parts_of(key, ids[chunk.first : chunk.first + len(chunk)], bounds)
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(key), pa.array(part.astype(np.int32))],
+                    ["doc_id", "text", "key", "part"],
+                )
+
+    return run
 
 
 def pieces(n: int, offset: int, length: int) -> list[tuple[int, int, int, int]]:
@@ -126,8 +147,15 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH)
     of the tokenizers library on every executor. Columns other than doc_id and text aren't read.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    keyed = rows.mapInArrow(_keyed, "doc_id long, text string, key long")
-    curve = keyed.repartitionByRange("key", "doc_id").sortWithinPartitions(
+    total = rows.count()
+    n = max(1, min(partitions(docs.sparkSession), total // LEAST_ROWS))
+    some = rows if total <= BOUND_ROWS else rows.sample(BOUND_ROWS / total, seed=3)
+    shares = [i / n for i in range(1, n)] or [0.5]
+    keys = some.mapInArrow(_keyed(np.zeros(0, np.int64)), "doc_id long, text string, key long, part int").select("key")
+    ends = keys.agg(F.percentile_approx("key", shares, 100 * n)).first()[0]
+    bounds = np.sort(np.array(ends or [], np.int64))
+    keyed = rows.mapInArrow(_keyed(bounds), "doc_id long, text string, key long, part int")
+    curve = keyed.repartitionById(n, F.col("part")).sortWithinPartitions(
         "key", "doc_id", F.xxhash64("text")
     )
     return curve.select("doc_id", "text").mapInArrow(_packed(tokenizer, end_id, length), KIND)

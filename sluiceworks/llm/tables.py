@@ -28,6 +28,11 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def partitions(spark: SparkSession) -> int:
+    """Tasks of a shuffle, as the session wants them."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or the like of it, that is no column of ``df`` in any case of letters."""
     taken = {c.lower() for c in df.columns}

@@ -22,14 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluiceworks.llm.bpe_pieces import PieceEncoder
-from sluiceworks.llm.tables import stored
-from sluiceworks.storage import scratch_dir
+from sluiceworks.llm.tables import partitions, stored
+from sluiceworks.storage import file_system, scratch_dir
 
 MAGIC = b"SLUICE01"
 FOOTER = "<8sIIQQQQ"
@@ -58,12 +57,6 @@ def unpack_bits(packed: bytes, bits: int, n: int) -> np.ndarray:
     return (each.reshape(n, bits).astype("<u4") * weights).sum(axis=1, dtype="<u4")
 
 
-def file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), os.path.abspath(path.removeprefix("file:"))
-
-
 class TokenWriter:
     """Writes one file; ids come document by document."""
 
@@ -182,8 +175,15 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> D
     empty table makes no files. The folder must be one that all executors share.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    tie = F.xxhash64("text")
-    dealt = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    n = partitions(docs.sparkSession)
+    # quantiles of the ids alone, so that no text is read twice; n numbers at most
+    shares = [i / n for i in range(1, n)] or [0.5]
+    found = rows.agg(F.percentile_approx("doc_id", shares, 100 * n)).first()[0]
+    bounds = F.array(*[F.lit(b).cast("long") for b in sorted(set(found or []))])
+    part = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))), F.lit(0))
+    dealt = rows.repartitionById(n, part.cast("int")).sortWithinPartitions(
+        "doc_id", F.xxhash64("text")
+    )
     files = dealt.mapInArrow(
         _written(folder, tokenizer, end_id), "part long, path string, n_docs long, n_tokens long"
     )

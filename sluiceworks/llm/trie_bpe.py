@@ -20,20 +20,20 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceworks.llm.bpe_pieces import BLOCK_CHARS, BYTE_LEVEL, ENDINGS, MOST_KEPT, UNKNOWN
+from sluiceworks.llm.bpe_pieces import (
+    BLOCK_CHARS,
+    BYTE_LEVEL,
+    ENDINGS,
+    MOST_KEPT,
+    UNKNOWN,
+    byte_signs,
+)
 
 ANY_TEXT = regex.compile(
     rf"{ENDINGS}| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+(?!\S)|\s+"
 )
 
 
-def byte_signs() -> dict[str, int]:
-    """The printable sign that stands for each byte in a byte-level vocabulary."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class TrieEncoder:
     """A byte-level vocabulary with merges, from a file of the tokenizers library."""
 
