@@ -1,7 +1,6 @@
-"""feed_to_topic.py CSV_FOLDER TOPIC_FOLDER CHECKPOINT
+"""feed_to_topic.py CSV_FOLDER CHECKPOINT SERVERS TOPIC
 
-With a broker: ``start(encode_envelope(rows, "id"), checkpoint, format="kafka",
-options={"kafka.bootstrap.servers": ..., "topic": ...}, every="10 seconds")``.
+Order lines from a CSV folder to a topic as JSON messages. It needs the Kafka connector.
 """
 
 import sys
@@ -9,23 +8,15 @@ import sys
 from pyspark.sql import SparkSession
 
 from sluiceworks.functions import encode_envelope
-from sluiceworks.sources import TopicTable, accepted, csv_feed
+from sluiceworks.sources import accepted, csv_feed
 from sluiceworks.streaming import finish, start
 
-FIELDS = (
-    "id bigint, aggregated_id string, source string, version int, type string,"
-    " createDate timestamp"
-)
+FIELDS = "order_id bigint, customer string, status string, lines int, ordered_at timestamp"
 
-folder, topic_folder, checkpoint = sys.argv[1:]
+folder, checkpoint, servers, topic = sys.argv[1:]
 spark = SparkSession.builder.appName("feed_to_topic").getOrCreate()
 schema = spark.createDataFrame([], FIELDS).schema
-topic = TopicTable(spark, topic_folder, "my_events_topic")
-
-
-def publish(batch, batch_id):
-    topic.append(encode_envelope(batch, "id", keep=("id",)), batch_id, ["id"])
-
-
-rows = accepted(csv_feed(spark, folder, schema), required=("id",))
-finish(start(rows, checkpoint, each_batch=publish, every="10 seconds"))
+rows = accepted(csv_feed(spark, folder, schema), required=("order_id",))
+messages = encode_envelope(rows, "order_id")
+options = {"kafka.bootstrap.servers": servers, "topic": topic}
+finish(start(messages, checkpoint, format="kafka", options=options, every="10 seconds"))

@@ -10,7 +10,7 @@ from datetime import timedelta
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sluiceworks.functions import equals_ignore_case
+from sluiceworks.functions import matches_ignore_case
 from sluiceworks.operators import interval_join
 from sluiceworks.sources import append_stream
 from sluiceworks.streaming import finish, start
@@ -21,7 +21,7 @@ schema = spark.read.parquet(source).schema
 
 
 def rows_of(kind, prefix):
-    rows = append_stream(spark, source, schema).where(equals_ignore_case("type", kind))
+    rows = append_stream(spark, source, schema).where(matches_ignore_case("type", kind))
     return rows.select(*[F.col(c).alias(f"{prefix}_{c}") for c in ("id", "type", "createDate")])
 
 

@@ -17,15 +17,15 @@ output, checkpoint = sys.argv[1:]
 spark = SparkSession.builder.appName("join_clicks").getOrCreate()
 ticks = rate_stream(spark, rows_per_second=1, partitions=1)
 impressions = ticks.select(
-    F.col("value").alias("impressionAdId"), F.col("timestamp").alias("impressionTime")
+    F.col("value").alias("shown_ad"), F.col("timestamp").alias("shown_at")
 )
-clicks = ticks.select((F.col("value") - 15).alias("clickAdId"), F.col("timestamp").alias("clickTime"))
+clicks = ticks.select((F.col("value") - 15).alias("clicked_ad"), F.col("timestamp").alias("clicked_at"))
 joined = interval_join(
     impressions,
     clicks,
-    [("impressionAdId", "clickAdId")],
-    "impressionTime",
-    "clickTime",
+    [("shown_ad", "clicked_ad")],
+    "shown_at",
+    "clicked_at",
     timedelta(0),
     timedelta(seconds=30),
     "left_outer",

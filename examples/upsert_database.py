@@ -1,6 +1,6 @@
 """upsert_database.py SQLITE_FILE CHECKPOINT [row]
 
-The table ``random_stream (md5, value, hash UNIQUE, timestamp)`` must exist. For another
+The table ``readings (md5, value, hash UNIQUE, timestamp)`` must exist. For another
 database, connect with its driver and choose the dialect.
 """
 
@@ -26,10 +26,10 @@ def connect():
 
 if by == ["row"]:
     writer = UpsertWriter(
-        connect, "random_stream", rows.columns, ["hash"], batch_size=100, newest="value"
+        connect, "readings", rows.columns, ["hash"], newest="value", batch_size=100
     )
     query = start(rows, checkpoint, each_row=writer, output_mode="update", every="1 second")
 else:
-    sink = database_upsert(connect, "random_stream", ["hash"], ["value"], batch_size=100)
+    sink = database_upsert(connect, "readings", ["hash"], ["value"], batch_size=100)
     query = start(rows, checkpoint, each_batch=sink, every="1 second")
 finish(query)

@@ -4,6 +4,7 @@ from sluiceworks.functions.expressions import (
     digest_projection,
     equals_ignore_case,
     instants,
+    matches_ignore_case,
     register_functions,
     wall_clocks,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "encode_envelope",
     "equals_ignore_case",
     "instants",
+    "matches_ignore_case",
     "register_functions",
     "wall_clocks",
 ]

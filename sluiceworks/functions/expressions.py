@@ -13,6 +13,12 @@ def equals_ignore_case(column: Column | str, text: str) -> Column:
     return F.coalesce(F.lower(column) == F.lit(text.lower()), F.lit(False))
 
 
+def matches_ignore_case(column: Column | str, text: str) -> Column:
+    """The same for filters, where a null keeps no row anyway: the scan also skips nulls."""
+    column = F.col(column) if isinstance(column, str) else column
+    return F.lower(column) == F.lit(text.lower())
+
+
 def day_of_week(column: Column | str) -> Column:
     """Sunday = 1 ... Saturday = 7."""
     return F.dayofweek(column)

@@ -9,14 +9,18 @@ every matching pair meets exactly once and a left outer join stays correct.
 
 from __future__ import annotations
 
+import json
 import math
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sluiceworks.storage import SharedFiles
 
 _BIN = "_bin"
-_SALT = "_salt"
+_NULL_PARTS = 64  # tasks for left rows whose key is null
 _MICROSECOND = timedelta(microseconds=1)
 _INTERVALS_PER_BIN = 4  # a right row is repeated for one bin edge in this many intervals
 
@@ -35,69 +39,108 @@ def time_bin(
     return F.call_function("div", instant - F.pmod(instant, F.lit(width)), F.lit(width))
 
 
+# A key's values, then the tasks for its left rows and for its right rows.
+HotKey = tuple[tuple, int, int]
+
+
+def _counted(df: DataFrame, columns: list[str], rows_per_task: int, within: Column | None):
+    """(key, tasks) of the keys with more than ``rows_per_task`` rows."""
+    keys = [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(columns)]
+    names = [f"_k{i}" for i in range(len(columns))]
+    whole = df.select(*keys, *([] if within is None else [within.alias("_in")])).dropna(subset=names)
+    # partial sums first, so a key costs the shuffle one row for each task that has it
+    counts = whole.groupBy(*whole.columns).count().where(F.col("count") > rows_per_task)
+    found = counts.groupBy(*names).agg(F.max("count").alias("n")).collect()
+    return {tuple(r[n] for n in names): math.ceil(r["n"] / rows_per_task) for r in found}
+
+
 def hot_keys(
-    df: DataFrame, columns: list[str], share: float = 0.01, within: Column | None = None
-) -> list[tuple]:
-    """The keys, nulls included, that hold more than ``share`` of the rows.
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[tuple[str, str]],
+    rows_per_task: int = 1_000_000,
+    how: str = "inner",
+    left_bin: Column | None = None,
+) -> list[HotKey]:
+    """The keys with more than ``rows_per_task`` rows on a side, and the tasks they need there.
+
+    All rows are counted. At most rows / ``rows_per_task`` keys of a side can be in the list.
+    With ``left_bin``, such as ``time_bin(...)``, what counts is a key's largest bin; the right
+    side of ``interval_join`` is spread over its bins as well. Only the left side of an outer
+    join is spread: a left row that were in several tasks would be unmatched in some of them.
+    """
+    _check_how(how)
+    on_left = _counted(left, [a for a, _ in keys], rows_per_task, left_bin)
+    on_right = {}
+    if how == "inner" and left_bin is None:
+        on_right = _counted(right, [b for _, b in keys], rows_per_task, None)
+    both = sorted({*on_left, *on_right}, key=repr)
+    return [(k, on_left.get(k, 1), on_right.get(k, 1)) for k in both]
+
 
-    With ``within``, such as ``time_bin(...)``, the rows of a key that have one value of it
-    must be that many. A frequent-item sketch per task names the candidates, at most
-    ``2 / share``; a second pass counts these alone. No shuffle carries the whole table.
+def pinned_hot_keys(
+    spark: SparkSession, place: str, hot: list[HotKey] | None = None
+) -> list[HotKey]:
+    """The list that a stream started with, kept in the file ``place`` beside its checkpoint.
+
+    The state of a running join is laid out by its list, so a restart reads it back; a list that
+    differs from it is an error. Without a file and a list there are no hot keys.
     """
-    if not 0 < share < 1:
-        raise ValueError("share must be between 0 and 1")
-    keys = [F.col(f"`{c}`") for c in columns] + ([] if within is None else [within.alias("_in")])
-    tracked, wanted = math.ceil(20 / share), math.ceil(2 / share)
-    hashed = df.select(F.xxhash64(*keys).alias("h"), (F.spark_partition_id() % 256).alias("g"))
-    sketches = hashed.groupBy("g").agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s")
+    files = SharedFiles(spark)
+    text = json.dumps([[list(k), a, b] for k, a, b in hot or []])
+    if not files.exists(place):
+        files.publish_text(place, text)
+    stored = files.read_text(place)
+    if hot is not None and stored != text:
+        raise ValueError(f"the stream of {place} started with other hot keys")
+    return [(tuple(k), a, b) for k, a, b in json.loads(stored)]
+
+
+def _spread(
+    df: DataFrame, columns: list[str], side: str, hot: list[HotKey], scattered: bool
+) -> DataFrame:
+    """Add the cell (left part, right part) of each row in its key's grid of tasks.
+
+    A row has one part of its own side, by its hash, and goes to all parts of the other. The list
+    is short (see ``hot_keys``) and joins as a broadcast. ``scattered`` rows with a null key,
+    which match nothing, are dealt out evenly.
+    """
+    spark, names = df.sparkSession, [f"_k{i}" for i in range(len(columns))]
+    kinds = [T.StructField(n, df.schema[c].dataType) for n, c in zip(names, columns, strict=True)]
+    kinds += [T.StructField(n, T.IntegerType()) for n in ("_parts_l", "_parts_r")]
+    table = spark.createDataFrame([(*k, a, b) for k, a, b in hot], T.StructType(kinds))
+    same = F.lit(True)
+    for n, c in zip(names, columns, strict=True):
+        same = same & (df[f"`{c}`"] == table[n])
+    found = df.join(F.broadcast(table), same, "left")
+    own, other = (("_parts_l", "_parts_r") if side == "l" else ("_parts_r", "_parts_l"))
+    parts = F.coalesce(F.col(own), F.lit(1))
+    if scattered:
+        lost = F.lit(False)
+        for c in columns:
+            lost = lost | df[f"`{c}`"].isNull()
+        parts = F.when(lost, F.lit(_NULL_PARTS)).otherwise(parts)
+    part = F.pmod(F.xxhash64(*[df[f"`{c}`"] for c in df.columns]), parts).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+    return found.select(
+        *[df[f"`{c}`"] for c in df.columns], part.alias(f"_cell_{side}"), every.alias(f"_far_{side}")
     )
-    row = sketches.groupBy(F.lit("all")).agg(  # grouped, so that no rows give no sketch
-        F.sum("n").alias("n"),
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {wanted})").alias("top"),
-    ).first()
-    if row is None or not row["top"]:
-        return []
-    total, candidates = row["n"], [item["item"] for item in row["top"]]
-    likely = df.where(F.xxhash64(*keys).isin(candidates))
-    counts = likely.groupBy(*keys).agg(F.count("*").alias("_n"))
-    found = counts.where(F.col("_n") > total * share).select(*columns)
-    return sorted({tuple(r) for r in found.collect()}, key=repr)
-
-
-def _is_hot(columns: list[str], hot: list[tuple]) -> Column:
-    found = F.lit(False)
-    for values in hot:
-        same = F.lit(True)
-        for column, value in zip(columns, values, strict=True):
-            same = same & (F.col(column) == F.lit(value))
-        found = found | same
-    return found
 
 
 def _salted(
-    left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], hot: list[tuple], salts: int
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Spread the left rows of hot keys over ``salts`` groups and repeat the right rows of
-    these keys in all of them. The other keys stay in one group. Left rows with a null
-    key match nothing, so they are spread as well and nothing is repeated for them."""
-    if not hot or salts <= 1:
+    left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], hot: list[HotKey]
+) -> tuple[DataFrame, DataFrame, list[tuple[str, str]]]:
+    """Both sides with their cells, and the cell columns that must be equal."""
+    if not hot:
         return left, right, []
-    known = [values for values in hot if None not in values]
-    group = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
-    left_hot = F.coalesce(_is_hot([a for a, _ in keys], known), F.lit(False))
-    for a, _ in keys:
-        left_hot = left_hot | F.col(a).isNull()
-    right_hot = F.coalesce(_is_hot([b for _, b in keys], known), F.lit(False))
-    every, one = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))
-    left = left.withColumn(f"{_SALT}_l", F.when(left_hot, group.cast("int")).otherwise(0))
-    right = right.withColumn(f"{_SALT}_r", F.explode(F.when(right_hot, every).otherwise(one)))
-    return left, right, [_SALT]
-
-
-def _equalities(keys: list[tuple[str, str]], helpers: list[str]) -> Column:
+    left = _spread(left, [a for a, _ in keys], "l", hot, True)
+    right = _spread(right, [b for _, b in keys], "r", hot, False)
+    return left, right, [("_cell_l", "_far_r"), ("_far_l", "_cell_r")]
+
+
+def _equalities(pairs: list[tuple[str, str]]) -> Column:
     condition = F.lit(True)
-    for a, b in keys + [(f"{h}_l", f"{h}_r") for h in helpers]:
+    for a, b in pairs:
         condition = condition & (F.col(a) == F.col(b))
     return condition
 
@@ -107,20 +150,22 @@ def key_join(
     right: DataFrame,
     keys: list[tuple[str, str]],
     how: str = "inner",
-    hot: list[tuple] = (),
-    salts: int = 8,
+    hot: list[HotKey] = (),
 ) -> DataFrame:
     """Equality join; on two streams the state grows without bound, so only ``inner``.
 
     ``keys`` pairs a left with a right column name; names must differ between the sides.
-    The left rows of the ``hot`` keys (see ``hot_keys``) are spread over ``salts`` tasks.
+    The rows of the ``hot`` keys (see ``hot_keys``) are spread over a grid of tasks. A stream
+    must restart with the list it started with, see ``pinned_hot_keys``.
     """
     _check_how(how)
     if how == "left_outer" and (left.isStreaming or right.isStreaming):
         raise ValueError("an outer join of streams needs a time interval: use interval_join")
     wanted = left.columns + right.columns
-    left, right, helpers = _salted(left, right, keys, list(hot), salts)
-    return left.join(right, _equalities(keys, helpers), how).select(*wanted)
+    if how == "left_outer" and any(b > 1 for _, _, b in hot):
+        raise ValueError("only the left side of an outer join can be spread")
+    left, right, cells = _salted(left, right, keys, list(hot))
+    return left.join(right, _equalities([*keys, *cells]), how).select(*wanted)
 
 
 def interval_join(
@@ -134,8 +179,7 @@ def interval_join(
     how: str = "inner",
     left_delay: str | None = None,
     right_delay: str | None = None,
-    hot: list[tuple] = (),
-    salts: int = 8,
+    hot: list[HotKey] = (),
 ) -> DataFrame:
     """Pairs with equal keys and ``right_time`` in ``[left_time + lower, left_time + upper]``.
 
@@ -145,8 +189,8 @@ def interval_join(
     names must differ between the sides.
 
     Bins spread a frequent key over time but not within a micro-batch that spans few of
-    them; the left rows of the ``hot`` keys (see ``hot_keys``) are also spread over
-    ``salts`` tasks. A stream must restart with the list it started with.
+    them; the left rows of the ``hot`` keys (see ``hot_keys``) are also spread over tasks of
+    their own. A stream must restart with the list it started with, see ``pinned_hot_keys``.
     """
     _check_how(how)
     if upper < lower:
@@ -163,9 +207,11 @@ def interval_join(
     first = time_bin(right_time, lower, upper, shift=upper)
     last = time_bin(right_time, lower, upper, shift=lower)
     right = right.withColumn(f"{_BIN}_r", F.explode(F.sequence(first, last)))
-    left, right, helpers = _salted(left, right, keys, list(hot), salts)
+    if how == "left_outer" and any(b > 1 for _, _, b in hot):
+        raise ValueError("only the left side of an outer join can be spread")
+    left, right, cells = _salted(left, right, keys, list(hot))
     condition = (
-        _equalities(keys, [_BIN, *helpers])
+        _equalities([*keys, (f"{_BIN}_l", f"{_BIN}_r"), *cells])
         & (F.col(right_time) >= F.col(left_time) + F.lit(lower))
         & (F.col(right_time) <= F.col(left_time) + F.lit(upper))
     )

@@ -2,14 +2,15 @@
 
 Layout, all below one path::
 
-    data/table_version=<n>/key_bucket=<k>/*.parquet    written once, never changed
-    manifests/<n>                                      JSON: every bucket's folder
-    staged/<n>                                         the batch of a merge that is running
+    data/table_version=<n>-<attempt>/key_bucket=<k>/*.parquet    written once, never changed
+    manifests/<n>                                                JSON: every bucket's folder
+    staged/<n>-<attempt>                                         the batch of a running merge
 
 ``key_bucket = pmod(xxhash64(keys), buckets)``. A merge reads and rewrites only the buckets
 that occur in the batch, then publishes a manifest; a reader holds on to the manifest it
-started with. It is a directory convention for one writer at a time: no concurrent commits
-and no time travel. Publishing needs a file system with atomic rename.
+started with. Writers may overlap: each writes to folders of its own, and one whose version was
+published by another meanwhile starts again from that version. There is no time travel.
+Publishing needs a file system whose rename is atomic and never replaces a file.
 
 Choose ``buckets`` for the size the table will have: about its bytes over 1 GB.
 """
@@ -19,6 +20,7 @@ from __future__ import annotations
 import json
 import math
 import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from sluiceworks.operators.latest import latest_per_key
 from sluiceworks.storage import SharedFiles
 
 _BUCKET, _VERSION, _SLICE, _RANK = "key_bucket", "table_version", "_slice", "_rank"
-_LISTED_HERE = 64  # bucket folders up to which the driver lists files itself
+_ATTEMPTS = 20  # at publishing a version, against other writers
 _MOST_SMALL = 16  # surplus files of a bucket at which a merge also packs it
 _KEY_OVERHEAD = 64  # bytes per key in a broadcast hash table beside the key's own
 
@@ -147,6 +149,21 @@ class KeyedTable:
         old values. A null in a key is an error. With ``batch_id`` a batch that this
         ``source`` has already applied is skipped.
         """
+        for _ in range(_ATTEMPTS):
+            attempt = uuid.uuid4().hex[:12]
+            try:
+                return self._try_merge(
+                    updates, order_by, batch_id, source, broadcast_bytes, file_bytes, attempt
+                )
+            except FileExistsError:  # another writer published this version first
+                continue
+            finally:
+                self._files.delete(f"{self.path}/staged/{attempt}")
+        raise TimeoutError(f"other writers published {_ATTEMPTS} versions of {self.path} meanwhile")
+
+    def _try_merge(
+        self, updates, order_by, batch_id, source, broadcast_bytes, file_bytes, attempt
+    ) -> bool:
         before = self._manifest()
         if batch_id is not None and before["applied"].get(source, -1) >= batch_id:
             return False
@@ -160,20 +177,18 @@ class KeyedTable:
             *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in given],
             bucket.alias(_BUCKET),
         )
-        folder = f"{_VERSION}={before['version'] + 1}"
+        folder = f"{_VERSION}={before['version'] + 1}-{attempt}"
         if not before["buckets"]:
             self._first_load(latest, schema, absent, keys, folder)
         else:
-            staged = f"{self.path}/staged/{before['version'] + 1}"
+            staged = f"{self.path}/staged/{attempt}"
             merged = self._merged(
                 before, latest, schema, absent, staged, broadcast_bytes, file_bytes
             )
             if merged is None:  # an empty batch still counts as applied
                 return self._finish(before, schema, {}, batch_id, source)
             self._write(merged.select(*_cols(schema.names), _BUCKET), folder)
-        self._finish(before, schema, self._sizes(folder), batch_id, source)
-        self._files.delete(f"{self.path}/staged")
-        return True
+        return self._finish(before, schema, self._sizes(folder), batch_id, source)
 
     def _first_load(self, latest, schema, absent, keys, folder) -> None:
         """Into an empty table: the rows go straight to their buckets."""
@@ -192,7 +207,7 @@ class KeyedTable:
         The deduplicated batch is written first, so that all later steps read the same
         rows, whatever happens to executors or to the source.
         """
-        latest.write.mode("overwrite").parquet(staged)
+        latest.write.parquet(staged)
         fresh = self.spark.read.schema(latest.schema).parquet(staged)
         keys = before["keys"]
         key_text = F.concat_ws("", *[c.cast("string") for c in _cols(keys)])
@@ -283,20 +298,19 @@ class KeyedTable:
         )
 
     def _write(self, df: DataFrame, folder: str) -> None:
-        df.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.path}/data/{folder}")
+        df.write.partitionBy(_BUCKET).parquet(f"{self.path}/data/{folder}")
 
     def _sizes(self, folder: str) -> dict[str, dict]:
         """Folder, file count and bytes of every bucket written in one go."""
-        base = f"{self.path}/data/{folder}"
-        names = [name for name, _ in self._files.children(base, f"{_BUCKET}=*")]
-        if len(names) <= _LISTED_HERE:
-            found = {n.split("=")[1]: self._files.size(f"{base}/{n}") for n in names}
-        else:  # Spark lists many folders in parallel; the content of the files is not read
-            files = self.spark.read.format("binaryFile").load(f"{base}/{_BUCKET}=*/part-*")
-            name = F.regexp_extract("path", f"{_BUCKET}=(\\d+)/", 1)
-            sums = files.groupBy(name.alias("k")).agg(F.count("*"), F.sum("length"))
-            found = {k: (n, size) for k, n, size in sums.collect()}
-        return {k: {"folder": folder, "files": n, "bytes": b} for k, (n, b) in found.items()}
+        found: dict[str, dict] = {}
+        for name, size in self._files.below(f"{self.path}/data/{folder}"):
+            bucket, _, file = name.partition("/")
+            if file.startswith("part-"):
+                k = bucket.split("=")[1]
+                entry = found.setdefault(k, {"folder": folder, "files": 0, "bytes": 0})
+                entry["files"] += 1
+                entry["bytes"] += size
+        return found
 
     # ---- maintenance ----------------------------------------------------------------
 
@@ -308,20 +322,25 @@ class KeyedTable:
 
         The content stays the same. Returns the number of buckets rewritten.
         """
-        before = self._manifest()
-        due = {
-            k: b["bytes"]
-            for k, b in before["buckets"].items()
-            if _small_files(b, target_bytes) > 0
-        }
-        if not due:
-            return 0
-        folder = f"{_VERSION}={before['version'] + 1}"
-        rows = self._by_slice(self._scan(before, due), before["keys"], due, target_bytes)
-        schema = T.StructType.fromJson(before["schema"])
-        self._write(rows.select(*_cols(schema.names), _BUCKET), folder)
-        self._finish(before, schema, self._sizes(folder), None, "")
-        return len(due)
+        for _ in range(_ATTEMPTS):
+            before = self._manifest()
+            due = {
+                k: b["bytes"]
+                for k, b in before["buckets"].items()
+                if _small_files(b, target_bytes) > 0
+            }
+            if not due:
+                return 0
+            folder = f"{_VERSION}={before['version'] + 1}-{uuid.uuid4().hex[:12]}"
+            rows = self._by_slice(self._scan(before, due), before["keys"], due, target_bytes)
+            schema = T.StructType.fromJson(before["schema"])
+            self._write(rows.select(*_cols(schema.names), _BUCKET), folder)
+            try:
+                self._finish(before, schema, self._sizes(folder), None, "")
+                return len(due)
+            except FileExistsError:  # a merge came first; its rows must be in the new files
+                continue
+        raise TimeoutError(f"other writers published {_ATTEMPTS} versions of {self.path} meanwhile")
 
     def vacuum(self, retention_hours: float = 168, force: bool = False) -> int:
         """Delete bucket folders that no reader from within the retention can need.
@@ -345,11 +364,17 @@ class KeyedTable:
                 expired.append(v)
             replaced_at = manifest["published_ms"]
         deleted = 0
-        for folder, _ in self._files.children(f"{self.path}/data"):
-            written = self._files.children(f"{self.path}/data/{folder}", f"{_BUCKET}=*")
-            for name, modified in written:
-                if (folder, name.split("=")[1]) not in needed and modified < limit:
-                    self._files.delete(f"{self.path}/data/{folder}/{name}")
+        used = {folder for folder, _ in needed}
+        for folder, modified in self._files.children(f"{self.path}/data"):
+            place = f"{self.path}/data/{folder}"
+            buckets = self._files.children(place, f"{_BUCKET}=*")
+            if folder not in used and modified < limit and all(m < limit for _, m in buckets):
+                self._files.delete(place)  # in one call, with the folder itself
+                deleted += len(buckets)
+                continue
+            for name, written in buckets:
+                if (folder, name.split("=")[1]) not in needed and written < limit:
+                    self._files.delete(f"{place}/{name}")
                     deleted += 1
         for name, modified in self._files.children(f"{self.path}/staged"):
             if modified < limit:
@@ -358,6 +383,11 @@ class KeyedTable:
             self._files.delete(f"{self.path}/manifests/{v:012d}")
         return deleted
 
+    def folders(self) -> int:
+        """Bucket folders in the table's place, live or not."""
+        versions = [name for name, _ in self._files.children(f"{self.path}/data")]
+        return sum(len(self._files.children(f"{self.path}/data/{v}", f"{_BUCKET}=*")) for v in versions)
+
 
 def _cols(names) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]

@@ -5,7 +5,7 @@ from __future__ import annotations
 _OFFSETS = """
     SELECT CAST(event_id AS VARCHAR) AS key,
            CAST(event_id % 3 AS INTEGER) AS "partition",
-           row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) - 1 AS "offset"
+           event_id // 3 AS "offset"
     FROM events
 """
 
@@ -58,6 +58,19 @@ ORACLE: dict[str, str] = {
         FROM events
     """,
     "filter_ieq": "SELECT * FROM events WHERE lower(event_type) = 'view'",
+    "flag_ieq": "SELECT event_id, lower(event_type) = 'view' AS is_view FROM events",
+    "timed_copy": "SELECT *, false AS ended FROM orders",
+    "late_rows": """
+        WITH ends AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events),
+        marks AS (SELECT lo + (hi - lo) / 2 AS middle,
+                         (hi - 18 * 86400000000::BIGINT) // 1000 * 1000 AS mark FROM ends)
+        SELECT events.* FROM events, marks
+        WHERE epoch_us(ts) > middle OR epoch_us(ts) > mark
+    """,
+    "topic_latest_restart": f"""
+        SELECT * FROM ({_OFFSETS})
+        WHERE "offset" * 3 + "partition" > (SELECT max(event_id) // 2 FROM events)
+    """,
     "day_of_week": """
         SELECT o_orderkey, o_orderdate, CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS weekday
         FROM orders
@@ -97,7 +110,7 @@ ORACLE: dict[str, str] = {
     "incr_restart": _ORDERS_IN_TWO,
     "incr_bounded": "SELECT * FROM orders",
     "incr_jdbc": _ORDERS_IN_TWO,
-    "stream_jdbc": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "stream_jdbc": "SELECT * FROM events",
     "join_inner_key": """
         SELECT o_orderkey, o_custkey, o_totalprice, c_custkey, c_name
         FROM orders JOIN customer ON o_custkey = c_custkey
@@ -133,10 +146,20 @@ ORACLE: dict[str, str] = {
         SELECT * FROM ({_VIEWS}) LEFT JOIN ({_CLICKS})
         ON imp_user = clk_user AND clk_ts BETWEEN imp_ts AND imp_ts + INTERVAL 6 HOUR
     """,
+    "join_hot_both": """
+        SELECT o_orderkey, o_key, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS sum_custkey
+        FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey END AS o_key
+              FROM orders)
+        JOIN (SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 0 ELSE c_custkey END AS c_key
+              FROM customer) ON o_key = c_key
+        GROUP BY ALL
+    """,
     "append_with_batch_id": _FIFTHS.format(columns="events.*"),
     "append_replay": _FIFTHS.format(columns="events.*"),
-    "append_jdbc": _FIFTHS.format(columns="event_id, ts, value"),
-    "foreach_insert": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "append_two_runs": 'SELECT *, CAST(0 AS BIGINT) AS "batchId" FROM events',
+    "append_two_checkpoints": 'SELECT *, CAST(0 AS BIGINT) AS "batchId" FROM events',
+    "append_jdbc": _FIFTHS.format(columns="events.*"),
+    "foreach_insert": "SELECT * FROM events",
     "db_upsert_batch": _LATEST_DIGEST.format(bucket="hash"),
     "db_upsert_row": _LATEST_DIGEST.format(bucket="hash"),
     "merge_upsert": _LATEST_EVENT,
@@ -158,6 +181,15 @@ ORACLE: dict[str, str] = {
                a.props AS props
         FROM a FULL JOIN b ON a.user_id = b.user_id
     """,
-    "compact_table": _LATEST_EVENT,
-    "vacuum_table": _LATEST_EVENT,
+    "merge_two_runs": _LATEST_EVENT,
+    "merge_orders": """
+        SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN -o_totalprice
+                               WHEN o_orderkey % 7 = 0 THEN o_totalprice * 2
+                               ELSE o_totalprice END AS o_totalprice)
+        FROM orders
+    """,
+    # eight buckets, all of them in use
+    "compact_table": f"SELECT *, true AS packed, CAST(8 AS INTEGER) AS files FROM ({_LATEST_EVENT})",
+    "vacuum_table": f"SELECT *, true AS deleted, CAST(8 AS INTEGER) AS folders FROM ({_LATEST_EVENT})",
 }
+ORACLE["join_hot_interval"] = ORACLE["join_left_outer_interval"]

@@ -25,19 +25,29 @@ from sluiceworks.functions import (
     encode_envelope,
     equals_ignore_case,
     instants,
+    matches_ignore_case,
     register_functions,
     wall_clocks,
 )
-from sluiceworks.operators import KeyedTable, hot_keys, interval_join, key_join, time_bin
+from sluiceworks.operators import (
+    KeyedTable,
+    hot_keys,
+    interval_join,
+    key_join,
+    pinned_hot_keys,
+    time_bin,
+)
 from sluiceworks.sources import (
+    ENVELOPE,
     FrameTable,
     IncrementalReader,
-    TopicTable,
     accepted,
     append_stream,
     csv_feed,
+    from_offsets,
     jdbc_stream,
     jdbc_table,
+    pinned_ends,
     rate_stream,
     register_stream_source,
     rejected,
@@ -88,7 +98,12 @@ def hash_projection(spark, sf):
 
 def filter_ieq(spark, sf):
     events = table(spark, sf, "events")
-    return events.where(equals_ignore_case("event_type", "ViEw"))
+    return events.where(matches_ignore_case("event_type", "ViEw"))
+
+
+def flag_ieq(spark, sf):
+    events = table(spark, sf, "events")
+    return events.select("event_id", equals_ignore_case("event_type", "VIEW").alias("is_view"))
 
 
 def day_of_week(spark, sf):
@@ -130,25 +145,26 @@ def csv_feed_rejected(spark, sf):
     return settle(lines.select(number.alias("event_id")), "csv")
 
 
-def _topic(spark, sf, key="event_id", value=None) -> TopicTable:
-    """The events as messages of three partitions, through a stream."""
-    topic = TopicTable(spark, scratch_dir(spark, "topic"), "events", partitions=3)
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        messages = encode_envelope(batch, key, value, keep=("event_id",))
-        topic.append(messages, batch_id, ["event_id"], F.col("event_id") % 3)
-
-    finish(start(stream(spark, sf, "events"), f"{topic.path}-checkpoint", each_batch=publish))
-    return topic
+def _messages(events: DataFrame, key="event_id", value=None) -> DataFrame:
+    """The events as messages of three partitions; event n is the n // 3-th of its own."""
+    messages = encode_envelope(events, key, value, keep=("event_id", "ts"))
+    return messages.select(
+        "key",
+        "value",
+        F.lit("events").alias("topic"),
+        (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.expr("event_id div 3").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
 
 
 def envelope_roundtrip(spark, sf):
     schema = table(spark, sf, "events").schema
-    return settle(decode_envelope(_topic(spark, sf).read(), schema), "envelope")
+    return settle(decode_envelope(_messages(stream(spark, sf, "events")), schema), "envelope")
 
 
 def envelope_value_only(spark, sf):
-    messages = _topic(spark, sf, key=None, value="event_id").read()
+    messages = _messages(stream(spark, sf, "events"), key=None, value="event_id")
     return settle(messages.select("key", "value"), "envelope")
 
 
@@ -159,21 +175,42 @@ def envelope_malformed(spark, sf):
     return decode_envelope(messages, events.schema, keep=("key",))
 
 
+def _positions(messages: DataFrame) -> DataFrame:
+    return messages.select("key", "partition", "offset")
+
+
 def topic_earliest(spark, sf):
-    return settle(_topic(spark, sf).read().select("key", "partition", "offset"), "topic")
+    return settle(_positions(from_offsets(_messages(stream(spark, sf, "events")), "events")), "topic")
 
 
 def topic_from_offsets(spark, sf):
     starting = '{"events": {"0": 1, "1": 100, "2": -2}}'
-    messages = _topic(spark, sf).read(starting)
-    return settle(messages.select("key", "partition", "offset"), "topic")
+    messages = from_offsets(_messages(stream(spark, sf, "events")), "events", starting)
+    return settle(_positions(messages), "topic")
 
 
 def topic_offset_range(spark, sf):
     starting = '{"events": {"0": 1, "1": 100, "2": 50}}'
     ending = '{"events": {"0": 200, "1": -1, "2": 51}}'
-    messages = _topic(spark, sf).read(starting, ending, streaming=False)
-    return messages.select("key", "partition", "offset")
+    messages = _messages(table(spark, sf, "events"))
+    return _positions(from_offsets(messages, "events", starting, ending))
+
+
+def topic_latest_restart(spark, sf):
+    """A stream from the end of the first half, stopped, and started again after the second."""
+    messages = _messages(table(spark, sf, "events"))
+    half = bounds_of(table(spark, sf, "events"), "event_id").first()["hi"] // 2
+    place = scratch_dir(spark, "latest")
+    number = F.col("offset") * 3 + F.col("partition")
+    for part in (number <= half, number > half):
+        messages.where(part).write.mode("append").parquet(f"{place}/topic")
+        ends = pinned_ends(
+            spark, spark.read.parquet(f"{place}/topic"), "events", f"{place}/checkpoint-ends"
+        )
+        arriving = append_stream(spark, f"{place}/topic", ENVELOPE)
+        rows = _positions(from_offsets(arriving, "events", "latest", latest=ends))
+        finish(start(rows, f"{place}/checkpoint", f"{place}/rows"))
+    return spark.read.schema(rows.schema).parquet(f"{place}/rows")
 
 
 # ---- tables and databases ---------------------------------------------------------------
@@ -183,6 +220,31 @@ def table_stream_copy(spark, sf):
     return settle(stream(spark, sf, "orders"), "copy")
 
 
+def timed_copy(spark, sf):
+    """On a processing-time trigger the query goes on until it is stopped after its timeout."""
+    orders = stream(spark, sf, "orders")
+    place = scratch_dir(spark, "timed")
+    query = start(orders, f"{place}/checkpoint", f"{place}/rows", every="200 milliseconds")
+    query.processAllAvailable()
+    ended = finish(query, timeout=0.5)
+    rows = spark.read.schema(orders.schema).parquet(f"{place}/rows")
+    return rows.withColumn("ended", F.lit(ended))
+
+
+def late_rows(spark, sf):
+    """The second half of the events arrives first; of the others those too old are dropped."""
+    events = instants(table(spark, sf, "events"))
+    low, high = bounds_of(events, "ts").first()
+    middle = F.lit(low + (high - low) / 2)
+    place = scratch_dir(spark, "late")
+    for part in (F.col("ts") > middle, F.col("ts") <= middle):
+        events.where(part).write.mode("append").parquet(f"{place}/feed")
+        arriving = append_stream(spark, f"{place}/feed", events.schema)
+        timely = arriving.withWatermark("ts", "18 days").dropDuplicates(["event_id", "ts"])
+        finish(start(timely, f"{place}/checkpoint", f"{place}/rows"))
+    return wall_clocks(spark.read.schema(events.schema).parquet(f"{place}/rows"))
+
+
 def table_overwrite(spark, sf):
     """A batch write replaces what is there."""
     place = scratch_dir(spark, "overwrite")
@@ -286,8 +348,9 @@ def incr_restart(spark, sf):
 
     def rounds(growing, reader, write):
         growing.limit = F.lit("1998-01-01").cast("timestamp_ntz")
-        batch = reader().next_batch()
-        write(batch.df, batch.batch_id)
+        tried = reader()
+        batch = tried.next_batch()
+        tried.write(batch, write)
         growing.limit = None
         reader().run(write)
 
@@ -334,38 +397,40 @@ def incr_jdbc(spark, sf):
 
 
 def stream_jdbc(spark, sf):
-    """Embedded database: the events arrive in SQLite in two parts, a stream reads each."""
+    """Embedded database: the events arrive in SQLite in two parts, a stream reads each.
+
+    Its schema comes from the database, its offset is a time.
+    """
     path = _sqlite(spark, "stream", f"CREATE TABLE rows ({_EVENT_DDL})")
     register_stream_source(spark)
     place = scratch_dir(spark, "copy")
     insert = database_insert(lambda: sqlite3.connect(path, timeout=60), "rows", max_connections=2)
-
-    def grow(batch: DataFrame, batch_id: int) -> None:
-        insert(_event_rows(batch), batch_id)
+    growing = _Growing(table(spark, sf, "events"), "ts")
+    low, high = bounds_of(growing.df, "ts").first()
+    middle = F.lit(low + (high - low) / 2)
+    for part in (F.col("ts") <= middle, F.col("ts") > middle):
+        insert(_event_rows(growing.df.where(part)), 0)
         arriving = (
             spark.readStream.format("jdbc-streaming")
-            .schema(_EVENT_ROW)
             .options(
                 connect="sqlite3:connect",
                 url=path,
                 dbtable="rows",
-                offsetColumn="EVENT_ID",
+                offsetColumn="TS",
                 numPartitions=4,
+                positionPath=f"{place}/position",
             )
             .load()
         )
         finish(start(arriving, f"{place}/checkpoint", f"{place}/rows"))
-
-    _events_in_rounds(spark, sf, grow, rounds=2)
-    rows = spark.read.schema(_EVENT_ROW).parquet(f"{place}/rows")
-    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return spark.read.schema(arriving.schema).parquet(f"{place}/rows")
 
 
 # ---- joins ------------------------------------------------------------------------------
 
 
 def _views(events):
-    return instants(events.where(equals_ignore_case("event_type", "view"))).select(
+    return instants(events.where(matches_ignore_case("event_type", "view"))).select(
         F.col("event_id").alias("imp_id"),
         F.col("user_id").alias("imp_user"),
         F.col("ts").alias("imp_ts"),
@@ -373,23 +438,24 @@ def _views(events):
 
 
 def _clicks(events):
-    return instants(events.where(equals_ignore_case("event_type", "click"))).select(
+    return instants(events.where(matches_ignore_case("event_type", "click"))).select(
         F.col("event_id").alias("clk_id"),
         F.col("user_id").alias("clk_user"),
         F.col("ts").alias("clk_ts"),
     )
 
 
-def _views_with_clicks(events: DataFrame, how: str, whole: DataFrame) -> DataFrame:
-    span = timedelta(0), timedelta(hours=6)
-    hot = hot_keys(_views(whole), ["imp_user"], within=time_bin("imp_ts", *span))
+ROWS_PER_TASK = 1_000_000  # of a key, beyond which a join spreads it
+
+
+def _views_with_clicks(events: DataFrame, how: str, hot: list) -> DataFrame:
     return interval_join(
         _views(events),
         _clicks(events),
         [("imp_user", "clk_user")],
         "imp_ts",
         "clk_ts",
-        *span,
+        *_SPAN,
         how=how,
         left_delay="20 minutes",
         right_delay="30 minutes",
@@ -397,9 +463,24 @@ def _views_with_clicks(events: DataFrame, how: str, whole: DataFrame) -> DataFra
     )
 
 
+_SPAN = timedelta(0), timedelta(hours=6)
+
+
+def _hot_views(events: DataFrame, how: str, rows_per_task: int = ROWS_PER_TASK) -> list:
+    return hot_keys(
+        _views(events),
+        _clicks(events),
+        [("imp_user", "clk_user")],
+        rows_per_task,
+        how,
+        time_bin("imp_ts", *_SPAN),
+    )
+
+
 def _view_stream(spark, sf, how):
-    events = table(spark, sf, "events")
-    return settle(_views_with_clicks(stream(spark, sf, "events"), how, events), "join")
+    place = scratch_dir(spark, "hot")
+    hot = pinned_hot_keys(spark, f"{place}/keys", _hot_views(table(spark, sf, "events"), how))
+    return settle(_views_with_clicks(stream(spark, sf, "events"), how, hot), "join")
 
 
 def join_left_outer_interval(spark, sf):
@@ -413,44 +494,90 @@ def join_inner_interval(spark, sf):
 def join_batch_interval(spark, sf):
     """The same join on tables, where every unmatched view appears."""
     events = table(spark, sf, "events")
-    return wall_clocks(_views_with_clicks(events, "left_outer", events))
+    hot = _hot_views(events, "left_outer")
+    return wall_clocks(_views_with_clicks(events, "left_outer", hot))
+
+
+def _orders_and_customers(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Orders and customers by a key of which 0 is a third of the orders and many customers."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, 0).otherwise(F.col("o_orderkey")).alias("o_key"),
+    )
+    customers = table(spark, sf, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 50 == 0, 0).otherwise(F.col("c_custkey")).alias("c_key"),
+    )
+    return orders, customers
+
+
+def join_hot_both(spark, sf):
+    """A join whose input has a key that is hot on both sides, spread over a grid of tasks."""
+    orders, customers = _orders_and_customers(spark, sf)
+    keys = [("o_key", "c_key")]
+    hot = hot_keys(orders, customers, keys, rows_per_task=max(1, customers.count() // 100))
+    if not any(a > 1 and b > 1 for _, a, b in hot):
+        raise ValueError("no key is hot on both sides")
+    joined = key_join(orders, customers, keys, hot=hot)
+    return joined.groupBy("o_orderkey", "o_key").agg(
+        F.count("*").alias("n"), F.sum("c_custkey").alias("sum_custkey")
+    )
+
+
+def join_hot_interval(spark, sf):
+    """A stream join with the keys of most views spread, restarted with the list it began with."""
+    events = table(spark, sf, "events")
+    place = scratch_dir(spark, "hot")
+    hot = _hot_views(events, "left_outer", rows_per_task=1)
+    for _ in range(2):
+        pinned = pinned_hot_keys(spark, f"{place}/keys", hot)
+        joined = _views_with_clicks(stream(spark, sf, "events"), "left_outer", pinned)
+        finish(start(joined, f"{place}/checkpoint", f"{place}/rows"))
+    return wall_clocks(spark.read.schema(joined.schema).parquet(f"{place}/rows"))
 
 
 def join_inner_key(spark, sf):
     orders = stream(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     customers = stream(spark, sf, "customer").select("c_custkey", "c_name")
-    hot = hot_keys(table(spark, sf, "orders"), ["o_custkey"])
-    return settle(key_join(orders, customers, [("o_custkey", "c_custkey")], hot=hot), "join")
+    keys = [("o_custkey", "c_custkey")]
+    hot = hot_keys(table(spark, sf, "orders"), table(spark, sf, "customer"), keys, ROWS_PER_TASK)
+    return settle(key_join(orders, customers, keys, hot=hot), "join")
 
 
 def join_left_outer_table(spark, sf):
     """One table split by type: the right row is at most 90 days older than the left."""
+
     def newer(orders: DataFrame) -> DataFrame:
-        return instants(orders.where(equals_ignore_case("o_orderstatus", "o"))).select(
+        return instants(orders.where(matches_ignore_case("o_orderstatus", "o"))).select(
             F.col("o_orderkey").alias("l_key"),
             F.col("o_custkey").alias("l_cust"),
             F.col("o_orderdate").alias("l_ts"),
         )
 
-    orders = stream(spark, sf, "orders")
-    older = instants(orders.where(equals_ignore_case("o_orderstatus", "f"))).select(
-        F.col("o_orderkey").alias("r_key"),
-        F.col("o_custkey").alias("r_cust"),
-        F.col("o_orderdate").alias("r_ts"),
-    )
+    def older(orders: DataFrame) -> DataFrame:
+        return instants(orders.where(matches_ignore_case("o_orderstatus", "f"))).select(
+            F.col("o_orderkey").alias("r_key"),
+            F.col("o_custkey").alias("r_cust"),
+            F.col("o_orderdate").alias("r_ts"),
+        )
+
     span = timedelta(days=-90), timedelta(0)
-    whole = newer(table(spark, sf, "orders"))
+    keys = [("l_cust", "r_cust")]
+    whole = table(spark, sf, "orders")
+    bins = time_bin("l_ts", *span)
+    hot = hot_keys(newer(whole), older(whole), keys, ROWS_PER_TASK, "left_outer", bins)
+    orders = stream(spark, sf, "orders")
     joined = interval_join(
         newer(orders),
-        older,
-        [("l_cust", "r_cust")],
+        older(orders),
+        keys,
         "l_ts",
         "r_ts",
         *span,
         how="left_outer",
         left_delay="5 days",
         right_delay="5 days",
-        hot=hot_keys(whole, ["l_cust"], within=time_bin("l_ts", *span)),
+        hot=hot,
     )
     return settle(joined, "join")
 
@@ -489,13 +616,46 @@ def append_replay(spark, sf):
     return read_batches(spark, place, table(spark, sf, "events").schema)
 
 
+def _two_runs(spark, sf, write) -> None:
+    """The events in two halves, each read under an offset log of its own, from batch 0 on."""
+    events = table(spark, sf, "events")
+    half = bounds_of(events, "event_id").first()["hi"] // 2
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        source = FrameTable(lambda part=part: events.where(part), "event_id")
+        IncrementalReader(spark, source, scratch_dir(spark, "log")).run(write)
+
+
+def append_two_runs(spark, sf):
+    """A second run with a new log appends to what the first one left; each is replayed."""
+    place = scratch_dir(spark, "append")
+    append = append_batches(place)
+
+    def twice(batch, batch_id):
+        append(batch, batch_id)
+        append(batch, batch_id)
+
+    _two_runs(spark, sf, twice)
+    return read_batches(spark, place, table(spark, sf, "events").schema)
+
+
+def append_two_checkpoints(spark, sf):
+    """The same with two streaming queries, each with a new checkpoint."""
+    place = scratch_dir(spark, "append")
+    events = table(spark, sf, "events")
+    half = bounds_of(events, "event_id").first()["hi"] // 2
+    for n, part in enumerate((F.col("event_id") <= half, F.col("event_id") > half)):
+        rows = stream(spark, sf, "events").where(part)
+        finish(start(rows, f"{place}/checkpoint-{n}", each_batch=append_batches(f"{place}/rows")))
+    return read_batches(spark, f"{place}/rows", events.schema)
+
+
 def append_jdbc(spark, sf):
     """Embedded database; every batch is written twice."""
     database = _derby(spark, "derby")
     append = append_jdbc_batches(table="events", **database)
 
     def twice(batch, batch_id):
-        rows = instants(batch.select("event_id", "ts", "value"))
+        rows = instants(batch)
         append(rows, batch_id)
         append(rows, batch_id)
 
@@ -510,7 +670,7 @@ def append_jdbc(spark, sf):
         partitions=4,
         **database,
     )
-    return wall_clocks(rows)
+    return wall_clocks(rows.drop("batchSource"))
 
 
 def _sqlite(spark, label, *ddl: str) -> str:
@@ -534,7 +694,13 @@ def _sqlite_rows(spark, path, name, schema: T.StructType, parts: int = 4) -> Dat
             for part in chunk["id"]:
                 connection = sqlite3.connect(path, timeout=60)
                 try:
-                    query = f"SELECT * FROM {name} WHERE rowid % {parts} = {part}"
+                    first, last = connection.execute(
+                        f"SELECT min(rowid), max(rowid) FROM {name}"
+                    ).fetchone()
+                    # a range of row numbers is read from the tree, not picked from a scan
+                    step = ((last or 0) - (first or 0)) // parts + 1
+                    low = (first or 0) + step * int(part)
+                    query = f"SELECT * FROM {name} WHERE rowid >= {low} AND rowid < {low + step}"
                     rows = pd.read_sql_query(query, connection, chunksize=10_000)
                     yield from (r[schema.fieldNames()] for r in rows)
                 finally:
@@ -550,32 +716,28 @@ _EVENT_ROW = T.StructType(
         T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
     ]
 )
-_EVENT_DDL = "event_id INTEGER, ts TEXT, user_id INTEGER, event_type TEXT, value REAL"
+_EVENT_DDL = (
+    "event_id INTEGER UNIQUE, ts TIMESTAMP, user_id BIGINT, event_type TEXT, value DOUBLE, props TEXT"
+)
 _TEXT_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _event_rows(events: DataFrame) -> DataFrame:
-    return events.select(
-        "event_id", F.date_format("ts", _TEXT_TIME).alias("ts"), "user_id", "event_type", "value"
-    )
+    return events.withColumn("ts", F.date_format("ts", _TEXT_TIME))
 
 
 def foreach_insert(spark, sf):
-    """Embedded database."""
-    path = _sqlite(
-        spark,
-        "insert",
-        f"CREATE TABLE rows ({_EVENT_DDL})",
-        "CREATE TABLE ledger (query_name TEXT, epoch INTEGER, partition_no INTEGER,"
-        " PRIMARY KEY (query_name, epoch, partition_no))",
-    )
+    """Embedded database; a second query with a new checkpoint sends every row again."""
+    path = _sqlite(spark, "insert", f"CREATE TABLE rows ({_EVENT_DDL})")
     rows = _event_rows(stream(spark, sf, "events"))
-    writer = InsertWriter(
-        lambda: sqlite3.connect(path, timeout=60), "rows", rows.columns, "ledger", "events"
-    )
-    finish(start(rows, scratch_dir(spark, "checkpoint"), each_row=writer))
+    for _ in range(2):
+        writer = InsertWriter(
+            lambda: sqlite3.connect(path, timeout=60), "rows", rows.columns, ["event_id"]
+        )
+        finish(start(rows, scratch_dir(spark, "checkpoint"), each_row=writer))
     stored = _sqlite_rows(spark, path, "rows", _EVENT_ROW)
     return stored.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
@@ -676,17 +838,49 @@ def merge_absent_columns(spark, sf):
     )
 
 
+def merge_two_runs(spark, sf):
+    """A second run with a new log updates what the first one left."""
+    keyed = KeyedTable.create_if_absent(
+        spark, scratch_dir(spark, "keyed"), table(spark, sf, "events").schema, ["user_id"], buckets=8
+    )
+    _two_runs(spark, sf, merge_batches(keyed, ["event_id"]))
+    return keyed.read()
+
+
+def merge_orders(spark, sf):
+    """Updates of every seventh order by broadcast keys, then of every fifth by one shuffle."""
+    orders = table(spark, sf, "orders")
+    keyed = KeyedTable.create_if_absent(
+        spark, scratch_dir(spark, "keyed"), orders.schema, ["o_orderkey"], buckets=8
+    )
+    price, key = F.col("o_totalprice"), F.col("o_orderkey")
+    keyed.merge(orders, ["o_orderdate"])
+    keyed.merge(orders.where(key % 7 == 0).withColumn("o_totalprice", price * 2), ["o_orderdate"])
+    fifth = orders.where(key % 5 == 0).withColumn("o_totalprice", -price)
+    keyed.merge(fifth, ["o_orderdate"], broadcast_bytes=0)
+    return keyed.read()
+
+
 def compact_table(spark, sf):
+    """With the rows: whether files were packed, and surplus files left."""
     keyed = _merged_events(spark, sf)
+    for rest in (0, 1):  # rows that stay and rows that come make a file each
+        keyed.merge(keyed.read().where(F.col("user_id") % 2 == rest), ["event_id"])
+    before = keyed.files()
     keyed.compact()
-    return keyed.read()
+    after = keyed.files()
+    rows = keyed.read()
+    return rows.withColumn("packed", F.lit(before > after)).withColumn("files", F.lit(after))
 
 
 def vacuum_table(spark, sf):
+    """With the rows: whether folders were deleted, and those left."""
     keyed = _merged_events(spark, sf)
-    keyed.compact()
+    before = keyed.folders()
     keyed.vacuum(retention_hours=0, force=True)
-    return keyed.read()
+    after = keyed.folders()
+    rows = keyed.read()
+    return rows.withColumn("deleted", F.lit(before > after)).withColumn("folders", F.lit(after))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -694,9 +888,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_feed": csv_feed_accepted,
     "csv_feed_rejected": csv_feed_rejected,
     "table_stream_copy": table_stream_copy,
+    "timed_copy": timed_copy,
+    "late_rows": late_rows,
     "table_overwrite": table_overwrite,
     "hash_projection": hash_projection,
     "filter_ieq": filter_ieq,
+    "flag_ieq": flag_ieq,
     "day_of_week": day_of_week,
     "envelope_roundtrip": envelope_roundtrip,
     "envelope_value_only": envelope_value_only,
@@ -704,6 +901,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_earliest": topic_earliest,
     "topic_from_offsets": topic_from_offsets,
     "topic_offset_range": topic_offset_range,
+    "topic_latest_restart": topic_latest_restart,
     "jdbc_roundtrip": jdbc_roundtrip,
     "offset_bounds": offset_bounds,
     "incr_first_earliest": incr_first_earliest,
@@ -720,14 +918,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_left_outer_interval": join_left_outer_interval,
     "join_left_outer_table": join_left_outer_table,
     "join_batch_interval": join_batch_interval,
+    "join_hot_both": join_hot_both,
+    "join_hot_interval": join_hot_interval,
     "append_with_batch_id": append_with_batch_id,
     "append_replay": append_replay,
+    "append_two_runs": append_two_runs,
+    "append_two_checkpoints": append_two_checkpoints,
     "append_jdbc": append_jdbc,
     "foreach_insert": foreach_insert,
     "db_upsert_batch": db_upsert_batch,
     "db_upsert_row": db_upsert_row,
     "merge_upsert": merge_upsert,
     "merge_digests": merge_digests,
+    "merge_two_runs": merge_two_runs,
+    "merge_orders": merge_orders,
     "merge_schema_evolution": merge_schema_evolution,
     "merge_absent_columns": merge_absent_columns,
     "compact_table": compact_table,

@@ -10,23 +10,23 @@ from sluiceworks.sources.incremental import (
 from sluiceworks.sources.rate import rate_stream
 from sluiceworks.sources.stream_source import register as register_stream_source
 from sluiceworks.sources.tables import append_stream, jdbc_table
-from sluiceworks.sources.topic import TopicTable, dense_offsets, from_offsets, kafka_stream
+from sluiceworks.sources.topic import ENVELOPE, from_offsets, kafka_stream, pinned_ends
 
 __all__ = [
+    "ENVELOPE",
     "FrameTable",
     "IncrementalReader",
     "JdbcTable",
     "OffsetRange",
-    "TopicTable",
     "accepted",
     "append_stream",
     "csv_feed",
-    "dense_offsets",
     "from_offsets",
     "jdbc_stream",
     "jdbc_table",
     "kafka_stream",
     "offset_bounds",
+    "pinned_ends",
     "rate_stream",
     "register_stream_source",
     "rejected",

@@ -12,6 +12,7 @@ rows may arrive out of order.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sluiceworks.storage import SharedFiles
+from sluiceworks.storage import READER_PROPERTY, SharedFiles
 
 _RETAINED = 100  # log entries kept
 
@@ -196,6 +197,7 @@ class IncrementalReader:
         self.spark, self.table, self.log_dir = spark, table, log_dir.rstrip("/")
         self.starting, self.lag, self.max_rows = starting, lag, max_rows_per_batch
         self._files = SharedFiles(spark)
+        self.id = self._name()
         self._ends: list[str] = []
         self._last: OffsetRange | None = None
         self._last_id, self._committed = -1, True
@@ -210,6 +212,13 @@ class IncrementalReader:
                 raise ValueError(f"the log is of column {self._last.column!r}")
             self._committed = self._files.exists(f"{self.log_dir}/commits/{logged[-1]}")
 
+    def _name(self) -> str:
+        """What tells this log's batches from those of another log, written once."""
+        place = f"{self.log_dir}/id"
+        if not self._files.exists(place):
+            self._files.publish_text(place, uuid.uuid4().hex)
+        return self._files.read_text(place)
+
     def next_batch(self) -> Batch | None:
         """The next range and its rows, or None where no offset is above the last end.
 
@@ -246,11 +255,21 @@ class IncrementalReader:
             batch = self.next_batch()
             if batch is None:
                 break
-            write(batch.df, batch.batch_id)
+            self.write(batch, write)
             self.commit(batch)
             done += 1
         return done
 
+    def write(self, batch: Batch, sink: Callable[[DataFrame, int], None]) -> None:
+        """Hand a batch to a sink that tells batches by their source."""
+        context = self.spark.sparkContext
+        before = context.getLocalProperty(READER_PROPERTY)
+        context.setLocalProperty(READER_PROPERTY, self.id)
+        try:
+            sink(batch.df, batch.batch_id)
+        finally:
+            context.setLocalProperty(READER_PROPERTY, before)
+
     def stream(
         self, write: Callable[[DataFrame, int], None], checkpoint: str, every: str = "10 seconds"
     ) -> StreamingQuery:
@@ -311,14 +330,20 @@ class IncrementalReader:
             position = column
         else:
             raise ValueError(f"max_rows_per_batch needs a numeric or time offset, not {kind}")
+        whole = not isinstance(kind, (T.FractionalType, T.DecimalType))
         df = self.table.scan(wanted).select(
-            column.alias("offset"), position.cast("double").alias("x")
+            column.alias("offset"), position.cast("bigint" if whole else "double").alias("x")
         )
         while True:
             low, high = df.agg(F.min("x"), F.max("x")).first()
             if low == high:
                 return [wanted.end]
-            nth = F.least(F.floor((F.col("x") - low) * (bins / (high - low))), F.lit(bins - 1))
+            if whole:  # exact beyond 2**53
+                step = (high - low) // bins + 1
+                nth = F.call_function("div", F.col("x") - F.lit(low), F.lit(step))
+            else:
+                share = (F.col("x") - low) * (bins / (high - low))
+                nth = F.least(F.floor(share), F.lit(bins - 1))
             counts = (
                 df.groupBy(nth.alias("bin"))
                 .agg(

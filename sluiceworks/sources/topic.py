@@ -1,17 +1,14 @@
-"""Message topics kept as Parquet files, with Kafka's envelope columns.
+"""Messages with Kafka's envelope columns, read from given offsets.
 
-Layout: ``data/batch=N/`` holds the rows of micro-batch N and ``next/N`` the first free
-offset of every partition after it. A replayed batch that was written is left as it is;
-one that was not starts from the entry of the batch before it.
+The envelope comes from a broker (``kafka_stream``) or from any table or stream that has its
+columns; ``from_offsets`` treats both alike.
 """
 
 from __future__ import annotations
 
 import json
-import math
-from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,165 +25,23 @@ ENVELOPE = T.StructType(
     ]
 )
 
-_MOST_CHUNKS = 1_000
-_KEPT_ENTRIES = 100
-
 # What the message source takes for "from the start" and "from the end".
 EARLIEST, LATEST = -2, -1
 
 
-def _position(df: DataFrame, column: str) -> Column:
-    """The column as a number that sorts the same way."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("bigint")
-    if isinstance(kind, T.IntegralType):
-        return F.col(column).cast("bigint")
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    raise ValueError(f"order by a number, date or timestamp, not {kind.simpleString()}")
-
-
-def _count_below(cuts: list, value: Column) -> Column:
-    """How many of the sorted cuts lie below the value, found in two short steps."""
-    step = max(1, math.isqrt(len(cuts)))
-    groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-
-    def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda c: c < value))
-
-    full = below(F.array(*[F.lit(g[-1]) for g in groups]))  # groups that lie below altogether
-    inner = F.get(F.array(*[F.array(*[F.lit(c) for c in g]) for g in groups]), full)
-    return full * F.lit(step) + F.when(full < len(groups), below(inner)).otherwise(
-        F.lit(len(groups[-1]) - step)
-    )
+def pinned_ends(spark: SparkSession, rows: DataFrame, topic: str, place: str) -> dict[int, int]:
+    """The first free offset of each partition, as it was when ``place`` was first used.
 
-
-def dense_offsets(
-    df: DataFrame,
-    partition: str,
-    order_by: list[str],
-    starts: dict[int, int] | None = None,
-    rows_per_chunk: int = 1_000_000,
-) -> DataFrame:
-    """Add ``offset``: 0, 1, 2 ... within each partition, in the order of ``order_by``.
-
-    No partition is sorted by one task. The rows are cut into chunks of about
-    ``rows_per_chunk`` rows at quantiles of the first order column, the chunks are
-    counted, and each chunk numbers its own rows from the running total before it. A
-    value that fills whole chunks by itself gets a chunk of its own, split by row hash;
-    its rows come in hash order. The cuts are plain values, so a task that runs again
-    puts its rows in the same chunks.
+    ``rows`` is the topic as a table. The answer is written to the file ``place``, which goes
+    beside a stream's checkpoint, so that a restart begins where the first start did and not at
+    an end that has moved on. It has one number for each partition of the topic.
     """
-    position = _position(df, order_by[0])
-    chunk, split = F.lit(0), F.lit(0)
-    shares = [i / _MOST_CHUNKS for i in range(1, _MOST_CHUNKS)]
-    total, fine = df.agg(
-        F.count("*"), F.percentile_approx(position, shares, 10 * _MOST_CHUNKS)
-    ).first()
-    chunks = min(_MOST_CHUNKS, -(-total // rows_per_chunk))
-    if chunks > 1 and fine:
-        quantiles = [fine[_MOST_CHUNKS * i // chunks - 1] for i in range(1, chunks)]
-        crowded = {v: n for v, n in Counter(quantiles).items() if n > 1}
-        just_below = [
-            v - 1 if isinstance(v, int) else math.nextafter(v, -math.inf) for v in crowded
-        ]
-        cuts = sorted({*quantiles, *just_below})
-        chunk = F.coalesce(_count_below(cuts, position), F.lit(0))
-        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        for value, times in crowded.items():
-            split = F.when(position == value, F.pmod(spread, F.lit(times + 1))).otherwise(split)
-    marked = df.withColumn("_chunk", chunk).withColumn("_split", split.cast("int"))
-
-    parts = [partition, "_chunk", "_split"]
-    before = (
-        Window.partitionBy(partition)
-        .orderBy("_chunk", "_split")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    bases = (
-        marked.groupBy(*parts)
-        .count()
-        .select(*parts, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
-    )
-    first = F.lit(0)
-    for number, offset in (starts or {}).items():
-        first = F.when(F.col(partition) == number, F.lit(offset)).otherwise(first)
-    within = Window.partitionBy(*parts).orderBy(*order_by)
-    return (
-        marked.withColumn("_row", F.row_number().over(within) - 1)
-        .join(bases, parts)
-        .withColumn("offset", (first + F.col("_base") + F.col("_row")).cast("bigint"))
-        .select(*df.columns, "offset")
-    )
-
-
-class TopicTable:
-    """One topic. A single writer appends; any number of streams read."""
-
-    def __init__(self, spark: SparkSession, path: str, topic: str, partitions: int = 1):
-        self.spark, self.path, self.topic, self.partitions = spark, path, topic, partitions
-        self._files = SharedFiles(spark)
-
-    def _next_offsets(self, batch_id: int) -> dict[int, int]:
-        """First free offsets before ``batch_id``."""
-        earlier = [n for n, _ in self._files.children(f"{self.path}/next") if int(n) < batch_id]
-        if not earlier:
-            return {}
-        entry = json.loads(self._files.read_text(f"{self.path}/next/{earlier[-1]}"))
-        return {int(p): o for p, o in entry.items()}
-
-    def append(
-        self,
-        messages: DataFrame,
-        batch_id: int,
-        order_by: list[str],
-        partition: Column | None = None,
-    ) -> None:
-        """Write one micro-batch of ``key, value`` rows (and the columns in ``order_by``).
-
-        ``partition`` defaults to the key's hash; messages without a key go to partition 0.
-        A ``timestamp`` column is kept, otherwise the time of writing is used.
-        """
-        folder, entry = f"{self.path}/data/batch={batch_id}", f"{self.path}/next/{batch_id:012d}"
-        if self._files.exists(entry):
-            return
-        starts = self._next_offsets(batch_id)
-        if not self._files.exists(f"{folder}/_SUCCESS"):
-            if partition is None:
-                partition = F.when(F.col("key").isNull(), 0).otherwise(
-                    F.pmod(F.xxhash64("key"), F.lit(self.partitions))
-                )
-            known = F.coalesce(partition.cast("int"), F.lit(0))
-            rows = messages.withColumn("partition", known)
-            if "timestamp" not in rows.columns:
-                rows = rows.withColumn("timestamp", F.current_timestamp())
-            numbered = dense_offsets(rows, "partition", order_by, starts)
-            numbered.withColumn("topic", F.lit(self.topic)).select(
-                *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ENVELOPE.fields]
-            ).write.mode("overwrite").parquet(folder)
-
-        written = self.spark.read.schema(ENVELOPE).parquet(folder)
-        ends = written.groupBy("partition").agg((F.max("offset") + 1).alias("end")).collect()
-        following = {**starts, **{r["partition"]: r["end"] for r in ends}}
-        self._files.publish_text(entry, json.dumps({str(p): o for p, o in following.items()}))
-        self._files.delete(f"{self.path}/next/{batch_id - _KEPT_ENTRIES:012d}")
-
-    def read(
-        self,
-        starting: str | dict | None = "earliest",
-        ending: str | dict | None = None,
-        streaming: bool = True,
-    ) -> DataFrame:
-        """The envelope rows. ``starting`` and ``ending`` as in ``from_offsets``."""
-        reader = self.spark.readStream if streaming else self.spark.read
-        rows = reader.schema(ENVELOPE).parquet(f"{self.path}/data/batch=*")
-        latest = self._next_offsets(1 << 62)
-        if starting == "latest":
-            starting = {self.topic: latest}
-        return from_offsets(rows, self.topic, starting, ending, latest)
+    files = SharedFiles(spark)
+    if not files.exists(place):
+        ends = rows.where(F.col("topic") == topic).groupBy("partition")
+        found = ends.agg((F.max("offset") + 1).alias("end")).collect()
+        files.publish_text(place, json.dumps({str(r["partition"]): r["end"] for r in found}))
+    return {int(p): end for p, end in json.loads(files.read_text(place)).items()}
 
 
 def from_offsets(
@@ -198,12 +53,17 @@ def from_offsets(
 ) -> DataFrame:
     """Rows of ``topic`` from the starting offset of their partition on (inclusive).
 
-    ``starting`` is ``earliest`` or JSON ``{topic: {partition: offset}}``, where -2 means
-    the start and -1 the end. Partitions that it does not name are read from the start.
-    ``ending`` has the same form and is exclusive. The test is a plain comparison per
+    ``starting`` is ``earliest``, ``latest`` or JSON ``{topic: {partition: offset}}``, where -2
+    means the start and -1 the end. Partitions that it does not name are read from the start.
+    The end is that of ``latest`` (see ``pinned_ends``), which is needed wherever it is asked
+    for. ``ending`` has the same form and is exclusive. The test is a plain comparison per
     partition, so Parquet skips the row groups outside the range.
     """
     condition = F.col("topic") == topic
+    if starting == "latest":
+        if latest is None:
+            raise ValueError("give the ends to start from as latest, see pinned_ends")
+        starting = {topic: latest}
     for limits, keep in ((starting, "from"), (ending, "to")):
         if limits in (None, "earliest", "latest"):
             continue
@@ -212,7 +72,9 @@ def from_offsets(
             elsewhere = F.col("partition") != int(partition)
             if keep == "from":
                 if offset == LATEST:
-                    offset = (latest or {}).get(int(partition), 0)
+                    if latest is None:
+                        raise ValueError("give the ends to start from as latest, see pinned_ends")
+                    offset = latest.get(int(partition), 0)
                 if offset != EARLIEST:
                     condition = condition & (elsewhere | (F.col("offset") >= offset))
             elif offset != LATEST:

@@ -1,20 +1,31 @@
 """Inserts and upserts into databases through a Python database driver.
 
 ``connect`` is a function without arguments that returns a new DB-API connection; it runs
-in the tasks. Rows are bound by column name, not by position.
+in the tasks. Rows are bound by column name, not by position, and names are quoted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from sluiceworks.operators.latest import latest_per_key
 
 
-def insert_statement(table: str, columns: list[str], mark: str = "?") -> str:
-    return f"INSERT INTO {table} ({', '.join(columns)}) VALUES ({', '.join([mark] * len(columns))})"
+def quoted(name: str, dialect: str = "on_conflict") -> str:
+    """An identifier as it is, whatever its letters; a table may have its schema before a dot."""
+    sign = "`" if dialect == "on_duplicate_key" else '"'
+    return ".".join(f"{sign}{part.replace(sign, sign * 2)}{sign}" for part in name.split("."))
+
+
+def insert_statement(
+    table: str, columns: list[str], mark: str = "?", dialect: str = "on_conflict"
+) -> str:
+    names = ", ".join(quoted(c, dialect) for c in columns)
+    return f"INSERT INTO {quoted(table, dialect)} ({names}) VALUES ({', '.join([mark] * len(columns))})"
 
 
 def upsert_statement(
@@ -29,34 +40,44 @@ def upsert_statement(
 
     Dialects: ``on_conflict`` (PostgreSQL, SQLite), ``on_duplicate_key`` (MySQL) and
     ``merge`` (standard SQL). ``newest`` names a column: a row replaces the stored one only
-    if its value there is not smaller, so rows may arrive in any order.
+    if its value there is not smaller, so rows may arrive in any order. Rows that are all key
+    are inserted if absent.
     """
+
+    def q(name: str) -> str:
+        return quoted(name, dialect)
+
     values = [c for c in columns if c not in keys]
-    insert = insert_statement(table, columns, mark)
+    insert = insert_statement(table, columns, mark, dialect)
     if dialect == "on_conflict":
-        sets = ", ".join(f"{c} = excluded.{c}" for c in values)
-        guard = f" WHERE excluded.{newest} >= {table}.{newest}" if newest else ""
-        return f"{insert} ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {sets}{guard}"
+        conflict = f"{insert} ON CONFLICT ({', '.join(map(q, keys))})"
+        if not values:
+            return f"{conflict} DO NOTHING"
+        sets = ", ".join(f"{q(c)} = excluded.{q(c)}" for c in values)
+        guard = f" WHERE excluded.{q(newest)} >= {q(table)}.{q(newest)}" if newest else ""
+        return f"{conflict} DO UPDATE SET {sets}{guard}"
     if dialect == "on_duplicate_key":
+        if not values:
+            return f"{insert} ON DUPLICATE KEY UPDATE {q(keys[0])} = {q(keys[0])}"
         # assignments run left to right, so the column that decides is assigned last
         ordered = [c for c in values if c != newest] + [c for c in values if c == newest]
         sets = ", ".join(
-            f"{c} = IF(VALUES({newest}) >= {newest}, VALUES({c}), {c})"
+            f"{q(c)} = IF(VALUES({q(newest)}) >= {q(newest)}, VALUES({q(c)}), {q(c)})"
             if newest
-            else f"{c} = VALUES({c})"
+            else f"{q(c)} = VALUES({q(c)})"
             for c in ordered
         )
         return f"{insert} ON DUPLICATE KEY UPDATE {sets}"
     if dialect == "merge":
-        source = ", ".join(f"{mark} AS {c}" for c in columns)
-        match = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-        sets = ", ".join(f"{c} = s.{c}" for c in values)
-        guard = f" AND s.{newest} >= t.{newest}" if newest else ""
+        source = ", ".join(f"{mark} AS {q(c)}" for c in columns)
+        match = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
+        sets = ", ".join(f"{q(c)} = s.{q(c)}" for c in values)
+        guard = f" AND s.{q(newest)} >= t.{q(newest)}" if newest else ""
+        update = f"WHEN MATCHED{guard} THEN UPDATE SET {sets} " if values else ""
         return (
-            f"MERGE INTO {table} t USING (SELECT {source}) s ON {match} "
-            f"WHEN MATCHED{guard} THEN UPDATE SET {sets} "
-            f"WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}) "
-            f"VALUES ({', '.join('s.' + c for c in columns)})"
+            f"MERGE INTO {q(table)} t USING (SELECT {source}) s ON {match} {update}"
+            f"WHEN NOT MATCHED THEN INSERT ({', '.join(map(q, columns))}) "
+            f"VALUES ({', '.join('s.' + q(c) for c in columns)})"
         )
     raise ValueError(f"unknown dialect {dialect!r}")
 
@@ -82,7 +103,7 @@ def database_upsert(
         sql = upsert_statement(table, batch.columns, keys, dialect, mark)
         # a shuffle, not coalesce, which would also run the aggregate in so few tasks
         rows = latest_per_key(batch, keys, order_by).repartition(max_connections, *keys)
-        rows.foreachPartition(_sending(connect, sql, batch.columns, batch_size))
+        _send(rows, connect, sql, batch_size)
 
     return write
 
@@ -101,26 +122,32 @@ def database_insert(
 
     def write(batch: DataFrame, _batch_id: int) -> None:
         sql = insert_statement(table, batch.columns, mark)
-        batch.coalesce(max_connections).foreachPartition(
-            _sending(connect, sql, batch.columns, batch_size)
-        )
+        _send(batch.repartition(max_connections), connect, sql, batch_size)
 
     return write
 
 
-def _sending(connect, sql: str, columns: list[str], batch_size: int):
-    """The function that sends one partition in one transaction."""
+def _send(df: DataFrame, connect, sql: str, batch_size: int) -> None:
+    """Run ``sql`` for every row, a partition in one transaction, from columns, not rows."""
 
-    def send(rows: Iterator[Row]) -> None:
-        sender = _Sender(connect, sql, columns, batch_size)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        connection, sent = None, 0
         try:
-            for row in rows:
-                sender.add(row)
-            sender.commit()
+            for batch in batches:
+                for at in range(0, batch.num_rows, batch_size):
+                    connection = connection or connect()
+                    part = batch.slice(at, batch_size)
+                    columns = [c.to_pylist() for c in part.columns]
+                    connection.cursor().executemany(sql, list(zip(*columns, strict=True)))
+                    sent += part.num_rows
+            if connection is not None:
+                connection.commit()
         finally:
-            sender.close()
+            if connection is not None:
+                connection.close()
+        yield pa.RecordBatch.from_arrays([pa.array([sent], pa.int64())], ["sent"])
 
-    return send
+    df.mapInArrow(run, "sent long").agg(F.sum("sent")).collect()
 
 
 class _Sender:
@@ -135,14 +162,11 @@ class _Sender:
         if len(self._waiting) >= self._size:
             self._flush()
 
-    def connection(self):
-        if self._connection is None:
-            self._connection = self._connect()
-        return self._connection
-
     def _flush(self) -> None:
         if self._waiting:
-            self.connection().cursor().executemany(self._sql, self._waiting)
+            if self._connection is None:
+                self._connection = self._connect()
+            self._connection.cursor().executemany(self._sql, self._waiting)
             self._waiting = []
 
     def commit(self) -> None:
@@ -156,25 +180,12 @@ class _Sender:
             self._connection = None
 
 
-class UpsertWriter:
-    """A ``foreach`` writer that upserts rows as they come, ``batch_size`` at a time.
-
-    ``newest`` makes the result independent of the order in which partitions write.
-    """
+class _RowWriter:
+    """A ``foreach`` writer: each partition of an epoch is one transaction."""
 
-    def __init__(
-        self,
-        connect: Callable[[], object],
-        table: str,
-        columns: list[str],
-        keys: list[str],
-        batch_size: int = 100,
-        newest: str | None = None,
-        dialect: str = "on_conflict",
-        mark: str = "?",
-    ):
+    def __init__(self, connect, sql: str, columns: list[str], batch_size: int):
         self._connect, self._columns, self._batch_size = connect, columns, batch_size
-        self._sql = upsert_statement(table, columns, keys, dialect, mark, newest)
+        self._sql = sql
         self._sender = None
 
     def open(self, partition_id: int, epoch_id: int) -> bool:
@@ -192,14 +203,13 @@ class UpsertWriter:
                 self._sender.commit()
         finally:
             self._sender.close()
+            self._sender = None
 
 
-class InsertWriter:
-    """A ``foreach`` writer that inserts every row, one transaction per partition and epoch.
+class UpsertWriter(_RowWriter):
+    """A ``foreach`` writer that upserts rows as they come, ``batch_size`` at a time.
 
-    The transaction also inserts ``(query_name, epoch, partition_no)`` into ``ledger``, a
-    table with these three columns as its primary key. A partition whose entry is there
-    is skipped, so a repeated epoch adds nothing twice. After an error it rolls back.
+    Partitions write in any order, so the stored row is the one with the largest ``newest``.
     """
 
     def __init__(
@@ -207,45 +217,40 @@ class InsertWriter:
         connect: Callable[[], object],
         table: str,
         columns: list[str],
-        ledger: str,
-        query_name: str,
-        batch_size: int = 1000,
+        keys: list[str],
+        newest: str,
+        batch_size: int = 100,
+        dialect: str = "on_conflict",
         mark: str = "?",
     ):
-        self._connect, self._columns, self._batch_size = connect, columns, batch_size
-        self._sql = insert_statement(table, columns, mark)
-        self._ledger, self._query_name, self._mark = ledger, query_name, mark
-        self._sender = None
+        sql = upsert_statement(table, columns, keys, dialect, mark, newest)
+        super().__init__(connect, sql, columns, batch_size)
 
-    def open(self, partition_id: int, epoch_id: int) -> bool:
-        sender = _Sender(self._connect, self._sql, self._columns, self._batch_size)
-        entry = (self._query_name, epoch_id, partition_id)
-        cursor = sender.connection().cursor()
-        m = self._mark
-        cursor.execute(
-            f"SELECT 1 FROM {self._ledger} "
-            f"WHERE query_name = {m} AND epoch = {m} AND partition_no = {m}",
-            entry,
-        )
-        if cursor.fetchall():
-            sender.close()
-            return False
-        self._sender, self._entry = sender, entry
-        return True
 
-    def process(self, row: Row) -> None:
-        self._sender.add(row)
+class InsertWriter(_RowWriter):
+    """A ``foreach`` writer that inserts every row that the table doesn't have yet.
 
-    def close(self, error: Exception | None) -> None:
-        if self._sender is None:
-            return
-        try:
-            if error is None:
-                columns = ["query_name", "epoch", "partition_no"]
-                self._sender.connection().cursor().execute(
-                    insert_statement(self._ledger, columns, self._mark), self._entry
-                )
-                self._sender.commit()
-        finally:
-            self._sender.close()
-            self._sender = None
+    ``keys`` are unique in the table and name a row wherever it comes from. So a repeated epoch
+    adds nothing twice, however its rows are cut into partitions then.
+    """
+
+    def __init__(
+        self,
+        connect: Callable[[], object],
+        table: str,
+        columns: list[str],
+        keys: list[str],
+        batch_size: int = 1000,
+        dialect: str = "on_conflict",
+        mark: str = "?",
+    ):
+        sql = insert_statement(table, columns, mark, dialect)
+        unique = ", ".join(quoted(k, dialect) for k in keys)
+        if dialect == "on_conflict":
+            sql += f" ON CONFLICT ({unique}) DO NOTHING"
+        elif dialect == "on_duplicate_key":
+            own = quoted(keys[0], dialect)
+            sql += f" ON DUPLICATE KEY UPDATE {own} = {own}"
+        else:
+            raise ValueError(f"no insert-if-absent in dialect {dialect!r}")
+        super().__init__(connect, sql, columns, batch_size)

@@ -1,66 +1,87 @@
 """Micro-batch sinks: functions of ``(batch, batch_id)`` for ``foreachBatch``.
 
-The same functions serve ``IncrementalReader.run``. All of them may see a batch id again
-after a failure and leave the same result as if they had seen it once. Batch ids start at
-0 with every new checkpoint or offset log, so a sink belongs to one of them: with a new one
-use a new path or table, or for ``merge_batches`` a new ``source`` name.
+The same functions serve ``IncrementalReader.run``. All of them may see a batch again after
+a failure and leave the same result as if they had seen it once. Batch ids start at 0 with
+every new checkpoint or offset log, so a batch is known by its id and by where it comes from
+(``source_of``): a new run appends to what earlier runs left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceworks.operators.keyed_table import KeyedTable
+from sluiceworks.storage import READER_PROPERTY
 
 BatchSink = Callable[[DataFrame, int], None]
+# Fixed value: where a streaming query names itself, by an id that its checkpoint keeps.
+_QUERY_PROPERTY = "sql.streaming.queryId"
+
+
+def source_of(batch: DataFrame) -> str:
+    """The checkpoint or offset log that a batch belongs to; ``direct`` outside of both."""
+    context = batch.sparkSession.sparkContext
+    found = context.getLocalProperty(READER_PROPERTY) or context.getLocalProperty(_QUERY_PROPERTY)
+    return found or "direct"
 
 
 def append_batches(path: str) -> BatchSink:
     """Append to a Parquet table with a ``batchId`` column.
 
-    Each batch has its own partition folder. A replay replaces the folder.
+    Each batch of each source has its own partition folder. A replay replaces the folder.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batchId={batch_id}")
+        folder = f"{path}/batchSource={source_of(batch)}/batchId={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
 
     return write
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What ``append_batches`` wrote; a filter on ``batchId`` prunes folders."""
-    with_id = T.StructType(list(schema.fields)).add("batchId", T.LongType())
-    return spark.read.schema(with_id).parquet(path)
+    with_id = T.StructType(list(schema.fields)).add("batchSource", T.StringType())
+    rows = spark.read.schema(with_id.add("batchId", T.LongType())).parquet(path)
+    return rows.select(*[F.col(f"`{c}`") for c in schema.fieldNames()], "batchId")
 
 
 def append_jdbc_batches(
     url: str, table: str, max_connections: int = 16, **options: str
 ) -> BatchSink:
-    """Append to a database table, adding ``batchId``.
+    """Append to a database table, adding ``batchId`` and ``batchSource``.
 
-    Rows that an earlier try of the same batch left behind are deleted first. At most
-    ``max_connections`` tasks write at a time.
+    Only the first batch after a start, or one that comes again, can have rows of an earlier
+    try in the table; these are deleted first. At most ``max_connections`` tasks write.
     """
+    done: dict[str, int] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _delete_batch(batch.sparkSession, url, table, batch_id, options)
+        source = source_of(batch)
+        if done.get(source) != batch_id - 1:
+            _delete_batch(batch.sparkSession, url, table, source, batch_id, options)
+        done.pop(source, None)
         (
             batch.withColumn("batchId", F.lit(batch_id).cast("bigint"))
+            .withColumn("batchSource", F.lit(source))
+            .repartition(max_connections)
             .write.format("jdbc")
-            .options(url=url, dbtable=table, numPartitions=max_connections, **options)
+            .options(url=url, dbtable=table, **options)
+            .option("createTableColumnTypes", "batchSource VARCHAR(64)")
             .mode("append")
             .save()
         )
+        done[source] = batch_id
 
     return write
 
 
 def _delete_batch(
-    spark: SparkSession, url: str, table: str, batch_id: int, options: dict[str, str]
+    spark: SparkSession, url: str, table: str, source: str, batch_id: int, options: dict[str, str]
 ) -> None:
     jvm = spark.sparkContext._jvm
     if "driver" in options:
@@ -69,26 +90,31 @@ def _delete_batch(
     for name in ("user", "password"):
         if name in options:
             properties.setProperty(name, options[name])
-    column = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier("batchId")
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    matches = " AND ".join(f"{dialect.quoteIdentifier(c)} = ?" for c in ("batchId", "batchSource"))
     connection = jvm.java.sql.DriverManager.getConnection(url, properties)
     try:
-        name = table.rpartition(".")[2].strip('"').upper()
-        tables = connection.getMetaData().getTables(None, None, None, None)
-        exists = False
-        while tables.next():
-            exists = exists or tables.getString("TABLE_NAME").upper() == name
-        if exists:
-            statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {column} = ?")
-            statement.setLong(1, batch_id)
-            statement.executeUpdate()
+        try:
+            connection.prepareStatement(dialect.getTableExistsQuery(table)).executeQuery()
+        except Py4JJavaError:
+            return  # no table yet: the write creates it
+        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {matches}")
+        statement.setLong(1, batch_id)
+        statement.setString(2, source)
+        statement.executeUpdate()
     finally:
         connection.close()
 
 
-def merge_batches(table: KeyedTable, order_by: list[str], source: str = "default") -> BatchSink:
-    """Upsert into a keyed table; batches that ``source`` has applied are skipped."""
+def merge_batches(
+    table: KeyedTable, order_by: list[str], source: str | None = None
+) -> BatchSink:
+    """Upsert into a keyed table; batches that their source has applied are skipped.
+
+    The source is that of the batch unless one is named.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch, order_by, batch_id, source)
+        table.merge(batch, order_by, batch_id, source or source_of(batch))
 
     return write

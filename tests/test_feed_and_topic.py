@@ -1,21 +1,20 @@
 from __future__ import annotations
 
 import json
-import re
 from datetime import datetime
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceworks.functions import decode_envelope, encode_envelope
 from sluiceworks.sources import (
-    TopicTable,
+    ENVELOPE,
     accepted,
+    append_stream,
     csv_feed,
-    dense_offsets,
+    from_offsets,
+    pinned_ends,
     rate_stream,
     rejected,
 )
@@ -79,171 +78,87 @@ def test_clock_of_the_timestamp_format(spark, tmp_path):
     assert hours == {"HH": [12, 13], "hh": [0]}
 
 
-def test_feed_to_messages_and_back(spark, feed_dir, tmp_path):
-    topic = TopicTable(spark, f"{tmp_path}/topic", "my_events_topic")
+def enveloped(rows, key):
+    """Rows as messages of two partitions by ``key``, densely numbered."""
+    return encode_envelope(rows, key, keep=(key,)).select(
+        "key",
+        "value",
+        F.lit("t").alias("topic"),
+        (F.col(key) % 2).cast("int").alias("partition"),
+        F.expr(f"{key} div 2").alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
 
-    def publish(batch, batch_id):
-        topic.append(encode_envelope(batch, "id", keep=("id",)), batch_id, ["id"])
 
+def test_feed_to_messages_and_back(spark, feed_dir, tmp_path):
     feed = accepted(csv_feed(spark, feed_dir, FEED), ("id",))
-    finish(start(feed, f"{tmp_path}/checkpoint", each_batch=publish))
-    messages = topic.read('{"my_events_topic": {"0": 1}}', streaming=False)
+    finish(start(enveloped(feed, "id"), f"{tmp_path}/checkpoint", f"{tmp_path}/topic"))
+    rows = spark.read.schema(ENVELOPE).parquet(f"{tmp_path}/topic")
+    messages = from_offsets(rows, "t", '{"t": {"0": 501, "1": 500}}')
     assert messages.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
     back = decode_envelope(messages, FEED, keep=("offset",)).orderBy("id").collect()
-    assert [(r["id"], r["offset"]) for r in back] == [(1000 + i, i) for i in range(1, 10)]
+    assert [(r["id"], r["offset"]) for r in back] == [(1000 + i, 500 + i // 2) for i in range(1, 10)]
     assert back[0]["createDate"] == datetime(2023, 1, 21, 12, 10, 10)
 
 
-def number(spark, rows, chunk, starts=None):
-    df = spark.createDataFrame(rows, "p int, t bigint, u bigint")
-    return dense_offsets(df, "p", ["t", "u"], starts, rows_per_chunk=chunk)
-
+def send(spark, place, first, count):
+    messages = enveloped(spark.range(first, first + count), "id")
+    messages.write.mode("append").parquet(place)
 
-rows_of_partitions = st.lists(
-    st.tuples(st.integers(0, 2), st.sampled_from([-7, 0, 1, 2, 3, 10**12])), min_size=1, max_size=40
-)
-
-
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(data=rows_of_partitions, chunk=st.sampled_from([1, 3, 7, 1000]))
-def test_offsets_are_dense_and_ordered(spark, data, chunk):
-    rows = [(p, t, i) for i, (p, t) in enumerate(data)]
-    got = number(spark, rows, chunk, {1: 100}).collect()
-    for p in {p for p, _, _ in rows}:
-        mine = sorted((r["offset"], r["t"]) for r in got if r["p"] == p)
-        first = 100 if p == 1 else 0
-        assert [o for o, _ in mine] == list(range(first, first + len(mine)))
-        assert [t for _, t in mine] == sorted(t for _, t in mine)
-
-
-@pytest.mark.parametrize("kind", ["timestamp", "date", "double", "timestamp_ntz", "int"])
-def test_offsets_by_other_types(spark, kind):
-    source = spark.range(30).selectExpr("0 AS p", "id")
-    by = {
-        "timestamp": F.timestamp_seconds("id"),
-        "timestamp_ntz": F.timestamp_seconds("id").cast("timestamp_ntz"),
-        "date": F.date_from_unix_date(F.col("id").cast("int")),
-    }.get(kind, F.col("id").cast(kind))
-    got = dense_offsets(source.withColumn("k", by), "p", ["k"], rows_per_chunk=4).collect()
-    assert all(r["id"] == r["offset"] for r in got)
-
-
-def test_one_hot_partition_is_numbered_by_many_tasks(spark):
-    rows = spark.range(10_000).select((F.col("id") % 1).alias("p"), F.col("id").alias("t"))
-    numbered = dense_offsets(rows, "p", ["t"], rows_per_chunk=500)
-    assert numbered.where("t <> offset").count() == 0
-    plan = plan_of(numbered)
-    assert re.search(r"hashpartitioning\(p#\w+, _chunk#\w+", plan)
-    chunks = numbered.groupBy(F.spark_partition_id()).count().collect()
-    assert max(r["count"] for r in chunks) < 5_000
-
-
-def test_one_hot_value_is_split(spark):
-    """A third of the rows share the order value: they do not form one group."""
-    rows = spark.range(3_000).select(
-        F.lit(0).alias("p"), F.when(F.col("id") < 1000, 42).otherwise(F.col("id")).alias("t"), "id"
-    )
-    numbered = dense_offsets(rows, "p", ["t", "id"], rows_per_chunk=100)
-    got = sorted((r["offset"], r["t"]) for r in numbered.collect())
-    assert [o for o, _ in got] == list(range(3_000))
-    assert [t for _, t in got] == sorted(t for _, t in got)
-    assert "_split" in plan_of(numbered)
 
-
-def test_offsets_need_an_order(spark):
-    with pytest.raises(ValueError):
-        dense_offsets(spark.sql("SELECT 0 AS p, 'a' AS t"), "p", ["t"])
-
-
-def send(topic, batch_id, first, count):
-    df = topic.spark.range(first, first + count).select(
-        F.col("id").cast("string").alias("key"), F.lit("v").alias("value"), "id"
-    )
-    topic.append(df, batch_id, ["id"], F.col("id") % 2)
-
-
-def read(topic, *args, **kwargs):
-    got = topic.read(*args, streaming=False, **kwargs).collect()
+def read(spark, place, *args, **kwargs):
+    rows = spark.read.schema(ENVELOPE).parquet(place)
+    got = from_offsets(rows, "t", *args, **kwargs).collect()
     return sorted((r["partition"], r["offset"], int(r["key"])) for r in got)
 
 
-def test_offsets_go_on_over_batches_and_replays(spark, tmp_path):
-    topic = TopicTable(spark, str(tmp_path), "t", 2)
-    send(topic, 0, 0, 5)
-    send(topic, 1, 5, 4)
-    send(topic, 1, 5, 4)
-    send(topic, 0, 0, 5)
-    send(topic, 2, 9, 1)
-    assert read(topic) == sorted((k % 2, k // 2, k) for k in range(10))
-
-
-def test_old_offset_entries_are_removed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("sluiceworks.sources.topic._KEPT_ENTRIES", 2)
-    topic = TopicTable(spark, str(tmp_path), "t", 2)
-    for n in range(4):
-        send(topic, n, 2 * n, 2)
-    assert sorted(p.name for p in (tmp_path / "next").iterdir() if p.name[0] != ".") == [
-        f"{n:012d}" for n in (2, 3)
-    ]
-    assert read(topic) == sorted((k % 2, k // 2, k) for k in range(8))
-
-
-def test_replay_after_a_crash_before_the_offsets_were_noted(spark, tmp_path, monkeypatch):
-    topic = TopicTable(spark, str(tmp_path), "t", 2)
-    send(topic, 0, 0, 4)
-
-    def die(*_):
-        raise RuntimeError
-
-    with monkeypatch.context() as patched:
-        patched.setattr(topic._files, "publish_text", die)
-        with pytest.raises(RuntimeError):
-            send(topic, 1, 4, 4)
-    send(topic, 1, 4, 4)
-    send(topic, 2, 8, 2)
-    assert read(topic) == sorted((k % 2, k // 2, k) for k in range(10))
-
-
 def test_starting_and_ending_offsets(spark, tmp_path):
-    topic = TopicTable(spark, str(tmp_path), "t", 2)
-    send(topic, 0, 0, 10)
-    everything = read(topic)
-    assert read(topic, "earliest") == everything
-    assert read(topic, "latest") == []
-    assert read(topic, {"t": {"0": 3}}) == [r for r in everything if r[0] == 1 or r[1] >= 3]
-    assert read(topic, json.dumps({"t": {"0": -2, "1": -1}})) == [r for r in everything if r[0] == 0]
+    place = f"{tmp_path}/topic"
+    send(spark, place, 0, 10)
+    everything = read(spark, place)
+    ends = {0: 5, 1: 5}
+    assert everything == sorted((k % 2, k // 2, k) for k in range(10))
+    assert read(spark, place, "earliest") == everything
+    assert read(spark, place, "latest", latest=ends) == []
+    assert read(spark, place, {"t": {"0": 3}}) == [r for r in everything if r[0] == 1 or r[1] >= 3]
+    some = json.dumps({"t": {"0": -2, "1": -1}})
+    assert read(spark, place, some, latest=ends) == [r for r in everything if r[0] == 0]
     ending = {"t": {"0": 2, "1": -1}}
-    assert read(topic, "earliest", ending) == [r for r in everything if r[0] == 1 or r[1] < 2]
-    send(topic, 1, 10, 2)
-    assert read(topic, {"t": {"0": 5, "1": 5}}) == [(0, 5, 10), (1, 5, 11)]
+    assert read(spark, place, "earliest", ending) == [r for r in everything if r[0] == 1 or r[1] < 2]
+    for starting in ("latest", some):
+        with pytest.raises(ValueError, match="pinned_ends"):
+            read(spark, place, starting)
 
 
 def test_offset_filter_reaches_parquet(spark, tmp_path):
-    topic = TopicTable(spark, str(tmp_path), "t", 2)
-    send(topic, 0, 0, 10)
-    plan = plan_of(topic.read({"t": {"0": 3}}, streaming=False).select("value"))
+    send(spark, f"{tmp_path}/topic", 0, 10)
+    rows = spark.read.schema(ENVELOPE).parquet(f"{tmp_path}/topic")
+    plan = plan_of(from_offsets(rows, "t", {"t": {"0": 3}}).select("value"))
     assert "Or(Not(EqualTo(partition,0)),GreaterThanOrEqual(offset,3))" in plan
 
 
-def test_messages_without_partition_rule(spark, tmp_path):
-    topic = TopicTable(spark, str(tmp_path), "t", 3)
-    topic.append(encode_envelope(spark.range(50), value="id", keep=("id",)), 0, ["id"])
-    topic.append(encode_envelope(spark.range(50), "id", "id", keep=("id",)), 1, ["id"])
-    got = topic.read(streaming=False).collect()
-    assert {r["partition"] for r in got if r["key"] is None} == {0}
-    assert {r["partition"] for r in got if r["key"] is not None} == {0, 1, 2}
-    assert len({(r["partition"], r["offset"]) for r in got}) == 100
-
-
-def test_topic_as_a_stream_sees_new_batches_once(spark, tmp_path):
-    topic = TopicTable(spark, f"{tmp_path}/topic", "t", 2)
+def test_topic_as_a_stream_sees_new_messages_once(spark, tmp_path):
+    place = f"{tmp_path}/topic"
     for n in range(3):
-        send(topic, n, 10 * n, 10)
-        finish(start(topic.read().select("key"), f"{tmp_path}/checkpoint", f"{tmp_path}/out"))
+        send(spark, place, 10 * n, 10)
+        rows = from_offsets(append_stream(spark, place, ENVELOPE), "t").select("key")
+        finish(start(rows, f"{tmp_path}/checkpoint", f"{tmp_path}/out"))
     got = sorted(int(r["key"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == list(range(30))
 
 
+def test_a_restart_from_latest_returns_what_came_between(spark, tmp_path):
+    place = f"{tmp_path}/topic"
+    for n in range(3):
+        send(spark, place, 10 * n, 10)
+        ends = pinned_ends(spark, spark.read.parquet(place), "t", f"{tmp_path}/ends")
+        arriving = append_stream(spark, place, ENVELOPE)
+        rows = from_offsets(arriving, "t", "latest", latest=ends).select("key")
+        finish(start(rows, f"{tmp_path}/checkpoint", f"{tmp_path}/out"))
+    got = sorted(int(r["key"]) for r in spark.read.schema("key string").parquet(f"{tmp_path}/out").collect())
+    assert got == list(range(10, 30))
+
+
 def test_rate_counts_from_zero(spark, tmp_path):
     rows = rate_stream(spark, rows_per_batch=25, partitions=3)
     assert rows.columns == ["timestamp", "value"]

@@ -13,6 +13,7 @@ from sluiceworks.functions import (
     digest_projection,
     encode_envelope,
     equals_ignore_case,
+    matches_ignore_case,
     instants,
     register_functions,
     wall_clocks,
@@ -36,6 +37,13 @@ def test_equals_ignore_case_is_false_for_null(spark):
     assert got == [True, True, False, False]
 
 
+def test_filter_form_skips_nulls_in_the_scan(spark, tmp_path):
+    spark.sql("SELECT explode(array('View', 'x', null)) AS t").write.parquet(f"{tmp_path}/t")
+    kept = spark.read.parquet(f"{tmp_path}/t").where(matches_ignore_case("t", "vIEW"))
+    assert [r[0] for r in kept.collect()] == ["View"]
+    assert "PushedFilters: [IsNotNull(t)]" in plan_of(kept)
+
+
 def test_equals_ignore_case_runs_in_generated_code(spark):
     df = spark.range(5).select(F.col("id").cast("string").alias("t"))
     assert "Python" not in plan_of(df.where(equals_ignore_case("t", "3")))

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluiceworks.operators import hot_keys, interval_join, key_join, time_bin
+from sluiceworks.operators import hot_keys, interval_join, key_join, pinned_hot_keys, time_bin
 from sluiceworks.sources import append_stream
 from sluiceworks.streaming import finish, start
 from tests.conftest import plan_of
@@ -117,7 +117,7 @@ def batch_join(spark, left, right, lower, upper, how, hot=()):
         [(k, DAWN + timedelta(seconds=t), i) for k, t, i in right], "q int, u timestamp, j int"
     )
     span = (timedelta(seconds=lower), timedelta(seconds=upper))
-    return interval_join(a, b, [("k", "q")], "t", "u", *span, how, hot=hot, salts=3)
+    return interval_join(a, b, [("k", "q")], "t", "u", *span, how, hot=hot)
 
 
 times = st.lists(st.tuples(st.integers(0, 1), st.integers(-20, 20)), min_size=1, max_size=12)
@@ -130,12 +130,14 @@ times = st.lists(st.tuples(st.integers(0, 1), st.integers(-20, 20)), min_size=1,
     lower=st.integers(-6, 6),
     width=st.integers(0, 7),
     how=st.sampled_from(["inner", "left_outer"]),
-    hot=st.sampled_from([[], [(1,)], [(0,), (1,)], [(None,)], [(None,), (0,)]]),
+    hot=st.sampled_from([[], [((1,), 3, 2)], [((0,), 2, 1), ((1,), 1, 4)], [((5,), 2, 2)]]),
 )
 def test_equals_the_definition(spark, left, right, lower, width, how, hot):
     number = itertools.count()
     left = [(k, t, next(number)) for k, t in left]
     right = [(k, t, next(number)) for k, t in right]
+    if how == "left_outer":
+        hot = [(k, a, 1) for k, a, _ in hot]
     got = batch_join(spark, left, right, lower, lower + width, how, hot)
     found = sorted(((r["i"], r["j"]) for r in got.collect()), key=repr)
     assert found == brute(left, right, lower, lower + width, how == "left_outer")
@@ -150,17 +152,19 @@ def test_a_hot_key_is_spread_over_time(spark):
     assert "_bin_l" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-def test_hot_keys_are_the_frequent_ones(spark):
-    df = spark.range(300).select(
-        F.when(F.col("id") < 100, 7).when(F.col("id") < 200, None).otherwise(F.col("id")).alias("k"),
-        F.lit("x").alias("s"),
-    )
-    assert hot_keys(df, ["k"], 0.1) == [(7,), (None,)]
-    assert hot_keys(df, ["k", "s"], 0.1) == [(7, "x"), (None, "x")]
-    assert hot_keys(df, ["k"], 0.5) == []
-    assert hot_keys(df.limit(0), ["k"], 0.5) == []
-    with pytest.raises(ValueError):
-        hot_keys(df, ["k"], 0)
+def test_hot_keys_are_counted_on_both_sides(spark):
+    left = spark.range(300).select(F.when(F.col("id") < 100, 7).otherwise(F.col("id")).alias("k"))
+    right = spark.range(60).select(F.when(F.col("id") < 30, 8).otherwise(None).alias("q"))
+    keys = [("k", "q")]
+    assert hot_keys(left, right, keys, 25) == [((7,), 4, 1), ((8,), 1, 2)]
+    assert hot_keys(left, right, keys, 25, "left_outer") == [((7,), 4, 1)]
+    assert hot_keys(left, right, keys, 100) == []
+    assert hot_keys(left.limit(0), right.limit(0), keys, 1) == []
+
+
+def test_many_keys_just_above_the_size_are_all_found(spark):
+    left = spark.range(12_000).select((F.col("id") % 120).alias("k"))
+    assert len(hot_keys(left, left.toDF("q"), [("k", "q")], 99)) == 120
 
 
 def test_a_key_is_hot_within_a_bin(spark):
@@ -170,8 +174,30 @@ def test_a_key_is_hot_within_a_bin(spark):
         (F.col("id") % 2 + 1).alias("k"),
         F.timestamp_seconds(F.when(F.col("id") % 2 == 0, F.col("id") * 50).otherwise(0)).alias("t"),
     )
-    assert hot_keys(df, ["k"]) == [(1,), (2,)]
-    assert hot_keys(df, ["k"], within=time_bin("t", *span)) == [(2,)]
+    right, keys = df.toDF("q", "u"), [("k", "q")]
+    assert [h[0] for h in hot_keys(df, right, keys, 20)] == [(1,), (2,)]
+    assert hot_keys(df, right, keys, 20, "inner", time_bin("t", *span)) == [((2,), 10, 1)]
+
+
+def test_both_sides_hot(spark):
+    left = spark.range(600).select(F.lit(1).alias("k"), F.col("id").alias("i"))
+    right = spark.range(50).select(F.lit(1).alias("q"), F.col("id").alias("j"))
+    hot = hot_keys(left, right, [("k", "q")], 20)
+    assert hot == [((1,), 30, 3)]
+    joined = key_join(left, right, [("k", "q")], hot=hot)
+    assert joined.distinct().count() == joined.count() == 600 * 50
+    with pytest.raises(ValueError):
+        key_join(left, right, [("k", "q")], "left_outer", hot=hot)
+
+
+def test_a_changed_list_is_refused(spark, tmp_path):
+    place = f"{tmp_path}/keys"
+    first = [((1, "a"), 3, 1)]
+    assert pinned_hot_keys(spark, place, first) == first
+    assert pinned_hot_keys(spark, place) == first
+    assert pinned_hot_keys(spark, place, first) == first
+    with pytest.raises(ValueError, match="other hot keys"):
+        pinned_hot_keys(spark, place, [((2, "a"), 3, 1)])
 
 
 def test_bins_of_distant_times(spark):
@@ -196,15 +222,15 @@ def test_hot_key_in_one_bin_is_spread_and_stays_whole(spark):
     right = spark.createDataFrame([(-1, 1), (4, 2)], "q bigint, j int").withColumn(
         "u", F.timestamp_seconds(F.lit(1_700_000_003))
     )
-    hot = hot_keys(left, ["k"])
-    assert hot == [(-1,)]
+    hot = hot_keys(left, right, [("k", "q")], 100, "left_outer")
+    assert hot == [((-1,), 10, 1)]
     span = (timedelta(seconds=-60), timedelta(seconds=60))
     joined = interval_join(left, right, [("k", "q")], "t", "u", *span, "left_outer", hot=hot)
     assert joined.count() == 3000 and joined.where("j = 1").count() == 1000
     assert joined.where("j = 2").count() == 1
-    assert "_salt_l" in plan_of(joined)
+    assert "_cell_l" in plan_of(joined)
     two = [("k", "q"), ("i", "j")]
-    twice = interval_join(left, right, two, "t", "u", *span, "inner", hot=[(-1, 1), (4, 2)])
+    twice = interval_join(left, right, two, "t", "u", *span, "inner", hot=[((-1, 1), 2, 1), ((4, 2), 2, 2)])
     assert twice.count() == left.where("(k = -1 and i = 1) or (k = 4 and i = 2)").count()
 
 
@@ -218,7 +244,7 @@ def test_null_times_and_keys(spark):
 def test_key_join_on_streams(spark, ticks, tmp_path):
     left = ticks().select(F.col("value").alias("a"), "timestamp")
     right = ticks().select((F.col("value") % 50).alias("b"), F.col("value").alias("c"))
-    got = settle(key_join(left, right, [("a", "b")], hot=[(7,)], salts=3), tmp_path)
+    got = settle(key_join(left, right, [("a", "b")], hot=[((7,), 3, 2)]), tmp_path)
     assert got.count() == 200 and got.where("a <> b").count() == 0
 
 
@@ -275,7 +301,7 @@ def test_late_row_is_dropped_once_the_watermark_is_old(spark, tmp_path):
     assert sorted(r["l_k"] for r in got) == [1, 2, 3]
 
 
-@pytest.mark.parametrize("hot", [[], [(0,)]])
+@pytest.mark.parametrize("hot", [[], [((0,), 3, 1)]])
 def test_many_restarts_give_the_rows_of_one_run(spark, tmp_path, hot):
     """Input lands in five parts by time; each run restores its state from the checkpoint."""
     everything = spark.range(1200).select(

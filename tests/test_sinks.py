@@ -8,7 +8,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluiceworks.sources import append_stream, jdbc_table, rate_stream
+from sluiceworks.sources import (
+    FrameTable,
+    IncrementalReader,
+    append_stream,
+    jdbc_table,
+    rate_stream,
+)
 from sluiceworks.storage import SharedFiles, scratch_dir
 from sluiceworks.streaming import (
     InsertWriter,
@@ -34,11 +40,7 @@ def db(tmp_path):
     connection.execute(
         "CREATE TABLE random_stream (md5 TEXT, value INTEGER, hash INTEGER UNIQUE, timestamp TEXT)"
     )
-    connection.execute("CREATE TABLE plain (value INTEGER)")
-    connection.execute(
-        "CREATE TABLE ledger (query_name TEXT, epoch INTEGER, partition_no INTEGER,"
-        " PRIMARY KEY (query_name, epoch, partition_no))"
-    )
+    connection.execute("CREATE TABLE plain (value INTEGER UNIQUE)")
     connection.commit()
     connection.close()
     return path
@@ -104,9 +106,9 @@ def test_any_batch_split_gives_the_latest_row(spark, tmp_path_factory, data, cut
 def test_row_upsert_is_independent_of_order(spark, db, tmp_path):
     for n in (2, 0, 1):  # the newest part comes first
         append_batches(f"{tmp_path}/in")(feed(spark, 300 * n, 300 * n + 300, 3), n)
-        stream = append_stream(spark, f"{tmp_path}/in/batchId=*", feed(spark, 0, 1).schema)
+        stream = append_stream(spark, f"{tmp_path}/in/*/batchId=*", feed(spark, 0, 1).schema)
         writer = UpsertWriter(
-            connector(db), "random_stream", COLUMNS, ["hash"], batch_size=50, newest="value"
+            connector(db), "random_stream", COLUMNS, ["hash"], "value", batch_size=50
         )
         finish(
             start(stream, f"{tmp_path}/checkpoint", each_row=writer, output_mode="update")
@@ -159,9 +161,9 @@ def test_no_connection_for_an_empty_partition():
 def test_nothing_is_committed_after_an_error(writer_type):
     calls = Calls()
     if writer_type == "insert":
-        writer = InsertWriter(lambda: calls, "t", ["a"], "ledger", "q")
+        writer = InsertWriter(lambda: calls, "t", ["a"], ["a"], batch_size=1)
     else:
-        writer = UpsertWriter(lambda: calls, "t", ["a"], ["a"], batch_size=1)
+        writer = UpsertWriter(lambda: calls, "t", ["a"], ["a"], "a", batch_size=1)
     assert writer.open(0, 0)
     writer.process({"a": 1})
     writer.close(RuntimeError())
@@ -171,42 +173,94 @@ def test_nothing_is_committed_after_an_error(writer_type):
 def test_statements():
     args = ("t", ["k", "a", "n"], ["k"])
     assert upsert_statement(*args) == (
-        "INSERT INTO t (k, a, n) VALUES (?, ?, ?) "
-        "ON CONFLICT (k) DO UPDATE SET a = excluded.a, n = excluded.n"
+        'INSERT INTO "t" ("k", "a", "n") VALUES (?, ?, ?) '
+        'ON CONFLICT ("k") DO UPDATE SET "a" = excluded."a", "n" = excluded."n"'
     )
     assert upsert_statement(*args, dialect="on_duplicate_key", mark="%s") == (
-        "INSERT INTO t (k, a, n) VALUES (%s, %s, %s) "
-        "ON DUPLICATE KEY UPDATE a = VALUES(a), n = VALUES(n)"
+        "INSERT INTO `t` (`k`, `a`, `n`) VALUES (%s, %s, %s) "
+        "ON DUPLICATE KEY UPDATE `a` = VALUES(`a`), `n` = VALUES(`n`)"
     )
     assert upsert_statement(*args, dialect="on_duplicate_key", newest="a").endswith(
-        "UPDATE n = IF(VALUES(a) >= a, VALUES(n), n), a = IF(VALUES(a) >= a, VALUES(a), a)"
+        "UPDATE `n` = IF(VALUES(`a`) >= `a`, VALUES(`n`), `n`), "
+        "`a` = IF(VALUES(`a`) >= `a`, VALUES(`a`), `a`)"
     )
     assert upsert_statement(*args, dialect="merge", newest="n") == (
-        "MERGE INTO t t USING (SELECT ? AS k, ? AS a, ? AS n) s ON t.k = s.k "
-        "WHEN MATCHED AND s.n >= t.n THEN UPDATE SET a = s.a, n = s.n "
-        "WHEN NOT MATCHED THEN INSERT (k, a, n) VALUES (s.k, s.a, s.n)"
+        'MERGE INTO "t" t USING (SELECT ? AS "k", ? AS "a", ? AS "n") s ON t."k" = s."k" '
+        'WHEN MATCHED AND s."n" >= t."n" THEN UPDATE SET "a" = s."a", "n" = s."n" '
+        'WHEN NOT MATCHED THEN INSERT ("k", "a", "n") VALUES (s."k", s."a", s."n")'
     )
     with pytest.raises(ValueError):
         upsert_statement(*args, dialect="other")
 
 
+def test_statements_of_rows_that_are_all_key():
+    assert upsert_statement("t", ["k"], ["k"]).endswith('ON CONFLICT ("k") DO NOTHING')
+    assert upsert_statement("t", ["k"], ["k"], "on_duplicate_key").endswith("UPDATE `k` = `k`")
+    assert "WHEN MATCHED" not in upsert_statement("t", ["k"], ["k"], "merge")
+
+
+def test_odd_names(spark, tmp_path):
+    path = f"{tmp_path}/rows.db"
+    connection = sqlite3.connect(path)
+    connection.execute('CREATE TABLE "Order" ("timestamp" INTEGER UNIQUE, "Mixed Case" TEXT)')
+    connection.close()
+    rows = spark.range(5).selectExpr("id AS `timestamp`", "'x' AS `Mixed Case`")
+    write = database_upsert(connector(path), "Order", ["timestamp"], ["timestamp"])
+    write(rows, 0)
+    write(rows, 1)
+    assert stored(path, 'SELECT count(*), min("Mixed Case") FROM "Order"') == [(5, "x")]
+
+
 # ---- inserts ----------------------------------------------------------------------------
 
 
-def insert_all(spark, db, tmp_path, checkpoint):
-    schema = spark.read.parquet(f"{tmp_path}/in").schema
-    stream = append_stream(spark, f"{tmp_path}/in", schema)
-    writer = InsertWriter(connector(db), "plain", ["value"], "ledger", "q", batch_size=10)
-    finish(start(stream, f"{tmp_path}/{checkpoint}", each_row=writer))
+def test_a_repeated_epoch_in_other_partitions_adds_nothing(spark, db):
+    """The first try wrote a part of the rows; the second cuts them differently."""
+    for parts, wanted in ((4, "id % 2 = 0"), (7, "true")):
+        rows = spark.range(0, 100, 1, parts).where(wanted).withColumnRenamed("id", "value")
+        for part in range(parts):
+            writer = InsertWriter(connector(db), "plain", ["value"], ["value"], batch_size=10)
+            assert writer.open(part, 0)
+            for row in rows.where(F.spark_partition_id() == part).collect():
+                writer.process(row)
+            writer.close(None)
+    assert [v for v, in stored(db, "SELECT value FROM plain ORDER BY value")] == list(range(100))
 
 
-def test_insert_and_repeated_epoch(spark, db, tmp_path):
+def test_insert_from_a_stream(spark, db, tmp_path):
     spark.range(100).withColumnRenamed("id", "value").repartition(4).write.parquet(f"{tmp_path}/in")
-    insert_all(spark, db, tmp_path, "checkpoint")
-    insert_all(spark, db, tmp_path, "lost")  # the same epoch once more
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    for checkpoint in ("checkpoint", "lost"):
+        stream = append_stream(spark, f"{tmp_path}/in", schema)
+        writer = InsertWriter(connector(db), "plain", ["value"], ["value"], batch_size=10)
+        finish(start(stream, f"{tmp_path}/{checkpoint}", each_row=writer))
     assert [v for v, in stored(db, "SELECT value FROM plain ORDER BY value")] == list(range(100))
 
 
+def test_a_new_checkpoint_appends_to_the_same_table(spark, tmp_path):
+    sink = append_batches(f"{tmp_path}/rows")
+    for run in range(2):
+        rows = rate_stream(spark, rows_per_batch=20)
+        finish(start(rows, f"{tmp_path}/checkpoint-{run}", each_batch=sink))
+    got = read_batches(spark, f"{tmp_path}/rows", rows.schema)
+    assert Counter(r["value"] for r in got.collect()) == dict.fromkeys(range(20), 2)
+
+
+def test_new_logs_append_to_the_same_database_table(spark, tmp_path):
+    database = {"url": f"jdbc:derby:{tmp_path}/db;create=true", "driver": DERBY}
+    write = append_jdbc_batches(table="readings", **database)
+    for run in range(2):
+        rows = spark.range(10 * run, 10 * run + 10)
+        source = FrameTable(lambda rows=rows: rows, "id")
+        reader = IncrementalReader(spark, source, f"{tmp_path}/log-{run}")
+        batch = reader.next_batch()
+        reader.write(batch, write)
+        reader.write(batch, write)  # a replay
+        reader.commit(batch)
+    got = jdbc_table(spark, dbtable="readings", **database).collect()
+    assert sorted(r["id"] for r in got) == list(range(20))
+
+
 def test_database_append_replaces_a_replayed_batch(spark, tmp_path):
     database = {"url": f"jdbc:derby:{tmp_path}/db;create=true", "driver": DERBY}
     write = append_jdbc_batches(table="random_stream", **database)
