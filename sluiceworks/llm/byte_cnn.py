@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sluiceworks.llm.arrow_words import text_bytes
+from sluiceworks.llm.tables import modest_batches
 
 CHUNK = 256  # bytes
 STEP = 192  # from one chunk to the next
@@ -257,6 +258,7 @@ def _scored(model: ByteCnn, text: int):
 
 def add_score(docs: DataFrame, labels: DataFrame, name: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with the score of its text as one more column; see score_quality."""
+    modest_batches(docs.sparkSession)
     model = learn(docs, labels, rows)
     kind = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     return docs.mapInArrow(_scored(model, docs.columns.index("text")), kind)

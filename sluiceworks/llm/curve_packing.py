@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sluiceworks.llm.arrow_words import WordReader, mix
 from sluiceworks.llm.bpe_pieces import PieceEncoder
-from sluiceworks.llm.tables import partitions
+from sluiceworks.llm.tables import modest_batches, partitions
 
 DIMS = 4
 BITS = 15  # of each dimension; the key has DIMS * BITS
@@ -146,6 +146,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH)
     is packed like any other. An empty table gives no pieces. ``tokenizer`` is the path of a file
     of the tokenizers library on every executor. Columns other than doc_id and text aren't read.
     """
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     total = rows.count()
     n = max(1, min(partitions(docs.sparkSession), total // LEAST_ROWS))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceworks.llm.arrow_words import Chunk, WordReader
+from sluiceworks.llm.tables import modest_batches
 
 # fixed values: phrases that name a licence, and the label each stands for
 PHRASES = {
@@ -273,5 +274,6 @@ def scan_licenses(
     repeated rows are returned as they are. An empty table gives an empty result. Columns other
     than doc_id and text aren't read.
     """
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(_scanned(templates or TEMPLATES, phrases or PHRASES), KIND)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluiceworks.llm.arrow_words import Chunk, WordReader, mix
-from sluiceworks.llm.tables import release, stored
+from sluiceworks.llm.tables import modest_batches, release, stored
 
 BINS_BITS = 7
 BINS = 1 << BINS_BITS
@@ -348,6 +348,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     than doc_id and text aren't read.
     """
     spark = docs.sparkSession
+    modest_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     kind = "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>"
     sketches = stored(spark, docs.mapInArrow(_sketches(k), kind), "sketches")

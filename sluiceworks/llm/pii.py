@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceworks.llm.tables import stored
+from sluiceworks.llm.tables import modest_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -237,6 +237,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     other than doc_id and text aren't read.
     """
     spark = docs.sparkSession
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     scan = rows.withColumn("print", F.xxhash64("text")).mapInArrow(_scan, SCAN)
     scan = stored(spark, scan.withColumn("row", F.monotonically_increasing_id()), "scan")

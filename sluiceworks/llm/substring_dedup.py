@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from sluiceworks.llm.arrow_words import Chunk, WordReader, sliding_min, text_bytes
-from sluiceworks.llm.tables import release, stored, unused
+from sluiceworks.llm.tables import modest_batches, release, stored, unused
 
 WINDOW = 13
 GRAM = 5
@@ -270,6 +270,7 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     if n < GRAM:
         raise ValueError(f"a window has at least {GRAM} words")
     spark = docs.sparkSession
+    modest_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     real = texts.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn(
         "print", F.xxhash64("text")

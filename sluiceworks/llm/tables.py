@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from sluiceworks.storage import scratch_dir
 
 
+BATCH_ROWS = 1000
+
+
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` and read it back: later steps start from files, not from its lineage."""
     path = scratch_dir(spark, label)
@@ -28,6 +31,16 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Whole texts are large rows: have Spark hand at most BATCH_ROWS of them to Python at once.
+
+    The usual 10,000 would be tens of megabytes, held on both sides of every worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks of a shuffle, as the session wants them."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluiceworks.llm.bpe_pieces import PieceEncoder
-from sluiceworks.llm.tables import partitions, stored
+from sluiceworks.llm.tables import modest_batches, partitions, stored
 from sluiceworks.storage import file_system, scratch_dir
 
 MAGIC = b"SLUICE01"
@@ -174,6 +174,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> D
     first, and rows of one doc_id follow each other. Null and empty texts are just the end id. An
     empty table makes no files. The folder must be one that all executors share.
     """
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     n = partitions(docs.sparkSession)
     # quantiles of the ids alone, so that no text is read twice; n numbers at most

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,7 @@ from sluiceworks.llm.bpe_pieces import (
     UNKNOWN,
     byte_signs,
 )
+from sluiceworks.llm.tables import modest_batches
 
 ANY_TEXT = regex.compile(
     rf"{ENDINGS}| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+(?!\S)|\s+"
@@ -47,11 +49,16 @@ class TrieEncoder:
         self.bytes: dict[int, bytes] = {i: t for t, i in self.ids.items()}
         self.bytes |= {i: t.encode() for t, i in self.added.items()}
         self.longest = max(map(len, self.ids))
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.halves: dict[int, tuple[int, int]] = {}  # of each token that a merge makes
         for n, pair in enumerate(model["merges"]):
             a, b = (bytes(signs[c] for c in t) for t in (pair if isinstance(pair, list) else pair.split(" ")))
-            self.rank[self.ids[a], self.ids[b]] = (n, self.ids[a + b])
+            own = self.ids[a], self.ids[b]
+            self.rank[own] = n
+            self.halves[self.ids[a + b]] = own
         self.size = max(self.bytes) + 1
+        self.never = len(self.rank)
+        self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.stable: dict[int, bool] = {}
         self.cut_added = (
             re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
@@ -60,23 +67,37 @@ class TrieEncoder:
         )
         self.known: dict[str, bytes] = {}
 
-    def merged(self, text: bytes) -> list[int]:
-        """Tokens of a few bytes by repeated merges of the first pair of lowest rank."""
-        parts = [self.ids[text[i : i + 1]] for i in range(len(text))]
-        while len(parts) > 1:
-            ranked = [(*self.rank.get(p, (self.size, 0)), i) for i, p in enumerate(zip(parts, parts[1:]))]
-            n, token, i = min(ranked, key=lambda r: (r[0], r[2]))
-            if n == self.size:
-                break
-            parts[i : i + 2] = [token]
-        return parts
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens that stand at one end of a token while it is merged together, each with the
+        rank of the merge that takes it up; the token itself is never taken up."""
+        found = self.edges.get((token, side))
+        if found is None:
+            found, until = [], self.never
+            while True:
+                found.append((token, until))
+                if token not in self.halves:
+                    break
+                until = self.rank[self.halves[token]]
+                token = self.halves[token][side]
+            self.edges[found[0][0], side] = found
+        return found
 
     def stay(self, a: int, b: int) -> bool:
-        """Whether merging leaves these two tokens as they are when they stand side by side."""
+        """Whether merging leaves these two tokens as they are when they stand side by side.
+
+        It doesn't if, while they grow, two tokens meet at their border that a merge joins before
+        either is taken up. Of equal merges the one further left comes first.
+        """
         key = a * self.size + b
         found = self.stable.get(key)
         if found is None:
-            found = self.stable[key] = self.merged(self.bytes[a] + self.bytes[b]) == [a, b]
+            found, rank, firsts = True, self.rank, self._edge(b, 0)
+            for x, until_x in self._edge(a, 1):
+                for y, until_y in firsts:
+                    n = rank.get((x, y), self.never)
+                    if n < until_x and n <= until_y:
+                        found = False
+            self.stable[key] = found
         return found
 
     def walk(self, words: list[bytes]) -> Iterator[list[int]]:
@@ -119,7 +140,7 @@ class TrieEncoder:
                     new.update(p)
         missing = sorted((p.encode(), p) for p in new if p not in self.known)
         for (_, p), found in zip(missing, self.walk([b for b, _ in missing]), strict=True):
-            self.known[p] = np.array(found, "<u4").tobytes()
+            self.known[p] = array("I", found).tobytes()
         look = self.known.__getitem__
         for own in cut:
             yield b"".join(
@@ -133,7 +154,7 @@ class TrieEncoder:
         for t in texts:
             block.append(t or "")
             chars += len(block[-1])
-            if chars >= BLOCK_CHARS:
+            if chars >= 2 * BLOCK_CHARS:
                 yield from self._block(block)
                 block, chars = [], 0
         yield from self._block(block)
@@ -175,6 +196,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     result. ``tokenizer`` is the path of a byte-level file on every executor. Columns other than
     doc_id and text aren't read.
     """
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(_encoded(tokenizer), "doc_id long, ids binary")
 
