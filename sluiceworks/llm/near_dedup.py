@@ -7,9 +7,11 @@
 3. Bins are joined into bands. Members that share a band's value form a bucket.
 4. A bucket gives a star: an edge from its first member to each other one, so n - 1 pairs. Pairs whose
    sizes rule a link out are left away. Every other edge is confirmed on the full sets.
-5. Confirmed links are followed to components. A bucket whose members beyond the centres tried so far
-   still lie in several components gets more stars, with eight times the centres each round, over
-   members of different components only. So a bucket loses no link because its first centre was a poor one.
+5. Confirmed links are followed to components. Where a bucket still holds several, its first member
+   may have been a poor centre. The members of such buckets are entered again, under the rarest of
+   the shingles that several components have, as many as a link can't do without. These buckets get
+   stars too, with eight times the centres each round, over members of different components that
+   can be linked by the sizes of their sets and of what they share. So no link is lost.
 """
 
 from __future__ import annotations
@@ -253,23 +255,43 @@ def _fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _shared(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shared): how many shingles of a node also occur in another component.
+def _rare_entries(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, n_shingles, shared): nodes by the rarest shingles they share.
 
-    ``nodes`` has node and component. Components only merge later, so the count stays a bound.
+    Only shingles that occur in several components of ``nodes`` (node, n_shingles, component) can
+    be common to two of them. A link needs ``percent`` of a node's shingles, so of two linked nodes
+    each has, among its (such shingles - needed + 1) rarest in one order for all, one that the other
+    has there too. ``shared`` is what a node has from this one on: where it is the first that two
+    nodes share, they share no more than that. Components only merge later, so this stays true.
     """
     named = nodes.select(F.col("node").alias("doc_id"), "component")
     rows = sets.join(named, "doc_id").select("doc_id", "words", "component")
     rows = rows.mapInArrow(_unpacked, "node long, component long, shingle long")
     across = (
         rows.groupBy("shingle")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("df")
+        )
         .where("low <> high")
-        .select("shingle")
+        .select("shingle", "df")
     )
-    counted = rows.join(across, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
-    return nodes.select("node").join(counted, "node", "left").select(
-        "node", F.coalesce("shared", F.lit(0)).alias("shared")
+    own = Window.partitionBy("node")
+    ranked = (
+        rows.select("node", "shingle")
+        .join(across, "shingle")
+        .withColumn("shared", F.count("*").over(own))
+        .withColumn("rank", F.row_number().over(own.orderBy("df", "shingle")))
+    )
+    needed = F.ceil(F.col("n_shingles") * percent / 100)
+    return (
+        ranked.join(nodes.select("node", "n_shingles"), "node")
+        .where(F.col("rank") <= F.col("shared") - needed + 1)
+        .select(
+            F.col("shingle").alias("bucket"),
+            "node",
+            "n_shingles",
+            (F.col("shared") - F.col("rank") + 1).alias("shared"),
+        )
     )
 
 
@@ -390,8 +412,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     links = stored(spark, confirm(sets, tried, percent), "confirmed")
     labels = stored(spark, components(spark, links), "labels")
     left = _open_members(spark, left.drop("centre"), labels, percent)
-    shared = stored(spark, _shared(sets, left.select("node", "component").distinct()), "shared")
-    left, centres = left.join(shared, "node"), 2
+    nodes = left.select("node", "n_shingles", "component").distinct()
+    left, centres = stored(spark, _rare_entries(sets, nodes, percent), "rare"), 2
     while True:
         left = _open_members(spark, left, labels, percent)
         if left.isEmpty():
