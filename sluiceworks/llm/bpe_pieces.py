@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -29,7 +31,7 @@ BYTE_LEVEL = re.compile(
 )
 WORD_LEVEL = re.compile(rf"{ENDINGS}|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
 SPACES = " \n\t\r\v\f\xa0"  # all that UNKNOWN lets through
-MOST_KEPT = 200_000  # words remembered by a task; then it starts anew
+MOST_KEPT = 200_000  # pieces, and words, asked for last; as many of before
 BLOCK_CHARS = 1 << 20
 
 
@@ -40,30 +42,30 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class _Pieces(dict):
-    """Piece to packed ids, asked of the model when first needed."""
+class Remembered(dict):
+    """Answers of a function; of the rarely asked ones only as many as there is room for.
 
-    def __init__(self, model, code: str):
-        self.model, self.code = model, code
-        self.signs = {byte: sign for sign, byte in byte_signs().items()}
+    What was asked for since the last turn is kept over the next one.
+    """
 
-    def __missing__(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self.signs)
-        found = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        self[piece] = found
-        return found
+    def __init__(self, answer: Callable[[str], bytes]):
+        self.answer, self.before = answer, {}
 
+    def __missing__(self, key: str) -> bytes:
+        found = self.before.get(key)
+        if found is None:
+            found = self.answer(key)
+        if len(self) >= MOST_KEPT:
+            self.before = self.copy()
+            self.clear()
+        self[key] = found
+        return found
 
-class _Words(dict):
-    """Word to the packed ids of its pieces; ``before`` is what always stands before it."""
 
-    def __init__(self, pieces: _Pieces, cut: re.Pattern, before: str):
-        self.pieces, self.cut, self.before = pieces, cut, before
-
-    def __missing__(self, word: str) -> bytes:
-        own = self.cut.findall(self.before + word)
-        found = self[word] = b"".join(map(self.pieces.__getitem__, own))
-        return found
+def worker_memory() -> dict:
+    """A dict that lives as long as the Python worker, which runs one task after another."""
+    name = "_sluiceworks_worker_memory"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
 class PieceEncoder:
@@ -84,8 +86,25 @@ class PieceEncoder:
         elif spec["normalizer"] and self._word_level(spec):
             self.cut, self.lower = WORD_LEVEL, True
         if self.cut:
-            self.pieces = _Pieces(self.library.model, code)
-            self.words = _Words(self.pieces, self.cut, "" if self.lower else " ")
+            self.model, self.code = self.library.model, code
+            self.signs = {byte: sign for sign, byte in byte_signs().items()}
+            self.before = "" if self.lower else " "  # what stands before each word
+            self.pieces, self.words = Remembered(self._piece), Remembered(self._word)
+
+    @classmethod
+    def of_worker(cls, path: str) -> PieceEncoder:
+        """The one that this Python worker keeps for its tasks."""
+        memory = worker_memory()
+        if ("pieces", path) not in memory:
+            memory["pieces", path] = cls(path)
+        return memory["pieces", path]
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(self.signs)
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.cut.findall(self.before + word)))
 
     @staticmethod
     def _word_level(spec: dict) -> bool:
@@ -103,9 +122,6 @@ class PieceEncoder:
         if self.cut is None or UNKNOWN.search(text) or any(t in text for t in self.added):
             ids = self.library.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype=self.dtype).tobytes()
-        if len(self.words) > MOST_KEPT or len(self.pieces) > MOST_KEPT:
-            self.words.clear()
-            self.pieces.clear()
         if self.lower:  # white space parts words and is dropped
             return b"".join(map(self.words.__getitem__, text.lower().split()))
         if len(text.split()) != 1 + sum(map(text.count, SPACES)):  # runs of them, or at an end

@@ -245,12 +245,12 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ByteCn
     return train(texts, [r["quality"] for r in found], rates)
 
 
-def _scored(model: ByteCnn, text: int):
+def _scored(model: ByteCnn, text: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = model.score(*text_bytes(batch.column(text)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores)], [*batch.schema.names, "score"]
+                [*batch.columns, pa.array(scores)], [*batch.schema.names, name]
             )
 
     return run
@@ -261,7 +261,7 @@ def add_score(docs: DataFrame, labels: DataFrame, name: str, rows: int = SAMPLE_
     modest_batches(docs.sparkSession)
     model = learn(docs, labels, rows)
     kind = StructType([*docs.schema.fields, StructField(name, DoubleType())])
-    return docs.mapInArrow(_scored(model, docs.columns.index("text")), kind)
+    return docs.mapInArrow(_scored(model, docs.columns.index("text"), name), kind)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -31,6 +31,9 @@ KIND = (
 )
 
 
+KEYED = "doc_id long, text string, key long, part int"
+
+
 def project(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Grid place (documents x DIMS) of documents given by their words' hashes."""
     size = np.diff(bounds)
@@ -115,7 +118,7 @@ def pieces(n: int, offset: int, length: int) -> list[tuple[int, int, int, int]]:
 
 def _packed(path: str, end_id: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
+        encoder = PieceEncoder.of_worker(path)
         sequence, offset = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             out: list[tuple] = []
@@ -152,10 +155,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH)
     n = max(1, min(partitions(docs.sparkSession), total // LEAST_ROWS))
     some = rows if total <= BOUND_ROWS else rows.sample(BOUND_ROWS / total, seed=3)
     shares = [i / n for i in range(1, n)] or [0.5]
-    keys = some.mapInArrow(_keyed(np.zeros(0, np.int64)), "doc_id long, text string, key long, part int").select("key")
-    ends = keys.agg(F.percentile_approx("key", shares, 100 * n)).first()[0]
+    keys = some.mapInArrow(_keyed(np.zeros(0, np.int64)), KEYED)
+    weight = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 64  # ranges of equal work
+    ends = keys.agg(F.percentile("key", shares, weight)).first()[0]
     bounds = np.sort(np.array(ends or [], np.int64))
-    keyed = rows.mapInArrow(_keyed(bounds), "doc_id long, text string, key long, part int")
+    keyed = rows.mapInArrow(_keyed(bounds), KEYED)
     curve = keyed.repartitionById(n, F.col("part")).sortWithinPartitions(
         "key", "doc_id", F.xxhash64("text")
     )

@@ -231,7 +231,7 @@ def without(text: bytes, starts: list[int], n: int) -> tuple[bytes, int]:
     return b"".join(kept), sum(gone)
 
 
-def _removed(n: int, text_at: int):
+def _removed(n: int, text_at: int, names: tuple[str, str]):
     """The last column has the covers; it gives way to the numbers of words and of removed words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,7 @@ def _removed(n: int, text_at: int):
             columns[text_at] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(words, pa.int64()), pa.array(removed, pa.int64())],
-                [*batch.schema.names[:-1], "n_words", "n_removed"],
+                [*batch.schema.names[:-1], *names],
             )
 
     return run
@@ -339,4 +339,4 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     )
     new = unused(docs, "n_words"), unused(docs, "n_removed")
     kind = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in new]])
-    return both.mapInArrow(_removed(n, docs.columns.index("text")), kind)
+    return both.mapInArrow(_removed(n, docs.columns.index("text"), new), kind)

@@ -150,7 +150,7 @@ def _written(folder: str, tokenizer: str, end_id: int):
         part = TaskContext.get().partitionId()
         # a name for each attempt; only that of the attempt that counts gets into the list
         path, out = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.bits", None
-        encoder = PieceEncoder(tokenizer)
+        encoder = PieceEncoder.of_worker(tokenizer)
         for batch in batches:
             texts = (t.as_py() for t in batch.column(1))
             for doc_id, packed in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):

@@ -28,6 +28,7 @@ from sluiceworks.llm.bpe_pieces import (
     MOST_KEPT,
     UNKNOWN,
     byte_signs,
+    worker_memory,
 )
 from sluiceworks.llm.tables import modest_batches
 
@@ -65,7 +66,16 @@ class TrieEncoder:
             if self.added
             else None
         )
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # words asked for last
+        self.before: dict[str, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, path: str) -> TrieEncoder:
+        """The one that this Python worker keeps for its tasks."""
+        memory = worker_memory()
+        if ("trie", path) not in memory:
+            memory["trie", path] = cls(path)
+        return memory["trie", path]
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens that stand at one end of a token while it is merged together, each with the
@@ -130,14 +140,16 @@ class TrieEncoder:
         parts = [self.cut_added.split(t) if self.cut_added else [t] for t in texts]
         cut = [[p if p in self.added else self._pieces(p) for p in own] for own in parts]
         if len(self.known) > MOST_KEPT:
-            self.known.clear()
-        if len(self.stable) > MOST_KEPT:
+            self.before, self.known = self.known, {}
+        if len(self.stable) > 2 * MOST_KEPT:
             self.stable.clear()
         new: set[str] = set()
         for own in cut:
             for p in own:
                 if isinstance(p, list):
                     new.update(p)
+        new = {p for p in new if p not in self.known}
+        self.known.update((p, self.before[p]) for p in new if p in self.before)
         missing = sorted((p.encode(), p) for p in new if p not in self.known)
         for (_, p), found in zip(missing, self.walk([b for b, _ in missing]), strict=True):
             self.known[p] = array("I", found).tobytes()
@@ -167,7 +179,7 @@ class TrieEncoder:
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TrieEncoder(path)
+        encoder = TrieEncoder.of_worker(path)
         for batch in batches:
             ids = list(encoder.encode(t.as_py() for t in batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
@@ -177,7 +189,7 @@ def _encoded(path: str):
 
 def _decoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TrieEncoder(path)
+        encoder = TrieEncoder.of_worker(path)
         for batch in batches:
             texts = [encoder.decode(ids.as_py() or b"") for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
