@@ -1,0 +1,213 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from sluiceworks.llm import queries
+from sluiceworks.llm.bpe_pieces import PieceEncoder
+from sluiceworks.llm.curve_packing import BITS, DIMS, hilbert_key, pack, parts_of
+from sluiceworks.llm.token_files import (
+    TokenFile,
+    TokenWriter,
+    pack_bits,
+    read_digests,
+    token_folder,
+    unpack_bits,
+    width,
+    write_tokens,
+)
+from sluiceworks.llm.trie_bpe import TrieEncoder, decode, encode
+from tests.llm.conftest import SF, TEXTS, frame
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+PARTS = [*"abcdefghxyz  '\t\n.,-_#@0123456789éÉßñ\xa0²½ªЖ中文あ👍́​\x1c\x1f\x85 　ſǅİıΣσς"]
+PARTS += ["'s", "'re", " the", "ing", "<|endoftext|>", "<|startoftext|>", "<|end", "Hello", "  ", "!!", "don't"]
+
+
+@pytest.fixture(scope="module")
+def odd_texts():
+    rng = random.Random(5)
+    made = ["".join(rng.choices(PARTS, k=rng.randrange(40))) for _ in range(3000)]
+    return [*made, "", "a" * 3000, "ab" * 2000, " " * 3000, "é" * 1500]
+
+
+def ids_of(path, texts):
+    found = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    return [e.ids for e in found]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_pieces_give_the_ids_of_whole_texts(odd_texts, path, monkeypatch):
+    monkeypatch.setattr("sluiceworks.llm.bpe_pieces.MOST_KEPT", 500)
+    encoder = PieceEncoder(path)
+    assert encoder.cut is not None
+    assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(odd_texts)] == ids_of(path, odd_texts)
+    assert list(encoder.encode([None])) == [b""]
+
+
+def test_trie_gives_the_ids_of_whole_texts(odd_texts, monkeypatch):
+    monkeypatch.setattr("sluiceworks.llm.trie_bpe.MOST_KEPT", 500)
+    encoder, library = TrieEncoder(BYTES), Tokenizer.from_file(BYTES)
+    packed = list(encoder.encode(iter(odd_texts)))
+    want = ids_of(BYTES, odd_texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in packed] == want
+    assert [encoder.decode(b) for b in packed] == [library.decode(i, skip_special_tokens=False) for i in want]
+
+
+def merged(encoder, text):
+    """Tokens by the definition: the first pair of lowest rank again and again."""
+    made = {pair: token for token, pair in encoder.halves.items()}
+    parts = [encoder.ids[text[i : i + 1]] for i in range(len(text))]
+    while len(parts) > 1:
+        rank, i = min((encoder.rank.get(p, encoder.never), i) for i, p in enumerate(zip(parts, parts[1:])))
+        if rank == encoder.never:
+            break
+        parts[i : i + 2] = [made[parts[i], parts[i + 1]]]
+    return parts
+
+
+def test_pairs_that_stay():
+    encoder, rng = TrieEncoder(BYTES), random.Random(2)
+    every = list(encoder.ids.values())
+    short = [i for t, i in encoder.ids.items() if len(t) < 4]
+    for n in range(6000):
+        a, b = (rng.choice(every if n % 2 else short) for _ in range(2))
+        assert encoder.stay(a, b) == (merged(encoder, encoder.bytes[a] + encoder.bytes[b]) == [a, b])
+
+
+def test_encoding_and_decoding_of_the_table(spark, documents):
+    library = Tokenizer.from_file(BYTES)
+    for r in queries.op5_trie_bpe(spark, SF).collect():
+        ids = library.encode(documents[r["doc_id"]], add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_encoding_edge_cases(edge, nothing):
+    back = decode(encode(edge, BYTES), BYTES).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in back), key=repr) == sorted(
+        ((d, t or "") for d, t in TEXTS), key=repr
+    )
+    assert encode(nothing, BYTES).count() == decode(encode(nothing, BYTES), BYTES).count() == 0
+
+
+# ---- token files ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("size", [2, 3, 256, 257, 50_257, 65_536, 65_537, 200_000])
+def test_bits_round_trip(size):
+    ids = np.random.default_rng(size).integers(0, size, 1000).astype(np.uint32)
+    bits = width(size)
+    packed = pack_bits(ids, bits)
+    assert size <= 2**bits < 2 * size and len(packed) == -(-1000 * bits // 8)
+    assert unpack_bits(packed, bits, 1000).tolist() == ids.tolist()
+
+
+@pytest.mark.parametrize("size", [50_257, 100_000])
+def test_random_access(tmp_path, monkeypatch, size):
+    monkeypatch.setattr("sluiceworks.llm.token_files.BLOCK", 64)
+    monkeypatch.setattr("sluiceworks.llm.token_files.READ_IDS", 200)
+    rng = np.random.default_rng(1)
+    docs = [(None if i == 3 else i, rng.integers(0, size, n).astype("<u4")) for i, n in enumerate([5, 0, 300, 1, 64, 63, 700])]
+    writer = TokenWriter(f"{tmp_path}/a.bits", size)
+    for d, ids in docs:
+        writer.add(d, ids)
+    writer.close()
+    file = TokenFile(f"{tmp_path}/a.bits")
+    assert [(d, i.tolist()) for d, i in file.documents()] == [(d, i.tolist()) for d, i in docs]
+    every = np.concatenate([i for _, i in docs])
+    for _ in range(50):
+        a = int(rng.integers(0, len(every)))
+        n = int(rng.integers(0, len(every) - a + 1))
+        assert file.ids(a, n).tolist() == every[a : a + n].tolist()
+
+
+def test_files_of_the_table(spark, documents):
+    found = {r["doc_id"]: r for r in queries.op2_packed_token_files(spark, SF).collect()}
+    start = 0
+    for d, ids in zip(sorted(documents), ids_of(WORDS, [documents[d] for d in sorted(documents)]), strict=True):
+        ids = np.array([*ids, 1], "<u4")
+        r = found.pop(d)
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert not found
+
+
+def test_files_edge_cases(spark, edge, nothing):
+    files = write_tokens(edge, token_folder(spark), WORDS, 1)
+    assert all(r["path"].endswith(".bits") for r in files.collect())
+    found = read_digests(files).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted((d for d, _ in TEXTS), key=lambda d: (d is not None, d or 0))
+    assert [r["start"] for r in found] == np.cumsum([0, *[r["n_tokens"] for r in found]])[:-1].tolist()
+    assert read_digests(write_tokens(nothing, token_folder(spark), WORDS, 1)).count() == 0
+
+
+# ---- packing ----------------------------------------------------------------------------
+
+
+def check_pieces(rows, texts):
+    """``texts``: lists of ids by doc_id."""
+    places, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        places[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for d, ids in texts.items():
+        at = 0
+        for r in sorted(places.pop(d), key=lambda r: r["start"]):
+            part = np.array(ids[at : at + r["length"]], "<u4")
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(part.tobytes()))
+            at += r["length"]
+        assert at == len(ids)
+    assert not places
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 1024
+    return sequences
+
+
+def test_packing_of_the_table(spark, documents):
+    ids = dict(zip(documents, ids_of(BYTES, list(documents.values())), strict=True))
+    rows = queries.op4_curve_packing(spark, SF).collect()
+    sequences = check_pieces(rows, {d: [*i, 0] for d, i in ids.items()})
+    tokens = sum(len(i) + 1 for i in ids.values())
+    assert len(sequences) * 1024 - tokens < 1024
+
+
+def test_packing_edge_cases(spark, nothing):
+    once = {d: t for d, t in TEXTS if d not in (4, 7, None)}
+    ids = ids_of(BYTES, [t or "" for t in once.values()])
+    check_pieces(pack(frame(spark, list(once.items())), BYTES).collect(), {d: [*i, 0] for d, i in zip(once, ids)})
+    every = pack(frame(spark), BYTES)
+    assert every.where("start = 0").count() == len(TEXTS)
+    assert pack(nothing, BYTES).count() == 0
+
+
+def test_the_curve_visits_every_place_once_in_steps_of_one(monkeypatch):
+    monkeypatch.setattr("sluiceworks.llm.curve_packing.BITS", 3)
+    grid = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
+    keys = hilbert_key(grid)
+    assert sorted(keys.tolist()) == list(range(512))
+    steps = np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(axis=1)
+    assert (steps == 1).all()
+    assert BITS * DIMS <= 62
+
+
+def test_a_hot_key_goes_to_several_ranges():
+    bounds = np.array([3, 7, 7, 7, 9])
+    keys = np.array([1, 3, 5, 8, 9, 12, *[7] * 400])
+    parts = parts_of(keys, np.arange(len(keys)), bounds)
+    assert parts[2] == 1 and parts[3] == 4 and parts[5] == 5 and parts[0] == 0
+    assert set(parts[6:].tolist()) == {1, 2, 3, 4}
