@@ -30,8 +30,10 @@ BYTE_LEVEL = re.compile(
     rf"{ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
 )
 WORD_LEVEL = re.compile(rf"{ENDINGS}|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
-SPACES = " \n\t\r\v\f\xa0"  # all that UNKNOWN lets through
-MOST_KEPT = 200_000  # pieces, and words, asked for last; as many of before
+# white space that UNKNOWN lets through: what may part words, runs of it, and the rest
+RUNS = ("  ", " \n", "\n ", "\n\n")
+RARE_SPACES = "\t\r\v\f\xa0"
+MOST_KEPT = 150_000  # words asked for last; as many of before are kept too
 BLOCK_CHARS = 1 << 20
 
 
@@ -89,6 +91,7 @@ class PieceEncoder:
             self.model, self.code = self.library.model, code
             self.signs = {byte: sign for sign, byte in byte_signs().items()}
             self.before = "" if self.lower else " "  # what stands before each word
+            self.spelled_before = self.before.encode().decode("latin-1").translate(self.signs)
             self.pieces, self.words = Remembered(self._piece), Remembered(self._word)
 
     @classmethod
@@ -104,7 +107,17 @@ class PieceEncoder:
         return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.cut.findall(self.before + word)))
+        if word.isalpha():  # one piece
+            if not word.isascii():
+                return self._piece(self.before + word)
+            found = self.model.tokenize(self.spelled_before + word)
+            return array(self.code, [t.id for t in found]).tobytes()
+        n, out = len(self.before), []
+        for piece in self.cut.findall(self.before + word):
+            rest = piece[n:]
+            own = piece[:n] == self.before and rest.isalpha()
+            out.append(self.words[rest] if own else self.pieces[piece])
+        return b"".join(out)
 
     @staticmethod
     def _word_level(spec: dict) -> bool:
@@ -124,7 +137,8 @@ class PieceEncoder:
             return np.array(ids, dtype=self.dtype).tobytes()
         if self.lower:  # white space parts words and is dropped
             return b"".join(map(self.words.__getitem__, text.lower().split()))
-        if len(text.split()) != 1 + sum(map(text.count, SPACES)):  # runs of them, or at an end
+        odd = any(r in text for r in RUNS) or any(c in text for c in RARE_SPACES)
+        if odd or text != text.strip():
             return b"".join(map(self.pieces.__getitem__, self.cut.findall(text)))
         # a single space goes with the word after it
         first, *words = text.split(" ")

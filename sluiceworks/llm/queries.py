@@ -17,6 +17,7 @@ from sluiceworks.llm.curve_packing import pack
 from sluiceworks.llm.hamming_search import nearest, sign_code
 from sluiceworks.llm.license_scan import scan_licenses
 from sluiceworks.llm.near_dedup import near_duplicates
+from sluiceworks.llm.oracle import ORACLE
 from sluiceworks.llm.pii import KINDS, find_personal_data
 from sluiceworks.llm.quality_rules import judge
 from sluiceworks.llm.substring_dedup import remove_repeats
@@ -127,6 +128,8 @@ def op10_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -142,23 +145,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_byte_cnn_quality,
     )
 }
-
-_CODES = """
-    SELECT vec_id, list_transform(range(1, 65), i -> coalesce(embedding[i], 0) > 0) AS signs
-    FROM embeddings
-"""
-
-ORACLE: dict[str, str] = {
-    "op6_hamming_top_k": f"""
-        WITH codes AS ({_CODES}),
-        pairs AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
-                   len(list_filter(range(1, 65), i -> q.signs[i] <> c.signs[i])) AS distance
-            FROM codes q, codes c WHERE q.vec_id % 20 = 0),
-        ranked AS (
-            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
-            FROM pairs)
-        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
-        FROM ranked WHERE rank <= 10
-    """,
-}
