@@ -18,6 +18,7 @@ RUN = 5  # words of a repeated window
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # percent of words in repeated windows
 WIDTH = 6  # spreads between a quartile and its fence
+MOST_GROUPS = 50_000  # groups whose fences go to every task, about 10 MB; more are joined by shuffles
 # per measure: the least spread between the quartiles, and whether low values fail too
 MEASURES = {"length": (100, True), "symbols": (10, False), "repeats": (25, False)}
 WIDEN = 6000  # a text of n words may exceed a fence on word length by WIDEN / sqrt(n)
@@ -155,6 +156,9 @@ def judge(docs: DataFrame) -> DataFrame:
     }.items():
         rows = rows.withColumn(name, F.expr(value))
     limits = fences(rows.where("NOT base_failed")).withColumnRenamed("key", "group")
+    limits = stored(docs.sparkSession, limits, "fences")
+    if limits.count() <= MOST_GROUPS:  # then a large group's texts stay where they are
+        limits = F.broadcast(limits)
     joined = rows.join(limits, rows["key"] == limits["group"], "left")
     beyond = F.lit(False)
     for m, (_, both) in MEASURES.items():
