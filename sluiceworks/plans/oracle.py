@@ -110,6 +110,7 @@ ORACLE: dict[str, str] = {
     "incr_restart": _ORDERS_IN_TWO,
     "incr_bounded": "SELECT * FROM orders",
     "incr_jdbc": _ORDERS_IN_TWO,
+    "incr_bounded_jdbc": "SELECT *, true AS several FROM orders",
     "stream_jdbc": "SELECT * FROM events",
     "join_inner_key": """
         SELECT o_orderkey, o_custkey, o_totalprice, c_custkey, c_name

@@ -396,6 +396,26 @@ def incr_jdbc(spark, sf):
     return wall_clocks(read_batches(spark, f"{place}/rows", orders.schema))
 
 
+def incr_bounded_jdbc(spark, sf):
+    """Embedded database: the backlog in batches of at most a seventh, cut by a histogram there."""
+    orders = instants(table(spark, sf, "orders"))
+    database = _derby(spark, "derby")
+    orders.write.format("jdbc").options(dbtable="orders", **database).save()
+    place = scratch_dir(spark, "incremental")
+    reader = jdbc_stream(
+        spark,
+        f"{place}/log",
+        dbtable="orders",
+        offsetColumn="O_OrderKey",
+        numPartitions="4",
+        maxRowsPerBatch=str(max(1, orders.count() // 7)),
+        **database,
+    )
+    batches = reader.run(append_batches(f"{place}/rows"))
+    rows = wall_clocks(read_batches(spark, f"{place}/rows", orders.schema))
+    return rows.drop("batchId").withColumn("several", F.lit(batches >= 7))
+
+
 def stream_jdbc(spark, sf):
     """Embedded database: the events arrive in SQLite in two parts, a stream reads each.
 
@@ -912,6 +932,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incr_restart": incr_restart,
     "incr_bounded": incr_bounded,
     "incr_jdbc": incr_jdbc,
+    "incr_bounded_jdbc": incr_bounded_jdbc,
     "stream_jdbc": stream_jdbc,
     "join_inner_key": join_inner_key,
     "join_inner_interval": join_inner_interval,

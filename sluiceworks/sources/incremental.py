@@ -144,6 +144,27 @@ class JdbcTable:
         )
         return row.load().toDF("lo", "hi")
 
+    def ends(self, wanted: OffsetRange) -> tuple[int | None, int | None]:
+        """Smallest and largest offset of a range of whole numbers, from the database."""
+        c = self._quoted(self.column)
+        above = ">=" if wanted.start_inclusive else ">"
+        where = f"{c} {above} {int(wanted.start)} AND {c} <= {int(wanted.end)}"
+        query = f"SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {self.dbtable} WHERE {where}"
+        row = self._reader().option("query", query).load().first()
+        return row[0], row[1]
+
+    def bins(self, low: int, high: int, step: int) -> DataFrame:
+        """Rows, smallest and largest offset in each ``step`` of whole numbers from ``low`` to
+        ``high``, counted by the database."""
+        c = self._quoted(self.column)
+        start = f"({c} - MOD({c} - {low}, {step}))"
+        query = (
+            f"SELECT {start} AS bin, COUNT(*) AS n, MIN({c}) AS lo, MAX({c}) AS hi "
+            f"FROM {self.dbtable} WHERE {c} >= {low} AND {c} <= {high} GROUP BY {start}"
+        )
+        found = self._reader().option("query", query).load().toDF("bin", "n", "from", "to")
+        return found.withColumn("end", F.col("to").cast("string"))
+
     def scan(self, wanted: OffsetRange) -> DataFrame:
         reader = self._reader()
         if self.num_partitions > 1 and self.split_column is not None:
@@ -331,33 +352,41 @@ class IncrementalReader:
         else:
             raise ValueError(f"max_rows_per_batch needs a numeric or time offset, not {kind}")
         whole = not isinstance(kind, (T.FractionalType, T.DecimalType))
-        df = self.table.scan(wanted).select(
-            column.alias("offset"), position.cast("bigint" if whole else "double").alias("x")
-        )
-        while True:
+        asked = isinstance(kind, T.IntegralType) and hasattr(self.table, "bins")
+        if asked:  # only the histogram leaves the database
+            low, high = self.table.ends(wanted)
+        else:
+            df = self.table.scan(wanted).select(
+                column.alias("offset"), position.cast("bigint" if whole else "double").alias("x")
+            )
             low, high = df.agg(F.min("x"), F.max("x")).first()
+        while True:
             if low == high:
                 return [wanted.end]
-            if whole:  # exact beyond 2**53
-                step = (high - low) // bins + 1
-                nth = F.call_function("div", F.col("x") - F.lit(low), F.lit(step))
+            step = (high - low) // bins + 1 if whole else None  # exact beyond 2**53
+            if asked:
+                counts = self.table.bins(low, high, step).orderBy("bin").collect()
             else:
-                share = (F.col("x") - low) * (bins / (high - low))
-                nth = F.least(F.floor(share), F.lit(bins - 1))
-            counts = (
-                df.groupBy(nth.alias("bin"))
-                .agg(
-                    F.count("*").alias("n"),
-                    _text(F.max("offset"), kind).alias("end"),
-                    F.min("x").alias("from"),
-                    F.max("x").alias("to"),
+                if whole:
+                    nth = F.call_function("div", F.col("x") - F.lit(low), F.lit(step))
+                else:
+                    share = (F.col("x") - low) * (bins / (high - low))
+                    nth = F.least(F.floor(share), F.lit(bins - 1))
+                counts = (
+                    df.where(F.col("x").between(low, high))
+                    .groupBy(nth.alias("bin"))
+                    .agg(
+                        F.count("*").alias("n"),
+                        _text(F.max("offset"), kind).alias("end"),
+                        F.min("x").alias("from"),
+                        F.max("x").alias("to"),
+                    )
+                    .orderBy("bin")
+                    .collect()
                 )
-                .orderBy("bin")
-                .collect()
-            )
             first = counts[0]
             if first["n"] > self.max_rows and first["from"] < first["to"]:
-                df = df.where(F.col("x") <= first["to"])
+                low, high = first["from"], first["to"]
                 wanted = OffsetRange(
                     wanted.column, wanted.start, first["end"], wanted.start_inclusive
                 )
