@@ -27,6 +27,8 @@ from sluiceworks.llm.tables import release, stored, unused
 # Tasks get the package's functions by value, so workers need no copy of it on their path.
 cloudpickle.register_pickle_by_value(sluiceworks)
 
+SIMILAR = 80
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier doesn't reject, learned from the table ``labels``.
@@ -41,9 +43,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id, of repeated rows one.
 
+    Documents are near copies if they have SIMILAR percent of their five-word shingles in common.
     Texts without words and rows without doc_id are no copies of anything and stay.
     """
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id")
+    kept = near_duplicates(docs, percent=SIMILAR).where("kept AND doc_id IS NOT NULL").select("doc_id")
     named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
     first = F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit("")))
     one = named.groupBy("doc_id").agg(first.alias("_row")).select("_row.*")
