@@ -266,11 +266,11 @@ def scan_licenses(
 
     Words are runs of ASCII letters and digits, A-Z lowered, and of characters beyond ASCII.
     The texts of ``templates`` (by label) and the ``phrases`` (with their labels) are such words with
-    spaces between; a phrase has two at least. n_base counts the places where the words of a phrase stand consecutively,
-    first_word and last_word are the smallest and largest start, counted from 0, else null.
-    base_labels has the labels of these, labels also those of templates of which a chain covers
-    LEAST_SHARE, both distinct, sorted and joined by commas. score is 1 with a phrase, else the
-    largest share covered. Null and empty texts have no words and score 0. Null doc_ids and
+    spaces between; a phrase has two at least. n_base counts the places where the words of a phrase
+    stand consecutively, first_word and last_word are the smallest and largest start, counted from 0,
+    else null. base_labels has the labels of these, labels also those of templates of which a chain
+    covers LEAST_SHARE, both distinct, sorted and joined by commas. score is 1 with a phrase, else
+    the largest share covered. Null and empty texts have no words and score 0. Null doc_ids and
     repeated rows are returned as they are. An empty table gives an empty result. Columns other
     than doc_id and text aren't read.
     """

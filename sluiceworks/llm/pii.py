@@ -36,7 +36,10 @@ QUAD = re.compile(r"[0-9]+(?:\.[0-9]+(?:\.[0-9]+(?:\.[0-9]+)?)?)?")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WEAK = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:@|\(at\)|\[at\])[A-Za-z0-9-]{1,64}(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]{1,64}){0,8}"),
+    "email": re.compile(
+        r"[A-Za-z0-9._%+-]{1,64}(?:@|\(at\)|\[at\])[A-Za-z0-9-]{1,64}"
+        r"(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]{1,64}){0,8}"
+    ),
     "ip": re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])"),
     "card": re.compile(r"(?<![0-9A-Za-z])[0-9](?:[\x20-]?[0-9]){11,18}(?![0-9A-Za-z])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}(?![0-9A-Za-z])"),
@@ -125,7 +128,11 @@ MENTION = pa.struct(
         ("instance", pa.string()),
     ]
 )
-SCAN = "doc_id long, print long, counts array<long>, base string, mentions array<struct<kind:int,start:long,end:long,seed:boolean,context:string,instance:string>>"
+SPAN = "struct<start:long,kind:int,end:long>"
+SCAN = (
+    "doc_id long, print long, counts array<long>, base string, mentions array<struct<kind:int,"
+    "start:long,end:long,seed:boolean,context:string,instance:string>>"
+)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,10 +260,13 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     plain = F.transform(
         F.filter("mentions", lambda m: m.seed), lambda m: F.struct(m.start, m.kind, m.end)
     )
-    every = F.array_sort(F.concat(plain, F.coalesce("more", F.array().cast("array<struct<start:long,kind:int,end:long>>"))))
+    added = F.coalesce("more", F.array().cast(f"array<{SPAN}>"))
+    every = F.array_sort(F.concat(plain, added))
     text = F.transform(
         every,
-        lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")),
+        lambda s: F.concat_ws(
+            ":", F.element_at(names, s["kind"] + 1), *[s[c].cast("string") for c in ("start", "end")]
+        ),
     )
     return scan.join(more, "row", "left").select(
         "doc_id", "print", "counts", "base", F.array_join(text, ",").alias("spans")

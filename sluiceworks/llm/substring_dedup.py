@@ -276,9 +276,8 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
         "print", F.xxhash64("text")
     )
     anchors = real.mapInArrow(_anchors(n), "anchor long, doc_id long, print long")
-    recurring = stored(
-        spark, anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors"
-    )
+    counted = anchors.groupBy("anchor").agg(F.count("*").alias("n"))
+    recurring = stored(spark, counted.where("n > 1").select("anchor"), "anchors")
     release(spark)
     hits = anchors.join(recurring, "anchor").groupBy("doc_id", "print").agg(
         F.collect_list("anchor").alias("hits")
@@ -294,10 +293,9 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     rows = stored(
         spark, pieces.groupBy(*grouped).agg(F.first("words").alias("words"), *ends), "distinct"
     )
+    counted = rows.groupBy("anchor").agg(F.count("*").alias("n"))
     crowded = stored(
-        spark,
-        rows.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > MOST_STRETCHES).select("anchor"),
-        "crowded",
+        spark, counted.where(F.col("n") > MOST_STRETCHES).select("anchor"), "crowded"
     )
     if not crowded.isEmpty():
         single = pieces.join(crowded, "anchor").select("doc_id", "print", "pos", "words").mapInArrow(
