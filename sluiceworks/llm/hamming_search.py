@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceworks.llm.tables import release, stored
+from sluiceworks.llm.tables import partitions, release, stored
 
 BITS = 64
 
@@ -86,9 +86,13 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int, width: int | None = No
     for r in range(width + 1):
         if open_.isEmpty():
             break
-        masks = F.explode(F.array(*[F.lit(m).cast("long") for m in flips(width, r)]))
+        text = ",".join(map(str, flips(width, r)))
+        masks = F.explode(F.split(F.lit(text), ",").cast("array<bigint>"))
+        # a query has thousands of probes, which its size doesn't show: deal them out beforehand,
+        # and never broadcast them
         probes = (
-            open_.select(
+            open_.repartition(partitions(spark), "query")
+            .select(
                 "query",
                 "bound",
                 F.posexplode(F.array(*[_segment("query", s, width) for s in range(segments)])).alias(
@@ -100,7 +104,8 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int, width: int | None = No
         )
         # nothing beyond the k-th entry so far can get into the answer
         hits = (
-            probes.join(index, ["segment", "value"])
+            probes.hint("merge")
+            .join(index, ["segment", "value"])
             .withColumn("distance", F.expr("bit_count(query ^ code)"))
             .where("distance <= bound")
             .select("query", F.struct("distance", "least", "members", "code").alias("hit"))
