@@ -8,7 +8,6 @@ group of copies to several, and sorts each; a partition fills its sequences in t
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +25,9 @@ BITS = 15  # of each dimension; the key has DIMS * BITS
 LENGTH = 1024
 LEAST_ROWS = 1000  # documents of a range on average, so that its one unfilled sequence is little
 BOUND_ROWS = 20_000  # documents whose keys set the bounds of the ranges, drawn from all
-KIND = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-)
-
+MOST_IDS = 1 << 20  # about as many are held before they are handed on
+PLACES = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"]
+KIND = ", ".join(f"{c} long" for c in PLACES) + ", ids binary"
 
 KEYED = "doc_id long, text string, key long, part int"
 
@@ -116,25 +114,37 @@ def pieces(n: int, offset: int, length: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def _batch(rows: list[tuple], ids: list[np.ndarray]) -> pa.RecordBatch:
+    """Pieces by PLACES and their ids, which follow each other without a gap."""
+    places = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * len(PLACES))]
+    data = np.concatenate(ids) if ids else np.zeros(0, "<u4")
+    ends = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([4 * row[2] for row in rows], out=ends[1:])
+    packed = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([*places, packed], [*PLACES, "ids"])
+
+
 def _packed(path: str, end_id: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder.of_worker(path)
         sequence, offset = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             out: list[tuple] = []
+            held: list[np.ndarray] = []
+            n_held = 0
             texts = (t.as_py() for t in batch.column(1))
             for doc_id, packed in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
                 ids = np.append(np.frombuffer(packed, encoder.dtype), end_id).astype("<u4")
                 for start, take, step, at in pieces(len(ids), offset, length):
-                    crc = zlib.crc32(ids[start : start + take].tobytes())
-                    out.append((doc_id, start, take, crc, len(ids), sequence + step, at))
+                    out.append((doc_id, start, take, len(ids), sequence + step, at))
                 done = offset + len(ids)
                 sequence, offset = sequence + done // length, done % length
-            columns = list(zip(*out, strict=True)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
-            )
+                held.append(ids)
+                n_held += len(ids)
+                if n_held >= MOST_IDS:
+                    yield _batch(out, held)
+                    out, held, n_held = [], [], 0
+            yield _batch(out, held)
 
     return run
 
@@ -144,10 +154,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH)
 
     A document is its ids and ``end_id``; it is cut where a sequence is full, so only the last
     sequence of each partition is not. A piece has doc_id, start (the document's ids before it),
-    length, ids_crc32, doc_tokens, sequence_id and offset (its first token's place there). Null and
-    empty texts are just the end id; so is each repeated row a document of its own. A null doc_id
-    is packed like any other. An empty table gives no pieces. ``tokenizer`` is the path of a file
-    of the tokenizers library on every executor. Columns other than doc_id and text aren't read.
+    length, ids_crc32, doc_tokens, sequence_id, offset (its first token's place there) and ids, its
+    tokens as little-endian 32-bit numbers; ids_crc32 is the CRC of these bytes. The ids of a
+    sequence's pieces, by offset, are the sequence. Null and empty texts are just the end id; so is
+    each repeated row a document of its own. A null doc_id is packed like any other. An empty table
+    gives no pieces. ``tokenizer`` is the path of a file of the tokenizers library on every executor.
+    Columns other than doc_id and text aren't read.
     """
     modest_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -163,4 +175,5 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH)
     curve = keyed.repartitionById(n, F.col("part")).sortWithinPartitions(
         "key", "doc_id", F.xxhash64("text")
     )
-    return curve.select("doc_id", "text").mapInArrow(_packed(tokenizer, end_id, length), KIND)
+    filled = curve.select("doc_id", "text").mapInArrow(_packed(tokenizer, end_id, length), KIND)
+    return filled.select(*PLACES[:3], F.crc32("ids").alias("ids_crc32"), *PLACES[3:], "ids")

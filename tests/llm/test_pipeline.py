@@ -100,3 +100,10 @@ def test_the_pipeline_runs_whole(spark):
     packed = corpus_pipeline.run(spark, SF)
     assert packed.columns[:2] == ["doc_id", "start"]
     assert packed.agg(F.countDistinct("doc_id")).first()[0] > 100
+
+
+def test_the_pipeline_ends_with_tokens(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    last = dict(corpus_pipeline.STAGES)["packing"](spark, docs, SF)
+    assert last.where("octet_length(ids) <> 4 * length OR crc32(ids) <> ids_crc32").isEmpty()
+    assert last.where("start = 0").count() == 20 and dict(last.dtypes)["ids"] == "binary"

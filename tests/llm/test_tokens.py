@@ -195,6 +195,22 @@ def test_packing_edge_cases(spark, nothing):
     assert pack(nothing, BYTES).count() == 0
 
 
+def test_pieces_hold_their_ids(spark, monkeypatch):
+    monkeypatch.setattr("sluiceworks.llm.curve_packing.MOST_IDS", 50)
+    rows = pack(frame(spark, [(d, t) for d, t in TEXTS if d not in (4, 7, None)]), BYTES).collect()
+    texts = {d: t or "" for d, t in TEXTS if d not in (4, 7, None)}
+    want = {d: [*i, 0] for d, i in zip(texts, ids_of(BYTES, list(texts.values())), strict=True)}
+    got, sequences = defaultdict(list), defaultdict(list)
+    for r in sorted(rows, key=lambda r: r["start"]):
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        assert (len(ids), zlib.crc32(r["ids"])) == (r["length"], r["ids_crc32"])
+        got[r["doc_id"]] += ids
+        sequences[r["sequence_id"]].append((r["offset"], ids))
+    assert got == want
+    assert sorted(len(i) for own in sequences.values() for _, i in own) == sorted(r["length"] for r in rows)
+    assert all(sum(len(i) for _, i in own) <= 1024 for own in sequences.values())
+
+
 def test_the_curve_visits_every_place_once_in_steps_of_one(monkeypatch):
     monkeypatch.setattr("sluiceworks.llm.curve_packing.BITS", 3)
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
