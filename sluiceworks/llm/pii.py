@@ -1,14 +1,17 @@
 """Personal data: patterns for the plain forms, and contexts learned from them for the others.
 
 1. One pass finds every plain form (the seeds) and every weak form: something that looks like an
-   identifier but fails a rule, as a phone number without its "+". Each comes with its context, the
-   word before it.
-2. A context's confidence for a kind is the score of the distinct instances that follow it, against
-   all the times the word occurs in the corpus. A weak instance's score follows from the confidence of
-   all its contexts. Both are computed in turn, ROUNDS times, as joins and sums over the graph of
-   contexts and instances. So "tel" becomes a context of phone numbers, and "the" doesn't, however
-   many numbers follow it.
-3. A weak instance whose score reaches ACCEPT is personal data wherever it stands.
+   identifier but fails a rule, as a phone number without its "+". Each comes with its patterns: the
+   one to three tokens (words, numbers, signs) before it, as far as there is a word in them.
+2. A pattern's confidence for a kind is the share of seeds and accepted forms among the distinct
+   forms of the kind that follow it. A weak form's score follows from the confidence of its patterns,
+   of those that end with the same word the best. Forms whose score reaches ACCEPT are accepted and
+   count in the next of ROUNDS rounds, so patterns without any seed are found from them: if numbers
+   after "tel:" are accepted and stand after "mobil:" too, so are the others after "mobil:".
+3. A pattern counts only if its last word belongs to the kind: CONFIDENT of the word's uses, or LIFT
+   times as many as of any word, stand before such a form. So "the" is none, however many numbers
+   follow it, and "phone" is one, however often it is used without a number.
+4. An accepted form is personal data wherever it stands.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ from sluiceworks.llm.tables import modest_batches, stored
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 ACCEPT = 0.5  # score of a weak instance
-CONFIDENT = 0.3  # confidence from which a context counts
-SEEDS = 3  # distinct seeds that a context needs
+CONFIDENT = 0.3  # confidence from which a pattern counts
+SEEDS = 3  # distinct seeds and accepted forms that a pattern needs
+LIFT = 10.0  # times that forms follow a word more often than words on average
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -46,7 +50,9 @@ WEAK = {
 }
 MARKS = re.compile(r"[0-9@]")
 ALPHA = re.compile(r"[^\W\d_]+")
-CONTEXT_CHARS = 40  # how far back the word before may begin
+TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_+")
+PATTERN_TOKENS = 3
+CONTEXT_CHARS = 120  # how far back the tokens before may begin
 MOST_COUNTED = 200_000  # words that a task counts before it hands them on
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -107,11 +113,22 @@ def weak_spans(text: str, plain: list[Span]) -> list[Span]:
     return out
 
 
-def context(text: str, start: int) -> str | None:
-    """The last word before a place on its line, lower case."""
-    before = text[max(0, start - CONTEXT_CHARS) : start].rpartition("\n")[2]
-    words = ALPHA.findall(before)
-    return words[-1].lower() if words else None
+def context(text: str, start: int) -> tuple[str | None, list[str]]:
+    """The last word before a place on its line and the patterns that end there, lower case.
+
+    Patterns are the last one to PATTERN_TOKENS tokens, from the one on that holds the word; without
+    a word in them there are none. A number in them is written as 0.
+    """
+    begin = max(0, start - CONTEXT_CHARS)
+    before = text[begin:start].rpartition("\n")[2]
+    tokens = [m[0].lower() for m in TOKEN.finditer(before)]
+    if len(before) == CONTEXT_CHARS and begin and text[begin - 1].isalnum() and text[begin].isalnum():
+        del tokens[0]  # cut
+    tokens = ["0" if t[0].isdigit() else t for t in tokens[-PATTERN_TOKENS:]]
+    for at in range(len(tokens) - 1, -1, -1):
+        if ALPHA.match(tokens[at]):
+            return tokens[at], [" ".join(tokens[i:]) for i in range(at, -1, -1)]
+    return None, []
 
 
 def written(spans: list[Span]) -> str:
@@ -125,13 +142,14 @@ MENTION = pa.struct(
         ("end", pa.int64()),
         ("seed", pa.bool_()),
         ("context", pa.string()),
+        ("patterns", pa.list_(pa.string())),
         ("instance", pa.string()),
     ]
 )
 SPAN = "struct<start:long,kind:int,end:long>"
 SCAN = (
     "doc_id long, print long, counts array<long>, base string, mentions array<struct<kind:int,"
-    "start:long,end:long,seed:boolean,context:string,instance:string>>"
+    "start:long,end:long,seed:boolean,context:string,patterns:array<string>,instance:string>>"
 )
 
 
@@ -146,7 +164,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base.append(written(plain))
             mentions.append(
                 [
-                    (k, a, b, seed, context(text, a), text[a:b])
+                    (k, a, b, seed, *context(text, a), text[a:b])
                     for seed, spans in ((True, plain), (False, weak_spans(text, plain)))
                     for a, k, b in spans
                 ]
@@ -166,12 +184,15 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each word occurs, summed within a task."""
+    """How often each word occurs, and null for all of them, summed within a task."""
     seen: Counter[str] = Counter()
 
     def answer() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+            [
+                pa.array([*seen, None], pa.string()),
+                pa.array([*seen.values(), sum(seen.values())], pa.int64()),
+            ],
             ["context", "n"],
         )
 
@@ -187,50 +208,64 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def accepted(spark: SparkSession, docs: DataFrame, mentions: DataFrame) -> DataFrame:
     """(kind, instance) of the weak forms that their contexts make personal data.
 
-    ``mentions`` has kind, seed, context and instance; ``docs`` has the texts.
+    ``mentions`` has kind, seed, context, patterns and instance; ``docs`` has the texts.
     """
     words = mentions.where("context IS NOT NULL")
-    # only a context of both seeds and weak forms of a kind can find anything
-    shared = words.groupBy("kind", "context").agg(
-        F.count_if("seed").alias("seeds"), F.count_if(~F.col("seed")).alias("weak")
-    )
-    start = shared.where(F.col("seeds") >= SEEDS).select("kind", "context")
-    graph = stored(
-        spark,
-        words.join(start, ["kind", "context"])
-        .groupBy("kind", "context", "instance", "seed")
-        .agg(F.count("*").alias("times")),
-        "graph",
+    edges = words.select("kind", "seed", "context", F.explode("patterns").alias("pattern"), "instance")
+    edges = edges.groupBy("kind", "context", "pattern", "instance").agg(F.max("seed").alias("seed"))
+    edges = stored(spark, edges, "edges")
+    # others can never have SEEDS accepted forms, or have nothing to find
+    patterns = (
+        edges.groupBy("kind", "context", "pattern")
+        .agg(F.count("*").alias("forms"), F.count_if(~F.col("seed")).alias("weak"))
+        .where((F.col("forms") >= SEEDS) & (F.col("weak") > 0))
+        .drop("weak")
     )
-    totals = docs.select("text").mapInArrow(_counted, "context string, n long")
-    totals = totals.groupBy("context").agg(F.sum("n").alias("n"))
-    totals = stored(spark, totals.join(graph.select("context").distinct(), "context"), "totals")
-    seeds = graph.where("seed").groupBy("kind", "context").agg(F.count("*").alias("distinct_seeds"))
-    contexts = seeds.where(F.col("distinct_seeds") >= SEEDS).join(totals, "context")
-    contexts = stored(spark, contexts.select("kind", "context", "n"), "contexts")
-    scores = graph.where("NOT seed").select("kind", "instance").distinct().withColumn("score", F.lit(0.0))
+    patterns = stored(spark, patterns, "patterns")
+    uses = words.groupBy("kind", "context").agg(F.count("*").alias("before"))
+    uses = stored(spark, uses, "uses")
+    totals = docs.select("text").mapInArrow(_counted, "word string, n long")
+    totals = totals.groupBy("word").agg(F.sum("n").alias("n"))
+    asked = patterns.select("context").distinct().unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS context"))
+    totals = totals.join(asked, F.col("word").eqNullSafe(F.col("context"))).select("context", "n")
+    totals = stored(spark, totals, "totals")
+    every = totals.where("context IS NULL").first()
+    kinds = uses.groupBy("kind").agg(F.sum("before").alias("n")).collect()
+    usual = F.lit(None).cast("double")
+    for r in kinds:  # one of KINDS each
+        usual = F.when(F.col("kind") == r["kind"], r["n"] / every["n"]).otherwise(usual)
+    share = F.col("before") / F.col("n")
+    own = uses.join(totals, "context").where((share >= CONFIDENT) | (share >= LIFT * usual))
+    patterns = patterns.join(own.select("kind", "context"), ["kind", "context"], "left_semi")
+    graph = edges.join(patterns, ["kind", "context", "pattern"])
+    graph = stored(spark, graph, "graph")
+    found = graph.select("kind", "instance").limit(0)
     for _ in range(ROUNDS):
-        weights = graph.join(scores, ["kind", "instance"], "left").withColumn(
-            "weight", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))
-        )
+        taken = found.withColumn("taken", F.lit(True))
+        counted = F.col("seed") | F.coalesce("taken", F.lit(False))
         confidence = (
-            weights.groupBy("kind", "context")
-            .agg(F.sum(F.col("weight") * F.col("times")).alias("found"))
-            .join(contexts, ["kind", "context"])
-            .select("kind", "context", F.least(F.lit(1.0), F.col("found") / F.col("n")).alias("conf"))
-            .where(F.col("conf") >= CONFIDENT)
+            graph.join(taken, ["kind", "instance"], "left")
+            .groupBy("kind", "context", "pattern", "forms")
+            .agg(F.count_if(counted).alias("known"))
+            .withColumn("conf", F.col("known") / F.col("forms"))
+            .where((F.col("known") >= SEEDS) & (F.col("conf") >= CONFIDENT))
+            .select("kind", "pattern", "conf")
         )
         # 1 - product of (1 - confidence); a confidence of 1 is taken as nearly 1
         doubt = F.sum(F.log(F.greatest(1 - F.col("conf"), F.lit(1e-9))))
-        scores = stored(
+        found = stored(
             spark,
             graph.where("NOT seed")
-            .join(confidence, ["kind", "context"])
+            .join(confidence, ["kind", "pattern"])
+            .groupBy("kind", "instance", "context")
+            .agg(F.max("conf").alias("conf"))
             .groupBy("kind", "instance")
-            .agg((1 - F.exp(doubt)).alias("score")),
-            "scores",
+            .agg((1 - F.exp(doubt)).alias("score"))
+            .where(F.col("score") >= ACCEPT)
+            .select("kind", "instance"),
+            "found",
         )
-    return scores.where(F.col("score") >= ACCEPT).select("kind", "instance")
+    return found
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -287,6 +287,28 @@ def test_contexts_discover_numbers_without_a_plain_form(spark):
     assert found[21] == found[40] == ""
 
 
+def test_accepted_numbers_make_patterns_without_seeds(spark):
+    """Numbers after "tel" and "mobil" lead to the others after "mobil", which has no seed."""
+    rows = [(i, f"{words(8, i)} tel: +1 (555) 010-{1000 + i} {words(5, i)}") for i in range(12)]
+    rows += [(20 + i, f"{words(6, 20 + i)} {w}: 555-020-{2000 + i} x") for i in range(4) for w in ("tel", "mobil")]
+    rows += [(40 + i, f"mobil: 555-030-{3000 + i}") for i in range(3)]
+    rows += [(50, "volume: 555-040-4000")]
+    spans = defaultdict(list)
+    for r in find_personal_data(frame(spark, rows)).collect():
+        spans[r["doc_id"]].append(r["spans"])
+    assert all(s.startswith("phone:") for d in range(20, 24) for s in spans[d]) and len(spans[20]) == 2
+    assert [spans[40 + i] for i in range(3)] == [["phone:7:19"]] * 3
+    assert spans[50] == [""]
+
+
+def test_a_word_used_without_numbers_too_is_a_pattern(spark):
+    rows = [(i, f"{words(20, i)} phone: +1 (555) 010-{1000 + i}") for i in range(12)]
+    rows += [(20 + i, f"{words(9, 60 + i)} the phone rang {words(20, i)}") for i in range(100)]
+    rows += [(200, "my phone: 555-123-4567")]
+    found = {r["doc_id"]: r["spans"] for r in find_personal_data(frame(spark, rows)).collect()}
+    assert found[200] == "phone:10:22"
+
+
 def test_mask():
     assert mask("mail a@b.cd or x", "email:5:11") == "mail <email> or x"
     assert mask("1.2.3.4567", "ip:0:8,card:2:10") == "<ip>"
