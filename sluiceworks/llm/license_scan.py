@@ -3,8 +3,8 @@
 The automaton holds every run of words of every template and phrase. A text streams through it: at
 each word the automaton's state stands for the longest run of words that ends here and occurs in a
 template. Runs that can't be made longer are matches; those of one template that follow each other in
-the text and in the template are chained, and the share of the template that a chain covers is its
-score. A phrase is found where the current run ends with it.
+the text and in the template are chained. A chain is a span of the text, a span of the template and
+the share of the template that it covers; the largest share is a text's score. A phrase is found where the current run ends with it.
 
 Words that begin no pair of words of any template can be skipped: the automaton is only entered
 for stretches of such pairs, which numpy finds, so most of a text costs a hash of each word.
@@ -30,7 +30,7 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# fixed values: the customary notices of common licences, and their labels
+# fixed values: notices and sections of common licences; what stands before a slash is the label
 TEMPLATES = {
     "mit": (
         "permission is hereby granted free of charge to any person obtaining a copy of this software "
@@ -59,6 +59,68 @@ TEMPLATES = {
     "mpl": "this source code form is subject to the terms of the mozilla public license",
     "cc-by": "this work is licensed under a creative commons attribution international license",
     "reserved": "all rights reserved",
+    "mit/condition": (
+        "the above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the software"
+    ),
+    "mit/warranty": (
+        "the software is provided as is without warranty of any kind express or implied including but "
+        "not limited to the warranties of merchantability fitness for a particular purpose and "
+        "noninfringement in no event shall the authors or copyright holders be liable for any claim "
+        "damages or other liability whether in an action of contract tort or otherwise arising from out "
+        "of or in connection with the software or the use or other dealings in the software"
+    ),
+    "bsd/conditions": (
+        "redistributions of source code must retain the above copyright notice this list of conditions "
+        "and the following disclaimer redistributions in binary form must reproduce the above copyright "
+        "notice this list of conditions and the following disclaimer in the documentation and or other "
+        "materials provided with the distribution"
+    ),
+    "bsd/endorsement": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission"
+    ),
+    "bsd/disclaimer": (
+        "this software is provided by the copyright holders and contributors as is and any express or "
+        "implied warranties including but not limited to the implied warranties of merchantability and "
+        "fitness for a particular purpose are disclaimed in no event shall the copyright holder or "
+        "contributors be liable for any direct indirect incidental special exemplary or consequential "
+        "damages including but not limited to procurement of substitute goods or services loss of use "
+        "data or profits or business interruption however caused and on any theory of liability whether "
+        "in contract strict liability or tort including negligence or otherwise arising in any way out "
+        "of the use of this software even if advised of the possibility of such damage"
+    ),
+    "isc/disclaimer": (
+        "the software is provided as is and the author disclaims all warranties with regard to this "
+        "software including all implied warranties of merchantability and fitness in no event shall the "
+        "author be liable for any special direct indirect or consequential damages or any damages "
+        "whatsoever resulting from loss of use data or profits whether in an action of contract "
+        "negligence or other tortious action arising out of or in connection with the use or performance "
+        "of this software"
+    ),
+    "apache/copyright grant": (
+        "subject to the terms and conditions of this license each contributor hereby grants to you a "
+        "perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to "
+        "reproduce prepare derivative works of publicly display publicly perform sublicense and "
+        "distribute the work and such derivative works in source or object form"
+    ),
+    "apache/warranty": (
+        "unless required by applicable law or agreed to in writing licensor provides the work and each "
+        "contributor provides its contributions on an as is basis without warranties or conditions of "
+        "any kind either express or implied including without limitation any warranties or conditions "
+        "of title non infringement merchantability or fitness for a particular purpose"
+    ),
+    "gpl/notice": (
+        "this program is distributed in the hope that it will be useful but without any warranty without "
+        "even the implied warranty of merchantability or fitness for a particular purpose see the gnu "
+        "general public license for more details"
+    ),
+    "gpl/warranty": (
+        "there is no warranty for the program to the extent permitted by applicable law except when "
+        "otherwise stated in writing the copyright holders and or other parties provide the program as "
+        "is without warranty of any kind either expressed or implied including but not limited to the "
+        "implied warranties of merchantability and fitness for a particular purpose"
+    ),
 }
 LEAST_MATCH = 3  # words
 LEAST_SHARE = 0.6  # of a template, for its label
@@ -134,7 +196,8 @@ class SuffixAutomaton:
 
 class LicenseScanner:
     def __init__(self, templates: dict[str, str], phrases: dict[str, str]):
-        self.names = [*templates, *phrases.values()]
+        self.templates = list(templates)
+        self.names = [*(t.partition("/")[0] for t in templates), *phrases.values()]
         texts = [t.split() for t in (*templates.values(), *phrases)]
         self.sizes = [len(t) for t in texts]
         self.n_templates = len(templates)
@@ -170,7 +233,7 @@ class LicenseScanner:
         return list(zip(begin[good].tolist(), (end[good] + 1).tolist(), strict=True))
 
     def scan(self, chunk: Chunk) -> list[tuple]:
-        """For each document: words, places of phrases, first and last of them, labels, score."""
+        """For each document: words, places of phrases, first and last of them, labels, score, spans."""
         bounds = chunk.bounds
         places: dict[int, list[tuple[int, int]]] = {}
         matches: dict[int, list[tuple[int, int, int]]] = {}
@@ -184,13 +247,16 @@ class LicenseScanner:
         for d, n in enumerate(np.diff(bounds).tolist()):
             found = places.get(d, [])
             base = {self.names[p] for _, p in found}
-            shares = self._chains(matches.get(d, []))
-            labels = base | {self.names[t] for t, s in shares.items() if s >= LEAST_SHARE}
-            score = 1.0 if found else max(shares.values(), default=0.0)
+            spans = [
+                dict(zip(SPAN_FIELDS, (self.names[t], self.templates[t], *where, share), strict=True))
+                for t, *where, share in self._chains(matches.get(d, []))
+            ]
+            labels = base | {x["label"] for x in spans if x["share"] >= LEAST_SHARE}
+            score = 1.0 if found else max((x["share"] for x in spans), default=0.0)
             starts = [s for s, _ in found]
             out.append(
                 (n, len(found), min(starts, default=None), max(starts, default=None),
-                 ",".join(sorted(base)), ",".join(sorted(labels)), score)
+                 ",".join(sorted(base)), ",".join(sorted(labels)), score, spans)
             )
         return out
 
@@ -213,41 +279,79 @@ class LicenseScanner:
         if length >= LEAST_MATCH:
             matches.append((at + len(numbers), length, state))
 
-    def _chains(self, matches: list[tuple[int, int, int]]) -> dict[int, float]:
-        """The largest share of each template that matches in the same order cover.
+    def _chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, float]]:
+        """(template, text start, text end, template start, template end, share) of chains, by text start.
 
-        A gap in the text longer than the template begins a new chain.
+        A chain ends where nothing makes it longer for as many words as the template has, or where it
+        covers the whole template. What stands before and after it is looked at again, so that each
+        copy of a template is found. Chains of one template don't overlap.
         """
-        best: dict[int, float] = {}
-        covers: dict[int, np.ndarray] = {}
-        until: dict[int, int] = {}
+        events: dict[int, list[tuple[int, int, list[int]]]] = {}
         for end, length, state in matches:
+            own: dict[int, list[int]] = {}
             for t, last in sorted(self.automaton.states[state].ends, reverse=True):
-                if t >= self.n_templates:
-                    continue
-                size = self.sizes[t]
-                if t not in covers or end - length - until[t] > size:
-                    covers[t] = np.zeros(size + 1, np.int64)  # by the number of words done with
+                if t < self.n_templates:
+                    own.setdefault(t, []).append(last + 1)
+            for t, stops in own.items():
+                events.setdefault(t, []).append((end, length, stops))
+        out = []
+        for t, own_events in events.items():
+            left = [(0, len(own_events))]
+            while left:
+                low, high = left.pop()
+                chain = self._first_chain(own_events, low, high, self.sizes[t])
+                out.append((t, *chain))
+                before = after = low
+                while before < high and own_events[before][0] <= chain[0]:
+                    before += 1
+                while after < high and own_events[after][0] - own_events[after][1] < chain[1]:
+                    after += 1
+                left += [x for x in ((low, before), (after, high)) if x[0] < x[1]]
+        return sorted(out, key=lambda c: (c[1], c[0]))
+
+    def _first_chain(
+        self, events: list[tuple[int, int, list[int]]], low: int, high: int, size: int
+    ) -> tuple[int, int, int, int, float]:
+        """The best chain from the first of the events on, up to where it ends."""
+        covers = np.zeros(size + 1, np.int64)  # by the number of words done with
+        begins: dict[int, tuple[int, int]] = {}  # of the text and of the template, likewise
+        best, chain = 0, (0, 0, 0, 0, 0.0)
+        for end, length, stops in (events[i] for i in range(low, high)):
+            if best == size or (best and end - length - chain[1] > size):
+                break
+            for stop in stops:
                 # covered words before this match, and with those of it that are new
-                cover, stop = covers[t], last + 1
-                value = int((cover[:stop] + np.minimum(length, stop - np.arange(stop))).max())
-                cover[stop] = max(cover[stop], value)
-                until[t] = end
-                best[t] = max(best.get(t, 0.0), float(cover[stop]) / size)
-        return best
+                values = covers[:stop] + np.minimum(length, stop - np.arange(stop))
+                before = int(values.argmax())
+                value = int(values[before])
+                if value <= covers[stop]:
+                    continue
+                begin = begins[before] if covers[before] else (end - length, stop - length)
+                covers[stop], begins[stop] = value, begin
+                if value > best:
+                    best, chain = value, (begin[0], end, begin[1], stop, value / size)
+        return chain
 
 
 KIND = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, "
     "base_labels string, labels string, score double"
 )
+SPAN_FIELDS = ("label", "template", "text_start", "text_end", "template_start", "template_end", "share")
+SPANS = pa.list_(
+    pa.struct([*[(f, pa.string()) for f in SPAN_FIELDS[:2]], *[(f, pa.int64()) for f in SPAN_FIELDS[2:6]], ("share", pa.float64())])
+)
+SPANS_KIND = (
+    "spans array<struct<label:string,template:string,text_start:long,text_end:long,"
+    "template_start:long,template_end:long,share:double>>"
+)
 
 
 def _scanned(templates: dict[str, str], phrases: dict[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner, reader = LicenseScanner(templates, phrases), WordReader(lower=True, inside=INSIDE)
-        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
-        names = [f.split(" ")[0] for f in KIND.split(", ")]
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), SPANS]
+        names = [*(f.split(" ")[0] for f in KIND.split(", ")), "spans"]
         for batch in batches:
             for chunk in reader.chunks(batch.column(1)):
                 columns = zip(*scanner.scan(chunk), strict=True)
@@ -270,10 +374,11 @@ def scan_licenses(
     stand consecutively, first_word and last_word are the smallest and largest start, counted from 0,
     else null. base_labels has the labels of these, labels also those of templates of which a chain
     covers LEAST_SHARE, both distinct, sorted and joined by commas. score is 1 with a phrase, else
-    the largest share covered. Null and empty texts have no words and score 0. Null doc_ids and
+    the largest share covered. spans has a row for each chain, ends exclusive and places in words; a
+    template named "label/section" is a section of its own. Null and empty texts have no words and score 0. Null doc_ids and
     repeated rows are returned as they are. An empty table gives an empty result. Columns other
     than doc_id and text aren't read.
     """
     modest_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_scanned(templates or TEMPLATES, phrases or PHRASES), KIND)
+    return rows.mapInArrow(_scanned(templates or TEMPLATES, phrases or PHRASES), f"{KIND}, {SPANS_KIND}")

@@ -228,6 +228,28 @@ def test_templates_are_found_whole_in_part_and_with_gaps(spark):
     assert found[6] == ("bsd,cc-by,isc", 1.0)
 
 
+def test_spans_and_sections_of_licences(spark):
+    warranty, notice = TEMPLATES["mit/warranty"], TEMPLATES["bsd"].split()
+    rows = [
+        (1, f"{words(10, 1)} {warranty} {words(5, 2)}"),
+        (2, " ".join(notice) + " x " + " ".join(notice)),
+        (3, " ".join(notice[:-1]) + " y y " + " ".join(notice[:-1])),
+        (4, " ".join(notice[:9] + ["and", "whatever"] + notice[9:])),
+        (5, words(50, 3)),
+    ]
+    found = {r["doc_id"]: r for r in scan_licenses(frame(spark, rows)).collect()}
+
+    def spans(d, template):
+        return [tuple(x)[2:] for x in found[d]["spans"] if x["template"] == template]
+
+    n, size = len(notice), len(warranty.split())
+    assert found[1]["labels"] == "mit" and spans(1, "mit/warranty") == [(10, 10 + size, 0, size, 1.0)]
+    assert spans(2, "bsd") == [(0, n, 0, n, 1.0), (n + 1, 2 * n + 1, 0, n, 1.0)]
+    share = (n - 1) / n
+    assert spans(3, "bsd") == [(0, n - 1, 0, n - 1, share), (n + 1, 2 * n, 0, n - 1, share)]
+    assert spans(4, "bsd") == [(0, n + 2, 0, n, 1.0)] and spans(5, "bsd") == []
+
+
 # ---- personal data ----------------------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
