@@ -112,9 +112,50 @@ _NEAREST = """
     FROM ranked WHERE rank <= 10
 """
 
+# crc32 of a list of bytes
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {bytes}),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                             lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_ID_CRC32 = _CRC32.format(
+    bytes="list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ord(d)::BIGINT)"
+)
+
+_RUNS = rf"""
+    WITH w AS (SELECT doc_id, {_WORDS} AS words, {_ID_CRC32} AS h FROM documents),
+    v AS (SELECT doc_id, words, len(words) AS n, h % 10 = 0 AND len(words) > 0 AS planted,
+                 (h // 10) % greatest(len(words), 1) AS a, h // 10 AS g FROM w),
+    x AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM v),
+    each AS (SELECT doc_id, n, i,
+                    words[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+             FROM (SELECT *, unnest(range(n)) AS i FROM x)),
+    equal AS (SELECT l.doc_id, l.i, r.i - l.i AS q
+              FROM each l JOIN each r ON l.doc_id = r.doc_id AND l.word = r.word
+                                     AND r.i > l.i AND 4 * (r.i - l.i) <= l.n),
+    stretch AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+                FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island
+                      FROM equal)
+                GROUP BY doc_id, q, island),
+    runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretch
+             WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+    rest AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text
+             FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+    all_runs AS (SELECT doc_id, count(*) AS n_runs,
+                        string_agg(start || ',' || length || ',' || period || chr(10), ''
+                                   ORDER BY start, period) AS lines
+                 FROM runs GROUP BY doc_id),
+    best AS (SELECT * FROM runs QUALIFY row_number() OVER (
+                 PARTITION BY doc_id ORDER BY length DESC, start, period) = 1)
+    SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+           1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+           sha256(coalesce(rest.text, '')) AS collapsed_sha256
+    FROM w LEFT JOIN all_runs USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN rest USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_adaptive_quality_rules": _QUALITY,
     "op3_substring_dedup": _REPEATS,
     "op6_hamming_top_k": _NEAREST,
     "op7_minhash_near_dedup": _NEAR,
+    "op11_periodic_runs": _RUNS,
 }

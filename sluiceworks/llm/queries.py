@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ from sluiceworks.llm.hamming_search import nearest, sign_code
 from sluiceworks.llm.license_scan import scan_licenses
 from sluiceworks.llm.near_dedup import near_duplicates
 from sluiceworks.llm.oracle import ORACLE
+from sluiceworks.llm.periodic_runs import find_runs
 from sluiceworks.llm.pii import KINDS, find_personal_data
 from sluiceworks.llm.quality_rules import judge
 from sluiceworks.llm.substring_dedup import remove_repeats
@@ -129,6 +131,54 @@ def op10_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _planted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each text, of one text in ten made periodic from some word on."""
+    for batch in batches:
+        offsets, data = text_bytes(batch.column(1))
+        texts = []
+        for doc_id, a, b in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:], strict=True):
+            words = data[a:b].tobytes().split()
+            h = zlib.crc32(b"%d" % doc_id) if doc_id is not None else 1
+            if h % 10 == 0 and words:
+                n, g = len(words), h // 10
+                first = g % n
+                period = 1 + (n - first) // (3 + g % 8)
+                words = [words[first + (i - first) % period if i > first else i] for i in range(n)]
+            texts.append(b" ".join(words))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["doc_id", "text"]
+        )
+
+
+def _run_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The longest run of each row, all runs and the text as their sha256."""
+    for batch in batches:
+        rows = []
+        for runs, text in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+            best = min(runs, key=lambda r: (-r["length"], r["start"], r["period"]), default=None)
+            longest = [best["start"], best["length"], best["period"]] if best else [None] * 3
+            milli = 1000 * best["length"] // best["period"] if best else None
+            lines = "".join(f"{r['start']},{r['length']},{r['period']}\n" for r in runs)
+            signs = [hashlib.sha256(x).hexdigest() for x in (lines.encode(), text.as_buffer())]
+            rows.append((len(runs), *longest, milli, *signs))
+        columns = zip(*rows, strict=True) if rows else [[]] * 7
+        kinds = [pa.int64()] * 5 + [pa.string()] * 2
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
+            ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+        )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_runs(docs.mapInArrow(_planted_runs, "doc_id long, text string"))
+    return found.select("doc_id", "runs", "text").mapInArrow(
+        _run_digests,
+        "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, "
+        "runs_sha256 string, collapsed_sha256 string",
+    )
+
+
 __all__ = ["ORACLE", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -144,5 +194,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_automaton,
         op9_contextual_pii,
         op10_byte_cnn_quality,
+        op11_periodic_runs,
     )
 }
