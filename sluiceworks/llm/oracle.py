@@ -152,10 +152,54 @@ _RUNS = rf"""
     FROM w LEFT JOIN all_runs USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
 
+_RUN_CRC32 = _CRC32.format(
+    bytes="""flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c:
+        CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+             ELSE [(192 + (unicode(c) >> 6))::BIGINT, (128 + (unicode(c) & 63))::BIGINT] END))"""
+)
+
+_VARIANTS = rf"""
+    WITH RECURSIVE runs AS (
+        SELECT doc_id, run, count(*) AS times
+        FROM (SELECT doc_id, unnest(regexp_extract_all(
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+              FROM documents)
+        GROUP BY ALL),
+    h AS (SELECT run, times, {_RUN_CRC32} AS h FROM runs),
+    typed AS (SELECT times, CASE WHEN h % 199 = 0
+                                 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                                 ELSE run END AS word
+              FROM h),
+    words AS MATERIALIZED (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM typed
+              WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+    short AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS left_
+              FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+    near AS (SELECT x.word, y.word AS other FROM short x JOIN short y
+                 ON x.i = y.i AND x.left_ = y.left_ AND x.word <> y.word
+             UNION SELECT short.word, words.word FROM short JOIN words ON left_ = words.word
+             UNION SELECT words.word, short.word FROM short JOIN words ON left_ = words.word),
+    best AS (SELECT near.word, other, n, count(*) OVER (PARTITION BY near.word) AS n_near
+             FROM near JOIN words ON other = words.word
+             QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) = 1),
+    forms AS MATERIALIZED (
+              SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+                     CASE WHEN best.n >= 5 * words.n THEN other END AS form,
+                     CASE WHEN best.n >= 5 * words.n THEN best.n END AS form_n
+              FROM words LEFT JOIN best USING (word)),
+    chain AS (SELECT word, form AS root FROM forms WHERE form IS NOT NULL
+              UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON root = forms.word
+              WHERE forms.form IS NOT NULL),
+    ends AS (SELECT chain.word, root FROM chain JOIN forms ON root = forms.word WHERE form IS NULL)
+    SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n
+    FROM forms LEFT JOIN ends USING (word)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_adaptive_quality_rules": _QUALITY,
     "op3_substring_dedup": _REPEATS,
     "op6_hamming_top_k": _NEAREST,
     "op7_minhash_near_dedup": _NEAR,
     "op11_periodic_runs": _RUNS,
+    "op13_spelling_variants": _VARIANTS,
 }

@@ -22,6 +22,7 @@ from sluiceworks.llm.oracle import ORACLE
 from sluiceworks.llm.periodic_runs import find_runs
 from sluiceworks.llm.pii import KINDS, find_personal_data
 from sluiceworks.llm.quality_rules import judge
+from sluiceworks.llm.spelling_variants import group_variants, letter_runs, word_counts
 from sluiceworks.llm.substring_dedup import remove_repeats
 from sluiceworks.llm.token_files import read_digests, token_folder, write_tokens
 from sluiceworks.llm.trie_bpe import decode, encode
@@ -179,6 +180,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = letter_runs(_table(spark, sf_dir, "documents"))
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")))
+    at = (F.col("h") % F.char_length("run")).cast("int")
+    short = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    word = F.when(F.col("h") % 199 == 0, short).otherwise(F.col("run"))
+    return group_variants(word_counts(runs.withColumn("h", h).select(word.alias("word"))))
+
+
 __all__ = ["ORACLE", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -195,5 +205,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_contextual_pii,
         op10_byte_cnn_quality,
         op11_periodic_runs,
+        op13_spelling_variants,
     )
 }
