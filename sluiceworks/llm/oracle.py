@@ -152,6 +152,23 @@ _RUNS = rf"""
     FROM w LEFT JOIN all_runs USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
 
+_NEAR_VECTORS = """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    links AS MATERIALIZED (
+        SELECT a.vec_id AS a, b.vec_id AS b
+        FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    reach AS (SELECT vec_id, vec_id AS other FROM embeddings
+              UNION SELECT reach.vec_id, b FROM reach JOIN links ON other = a),
+    degree AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+    SELECT vec_id, coalesce(any_value(n_links), 0) AS n_links, min(other) AS component_id,
+           vec_id = min(other) AS kept
+    FROM reach LEFT JOIN degree USING (vec_id) GROUP BY vec_id
+"""
+
 _RUN_CRC32 = _CRC32.format(
     bytes="""flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c:
         CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
@@ -201,5 +218,6 @@ ORACLE: dict[str, str] = {
     "op6_hamming_top_k": _NEAREST,
     "op7_minhash_near_dedup": _NEAR,
     "op11_periodic_runs": _RUNS,
+    "op12_metric_join": _NEAR_VECTORS,
     "op13_spelling_variants": _VARIANTS,
 }

@@ -17,6 +17,7 @@ from sluiceworks.llm.byte_cnn import CUT, held_out, score_quality
 from sluiceworks.llm.curve_packing import pack
 from sluiceworks.llm.hamming_search import nearest, sign_code
 from sluiceworks.llm.license_scan import scan_licenses
+from sluiceworks.llm.metric_join import near_vectors
 from sluiceworks.llm.near_dedup import near_duplicates
 from sluiceworks.llm.oracle import ORACLE
 from sluiceworks.llm.periodic_runs import find_runs
@@ -180,6 +181,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = letter_runs(_table(spark, sf_dir, "documents"))
     h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")))
@@ -205,6 +210,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_contextual_pii,
         op10_byte_cnn_quality,
         op11_periodic_runs,
+        op12_metric_join,
         op13_spelling_variants,
     )
 }
