@@ -163,6 +163,10 @@ ORACLE: dict[str, str] = {
     "foreach_insert": "SELECT * FROM events",
     "db_upsert_batch": _LATEST_DIGEST.format(bucket="hash"),
     "db_upsert_row": _LATEST_DIGEST.format(bucket="hash"),
+    "db_insert_absent": """
+        SELECT event_id, ts, user_id, CASE WHEN event_id % 3 <> 0 THEN value ELSE value + 1 END AS value
+        FROM events
+    """,
     "merge_upsert": _LATEST_EVENT,
     "merge_digests": _LATEST_DIGEST.format(bucket="id"),
     "merge_schema_evolution": f"""

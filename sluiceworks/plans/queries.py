@@ -55,12 +55,12 @@ from sluiceworks.sources import (
 from sluiceworks.sources import offset_bounds as bounds_of
 from sluiceworks.storage import SharedFiles, scratch_dir
 from sluiceworks.streaming import (
+    Database,
     InsertWriter,
-    UpsertWriter,
+    StagedUpsert,
     append_batches,
     append_jdbc_batches,
     database_insert,
-    database_upsert,
     finish,
     merge_batches,
     start,
@@ -763,45 +763,63 @@ def foreach_insert(spark, sf):
 
 
 def _digests(events: DataFrame) -> DataFrame:
-    return digest_projection(events, "event_id", "ts", "hash").withColumn(
-        "timestamp", F.date_format("timestamp", _TEXT_TIME)
-    )
+    return instants(digest_projection(events, "event_id", "ts", "hash"))
+
+
+_DIGEST_DDL = '"md5" VARCHAR(32), "value" BIGINT, "hash" BIGINT UNIQUE, "timestamp" TIMESTAMP'
 
 
-_DIGEST_DDL = "md5 TEXT, value INTEGER, hash INTEGER UNIQUE, timestamp TEXT"
+def _derby_table(spark, label, name, ddl) -> dict[str, str]:
+    database = _derby(spark, label)
+    with Database(spark, database["url"], database).transaction() as connection:
+        connection.run(f"CREATE TABLE {name} ({ddl})")
+    return database
 
 
-def _stored_digests(spark, path):
-    schema = T.StructType.fromDDL("md5 string, value bigint, hash bigint, timestamp string")
-    stored = _sqlite_rows(spark, path, "rows", schema)
-    return stored.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+def _stored_digests(spark, database):
+    keys = {"partition_column": "hash", "lower": 0, "upper": 100, "partitions": 4}
+    return wall_clocks(jdbc_table(spark, dbtable="digests", **keys, **database))
 
 
 def db_upsert_batch(spark, sf):
-    """Embedded database."""
-    path = _sqlite(spark, "upsert", f"CREATE TABLE rows ({_DIGEST_DDL})")
-    upsert = database_upsert(
-        lambda: sqlite3.connect(path, timeout=60), "rows", ["hash"], ["value"], max_connections=2
-    )
-    _events_in_rounds(spark, sf, lambda batch, batch_id: upsert(_digests(batch), batch_id))
-    return _stored_digests(spark, path)
+    """Embedded database: each key many times, batches cut short before the merge and repeated."""
+    database = _derby_table(spark, "upsert", "digests", _DIGEST_DDL)
+    upsert = StagedUpsert(table="digests", keys=["hash"], order_by=["value"], **database)
+
+    def write(batch, batch_id):
+        rows = _digests(batch)
+        upsert.load(rows, batch_id)  # and no merge, as after a failure between the two
+        upsert(rows, batch_id)
+        upsert(rows, batch_id)
+
+    _events_in_rounds(spark, sf, write)
+    return _stored_digests(spark, database)
 
 
 def db_upsert_row(spark, sf):
-    """Embedded database."""
-    path = _sqlite(spark, "upsert", f"CREATE TABLE rows ({_DIGEST_DDL})")
-    rows = _digests(stream(spark, sf, "events"))
-    writer = UpsertWriter(
-        lambda: sqlite3.connect(path, timeout=60),
-        "rows",
-        rows.columns,
-        ["hash"],
-        batch_size=1000,
-        newest="value",
-    )
-    checkpoint = scratch_dir(spark, "checkpoint")
-    finish(start(rows, checkpoint, each_row=writer, output_mode="update"))
-    return _stored_digests(spark, path)
+    """Embedded database: two streams, the newer events first; what is older replaces nothing."""
+    database = _derby_table(spark, "upsert", "digests", _DIGEST_DDL)
+    upsert = StagedUpsert(table="digests", keys=["hash"], order_by=["value"], newest="value", **database)
+    events = stream(spark, sf, "events")
+    half = bounds_of(table(spark, sf, "events"), "event_id").first()["hi"] // 2
+    for part in (F.col("event_id") > half, F.col("event_id") <= half):
+        rows = _digests(events.where(part))
+        checkpoint = scratch_dir(spark, "checkpoint")
+        finish(start(rows, checkpoint, each_batch=upsert, output_mode="update"))
+    return _stored_digests(spark, database)
+
+
+def db_insert_absent(spark, sf):
+    """Embedded database: a second stream brings all events again, altered; the first ones stay."""
+    ddl = '"event_id" BIGINT PRIMARY KEY, "ts" TIMESTAMP, "user_id" BIGINT, "value" DOUBLE'
+    database = _derby_table(spark, "insert", "events", ddl)
+    events = instants(stream(spark, sf, "events").select("event_id", "ts", "user_id", "value"))
+    insert = StagedUpsert(table="events", keys=["event_id"], order_by=["ts"], update=False, **database)
+    for rows in (events.where("event_id % 3 <> 0"), events.withColumn("value", F.col("value") + 1)):
+        finish(start(rows, scratch_dir(spark, "checkpoint"), each_batch=insert))
+    highest = bounds_of(table(spark, sf, "events"), "event_id").first()["hi"]
+    keys = {"partition_column": "event_id", "lower": 0, "upper": highest, "partitions": 4}
+    return wall_clocks(jdbc_table(spark, dbtable="events", **keys, **database))
 
 
 # ---- keyed tables -----------------------------------------------------------------------
@@ -949,6 +967,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "foreach_insert": foreach_insert,
     "db_upsert_batch": db_upsert_batch,
     "db_upsert_row": db_upsert_row,
+    "db_insert_absent": db_insert_absent,
     "merge_upsert": merge_upsert,
     "merge_digests": merge_digests,
     "merge_two_runs": merge_two_runs,

@@ -6,11 +6,15 @@ from sluiceworks.streaming.database import (
     insert_statement,
     upsert_statement,
 )
+from sluiceworks.streaming.jdbc import Database
 from sluiceworks.streaming.run import finish, start
 from sluiceworks.streaming.sinks import append_batches, append_jdbc_batches, merge_batches
+from sluiceworks.streaming.staged import StagedUpsert, merge_statement
 
 __all__ = [
+    "Database",
     "InsertWriter",
+    "StagedUpsert",
     "UpsertWriter",
     "append_batches",
     "append_jdbc_batches",
@@ -19,6 +23,7 @@ __all__ = [
     "finish",
     "insert_statement",
     "merge_batches",
+    "merge_statement",
     "start",
     "upsert_statement",
 ]

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceworks.operators.keyed_table import KeyedTable
 from sluiceworks.storage import READER_PROPERTY
+from sluiceworks.streaming.jdbc import Database
 
 BatchSink = Callable[[DataFrame, int], None]
 # Fixed value: where a streaming query names itself, by an id that its checkpoint keeps.
@@ -83,27 +83,11 @@ def append_jdbc_batches(
 def _delete_batch(
     spark: SparkSession, url: str, table: str, source: str, batch_id: int, options: dict[str, str]
 ) -> None:
-    jvm = spark.sparkContext._jvm
-    if "driver" in options:
-        jvm.java.lang.Class.forName(options["driver"])
-    properties = jvm.java.util.Properties()
-    for name in ("user", "password"):
-        if name in options:
-            properties.setProperty(name, options[name])
-    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
-    matches = " AND ".join(f"{dialect.quoteIdentifier(c)} = ?" for c in ("batchId", "batchSource"))
-    connection = jvm.java.sql.DriverManager.getConnection(url, properties)
-    try:
-        try:
-            connection.prepareStatement(dialect.getTableExistsQuery(table)).executeQuery()
-        except Py4JJavaError:
-            return  # no table yet: the write creates it
-        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {matches}")
-        statement.setLong(1, batch_id)
-        statement.setString(2, source)
-        statement.executeUpdate()
-    finally:
-        connection.close()
+    database = Database(spark, url, options)
+    matches = " AND ".join(f"{database.quoted(c)} = ?" for c in ("batchId", "batchSource"))
+    with database.transaction() as connection:
+        if connection.columns(table) is not None:  # else the write creates it
+            connection.run(f"DELETE FROM {table} WHERE {matches}", batch_id, source)
 
 
 def merge_batches(

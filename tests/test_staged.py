@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from py4j.protocol import Py4JJavaError
+
+from sluiceworks.storage import READER_PROPERTY
+from sluiceworks.streaming import Database, StagedUpsert, merge_statement
+from sluiceworks.streaming.jdbc import sql_state
+
+DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
+ROW = 'k INT, "Name" VARCHAR(20), seq BIGINT, extra VARCHAR(9) DEFAULT \'new\''
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    found = Database(spark, f"jdbc:derby:{tmp_path}/db-{uuid.uuid4().hex};create=true", {"driver": DRIVER})
+    with found.transaction() as connection:
+        connection.run(f"CREATE TABLE target ({ROW})")
+    return found
+
+
+def sink(database, **options):
+    given = {"keys": ["K"], "order_by": ["seq"], **database.options, **options}
+    return StagedUpsert(database.url, "target", **given)
+
+
+def batch(spark, rows):
+    return spark.createDataFrame(rows, "K int, name string, seq long")
+
+
+def stored(spark, database, table="target"):
+    rows = spark.read.format("jdbc").options(url=database.url, dbtable=table, **database.options).load()
+    return sorted((tuple(r) for r in rows.collect()), key=repr)
+
+
+def tables(database):
+    with database.transaction() as connection:
+        return connection.first("SELECT COUNT(*) FROM SYS.SYSTABLES WHERE TABLETYPE = 'T'")
+
+
+def test_latest_row_of_each_key_updates_or_inserts(spark, database):
+    write = sink(database)
+    write(batch(spark, [(1, "a", 1), (1, "b", 3), (1, "c", 2), (2, "x", 1)]), 0)
+    with database.transaction() as connection:
+        connection.run("UPDATE target SET extra = 'kept' WHERE k = 1")
+    write(batch(spark, [(1, "d", 2), (3, "n", None)] * 3), 1)
+    assert stored(spark, database) == [(1, "d", 2, "kept"), (2, "x", 1, "new"), (3, "n", None, "new")]
+    assert tables(database) == 2  # the target and the ledger
+
+
+def test_newest_row_stays_and_rows_of_a_null_are_replaced(spark, database):
+    write = sink(database, newest="seq")
+    write(batch(spark, [(1, "new", 9), (2, "x", None)]), 0)
+    write(batch(spark, [(1, "old", 8), (2, "y", 1)]), 1)
+    assert stored(spark, database) == [(1, "new", 9, "new"), (2, "y", 1, "new")]
+
+
+def test_insert_absent_changes_nothing_that_is_there(spark, database):
+    write = sink(database, update=False)
+    write(batch(spark, [(1, "a", 1)]), 0)
+    write(batch(spark, [(1, "b", 2), (2, "c", 3)]), 1)
+    assert stored(spark, database) == [(1, "a", 1, "new"), (2, "c", 3, "new")]
+
+
+def test_a_batch_cut_short_before_its_merge_is_applied_once(spark, database):
+    write = sink(database)
+    rows = batch(spark, [(1, "a", 1), (2, "b", 1)])
+    assert write.load(rows, 0)
+    assert stored(spark, database) == [] and tables(database) == 3
+    write(batch(spark, [(1, "a", 1), (2, "b", 1), (3, "c", 1)]), 0)  # loaded anew, not added to
+    assert len(stored(spark, database)) == 3 and tables(database) == 2
+    write(batch(spark, [(1, "repeated", 9)]), 0)
+    assert stored(spark, database)[0][1] == "a"
+    assert not write.load(rows, 0)
+
+
+def test_an_error_in_the_merge_leaves_no_trace(spark, database, monkeypatch):
+    write = sink(database)
+    write(batch(spark, [(1, "a", 1)]), 0)
+    rows = batch(spark, [(1, "b", 2), (2, "c", 2)])
+    assert write.load(rows, 1)
+    with monkeypatch.context() as patched:
+        patched.setattr("sluiceworks.streaming.staged.merge_statement", lambda *_: "MERGE INTO nowhere")
+        with pytest.raises(Py4JJavaError):
+            write.apply(rows, 1)
+    assert stored(spark, database) == [(1, "a", 1, "new")]
+    write(rows, 1)  # the ledger didn't note the failed one
+    assert stored(spark, database) == [(1, "b", 2, "new"), (2, "c", 2, "new")]
+
+
+def test_a_row_loaded_twice_fails_the_batch(spark, database):
+    write = sink(database)
+    rows = batch(spark, [(1, "a", 1)])
+    write.load(rows, 0)
+    with pytest.raises(Exception, match="(?i)duplicate key"):
+        database.append(rows, write.stage_of("direct", 0))
+
+
+def test_sources_count_their_batches_apart(spark, database):
+    context = spark.sparkContext
+    write = sink(database)
+    try:
+        for source in ("one", "two"):
+            context.setLocalProperty(READER_PROPERTY, source)
+            write(batch(spark, [(1, source, 1), (len(source) + ord(source[0]), source, 1)]), 0)
+    finally:
+        context.setLocalProperty(READER_PROPERTY, None)
+    assert [r[1] for r in stored(spark, database)] == ["two", "one", "two"]
+    assert stored(spark, database, "staged_batches") == [("one", 0), ("two", 0)]
+
+
+def test_null_keys_and_unknown_columns_fail(spark, database):
+    write = sink(database)
+    with pytest.raises(Exception, match="null in the key column"):
+        write(batch(spark, [(None, "a", 1), (1, "b", 1)]), 0)
+    assert stored(spark, database) == []
+    with pytest.raises(ValueError, match="no column 'other'"):
+        write(spark.createDataFrame([(1, 2)], "k int, other int"), 1)
+    with pytest.raises(ValueError, match="no table"):
+        StagedUpsert(database.url, "elsewhere", ["k"], ["k"], **database.options)(batch(spark, [(1, "a", 1)]), 0)
+
+
+def test_empty_batch(spark, database):
+    sink(database)(batch(spark, []), 0)
+    assert stored(spark, database) == [] and stored(spark, database, "staged_batches") == [("direct", 0)]
+
+
+def test_only_a_missing_table_counts_as_missing(database):
+    with database.transaction() as connection:
+        assert connection.columns("nothing_here") is None and connection.columns("no_schema.t") is None
+        assert connection.columns("target") == ["K", "Name", "SEQ", "EXTRA"]
+        with pytest.raises(Py4JJavaError) as raised:
+            connection.columns("target WHERE")
+    assert sql_state(raised.value) == "42X01"
+
+
+@pytest.mark.parametrize(
+    ("dialect", "parts"),
+    [
+        ("merge", ["MERGE INTO t t USING s s ON t.a = s.a", "s.n >= t.n", "THEN INSERT (a, n, b) VALUES (s.a, s.n, s.b)"]),
+        ("on_conflict", ["ON CONFLICT (a) DO UPDATE SET n = excluded.n, b = excluded.b", "excluded.n >= t.n"]),
+        ("on_duplicate_key", ["ON DUPLICATE KEY UPDATE b = IF(", "n = IF(t.n IS NULL OR s.n >= t.n, s.n, t.n)"]),
+    ],
+)
+def test_statements(dialect, parts):
+    sql = merge_statement("t", "s", ["a", "n", "b"], ["a"], dialect, "n")
+    assert all(p in sql for p in parts)
+    absent = merge_statement("t", "s", ["a", "n", "b"], ["a"], dialect, None, False)
+    assert dialect == "on_duplicate_key" or "SET" not in absent
+    with pytest.raises(ValueError):
+        merge_statement("t", "s", ["a"], ["a"], "other")
+
+
+def test_on_conflict_in_a_database():
+    import sqlite3
+
+    con = sqlite3.connect(":memory:")
+    con.executescript(
+        "CREATE TABLE t (a INT UNIQUE, n INT, b TEXT); INSERT INTO t VALUES (1, 5, 'x'), (2, 1, 'y'), (3, NULL, 'z');"
+        "CREATE TABLE s (a INT, n INT, b TEXT); INSERT INTO s VALUES (1, 4, 'X'), (2, 2, 'Y'), (3, 0, 'Z'), (4, 0, 'W');"
+    )
+    con.execute(merge_statement("t", "s", ["a", "n", "b"], ["a"], "on_conflict", "n"))
+    assert con.execute("SELECT * FROM t ORDER BY a").fetchall() == [(1, 5, "x"), (2, 2, "Y"), (3, 0, "Z"), (4, 0, "W")]
