@@ -110,6 +110,11 @@ ORACLE: dict[str, str] = {
     "incr_restart": _ORDERS_IN_TWO,
     "incr_bounded": "SELECT * FROM orders",
     "incr_jdbc": _ORDERS_IN_TWO,
+    "incr_bounded_text": """
+        SELECT o_orderkey, strftime(o_orderdate, '%Y.%m.%d') AS day, true AS bounded
+        FROM orders WHERE o_orderkey % 50 <> 0
+    """,
+    "incr_bounded_times": "SELECT *, true AS several FROM orders",
     "incr_bounded_jdbc": "SELECT *, true AS several FROM orders",
     "stream_jdbc": "SELECT * FROM events",
     "join_inner_key": """

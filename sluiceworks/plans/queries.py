@@ -15,7 +15,7 @@ from collections.abc import Callable
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -368,6 +368,51 @@ def incr_bounded(spark, sf):
     return rows.drop("batchId")
 
 
+def incr_bounded_text(spark, sf):
+    """The same by a text that many rows share, with null offsets, over a restart."""
+    orders = table(spark, sf, "orders")
+    day = F.date_format("o_orderdate", "yyyy.MM.dd")
+    rows = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, day).alias("day"))
+    limit = max(1, rows.count() // 7)
+    place = scratch_dir(spark, "incremental")
+
+    def reader() -> IncrementalReader:
+        source = FrameTable(lambda: rows, "day")
+        return IncrementalReader(spark, source, f"{place}/log", max_rows_per_batch=limit)
+
+    write = append_batches(f"{place}/rows")
+    reader().run(write, max_batches=3)
+    cut_short = reader()
+    cut_short.write(cut_short.next_batch(), write)  # and no commit
+    reader().run(write)
+    found = read_batches(spark, f"{place}/rows", rows.schema)
+    size = F.count("*").over(Window.partitionBy("batchId"))
+    days = F.size(F.collect_set("day").over(Window.partitionBy("batchId")))
+    bounded = (size <= limit) | (days == 1)
+    return found.withColumn("bounded", bounded).drop("batchId")
+
+
+def incr_bounded_times(spark, sf):
+    """Embedded database: the backlog by a time, whose ends the database finds page by page."""
+    orders = instants(table(spark, sf, "orders"))
+    database = _derby(spark, "derby")
+    orders.write.format("jdbc").options(dbtable="orders", **database).save()
+    with Database(spark, database["url"], database).transaction() as connection:
+        connection.run('CREATE INDEX by_date ON orders ("o_orderdate")')
+    place = scratch_dir(spark, "incremental")
+    reader = jdbc_stream(
+        spark,
+        f"{place}/log",
+        dbtable="orders",
+        offsetColumn="o_orderdate",
+        maxRowsPerBatch=str(max(1, orders.count() // 7)),
+        **database,
+    )
+    batches = reader.run(append_batches(f"{place}/rows"))
+    rows = wall_clocks(read_batches(spark, f"{place}/rows", orders.schema))
+    return rows.drop("batchId").withColumn("several", F.lit(batches >= 7))
+
+
 def incr_jdbc(spark, sf):
     """Embedded database: the orders arrive in Derby in two parts."""
     orders = instants(table(spark, sf, "orders"))
@@ -951,6 +996,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incr_bounded": incr_bounded,
     "incr_jdbc": incr_jdbc,
     "incr_bounded_jdbc": incr_bounded_jdbc,
+    "incr_bounded_text": incr_bounded_text,
+    "incr_bounded_times": incr_bounded_times,
     "stream_jdbc": stream_jdbc,
     "join_inner_key": join_inner_key,
     "join_inner_interval": join_inner_interval,

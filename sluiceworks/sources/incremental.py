@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sluiceworks.sources.backlog import Piece, as_text, deal
 from sluiceworks.storage import READER_PROPERTY, SharedFiles
 
 _RETAINED = 100  # log entries kept
@@ -34,13 +35,6 @@ def resolve_column(schema: T.StructType, name: str) -> T.StructField:
     raise ValueError(f"no column {name!r} in {schema.fieldNames()}")
 
 
-def _text(column: Column, kind: T.DataType) -> Column:
-    """A typed offset as text that casts back to the same value in any session zone."""
-    if isinstance(kind, T.TimestampType):
-        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
-    return column.cast("string")
-
-
 def _bounds_of(df: DataFrame, column: Column) -> DataFrame:
     return df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
 
@@ -165,6 +159,52 @@ class JdbcTable:
         found = self._reader().option("query", query).load().toDF("bin", "n", "from", "to")
         return found.withColumn("end", F.col("to").cast("string"))
 
+    def _literal(self, text: str) -> str:
+        """An offset as the database's SQL writes it."""
+        jvm = self.spark.sparkContext._jvm
+        if isinstance(self.kind, T.NumericType):
+            return text
+        if isinstance(self.kind, T.TimestampType):
+            micros = self.spark.range(1).select(F.unix_micros(F.lit(text).cast("timestamp"))).first()[0]
+            second, rest = divmod(micros, 1_000_000)
+            value = jvm.java.sql.Timestamp(0)
+            value.setTime(second * 1000)
+            value.setNanos(rest * 1000)
+        elif isinstance(self.kind, T.DateType):
+            value = jvm.java.sql.Date.valueOf(text)
+        else:
+            value = text
+        return str(jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url).compileValue(value))
+
+    def page_end(self, wanted: OffsetRange, rows: int) -> str:
+        """Where a range of at most ``rows`` rows from the start of ``wanted`` ends.
+
+        The database steps over that many rows of its index and returns two offsets. Only rows that
+        share one offset make a longer range.
+        """
+        c, above = self._quoted(self.column), ">=" if wanted.start_inclusive else ">"
+        low = f"FROM {self.dbtable} WHERE {c} {above} {self._literal(wanted.start)}"
+        limited = self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:", "jdbc:sqlite:"))
+        page = (
+            f"LIMIT 2 OFFSET {rows - 1}"
+            if limited
+            else f"OFFSET {rows - 1} ROWS FETCH NEXT 2 ROWS ONLY"
+        )
+        high = f"AND {c} <= {self._literal(wanted.end)}"
+        found = self._offsets(f"SELECT {c} AS hi {low} {high} ORDER BY {c} {page}")
+        if len(found) < 2:
+            return wanted.end
+        last, after = found
+        if last != after:
+            return last
+        before = self._offsets(f"SELECT MAX({c}) AS hi {low} AND {c} < {self._literal(last)}")[0]
+        return last if before is None else before
+
+    def _offsets(self, query: str) -> list[str | None]:
+        rows = self._reader().option("query", query).load().toDF("hi")
+        text = as_text(F.col("hi").cast(self.kind), self.kind)
+        return [r[0] for r in rows.orderBy("hi").select(text).collect()]
+
     def scan(self, wanted: OffsetRange) -> DataFrame:
         reader = self._reader()
         if self.num_partitions > 1 and self.split_column is not None:
@@ -202,8 +242,10 @@ class IncrementalReader:
 
     ``starting`` is ``earliest``, ``latest`` (the rows at the largest offset) or an offset
     value as text. ``lag`` is subtracted from the largest offset. ``max_rows_per_batch``
-    splits a long backlog; only rows that share one offset can exceed it, since a range
-    never ends inside a run of equal offsets.
+    splits a long backlog, whatever kind of value sorts as its offset; only rows that share one
+    offset can exceed it, since a range never ends inside a run of equal offsets. A backlog of a
+    ``FrameTable`` is dealt into folders beside the log in one pass, see ``backlog``; a database
+    counts whole numbers in bins and pages through other offsets.
     """
 
     def __init__(
@@ -220,6 +262,8 @@ class IncrementalReader:
         self._files = SharedFiles(spark)
         self.id = self._name()
         self._ends: list[str] = []
+        self._pieces: dict[int, Piece] = {}  # of a backlog, by the id of the batch
+        self._piece_schema: T.StructType | None = None
         self._last: OffsetRange | None = None
         self._last_id, self._committed = -1, True
         logged = [name for name, _ in self._files.children(f"{self.log_dir}/offsets")]
@@ -232,6 +276,9 @@ class IncrementalReader:
             if self._last.column != table.column:
                 raise ValueError(f"the log is of column {self._last.column!r}")
             self._committed = self._files.exists(f"{self.log_dir}/commits/{logged[-1]}")
+        for name, _ in self._files.children(f"{self.log_dir}/backlog"):
+            if name.isdigit():
+                self._know(json.loads(self._files.read_text(f"{self.log_dir}/backlog/{name}")))
 
     def _name(self) -> str:
         """What tells this log's batches from those of another log, written once."""
@@ -253,7 +300,13 @@ class IncrementalReader:
             self._files.publish_text(
                 f"{self.log_dir}/offsets/{self._last_id:012d}", wanted.to_json()
             )
-        return Batch(self._last_id, self._last, self.table.scan(self._last))
+        return Batch(self._last_id, self._last, self._rows())
+
+    def _rows(self) -> DataFrame:
+        piece = self._pieces.get(self._last_id)
+        if piece is None:
+            return self.table.scan(self._last)
+        return self.spark.read.schema(self._piece_schema).parquet(piece.path)
 
     def commit(self, batch: Batch) -> None:
         if batch.batch_id != self._last_id:
@@ -261,6 +314,9 @@ class IncrementalReader:
         if not self._committed:
             self._files.publish_text(f"{self.log_dir}/commits/{batch.batch_id:012d}", "{}")
             self._committed = True
+            if batch.batch_id == max(self._pieces, default=None):
+                self._files.delete(f"{self.log_dir}/backlog")
+                self._pieces = {}
             for old in ("offsets", "commits"):
                 expired = f"{self.log_dir}/{old}/{batch.batch_id - _RETAINED:012d}"
                 self._files.delete(expired)
@@ -312,19 +368,21 @@ class IncrementalReader:
         after = None if self._last is None else self._last.end
         if self._ends and after is not None:
             return OffsetRange(column, after, self._ends.pop(0))
+        if (piece := self._pieces.get(self._last_id + 1)) and after is not None:
+            return OffsetRange(column, after, piece.end)
         high = F.col("hi") if self.lag is None else F.col("hi") - self.lag
         if after is not None:
             start, ready = F.lit(after), high > F.lit(after).cast(kind)
         elif self.starting == "earliest":
-            start, ready = _text(F.col("lo"), kind), high >= F.col("lo")
+            start, ready = as_text(F.col("lo"), kind), high >= F.col("lo")
         elif self.starting == "latest":
-            start, ready = _text(high.cast(kind), kind), high.isNotNull()
+            start, ready = as_text(high.cast(kind), kind), high.isNotNull()
         else:
             start, ready = F.lit(self.starting), high >= F.lit(self.starting).cast(kind)
         found = (
             self.table.bounds(after)
             .where(ready)
-            .select(start.alias("start"), _text(high.cast(kind), kind).alias("end"))
+            .select(start.alias("start"), as_text(high.cast(kind), kind).alias("end"))
             .first()
         )
         if found is None:
@@ -332,58 +390,56 @@ class IncrementalReader:
         wanted = OffsetRange(column, found["start"], found["end"], after is None)
         if self.max_rows is None:
             return wanted
-        self._ends = self._split(wanted)
-        return OffsetRange(column, wanted.start, self._ends.pop(0), wanted.start_inclusive)
+        end = wanted.end
+        if isinstance(self.table, FrameTable):
+            self._deal(wanted)
+            if self._pieces:
+                end = self._pieces[self._last_id + 1].end
+        elif isinstance(kind, T.IntegralType):
+            self._ends = self._split(wanted)
+            end = self._ends.pop(0)
+        else:
+            end = self.table.page_end(wanted, self.max_rows)
+        return OffsetRange(column, wanted.start, end, wanted.start_inclusive)
+
+    def _deal(self, wanted: OffsetRange) -> None:
+        """Deal a backlog of more than ``max_rows`` rows into folders, and note them.
+
+        The note is published last: without it the next reader deals anew.
+        """
+        rows, place = self.table.scan(wanted), f"{self.log_dir}/backlog"
+        total = rows.count()
+        if total <= self.max_rows:
+            return
+        self._files.delete(place)  # what an earlier try left
+        pieces = deal(
+            rows, self.table.column, self.table.kind, self.max_rows, f"{place}/{uuid.uuid4().hex}", total
+        )
+        note = {
+            "first": self._last_id + 1,
+            "schema": rows.schema.json(),
+            "pieces": [[p.end, p.path, p.rows] for p in pieces],
+        }
+        self._files.publish_text(f"{place}/{self._last_id + 1:012d}", json.dumps(note))
+        self._know(note)
+
+    def _know(self, note: dict) -> None:
+        self._piece_schema = T.StructType.fromJson(json.loads(note["schema"]))
+        self._pieces = {note["first"] + k: Piece(*piece) for k, piece in enumerate(note["pieces"])}
 
     def _split(self, wanted: OffsetRange, bins: int = 1024) -> list[str]:
-        """Ends of consecutive ranges of at most ``max_rows`` rows, at least the first one.
+        """Ends of consecutive ranges of at most ``max_rows`` whole numbers in a database.
 
-        Counts the rows in equal bins of the offset axis (at most ``bins`` rows reach the
-        driver) and joins neighbouring bins. Where the first bin alone is too large it is
-        cut into bins again, down to a single offset.
+        The database counts the rows in equal bins of the offset axis (at most ``bins`` rows reach the
+        driver); neighbouring bins are joined. Where the first bin alone is too large it is cut into
+        bins again, down to a single offset.
         """
-        kind, column = self.table.kind, F.col(f"`{self.table.column}`")
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            position = F.unix_micros(column.cast("timestamp"))
-        elif isinstance(kind, T.DateType):
-            position = F.unix_date(column)
-        elif isinstance(kind, T.NumericType):
-            position = column
-        else:
-            raise ValueError(f"max_rows_per_batch needs a numeric or time offset, not {kind}")
-        whole = not isinstance(kind, (T.FractionalType, T.DecimalType))
-        asked = isinstance(kind, T.IntegralType) and hasattr(self.table, "bins")
-        if asked:  # only the histogram leaves the database
-            low, high = self.table.ends(wanted)
-        else:
-            df = self.table.scan(wanted).select(
-                column.alias("offset"), position.cast("bigint" if whole else "double").alias("x")
-            )
-            low, high = df.agg(F.min("x"), F.max("x")).first()
+        low, high = self.table.ends(wanted)
         while True:
             if low == high:
                 return [wanted.end]
-            step = (high - low) // bins + 1 if whole else None  # exact beyond 2**53
-            if asked:
-                counts = self.table.bins(low, high, step).orderBy("bin").collect()
-            else:
-                if whole:
-                    nth = F.call_function("div", F.col("x") - F.lit(low), F.lit(step))
-                else:
-                    share = (F.col("x") - low) * (bins / (high - low))
-                    nth = F.least(F.floor(share), F.lit(bins - 1))
-                counts = (
-                    df.where(F.col("x").between(low, high))
-                    .groupBy(nth.alias("bin"))
-                    .agg(
-                        F.count("*").alias("n"),
-                        _text(F.max("offset"), kind).alias("end"),
-                        F.min("x").alias("from"),
-                        F.max("x").alias("to"),
-                    )
-                    .orderBy("bin")
-                    .collect()
-                )
+            step = (high - low) // bins + 1
+            counts = self.table.bins(low, high, step).orderBy("bin").collect()
             first = counts[0]
             if first["n"] > self.max_rows and first["from"] < first["to"]:
                 low, high = first["from"], first["to"]

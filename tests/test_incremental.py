@@ -3,7 +3,8 @@ from __future__ import annotations
 import json
 import time
 from collections import Counter
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -248,10 +249,97 @@ def test_bounded_batches_with_a_far_outlier(spark, tmp_path):
     assert sum(len(b) for b in batches) == 201
 
 
-def test_bounded_batches_need_a_number_or_time(spark, tmp_path):
-    source = Source(spark, [(1, "a"), (2, "b")], "id int, off string")
-    with pytest.raises(ValueError):
-        source.reader(tmp_path, max_rows_per_batch=1).next_batch()
+def sized(batches):
+    """Each batch as its number of rows and of offsets, None for a null."""
+    return [(len(b), len({off for off, _ in b})) for b in batches]
+
+
+@pytest.mark.parametrize(
+    ("kind", "value"),
+    [
+        ("string", lambda i: f"{'zäa€'[i % 4]}'{i // 7:05d}"),
+        ("decimal(30,10)", lambda i: Decimal(i // 3) / 7 + 10**18),
+        ("date", lambda i: date(2020, 1, 1) + timedelta(days=i // 5)),
+        ("timestamp", lambda i: datetime(2020, 1, 1) + timedelta(microseconds=i * i)),
+        ("timestamp_ntz", lambda i: datetime(2020, 3, 29) + timedelta(minutes=i)),
+        ("double", lambda i: {1: float("nan"), 2: float("inf"), 3: -1e300}.get(i % 40, i / 3)),
+    ],
+)
+def test_bounded_batches_of_any_offset_that_sorts(spark, tmp_path, kind, value):
+    rows = [(i, value(i)) for i in range(700)] + [(-1, None)]
+    source = Source(spark, rows, f"id int, off {kind}")
+    batches = drain(source.reader(tmp_path, max_rows_per_batch=40))
+    assert sorted(i for b in batches for _, i in b) == list(range(700))
+    assert all(n <= 40 or offsets == 1 for n, offsets in sized(batches))
+    assert len(batches) < 60
+
+
+def test_one_offset_that_most_rows_share(spark, tmp_path):
+    rows = [(i, "m" if i % 3 else f"{i:04d}") for i in range(600)] + [(9000, "z")]
+    batches = drain(Source(spark, rows, "id int, off string").reader(tmp_path, max_rows_per_batch=30))
+    assert sum(n for n, _ in sized(batches)) == 601
+    assert [n for n, offsets in sized(batches) if n > 30] == [400]
+
+
+def test_backlog_goes_on_after_a_restart(spark, tmp_path):
+    """From what was dealt, whatever the table has by then, and is gone after its last batch."""
+    source = Source(spark, [(i, f"{i:03d}") for i in range(100)], "id int, off string")
+    options = {"max_rows_per_batch": 10}
+    first = source.reader(tmp_path, **options)
+    seen = take(first)
+    batch = first.next_batch()  # not committed
+    kept, source.rows = source.rows, source.rows[:3]
+    again = source.reader(tmp_path, **options).next_batch()
+    assert ids(again) == ids(batch) and again.range == batch.range
+    while (found := take(source.reader(tmp_path, **options))) is not None:
+        seen += found
+    assert sorted(seen) == list(range(100))
+    assert not (tmp_path / "backlog").exists()
+    source.rows = kept + [(500, "x")]
+    assert take(source.reader(tmp_path, **options)) == [500]
+
+
+def test_backlog_is_read_once(spark, tmp_path):
+    """Batches read their folders, not the table."""
+    spark.range(1000).selectExpr("id", "cast(id % 97 as string) off").write.parquet(f"{tmp_path}/t")
+    reader = IncrementalReader(
+        spark,
+        FrameTable(lambda: spark.read.parquet(f"{tmp_path}/t"), "off"),
+        f"{tmp_path}/log",
+        max_rows_per_batch=200,
+    )
+    total = 0
+    while (batch := reader.next_batch()) is not None:
+        assert all("/log/backlog/" in f for f in batch.df.inputFiles())
+        assert len(batch.df.inputFiles()) <= 8
+        total += batch.df.count()
+        reader.commit(batch)
+    assert total == 1000
+
+
+@pytest.mark.parametrize("column", ["t", "name"])
+def test_database_pages_through_other_offsets(spark, derby, tmp_path, column):
+    """Ties never part, and no query returns more than two offsets."""
+    base = datetime(2021, 5, 1)
+    rows = [(i, base + timedelta(microseconds=(i // 4) * 10**5), f"o'{i // 6:04d}") for i in range(200)]
+    rows += [(1000 + i, base + timedelta(seconds=1), "o'0007") for i in range(60)]
+    frame = spark.createDataFrame(rows, "id int, t timestamp, name string")
+    writer = frame.write.format("jdbc").options(dbtable="paged", **derby)
+    writer.option("createTableColumnTypes", "name VARCHAR(20)").save()
+    source = JdbcTable(spark, dbtable="paged", offset_column=column, **derby)
+    asked = []
+    own = source._offsets
+    source._offsets = lambda query: asked.append(own(query)) or asked[-1]
+    reader = IncrementalReader(spark, source, str(tmp_path / "log"), max_rows_per_batch=25)
+    sizes, seen = [], []
+    while (batch := reader.next_batch()) is not None:
+        found = [(r["id"], r[column]) for r in batch.df.select("id", source.column).toDF("id", column).collect()]
+        sizes.append((len(found), len({v for _, v in found})))
+        seen += [i for i, _ in found]
+        reader.commit(batch)
+    assert sorted(seen) == sorted(r[0] for r in rows)
+    assert all(n <= 25 or offsets == 1 for n, offsets in sizes) and max(sizes)[0] > 60
+    assert asked and all(len(a) <= 2 for a in asked)
 
 
 def test_range_filter_reaches_parquet(spark, tmp_path):
