@@ -2,12 +2,15 @@
 
 1. One pass finds every plain form (the seeds) and every weak form: something that looks like an
    identifier but fails a rule, as a phone number without its "+". Each comes with its patterns: the
-   one to three tokens (words, numbers, signs) before it, as far as there is a word in them.
+   one to three tokens (words, numbers, signs) before it, as far as there is a word in them, alone and
+   with the token after it. A secret, a long run of letters and digits, has no plain form: those that
+   a name like "token" is set to are its seeds.
 2. A pattern's confidence for a kind is the share of seeds and accepted forms among the distinct
    forms of the kind that follow it. A weak form's score follows from the confidence of its patterns,
    of those that end with the same word the best. Forms whose score reaches ACCEPT are accepted and
-   count in the next of ROUNDS rounds, so patterns without any seed are found from them: if numbers
-   after "tel:" are accepted and stand after "mobil:" too, so are the others after "mobil:".
+   count in the next round, so patterns without any seed are found from them: if numbers
+   after "tel:" are accepted and stand after "mobil:" too, so are the others after "mobil:". Scores only
+   grow, and the rounds end when no form is new.
 3. A pattern counts only if its last word belongs to the kind: CONFIDENT of the word's uses, or LIFT
    times as many as of any word, stand before such a form. So "the" is none, however many numbers
    follow it, and "phone" is one, however often it is used without a number.
@@ -17,8 +20,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +31,8 @@ from pyspark.sql import functions as F
 
 from sluiceworks.llm.tables import modest_batches, stored
 
-KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+BASE = ("email", "ip", "card", "phone")  # kinds with plain forms
+KINDS = (*BASE, "secret")
 ACCEPT = 0.5  # score of a weak instance
 CONFIDENT = 0.3  # confidence from which a pattern counts
 SEEDS = 3  # distinct seeds and accepted forms that a pattern needs
@@ -47,12 +52,16 @@ WEAK = {
     "ip": re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])"),
     "card": re.compile(r"(?<![0-9A-Za-z])[0-9](?:[\x20-]?[0-9]){11,18}(?![0-9A-Za-z])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}(?![0-9A-Za-z])"),
+    "secret": re.compile(
+        r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*[0-9])(?=[0-9_/+-]*[A-Za-z])[A-Za-z0-9_/+-]{16,}"
+    ),
 }
+# names of secrets, with the sign that sets them
+SECRET = re.compile(r"(?:token|secret|password|passwd|pwd|key) (?:=|:)(?: [\"'])?")
 MARKS = re.compile(r"[0-9@]")
 ALPHA = re.compile(r"[^\W\d_]+")
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_+")
 PATTERN_TOKENS = 3
-CONTEXT_CHARS = 120  # how far back the tokens before may begin
 MOST_COUNTED = 200_000  # words that a task counts before it hands them on
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -100,52 +109,68 @@ def plain_spans(text: str) -> list[Span]:
 
 
 def weak_spans(text: str, plain: list[Span]) -> list[Span]:
-    """Weak forms that touch no seed."""
+    """Weak forms that touch no seed; ``plain`` is sorted."""
     if not MARKS.search(text) and "(at)" not in text and "[at]" not in text:
         return []
+    begins = [a for a, _, _ in plain]
+    ends = list(accumulate((b for _, _, b in plain), max))  # the furthest end up to each
     out = []
     for kind, name in enumerate(KINDS):
         if kind == 0 and not any(x in text for x in ("@", "(at)", "[at]")):
             continue
         for m in WEAK[name].finditer(text):
-            if not any(a < m.end() and m.start() < b for a, _, b in plain):
+            before = bisect_left(begins, m.end())
+            if not before or ends[before - 1] <= m.start():
                 out.append((m.start(), kind, m.end()))
     return out
 
 
-def context(text: str, start: int) -> tuple[str | None, list[str]]:
-    """The last word before a place on its line and the patterns that end there, lower case.
+class Contexts:
+    """The tokens of a text, and what stands around places in it."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.tokens = list(TOKEN.finditer(text))
+        self.begins = [m.start() for m in self.tokens]
+        self.lines = [m.start() for m in re.finditer("\n", text)]
+
+    def at(self, start: int, end: int) -> tuple[str | None, list[str]]:
+        """The last word before a form on its line and the form's patterns, lower case.
+
+        Patterns are the last one to PATTERN_TOKENS tokens, from the one on that holds the word, each
+        without and with the next token on the line; without a word in them there are none. A number
+        in them is written as 0.
+        """
+        line = bisect_left(self.lines, start)
+        line_begin = self.lines[line - 1] + 1 if line else 0
+        line_end = bisect_left(self.lines, end)
+        line_end = self.lines[line_end] if line_end < len(self.lines) else len(self.text)
+        last = bisect_left(self.begins, start)
+        tokens = []
+        for m in self.tokens[max(0, last - PATTERN_TOKENS) : last]:
+            if m.start() >= line_begin:
+                tokens.append(self._written(m[0] if m.end() <= start else m[0][: start - m.start()]))
+        for at in range(len(tokens) - 1, -1, -1):
+            if ALPHA.match(tokens[at]):
+                break
+        else:
+            return None, []
+        patterns = [" ".join(tokens[i:]) for i in range(at, -1, -1)]
+        after = bisect_left(self.begins, end)
+        if after < len(self.tokens) and self.tokens[after].end() <= line_end:
+            following = self._written(self.tokens[after][0])
+            patterns += [f"{p} _ {following}" for p in patterns]
+        return tokens[at], patterns
 
-    Patterns are the last one to PATTERN_TOKENS tokens, from the one on that holds the word; without
-    a word in them there are none. A number in them is written as 0.
-    """
-    begin = max(0, start - CONTEXT_CHARS)
-    before = text[begin:start].rpartition("\n")[2]
-    tokens = [m[0].lower() for m in TOKEN.finditer(before)]
-    if len(before) == CONTEXT_CHARS and begin and text[begin - 1].isalnum() and text[begin].isalnum():
-        del tokens[0]  # cut
-    tokens = ["0" if t[0].isdigit() else t for t in tokens[-PATTERN_TOKENS:]]
-    for at in range(len(tokens) - 1, -1, -1):
-        if ALPHA.match(tokens[at]):
-            return tokens[at], [" ".join(tokens[i:]) for i in range(at, -1, -1)]
-    return None, []
+    @staticmethod
+    def _written(token: str) -> str:
+        return "0" if token[0].isdigit() else token.lower()
 
 
 def written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-MENTION = pa.struct(
-    [
-        ("kind", pa.int32()),
-        ("start", pa.int64()),
-        ("end", pa.int64()),
-        ("seed", pa.bool_()),
-        ("context", pa.string()),
-        ("patterns", pa.list_(pa.string())),
-        ("instance", pa.string()),
-    ]
-)
 SPAN = "struct<start:long,kind:int,end:long>"
 SCAN = (
     "doc_id long, print long, counts array<long>, base string, mentions array<struct<kind:int,"
@@ -153,31 +178,45 @@ SCAN = (
 )
 
 
+def mentions_of(text: str, plain: list[Span]) -> Iterator[tuple]:
+    """(kind, start, end, seed, context, patterns, instance) of each form in a text."""
+    weak = weak_spans(text, plain)
+    if not plain and not weak:
+        return
+    around = Contexts(text)
+    for known, spans in ((True, plain), (False, weak)):
+        for a, k, b in spans:
+            word, patterns = around.at(a, b)
+            named = k == len(BASE) and any(SECRET.fullmatch(p) for p in patterns)
+            yield k, a, b, known or named, word, patterns, text[a:b]
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("kind", "start", "end", "seed", "context", "patterns", "instance")
+    text, list_ = pa.string(), pa.list_(pa.string())
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.bool_(), text, list_, text)
     for batch in batches:
-        counts, base, mentions = [], [], []
+        counts, base, sizes = [], [], [0]
+        columns: list[list] = [[] for _ in names]
         for value in batch.column(1):
-            text = value.as_py() or ""
-            plain = plain_spans(text)
+            own = value.as_py() or ""
+            plain = plain_spans(own)
             n = Counter(k for _, k, _ in plain)
-            counts.append([n[k] for k in range(len(KINDS))])
+            counts.append([n[k] for k in range(len(BASE))])
             base.append(written(plain))
-            mentions.append(
-                [
-                    (k, a, b, seed, *context(text, a), text[a:b])
-                    for seed, spans in ((True, plain), (False, weak_spans(text, plain)))
-                    for a, k, b in spans
-                ]
-            )
-        names = [f.name for f in MENTION]
-        mentions = [[dict(zip(names, m, strict=True)) for m in row] for row in mentions]
+            for mention in mentions_of(own, plain):
+                for column, x in zip(columns, mention, strict=True):
+                    column.append(x)
+            sizes.append(len(columns[0]))
+        parts = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        mentions = pa.StructArray.from_arrays(parts, names)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 batch.column(2),
                 pa.array(counts, pa.list_(pa.int64())),
                 pa.array(base, pa.string()),
-                pa.array(mentions, pa.list_(MENTION)),
+                pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), mentions),
             ],
             ["doc_id", "print", "counts", "base", "mentions"],
         )
@@ -239,8 +278,8 @@ def accepted(spark: SparkSession, docs: DataFrame, mentions: DataFrame) -> DataF
     patterns = patterns.join(own.select("kind", "context"), ["kind", "context"], "left_semi")
     graph = edges.join(patterns, ["kind", "context", "pattern"])
     graph = stored(spark, graph, "graph")
-    found = graph.select("kind", "instance").limit(0)
-    for _ in range(ROUNDS):
+    found, size = graph.select("kind", "instance").limit(0), 0
+    while True:
         taken = found.withColumn("taken", F.lit(True))
         counted = F.col("seed") | F.coalesce("taken", F.lit(False))
         confidence = (
@@ -265,15 +304,20 @@ def accepted(spark: SparkSession, docs: DataFrame, mentions: DataFrame) -> DataF
             .select("kind", "instance"),
             "found",
         )
-    return found
+        before, size = size, found.count()
+        if size == before:  # no form is new, as none goes
+            break
+    # a secret set by name somewhere is one wherever it stands
+    named = mentions.where("seed").where(F.col("kind") == len(BASE)).select("kind", "instance")
+    return found.union(named).distinct()
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, print, counts, base, spans for each row of ``docs`` (doc_id, text, ...).
 
-    ``counts`` has the number of plain forms of each of KINDS, ``base`` writes them as
-    kind:start:end (code points, end exclusive) by start and kind, ``spans`` writes these and the
-    accepted weak forms. ``print`` is xxhash64 of the text. A null text is an empty one and has
+    ``counts`` has the number of plain forms of each of BASE, ``base`` writes them as
+    kind:start:end (code points, end exclusive) by start and kind, ``spans`` writes these, the secrets
+    and the accepted weak forms, by start and KINDS. ``print`` is xxhash64 of the text. A null text is an empty one and has
     none; so a text without digits and "@". A null doc_id is returned as it is. Repeated rows give
     repeated rows. Without seeds nothing is learned. An empty table gives an empty result. Columns
     other than doc_id and text aren't read.

@@ -21,7 +21,7 @@ from sluiceworks.llm.metric_join import near_vectors
 from sluiceworks.llm.near_dedup import near_duplicates
 from sluiceworks.llm.oracle import ORACLE
 from sluiceworks.llm.periodic_runs import find_runs
-from sluiceworks.llm.pii import KINDS, find_personal_data
+from sluiceworks.llm.pii import BASE, find_personal_data
 from sluiceworks.llm.quality_rules import judge
 from sluiceworks.llm.spelling_variants import group_variants, letter_runs, word_counts
 from sluiceworks.llm.substring_dedup import remove_repeats
@@ -119,7 +119,7 @@ def op8_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(_table(spark, sf_dir, "documents"))
-    counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
+    counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(BASE)]
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
 
 

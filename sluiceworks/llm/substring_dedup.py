@@ -330,10 +330,11 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW) -> DataFrame:
     )
     covers = stored(spark, covers, "covers")
     release(spark)
-    covers = covers.select(F.struct("doc_id", "print").alias("_of"), F.col("starts").alias("_starts"))
+    of, starts = unused(docs, "_of"), unused(docs, "_starts")
+    covers = covers.select(F.struct("doc_id", "print").alias(of), F.col("starts").alias(starts))
     own = F.struct(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]))
-    both = docs.join(covers, own == F.col("_of"), "left").select(
-        *[docs[c] for c in docs.columns], covers["_starts"]
+    both = docs.join(covers, own == covers[of], "left").select(
+        *[docs[c] for c in docs.columns], covers[starts]
     )
     new = unused(docs, "n_words"), unused(docs, "n_removed")
     kind = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in new]])

@@ -12,7 +12,7 @@ cloudpickle.register_pickle_by_value(sluiceworks)
 
 SF = "/root/testdata/sf0.001"
 # columns of a caller that have names that the operators use themselves
-CLASHES = ("score", "kept", "print", "n_words", "n_removed", "component", "key", "_row", "words", "row")
+CLASHES = ("score", "kept", "print", "n_words", "n_removed", "component", "key", "_row", "words", "row", "_of", "_starts", "_spans", "spans", "starts", "text_")
 SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType())]
     + [T.StructField(c, T.StringType()) for c in ("text", "lang", "source", *CLASHES)]
