@@ -54,7 +54,10 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that an earlier document has. A text may become empty."""
+    """Texts without the passages that an earlier document has. A text may become empty.
+
+    Null and empty texts, rows without doc_id and repeated rows stay as they came; an empty table stays empty.
+    """
     return remove_repeats(docs).select(*docs.columns)
 
 
@@ -73,18 +76,27 @@ def _masked(text_at: int):
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by its kind; overlapping spans become one mark."""
+    """Texts with personal data and secrets replaced by their kind; overlapping spans become one mark.
+
+    A null text stays null, an empty one empty; repeated rows stay repeated and are masked alike, rows
+    without doc_id too; an empty table stays empty.
+    """
     found = find_personal_data(docs).where("spans <> ''").dropDuplicates(["doc_id", "print"])
-    found = found.select(F.struct("doc_id", "print").alias("_of"), F.col("spans").alias("_spans"))
+    of, spans = unused(docs, "_of"), unused(docs, "_spans")
+    found = found.select(F.struct("doc_id", "print").alias(of), F.col("spans").alias(spans))
     own = F.struct(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]))
-    both = docs.join(found, own.eqNullSafe(F.col("_of")), "left").select(
-        *[docs[c] for c in docs.columns], found["_spans"]
+    both = docs.join(found, own.eqNullSafe(found[of]), "left").select(
+        *[docs[c] for c in docs.columns], found[spans]
     )
     return both.mapInArrow(_masked(docs.columns.index("text")), docs.schema)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the sequences that the texts make."""
+    """The pieces of the sequences that the texts make, with their ids; other columns go.
+
+    A null text is an empty one: it makes a piece of the end id alone. Repeated rows and rows without
+    doc_id make pieces of their own. An empty table makes none.
+    """
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
