@@ -21,7 +21,7 @@ from sluiceworks.llm.arrow_words import text_bytes
 from sluiceworks.llm.tables import modest_batches
 
 CHUNK = 256  # bytes
-STEP = 192  # from one chunk to the next
+STEP = 191  # from one chunk to the next; odd, so that chunks begin at all places modulo GROUP
 GROUP = 4  # a filter sees two neighbouring groups of bytes and moves on by one
 EMBED = 8
 FILTERS = 32
@@ -30,7 +30,8 @@ PAD = 256  # the byte beyond a text's end
 AGAIN = 257
 LAGS = range(2, 33)
 SAMPLE_ROWS = 1200  # labelled texts of each class that are learned from
-SAMPLE_BYTES = 16_384  # longer texts aren't learned from
+SAMPLE_BYTES = 16_384  # bytes of a text that are learned from; of a longer one, stretches all over it
+STRETCH = 1024
 STEPS = 800
 BATCH = 32  # half of each class
 CUT = 0.3
@@ -208,11 +209,23 @@ def held_out(doc_id: str) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % HELD_OUT == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ByteCnn:
+def excerpt(text: str, most: int) -> Column:
+    """The bytes of a text, or of one longer than ``most`` stretches evenly spread over all of it."""
+    data, n = F.col(text).cast("binary"), max(2, most // STRETCH)
+    size = F.octet_length(text)
+    begins = [F.lit(1) + (F.lit(i) * (size - STRETCH) / (n - 1)).cast("int") for i in range(n)]
+    spread = F.concat(*[F.substr(data, b, F.lit(STRETCH)) for b in begins])
+    return F.when(size <= most, data).otherwise(spread)
+
+
+def learn(
+    docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES
+) -> ByteCnn:
     """Train on at most ``rows`` texts of each class of ``labels`` (doc_id, quality).
 
-    The sample is the rows with the smallest hashes among those that aren't held out and whose
-    texts have at most SAMPLE_BYTES bytes. A doc_id with both labels counts for neither.
+    The sample is the rows with the smallest hashes among those that aren't held out; texts may have
+    any length, of the longer ones an excerpt of ``sample_bytes`` is learned. Of rows that share a doc_id
+    the one with the smallest excerpt is taken. A doc_id with both labels counts for neither.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
@@ -224,25 +237,18 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ByteCn
     )
     count = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     total = max(1, sum(count.values()))
-    sized = docs.select(F.col("doc_id").cast("long"), F.octet_length("text").alias("size"))
-    fit = known.join(sized.where(F.col("size") <= SAMPLE_BYTES).select("doc_id").distinct(), "doc_id")
+    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+    fit = known.join(texts.select("doc_id").distinct(), "doc_id")
     picked = None
     for quality in (0, 1):
         part = fit.where(F.col("quality") == quality).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         picked = part if picked is None else picked.union(part)
     # at most 2 * rows pairs of numbers
     ids = docs.sparkSession.createDataFrame(picked.collect(), "doc_id long, quality int")
-    found = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .where(F.octet_length("text") <= SAMPLE_BYTES)
-        .join(F.broadcast(ids), "doc_id")
-        .dropDuplicates(["doc_id"])
-        .orderBy("doc_id")
-        .collect()
-    )
-    texts = [r["text"].encode() for r in found]
+    picked = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "quality", excerpt("text", sample_bytes).alias("x"))
+    found = picked.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).orderBy("doc_id").collect()
     rates = (count.get(0, 0) / total, count.get(1, 0) / total)
-    return train(texts, [r["quality"] for r in found], rates)
+    return train([bytes(r["x"]) for r in found], [r["quality"] for r in found], rates)
 
 
 def _scored(model: ByteCnn, text: int, name: str):

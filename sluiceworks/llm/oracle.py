@@ -101,10 +101,11 @@ _NEAR = rf"""
 """
 
 _NEAREST = """
-    WITH codes AS (SELECT vec_id, [coalesce(embedding[i], 0) > 0 FOR i IN range(1, 65)] AS signs
+    WITH codes AS (SELECT vec_id, [coalesce(x, 0) > 0 FOR x IN coalesce(embedding, [])] AS signs
                    FROM embeddings),
     pairs AS (SELECT q.vec_id AS query_id, c.vec_id,
-                     len([i FOR i IN range(1, 65) IF q.signs[i] <> c.signs[i]]) AS distance
+                     len([i FOR i IN range(1, 1 + greatest(len(q.signs), len(c.signs)))
+                          IF coalesce(q.signs[i], false) <> coalesce(c.signs[i], false)]) AS distance
               FROM codes q, codes c WHERE q.vec_id % 20 = 0),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
                FROM pairs)

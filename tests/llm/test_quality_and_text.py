@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluiceworks.llm import queries
-from sluiceworks.llm.byte_cnn import ByteCnn, chunks, score_quality, train
-from sluiceworks.llm.hamming_search import nearest, sign_code
+from sluiceworks.llm.byte_cnn import ByteCnn, chunks, excerpt, score_quality, train
+from sluiceworks.llm.hamming_search import _with_masks, flips, nearest, sign_code
 from sluiceworks.llm.license_scan import PHRASES, TEMPLATES, scan_licenses
 from sluiceworks.llm.pii import BASE, KINDS, find_personal_data, luhn, mask, plain_spans
 from sluiceworks.llm.quality_rules import bucket, bucket_floor, fences, judge
@@ -228,6 +228,23 @@ def test_templates_are_found_whole_in_part_and_with_gaps(spark):
     assert found[6] == ("bsd,cc-by,isc", 1.0)
 
 
+def test_excerpts_of_long_texts_are_learned(spark):
+    """The quality of these shows beyond any prefix, and no text is short."""
+    long = "ä" * 9000 + "".join(chr(97 + i % 26) for i in range(30_000))
+    rows = [(1, "short é"), (2, long), (3, None)]
+    got = {r[0]: r[1] for r in frame(spark, rows).select("doc_id", excerpt("text", 4096)).collect()}
+    data = long.encode()
+    assert bytes(got[1]) == "short é".encode() and got[3] is None and len(got[2]) == 4096
+    begins = [int(i * (len(data) - 1024) / 3) for i in range(4)]
+    assert bytes(got[2]) == b"".join(data[b : b + 1024] for b in begins)
+    rng = np.random.default_rng(1)
+    filler = lambda n: " ".join(words(40, int(rng.integers(1 << 30))) for _ in range(n))
+    docs = [(i, filler(100) + ("$$$ ###" * 1500 if i % 2 else filler(50))) for i in range(60)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, quality int")
+    scores = {r["doc_id"]: r["score"] for r in score_quality(frame(spark, docs), labels).collect()}
+    assert sum((scores[i] > 0.5) == (i % 2 == 0) for i in range(60)) >= 57
+
+
 def test_spans_and_sections_of_licences(spark):
     warranty, notice = TEMPLATES["mit/warranty"], TEMPLATES["bsd"].split()
     rows = [
@@ -374,7 +391,32 @@ def test_nearest_edge_cases(spark):
     with pytest.raises(ValueError):
         nearest(few, ask, 3, width=7)
     vectors = spark.createDataFrame([([1.0, -1.0, None, 2.0],), (None,), ([],)], "v array<float>")
-    assert [r[0] for r in vectors.select(sign_code("v")).collect()] == [9, 0, 0]
+    assert [r[0] for r in vectors.select(sign_code("v")).collect()] == [[9], [0], [0]]
+
+
+def test_codes_of_all_components(spark):
+    """Of 130, of which the first 64 are alike everywhere; some vectors are shorter."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(120):
+        tail = rng.normal(size=[66, 66, 30, 0][i % 4]) if i % 9 else np.ones(66)
+        rows.append((i, [1.0] * 64 + tail.tolist()))
+    vectors = spark.createDataFrame(rows, "id long, v array<double>")
+    codes = vectors.select("id", sign_code("v").alias("code"))
+    asked = codes.where("id % 7 = 0").withColumnRenamed("id", "query_id")
+    signs = {i: [x > 0 for x in v] + [False] * (130 - len(v)) for i, v in rows}
+    want = []
+    for q in range(0, 120, 7):
+        ranked = sorted((sum(a != b for a, b in zip(signs[q], s, strict=True)), i) for i, s in signs.items())
+        want += [(q, n + 1, i, d) for n, (d, i) in enumerate(ranked[:6])]
+    assert found_near(nearest(codes, asked, 6, width=8)) == sorted(want)
+    assert len({tuple(r["code"]) for r in codes.collect()}) > 60
+
+
+@pytest.mark.parametrize(("width", "r"), [(8, 3), (16, 2), (32, 0), (32, 3), (32, 31)])
+def test_masks(spark, width, r):
+    masks = [m["mask"] for m in _with_masks(spark.range(1), width, r).collect()]
+    assert sorted(masks) == sorted(flips(width, r))
 
 
 def test_long_text_is_no_special_case():
