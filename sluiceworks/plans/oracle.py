@@ -110,6 +110,12 @@ ORACLE: dict[str, str] = {
     "incr_restart": _ORDERS_IN_TWO,
     "incr_bounded": "SELECT * FROM orders",
     "incr_jdbc": _ORDERS_IN_TWO,
+    "incr_late": """
+        WITH ended AS (SELECT max(o_orderdate) AS last_day FROM orders
+                       WHERE o_orderdate <= TIMESTAMP '1998-01-01' AND o_orderkey % 5 <> 0)
+        SELECT orders.* FROM orders, ended
+        WHERE o_orderkey % 5 <> 0 OR o_orderdate > last_day - INTERVAL 365 DAYS
+    """,
     "incr_bounded_text": """
         SELECT o_orderkey, strftime(o_orderdate, '%Y.%m.%d') AS day, true AS bounded
         FROM orders WHERE o_orderkey % 50 <> 0

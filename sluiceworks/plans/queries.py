@@ -368,6 +368,28 @@ def incr_bounded(spark, sf):
     return rows.drop("batchId")
 
 
+def incr_late(spark, sf):
+    """Every fifth order arrives a round late; those within a year of the end then still come, once."""
+    orders = table(spark, sf, "orders")
+    place = scratch_dir(spark, "incremental")
+    early = (F.col("o_orderdate") <= F.lit("1998-01-01").cast("timestamp_ntz")) & (F.col("o_orderkey") % 5 != 0)
+    shown = [early, F.col("o_orderdate") <= F.lit("1998-06-01").cast("timestamp_ntz"), F.lit(True), F.lit(True)]
+    write = append_batches(f"{place}/rows")
+    for arrived in shown:
+
+        def reader(arrived=arrived) -> IncrementalReader:
+            source = FrameTable(lambda: orders.where(arrived), "o_orderdate")
+            year = F.expr("INTERVAL 365 DAYS")
+            return IncrementalReader(spark, source, f"{place}/log", overlap=year, key=["O_OrderKey"])
+
+        cut_short = reader()
+        batch = cut_short.next_batch()
+        if batch is not None:
+            cut_short.write(batch, write)  # and no commit
+        reader().run(write)
+    return read_batches(spark, f"{place}/rows", orders.schema).drop("batchId")
+
+
 def incr_bounded_text(spark, sf):
     """The same by a text that many rows share, with null offsets, over a restart."""
     orders = table(spark, sf, "orders")
@@ -996,6 +1018,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incr_bounded": incr_bounded,
     "incr_jdbc": incr_jdbc,
     "incr_bounded_jdbc": incr_bounded_jdbc,
+    "incr_late": incr_late,
     "incr_bounded_text": incr_bounded_text,
     "incr_bounded_times": incr_bounded_times,
     "stream_jdbc": stream_jdbc,

@@ -4,9 +4,8 @@ Each round covers ``(end of the round before, largest offset now]``; the first o
 includes its start. The range is logged before the rows are read and marked committed
 after they are written, so a round that was cut short is repeated with the same bounds.
 
-Known limits: rows whose offset is null are never returned, and a row that arrives later
-with an offset at or below the last end is not seen. ``lag`` holds the end back where
-rows may arrive out of order.
+Rows whose offset is null are never returned. Where rows may arrive behind the last end, ``lag`` holds
+the end back, or ``overlap`` reads a window behind it again and hands out what is new there.
 """
 
 from __future__ import annotations
@@ -86,6 +85,9 @@ class FrameTable:
         field = resolve_column(load().schema, offset_column)
         self.column, self.kind = field.name, field.dataType
 
+    def load_schema(self) -> T.StructType:
+        return self._load().schema
+
     def bounds(self, after: str | None = None) -> DataFrame:
         df, column = self._load(), F.col(f"`{self.column}`")
         if after is not None:
@@ -123,6 +125,9 @@ class JdbcTable:
         field = resolve_column(self.schema, offset_column)
         self.column, self.kind = field.name, field.dataType
 
+    def load_schema(self) -> T.StructType:
+        return self.schema
+
     def _reader(self):
         return self.spark.read.format("jdbc").option("url", self.url).options(**self.options)
 
@@ -246,6 +251,12 @@ class IncrementalReader:
     offset can exceed it, since a range never ends inside a run of equal offsets. A backlog of a
     ``FrameTable`` is dealt into folders beside the log in one pass, see ``backlog``; a database
     counts whole numbers in bins and pages through other offsets.
+
+    With ``overlap``, a distance on the offset axis as an interval or a number, each round also reads
+    the offsets up to so far behind the last end, and returns the rows there that no round has
+    returned. A row is known by ``key``, columns that name it, and its offset. For that each
+    batch is written beside the log before it is handed out, and kept while the window reaches it. A round
+    may have late rows only. Rows before a start other than ``earliest`` are never late.
     """
 
     def __init__(
@@ -256,9 +267,14 @@ class IncrementalReader:
         starting: str = "earliest",
         lag: Column | None = None,
         max_rows_per_batch: int | None = None,
+        overlap: Column | None = None,
+        key: list[str] | None = None,
     ):
+        if (overlap is None) != (not key):
+            raise ValueError("an overlap needs a key, and a key an overlap")
         self.spark, self.table, self.log_dir = spark, table, log_dir.rstrip("/")
         self.starting, self.lag, self.max_rows = starting, lag, max_rows_per_batch
+        self.overlap, self.key = overlap, key or []
         self._files = SharedFiles(spark)
         self.id = self._name()
         self._ends: list[str] = []
@@ -294,6 +310,8 @@ class IncrementalReader:
         """
         if self._committed:
             wanted = self._plan()
+            if self.overlap is not None:
+                wanted = self._gather(wanted)
             if wanted is None:
                 return None
             self._last, self._last_id, self._committed = wanted, self._last_id + 1, False
@@ -303,11 +321,69 @@ class IncrementalReader:
         return Batch(self._last_id, self._last, self._rows())
 
     def _rows(self) -> DataFrame:
-        piece = self._pieces.get(self._last_id)
+        if self.overlap is not None:
+            return self._gathered([self._last_id])
+        return self._new_rows(self._last, self._last_id)
+
+    def _new_rows(self, wanted: OffsetRange, batch_id: int) -> DataFrame:
+        piece = self._pieces.get(batch_id)
         if piece is None:
-            return self.table.scan(self._last)
+            return self.table.scan(wanted)
         return self.spark.read.schema(self._piece_schema).parquet(piece.path)
 
+    # ---- rows behind the last end ----
+
+    def _gather(self, wanted: OffsetRange | None) -> OffsetRange | None:
+        """Write the next batch, new and late rows, and return its range; None if there are no rows."""
+        batch_id, place = self._last_id + 1, f"{self.log_dir}/gathered/{self._last_id + 1:012d}"
+        if self._last is None:
+            if wanted is None:
+                return None
+            first = json.dumps(None if self.starting == "earliest" else wanted.start)
+            if not self._files.exists(f"{self.log_dir}/first"):
+                self._files.publish_text(f"{self.log_dir}/first", first)
+            rows = self._new_rows(wanted, batch_id)
+        else:
+            rows = self._late_rows(self._last.end)
+            if wanted is None:
+                wanted = OffsetRange(self.table.column, self._last.end, self._last.end)
+            else:
+                rows = self._new_rows(wanted, batch_id).unionByName(rows)
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(place)
+        if wanted.start == wanted.end and self._gathered([batch_id]).isEmpty():
+            self._files.delete(place)
+            return None
+        return wanted
+
+    def _gathered(self, batch_ids: list[int]) -> DataFrame:
+        paths = [f"{self.log_dir}/gathered/{i:012d}" for i in batch_ids]
+        return self.spark.read.schema(self.table.load_schema()).parquet(*paths)
+
+    def _late_rows(self, end: str) -> DataFrame:
+        """What the window behind ``end`` has and no batch had."""
+        column, kind = self.table.column, self.table.kind
+        first = json.loads(self._files.read_text(f"{self.log_dir}/first"))
+        at = F.lit(end).cast(kind)
+        behind = (at - self.overlap).cast(kind)
+        clamped = F.lit(False) if first is None else behind < F.lit(first).cast(kind)
+        kept = [int(name) for name, _ in self._files.children(f"{self.log_dir}/gathered")]
+        kept = [i for i in kept if i <= self._last_id]
+        ends = [
+            OffsetRange.from_json(self._files.read_text(f"{self.log_dir}/offsets/{i:012d}")).end for i in kept
+        ]
+        reached = F.array(*[F.lit(e).cast(kind) > behind for e in ends])
+        row = self.spark.range(1).select(as_text(behind, kind), clamped, reached).first()
+        for batch_id, reaches in zip(kept, row[2], strict=True):
+            if not reaches and batch_id != self._last_id:
+                self._files.delete(f"{self.log_dir}/gathered/{batch_id:012d}")
+        kept = [i for i, reaches in zip(kept, row[2], strict=True) if reaches or i == self._last_id]
+        low, inclusive = (first, True) if row[1] else (row[0], False)
+        window = self.table.scan(OffsetRange(column, low, end, inclusive))
+        names = [*[resolve_column(window.schema, k).name for k in self.key], column]
+        known = self._gathered(kept).select(*[F.col(f"`{c}`").alias(f"_known{i}") for i, c in enumerate(names)])
+        same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_known{i}")) for i, c in enumerate(names)]
+        return window.join(known, same, "left_anti")
+
     def commit(self, batch: Batch) -> None:
         if batch.batch_id != self._last_id:
             raise ValueError(f"batch {batch.batch_id} is not the current one")
@@ -318,8 +394,9 @@ class IncrementalReader:
                 self._files.delete(f"{self.log_dir}/backlog")
                 self._pieces = {}
             for old in ("offsets", "commits"):
-                expired = f"{self.log_dir}/{old}/{batch.batch_id - _RETAINED:012d}"
-                self._files.delete(expired)
+                expired = f"{batch.batch_id - _RETAINED:012d}"
+                if not self._files.exists(f"{self.log_dir}/gathered/{expired}"):
+                    self._files.delete(f"{self.log_dir}/{old}/{expired}")
 
     def run(self, write: Callable[[DataFrame, int], None], max_batches: int | None = None) -> int:
         """Read, write and commit until nothing is new. Returns the number of batches.

@@ -342,6 +342,87 @@ def test_database_pages_through_other_offsets(spark, derby, tmp_path, column):
     assert asked and all(len(a) <= 2 for a in asked)
 
 
+def late_reader(source, log, overlap=10, **options):
+    return source.reader(log, overlap=F.lit(overlap), key=["ID"], **options)
+
+
+def test_rows_behind_the_end_come_once(spark, tmp_path):
+    source = Source(spark, [(1, 100), (2, 110), (3, 120)])
+    assert take(late_reader(source, tmp_path)) == [1, 2, 3]
+    source.rows += [(4, 111), (5, 109), (6, 120), (7, 130)]  # 109 is behind the window
+    assert take(late_reader(source, tmp_path)) == [4, 6, 7]
+    assert take(late_reader(source, tmp_path)) is None
+    source.rows += [(8, 121), (9, 130)]  # nothing above the end
+    assert take(late_reader(source, tmp_path)) == [8, 9]
+    source.rows += [(10, 119), (11, 126), (None, 125), (8, 122)]  # 8 again with another offset
+    reader = late_reader(source, tmp_path)
+    batch = reader.next_batch()
+    found = sorted(((r["id"], r["off"]) for r in batch.df.collect()), key=repr)
+    assert found == [(11, 126), (8, 122), (None, 125)]
+    reader.commit(batch)
+    assert take(late_reader(source, tmp_path)) is None
+
+
+def test_a_late_batch_that_was_cut_short_comes_again_as_it_was(spark, tmp_path):
+    source = Source(spark, [(1, 100), (2, 110)])
+    assert take(late_reader(source, tmp_path)) == [1, 2]
+    source.rows += [(3, 105), (4, 115)]
+    assert ids(late_reader(source, tmp_path).next_batch()) == [3, 4]
+    source.rows += [(5, 106), (6, 116)]  # after the rows were gathered
+    reader = late_reader(source, tmp_path)
+    batch = reader.next_batch()
+    assert ids(batch) == [3, 4]
+    reader.commit(batch)
+    assert take(late_reader(source, tmp_path)) == [5, 6]
+
+
+def test_nothing_before_a_given_start_is_late(spark, tmp_path):
+    source = Source(spark, [(1, 90), (2, 100), (3, 105)])
+    assert take(late_reader(source, tmp_path, starting="100")) == [2, 3]
+    source.rows += [(4, 99), (5, 100), (6, 101)]
+    assert take(late_reader(source, tmp_path, starting="100")) == [5, 6]
+
+
+def test_batches_behind_the_window_are_deleted(spark, tmp_path):
+    source = Source(spark)
+    for n in range(6):
+        source.rows.append((n, 100 * n))
+        assert take(late_reader(source, tmp_path, overlap=150)) == [n]
+    assert sorted(p.name for p in (tmp_path / "gathered").iterdir()) == [f"{n:012d}" for n in (3, 4, 5)]
+
+
+def test_late_rows_of_a_bounded_backlog(spark, tmp_path):
+    source = Source(spark, [(i, i) for i in range(50)])
+    options = {"max_rows_per_batch": 20, "overlap": 30}
+    seen = take(late_reader(source, tmp_path, **options))
+    source.rows += [(100, 5), (101, 45)]
+    while (found := take(late_reader(source, tmp_path, **options))) is not None:
+        seen += found
+    assert sorted(seen) == [*range(50), 100, 101]
+    with pytest.raises(ValueError):
+        source.reader(tmp_path, key=["id"])
+
+
+def test_late_times_in_a_database(spark, derby, tmp_path):
+    base = datetime(2024, 1, 1)
+    fill(spark, derby, [(base, 1), (base + timedelta(hours=2), 2)])
+    table = JdbcTable(spark, dbtable="random_stream", offset_column="timestamp", **derby)
+    hour = F.expr("INTERVAL 1 HOUR")
+    options = {"overlap": hour, "key": ["value"]}
+
+    def values():
+        reader = IncrementalReader(spark, table, str(tmp_path / "log"), **options)
+        batch = reader.next_batch()
+        found = batch and sorted(r["value"] for r in batch.df.collect())
+        if batch:
+            reader.commit(batch)
+        return found
+
+    assert values() == [1, 2]
+    fill(spark, derby, [(base + timedelta(minutes=59), 3), (base + timedelta(minutes=61), 4), (base + timedelta(hours=3), 5)])
+    assert values() == [4, 5] and values() is None
+
+
 def test_range_filter_reaches_parquet(spark, tmp_path):
     spark.range(1000).withColumn("x", F.col("id")).write.parquet(f"{tmp_path}/t")
     reader = IncrementalReader(
