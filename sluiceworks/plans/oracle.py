@@ -50,6 +50,12 @@ ORACLE: dict[str, str] = {
     "rate_source": "SELECT event_id, event_type, value FROM events",
     "csv_feed": "SELECT * FROM events WHERE event_id % 10 <> 0",
     "csv_feed_rejected": "SELECT event_id FROM events WHERE event_id % 10 = 0",
+    "csv_quoted": """
+        SELECT *, props || ' says "' || event_type || '",' || chr(10) || 'then, "' || chr(10) || chr(10)
+                  || '",' || user_id AS note
+        FROM events WHERE event_id % 10 <> 0
+    """,
+    "csv_quoted_rejected": "SELECT event_id, 3 AS breaks FROM events WHERE event_id % 10 = 0",
     "table_stream_copy": "SELECT * FROM orders",
     "table_overwrite": "SELECT * FROM orders",
     "hash_projection": """

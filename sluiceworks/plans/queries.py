@@ -44,10 +44,12 @@ from sluiceworks.sources import (
     accepted,
     append_stream,
     csv_feed,
+    csv_lines,
     from_offsets,
     jdbc_stream,
     jdbc_table,
     pinned_ends,
+    quoted_feed,
     rate_stream,
     register_stream_source,
     rejected,
@@ -145,6 +147,51 @@ def csv_feed_rejected(spark, sf):
     return settle(lines.select(number.alias("event_id")), "csv")
 
 
+def _noted_events(events: DataFrame) -> DataFrame:
+    """Events with a note of several lines, commas and quotes."""
+    lines = [F.col("props"), F.lit(' says "'), "event_type", F.lit('",\nthen, "\n\n",'), "user_id"]
+    return events.withColumn("note", F.concat(*lines))
+
+
+def _quoted_feed(spark, sf, pick: Callable, label: str) -> DataFrame:
+    """The events as CSV files of several chunks each; every tenth record has a letter before its id."""
+    events = _noted_events(table(spark, sf, "events"))
+    times = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    quoting = {"timestampNTZFormat": times, "escape": '"', "quoteAll": "true"}
+    record = F.to_csv(F.struct("*"), quoting)
+    damaged = F.when(F.col("event_id") % 10 == 0, F.regexp_replace(record, '^"', '"x')).otherwise(record)
+    place = scratch_dir(spark, "quoted")
+    # one file for every 40,000 events, so that each has several chunks of the size below
+    files = events.count() // 40_000 + 1
+    events.repartition(files, "event_id").select(damaged.alias("value")).write.text(f"{place}/feed")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(1 << 17))
+    try:
+        feed = quoted_feed(csv_lines(spark, f"{place}/feed"), events.schema, times)
+        pick(feed).write.parquet(f"{place}/{label}")
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.parquet(f"{place}/{label}")
+
+
+def csv_quoted(spark, sf):
+    rows = _quoted_feed(spark, sf, lambda f: wall_clocks(accepted(f, required=("event_id",))), "accepted")
+    return wall_clocks(rows)
+
+
+def csv_quoted_rejected(spark, sf):
+    """The ids of the damaged records, and their line breaks."""
+
+    def pick(feed):
+        number = F.regexp_extract("line", '^"x([0-9]+)"', 1).cast("bigint")
+        breaks = F.length("line") - F.length(F.replace("line", F.lit("\n")))
+        lines = rejected(feed, required=("event_id",))
+        return lines.select(number.alias("event_id"), breaks.alias("breaks"))
+
+    return _quoted_feed(spark, sf, pick, "rejected")
+
+
 def _messages(events: DataFrame, key="event_id", value=None) -> DataFrame:
     """The events as messages of three partitions; event n is the n // 3-th of its own."""
     messages = encode_envelope(events, key, value, keep=("event_id", "ts"))
@@ -992,6 +1039,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rate_source": rate_source,
     "csv_feed": csv_feed_accepted,
     "csv_feed_rejected": csv_feed_rejected,
+    "csv_quoted": csv_quoted,
+    "csv_quoted_rejected": csv_quoted_rejected,
     "table_stream_copy": table_stream_copy,
     "timed_copy": timed_copy,
     "late_rows": late_rows,

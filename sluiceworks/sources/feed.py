@@ -3,15 +3,17 @@
 Spark's CSV reader decides which rows are malformed after column pruning, so a query
 that selects one column keeps rows that a full read drops. Here every line is parsed in
 full by ``from_csv`` and the verdict travels with the row, whatever is selected later.
-Quoted fields must not contain line breaks.
+Fields of ``csv_feed`` must not contain line breaks; ``quoted_feed`` takes them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from sluiceworks.sources.records import QUOTE, whole_records
+
 _CORRUPT = "_corrupt"
 
 
@@ -30,6 +32,35 @@ def csv_feed(
     13:00 and later.
     """
     reader = (spark.readStream if streaming else spark.read).options(**options)
+    lines = reader.text(path).where(F.col("value") != "")
+    row = _parsed("value", schema, timestamp_format, csv_options)
+    return lines.select(F.col("value").alias("line"), row.alias("row"))
+
+
+def quoted_feed(
+    lines: DataFrame,
+    schema: StructType,
+    timestamp_format: str = "yyyy-MM-dd HH:mm:ss",
+    csv_options: dict[str, str] | None = None,
+) -> DataFrame:
+    """The same from ``csv_lines`` of files whose quoted fields may hold line breaks.
+
+    Quotes are doubled within fields. A record that its file leaves open is rejected. ``line`` is the
+    whole record. In a stream, call it on each micro-batch.
+    """
+    records = whole_records(lines)
+    options = {"escape": QUOTE, **(csv_options or {})}
+    row = _parsed("record", schema, timestamp_format, options)
+    corrupt = F.when(~F.col("closed"), F.col("record")).otherwise(F.col(f"row.{_CORRUPT}"))
+    parsed = records.select("record", "closed", row.alias("row"))
+    return parsed.select(
+        F.col("record").alias("line"), F.col("row").withField(_CORRUPT, corrupt).alias("row")
+    )
+
+
+def _parsed(
+    column: str, schema: StructType, timestamp_format: str, csv_options: dict[str, str] | None
+) -> Column:
     parsing = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _CORRUPT,
@@ -38,9 +69,7 @@ def csv_feed(
         **(csv_options or {}),
     }
     fields = StructType(list(schema.fields)).add(_CORRUPT, StringType())
-    row = F.from_csv(F.col("value"), _ddl(fields), parsing)
-    lines = reader.text(path).where(F.col("value") != "")
-    return lines.select(F.col("value").alias("line"), row.alias("row"))
+    return F.from_csv(F.col(column), _ddl(fields), parsing)
 
 
 def _ddl(schema: StructType) -> str:
