@@ -41,6 +41,13 @@ _LATEST_DIGEST = """
     QUALIFY row_number() OVER (PARTITION BY event_id % 100 ORDER BY event_id DESC) = 1
 """
 
+# the newest third of the time axis comes first, so what of the rest is 18 days behind its end is late
+_LATE = """
+    SELECT events.*, ts < hi - INTERVAL 18 DAYS
+                     AND epoch_us(ts) <= epoch_us(lo) + 2 * ((epoch_us(hi) - epoch_us(lo)) / 3) AS late
+    FROM events, (SELECT min(ts) AS lo, max(ts) AS hi FROM events)
+"""
+
 _LATEST_EVENT = """
     SELECT * FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
@@ -73,6 +80,10 @@ ORACLE: dict[str, str] = {
         SELECT events.* FROM events, marks
         WHERE epoch_us(ts) > middle OR epoch_us(ts) > mark
     """,
+    "late_kept": _LATE,
+    "late_kept_counts": f"""
+        SELECT date_trunc('day', ts) AS day, count(*) AS n FROM ({_LATE}) WHERE NOT late GROUP BY 1
+    """,
     "topic_latest_restart": f"""
         SELECT * FROM ({_OFFSETS})
         WHERE "offset" * 3 + "partition" > (SELECT max(event_id) // 2 FROM events)

@@ -59,6 +59,7 @@ from sluiceworks.storage import SharedFiles, scratch_dir
 from sluiceworks.streaming import (
     Database,
     InsertWriter,
+    LateSplit,
     StagedUpsert,
     append_batches,
     append_jdbc_batches,
@@ -292,6 +293,61 @@ def late_rows(spark, sf):
     return wall_clocks(spark.read.schema(events.schema).parquet(f"{place}/rows"))
 
 
+def _late_split(spark, sf) -> tuple[DataFrame, str]:
+    """The events in three files, the newest first; what is 18 days behind is parted from the rest.
+
+    Returns the events and the folder of both outputs. The last batch comes twice.
+    """
+    events = instants(table(spark, sf, "events"))
+    low, high = bounds_of(events, "ts").first()
+    third = (high - low) / 3
+    place = scratch_dir(spark, "late")
+    outputs = [append_batches(f"{place}/{name}") for name in ("timely", "late")]
+    split = LateSplit("ts", F.expr("INTERVAL 18 DAYS"), f"{place}/log", *outputs)
+    for n in (2, 0, 1):
+        after = F.col("ts") > F.lit(low + third * n) if n else F.lit(True)
+        until = F.col("ts") <= F.lit(low + third * (n + 1)) if n < 2 else F.lit(True)
+        events.where(after & until).write.mode("append").parquet(f"{place}/feed")
+
+        def write(batch, batch_id, n=n):
+            split(batch, batch_id)
+            if n == 1:
+                split(batch, batch_id)
+
+        arriving = append_stream(spark, f"{place}/feed", events.schema)
+        finish(start(arriving, f"{place}/checkpoint", each_batch=write))
+    return events, place
+
+
+def late_kept(spark, sf):
+    """Timely and late rows together are the events."""
+    events, place = _late_split(spark, sf)
+    rows = [
+        read_batches(spark, f"{place}/{name}", events.schema).withColumn("late", F.lit(name == "late"))
+        for name in ("timely", "late")
+    ]
+    return wall_clocks(rows[0].unionByName(rows[1]).drop("batchId"))
+
+
+def late_kept_counts(spark, sf):
+    """A stateful query on the timely rows, with the same delay, drops none of them."""
+    events, place = _late_split(spark, sf)
+    timely = append_stream(spark, f"{place}/timely", events.schema, maxFilesPerTrigger="1")
+    marked = timely.withWatermark("ts", "18 days")
+    # each batch keeps its files' order, so nothing is behind the watermark of this query
+    days = marked.groupBy(F.window("ts", "1 day").start.alias("day")).agg(F.count("*").alias("n"))
+    path = f"{place}/counts"
+    finish(
+        start(
+            days,
+            f"{place}/checkpoint-counts",
+            each_batch=lambda b, _: b.write.mode("overwrite").parquet(path),
+            output_mode="complete",
+        )
+    )
+    return wall_clocks(spark.read.parquet(path))
+
+
 def table_overwrite(spark, sf):
     """A batch write replaces what is there."""
     place = scratch_dir(spark, "overwrite")
@@ -1044,6 +1100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_stream_copy": table_stream_copy,
     "timed_copy": timed_copy,
     "late_rows": late_rows,
+    "late_kept": late_kept,
+    "late_kept_counts": late_kept_counts,
     "table_overwrite": table_overwrite,
     "hash_projection": hash_projection,
     "filter_ieq": filter_ieq,

@@ -7,6 +7,7 @@ from sluiceworks.streaming.database import (
     upsert_statement,
 )
 from sluiceworks.streaming.jdbc import Database
+from sluiceworks.streaming.late import LateSplit
 from sluiceworks.streaming.run import finish, start
 from sluiceworks.streaming.sinks import append_batches, append_jdbc_batches, merge_batches
 from sluiceworks.streaming.staged import StagedUpsert, merge_statement
@@ -14,6 +15,7 @@ from sluiceworks.streaming.staged import StagedUpsert, merge_statement
 __all__ = [
     "Database",
     "InsertWriter",
+    "LateSplit",
     "StagedUpsert",
     "UpsertWriter",
     "append_batches",
