@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 import math
-from datetime import timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,13 +88,42 @@ def pinned_hot_keys(
     differs from it is an error. Without a file and a list there are no hot keys.
     """
     files = SharedFiles(spark)
-    text = json.dumps([[list(k), a, b] for k, a, b in hot or []])
+    text = json.dumps([[[_tagged(v) for v in k], a, b] for k, a, b in hot or []])
     if not files.exists(place):
         files.publish_text(place, text)
     stored = files.read_text(place)
     if hot is not None and stored != text:
         raise ValueError(f"the stream of {place} started with other hot keys")
-    return [(tuple(k), a, b) for k, a, b in json.loads(stored)]
+    return [(tuple(_untagged(v) for v in k), a, b) for k, a, b in json.loads(stored)]
+
+
+def _tagged(value: object) -> object:
+    """A key's value for JSON; what JSON has no type for becomes [type, text]."""
+    if isinstance(value, datetime):  # a date as well, so it comes first
+        return ["datetime", value.isoformat()]
+    if isinstance(value, date):
+        return ["date", value.isoformat()]
+    if isinstance(value, Decimal):
+        return ["decimal", str(value)]
+    if isinstance(value, (bytes, bytearray)):
+        return ["bytes", bytes(value).hex()]
+    if isinstance(value, float):
+        return ["float", value.hex()]
+    return value
+
+
+def _untagged(value: object) -> object:
+    if not isinstance(value, list):
+        return value
+    kind, text = value
+    read = {
+        "datetime": datetime.fromisoformat,
+        "date": date.fromisoformat,
+        "decimal": Decimal,
+        "bytes": bytes.fromhex,
+        "float": float.fromhex,
+    }
+    return read[kind](text)
 
 
 def _spread(
@@ -151,14 +181,26 @@ def key_join(
     keys: list[tuple[str, str]],
     how: str = "inner",
     hot: list[HotKey] = (),
+    keep: timedelta | None = None,
+    times: tuple[str, str] | None = None,
+    delays: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Equality join; on two streams the state grows without bound, so only ``inner``.
+    """Equality join; on two streams only ``inner``, and without ``keep`` the state grows without bound.
 
     ``keys`` pairs a left with a right column name; names must differ between the sides.
     The rows of the ``hot`` keys (see ``hot_keys``) are spread over a grid of tasks. A stream
     must restart with the list it started with, see ``pinned_hot_keys``.
+
+    With ``keep`` a row waits only so long for partners: rows join if their ``times``, a left
+    and a right column, are at most that far apart. The ``delays`` of the streams, their watermarks, let
+    Spark drop a row from the state once nothing can come any more that is near enough. So the rows
+    are the same however they are cut into batches, but for those behind the watermark.
     """
     _check_how(how)
+    if keep is not None:
+        if times is None or (left.isStreaming and delays is None):
+            raise ValueError("to keep rows for some time only, a join needs times, on streams with delays")
+        return interval_join(left, right, keys, *times, -keep, keep, how, *(delays or (None, None)), hot=hot)
     if how == "left_outer" and (left.isStreaming or right.isStreaming):
         raise ValueError("an outer join of streams needs a time interval: use interval_join")
     wanted = left.columns + right.columns

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceworks.functions.evolution import conform, merged_type
 from sluiceworks.operators.latest import latest_per_key
 from sluiceworks.storage import SharedFiles
 
@@ -34,13 +35,6 @@ _ATTEMPTS = 20  # at publishing a version, against other writers
 _MOST_SMALL = 16  # surplus files of a bucket at which a merge also packs it
 _KEY_OVERHEAD = 64  # bytes per key in a broadcast hash table beside the key's own
 
-# Types an update column may widen from, per target type.
-_WIDENS_FROM = {
-    "smallint": ("tinyint",),
-    "int": ("tinyint", "smallint"),
-    "bigint": ("tinyint", "smallint", "int"),
-    "double": ("float",),
-}
 
 
 class KeyedTable:
@@ -408,19 +402,28 @@ def _any_null(keys: list[str]) -> Column:
 def _align(
     target: T.StructType, updates: DataFrame, keys: list[str], order_by: list[str]
 ) -> tuple[T.StructType, DataFrame, list[str]]:
-    """The schema after the merge, the updates under its names, and the columns they lack."""
+    """The schema after the merge, the updates under its names, and the columns they lack.
+
+    Columns grow at any depth, see ``merged_type``; keys keep their type, which places their rows.
+    """
     known = {f.name.lower(): f for f in target.fields}
-    added, renamed = [], []
+    merged, added, renamed = {}, [], []
     for field in updates.schema.fields:
         old = known.get(field.name.lower())
+        column = F.col(f"`{field.name}`")
         if old is None:
             added.append(T.StructField(field.name, field.dataType, True))
-            renamed.append(F.col(f"`{field.name}`"))
+            renamed.append(column)
             continue
-        have, want = field.dataType.simpleString(), old.dataType.simpleString()
-        if have != want and have not in _WIDENS_FROM.get(want, ()):
-            raise ValueError(f"column {old.name} is {want}, the updates have {have}")
-        renamed.append(F.col(f"`{field.name}`").cast(old.dataType).alias(old.name))
+        kind = merged_type(old.dataType, field.dataType, old.name)
+        if old.name in keys and kind != old.dataType:
+            raise ValueError(f"key {old.name} is {old.dataType.simpleString()}, the updates' is wider")
+        if kind != old.dataType:
+            merged[old.name] = kind
+        renamed.append(conform(column, field.dataType, kind).alias(old.name))
+    target = T.StructType(
+        [T.StructField(f.name, merged.get(f.name, f.dataType), f.nullable) for f in target.fields]
+    )
     aligned = updates.select(*renamed)
     lacking = [k for k in [*keys, *order_by] if k not in aligned.columns]
     if lacking:

@@ -144,6 +144,11 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, o_custkey, o_totalprice, c_custkey, c_name
         FROM orders JOIN customer ON o_custkey = c_custkey
     """,
+    "join_inner_kept": f"""
+        SELECT * FROM ({_VIEWS}) JOIN ({_CLICKS})
+        ON imp_user = clk_user
+           AND clk_ts BETWEEN imp_ts - INTERVAL 2 DAY AND imp_ts + INTERVAL 2 DAY
+    """,
     "join_inner_interval": f"""
         SELECT * FROM ({_VIEWS}) JOIN ({_CLICKS})
         ON imp_user = clk_user AND clk_ts BETWEEN imp_ts AND imp_ts + INTERVAL 6 HOUR
@@ -202,6 +207,12 @@ ORACLE: dict[str, str] = {
                          THEN value * 2 END AS doubled
         FROM ({_LATEST_EVENT}) e
     """,
+    "merge_nested_evolution": """
+        SELECT first::INTEGER AS first, event_id, json_extract(props, '$.k')::BIGINT AS k, event_type,
+               CASE WHEN event_id > half THEN value END AS value, user_id,
+               CASE WHEN event_id > half THEN ts END AS ts
+        FROM events, (SELECT max(event_id) // 2 AS half FROM events), (SELECT unnest([0, 1]) AS first)
+    """,
     "merge_absent_columns": """
         WITH cut AS (SELECT max(event_id) // 2 AS half FROM events),
         a AS (SELECT * FROM events, cut WHERE event_id <= half

@@ -734,6 +734,21 @@ def join_inner_key(spark, sf):
     return settle(key_join(orders, customers, keys, hot=hot), "join")
 
 
+def join_inner_kept(spark, sf):
+    """Views and clicks of a user within two days of each other; what is older leaves the state."""
+    events = stream(spark, sf, "events")
+    two_days = timedelta(days=2)
+    joined = key_join(
+        _views(events),
+        _clicks(events),
+        [("imp_user", "clk_user")],
+        keep=two_days,
+        times=("imp_ts", "clk_ts"),
+        delays=("20 minutes", "30 minutes"),
+    )
+    return settle(joined, "join")
+
+
 def join_left_outer_table(spark, sf):
     """One table split by type: the right row is at most 90 days older than the left."""
 
@@ -1038,6 +1053,42 @@ def merge_schema_evolution(spark, sf):
     )
 
 
+def merge_nested_evolution(spark, sf):
+    """Halves whose structs have other fields and types, within an array too, merged in both orders."""
+    events = table(spark, sf, "events")
+    half = F.col("event_id") <= bounds_of(events, "event_id").first()["hi"] // 2
+    k = F.get_json_object("props", "$.k")
+    one = events.where(half).select(
+        "event_id",
+        F.struct(k.cast("int").alias("k"), "event_type").alias("payload"),
+        F.array(F.struct(F.col("user_id").cast("int").alias("user"))).alias("tags"),
+    )
+    two = events.where(~half).select(
+        "event_id",
+        F.struct("event_type", k.cast("bigint").alias("K"), "value").alias("payload"),
+        F.array(F.struct("ts", F.col("user_id").alias("user"))).alias("tags"),
+    )
+    found = []
+    for n, halves in enumerate(((one, two), (two, one))):
+        path = scratch_dir(spark, "keyed")
+        keyed = KeyedTable.create_if_absent(spark, path, halves[0].schema, ["event_id"], buckets=4)
+        for rows in halves:
+            keyed.merge(rows, ["event_id"])
+        tag = F.col("tags")[0]
+        found.append(
+            keyed.read().select(
+                F.lit(n).alias("first"),
+                "event_id",
+                F.col("payload.k").alias("k"),
+                F.col("payload.event_type").alias("event_type"),
+                F.col("payload.value").alias("value"),
+                tag["user"].alias("user_id"),
+                tag["ts"].alias("ts"),
+            )
+        )
+    return found[0].unionByName(found[1])
+
+
 def merge_absent_columns(spark, sf):
     """The second half lacks columns; rows that it updates keep their old values there."""
     schema = table(spark, sf, "events").schema
@@ -1130,6 +1181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incr_bounded_times": incr_bounded_times,
     "stream_jdbc": stream_jdbc,
     "join_inner_key": join_inner_key,
+    "join_inner_kept": join_inner_kept,
     "join_inner_interval": join_inner_interval,
     "join_left_outer_interval": join_left_outer_interval,
     "join_left_outer_table": join_left_outer_table,
@@ -1150,6 +1202,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_two_runs": merge_two_runs,
     "merge_orders": merge_orders,
     "merge_schema_evolution": merge_schema_evolution,
+    "merge_nested_evolution": merge_nested_evolution,
     "merge_absent_columns": merge_absent_columns,
     "compact_table": compact_table,
     "vacuum_table": vacuum_table,
