@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceworks.functions.evolution import conform, merged_type
+from sluiceworks.operators.key_filter import filter_bytes, key_filter, split_by_filter
 from sluiceworks.operators.latest import latest_per_key
 from sluiceworks.storage import SharedFiles
 
@@ -134,6 +135,7 @@ class KeyedTable:
         source: str = "default",
         broadcast_bytes: int = 32 << 20,
         file_bytes: int = 256 << 20,
+        most_filter_bytes: int = 256 << 20,
     ) -> bool:
         """Update the rows whose keys exist, insert the others. False for a replayed batch.
 
@@ -142,22 +144,22 @@ class KeyedTable:
         table and are null in older rows; table columns that the updates lack keep their
         old values. A null in a key is an error. With ``batch_id`` a batch that this
         ``source`` has already applied is skipped.
+
+        Up to ``broadcast_bytes`` of keys are broadcast themselves, beyond that a filter of them of up
+        to ``most_filter_bytes``, see ``key_filter``: only rows that may be in the batch are shuffled.
         """
         for _ in range(_ATTEMPTS):
             attempt = uuid.uuid4().hex[:12]
             try:
-                return self._try_merge(
-                    updates, order_by, batch_id, source, broadcast_bytes, file_bytes, attempt
-                )
+                limits = (broadcast_bytes, file_bytes, most_filter_bytes)
+                return self._try_merge(updates, order_by, batch_id, source, limits, attempt)
             except FileExistsError:  # another writer published this version first
                 continue
             finally:
                 self._files.delete(f"{self.path}/staged/{attempt}")
         raise TimeoutError(f"other writers published {_ATTEMPTS} versions of {self.path} meanwhile")
 
-    def _try_merge(
-        self, updates, order_by, batch_id, source, broadcast_bytes, file_bytes, attempt
-    ) -> bool:
+    def _try_merge(self, updates, order_by, batch_id, source, limits, attempt) -> bool:
         before = self._manifest()
         if batch_id is not None and before["applied"].get(source, -1) >= batch_id:
             return False
@@ -176,9 +178,7 @@ class KeyedTable:
             self._first_load(latest, schema, absent, keys, folder)
         else:
             staged = f"{self.path}/staged/{attempt}"
-            merged = self._merged(
-                before, latest, schema, absent, staged, broadcast_bytes, file_bytes
-            )
+            merged = self._merged(before, latest, schema, absent, staged, limits)
             if merged is None:  # an empty batch still counts as applied
                 return self._finish(before, schema, {}, batch_id, source)
             self._write(merged.select(*_cols(schema.names), _BUCKET), folder)
@@ -193,9 +193,7 @@ class KeyedTable:
         if not written.where(_any_null(keys)).isEmpty():
             raise ValueError(f"null in a key column {keys}")
 
-    def _merged(
-        self, before, latest, schema, absent, staged, broadcast_bytes, file_bytes
-    ) -> DataFrame | None:
+    def _merged(self, before, latest, schema, absent, staged, limits) -> DataFrame | None:
         """The new rows of every bucket in the batch.
 
         The deduplicated batch is written first, so that all later steps read the same
@@ -203,6 +201,7 @@ class KeyedTable:
         """
         latest.write.parquet(staged)
         fresh = self.spark.read.schema(latest.schema).parquet(staged)
+        broadcast_bytes, file_bytes, most_filter_bytes = limits
         keys = before["keys"]
         key_text = F.concat_ws("", *[c.cast("string") for c in _cols(keys)])
         arrived = (
@@ -232,6 +231,13 @@ class KeyedTable:
             return kept.unionByName(fresh.repartition(tasks, _BUCKET))
         row_bytes = self._files.size(staged)[1] / total
         sizes = {k: n * row_bytes for k, n in rows.items()}
+        if not crowded and filter_bytes(total) <= most_filter_bytes:
+            # the rows that surely stay are written where the scan puts them
+            bits = key_filter(fresh, keys, total)
+            touched, kept = split_by_filter(target, keys, bits, total)
+            doubled = {k: 2 * size for k, size in sizes.items()}
+            merged = self._one_shuffle(touched, fresh, keys, absent, doubled, file_bytes)
+            return kept.unionByName(merged.select(*_cols(target.columns)))
         for k in known:
             sizes[k] += before["buckets"][k]["bytes"]
         return self._one_shuffle(target, fresh, keys, absent, sizes, file_bytes)

@@ -229,7 +229,8 @@ ORACLE: dict[str, str] = {
     "merge_orders": """
         SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN -o_totalprice
                                WHEN o_orderkey % 7 = 0 THEN o_totalprice * 2
-                               ELSE o_totalprice END AS o_totalprice)
+                               ELSE o_totalprice END AS o_totalprice,
+                          CASE WHEN o_orderkey % 3 = 0 THEN 'third' ELSE o_orderstatus END AS o_orderstatus)
         FROM orders
     """,
     # eight buckets, all of them in use

@@ -1107,7 +1107,8 @@ def merge_two_runs(spark, sf):
 
 
 def merge_orders(spark, sf):
-    """Updates of every seventh order by broadcast keys, then of every fifth by one shuffle."""
+    """Updates of every seventh order by broadcast keys, then of every fifth by one shuffle, of every
+    third by a filter of its keys."""
     orders = table(spark, sf, "orders")
     keyed = KeyedTable.create_if_absent(
         spark, scratch_dir(spark, "keyed"), orders.schema, ["o_orderkey"], buckets=8
@@ -1116,7 +1117,9 @@ def merge_orders(spark, sf):
     keyed.merge(orders, ["o_orderdate"])
     keyed.merge(orders.where(key % 7 == 0).withColumn("o_totalprice", price * 2), ["o_orderdate"])
     fifth = orders.where(key % 5 == 0).withColumn("o_totalprice", -price)
-    keyed.merge(fifth, ["o_orderdate"], broadcast_bytes=0)
+    keyed.merge(fifth, ["o_orderdate"], broadcast_bytes=0, most_filter_bytes=0)
+    third = orders.where(key % 3 == 0).withColumn("o_orderstatus", F.lit("third"))
+    keyed.merge(third.drop("o_totalprice"), ["o_orderdate"], broadcast_bytes=0)
     return keyed.read()
 
 
