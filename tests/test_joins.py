@@ -337,3 +337,15 @@ def test_many_restarts_give_the_rows_of_one_run(spark, tmp_path, hot):
     got = spark.read.schema(expected.schema).parquet(f"{tmp_path}/out")
     assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
     assert got.where("r_n is null").count() > 0
+
+
+@pytest.mark.parametrize("rows_per_task", [40, 100, 700, 5000])
+def test_hot_keys_are_all_that_have_more_rows(spark, rows_per_task):
+    """Many keys just above and below the bound, and one with a third of the rows."""
+    sizes = {k: 30 + k for k in range(90)} | {1000: 3000}
+    rows = [(k, f"n{k}") for k, n in sizes.items() for _ in range(n)] + [(None, "x")] * 900
+    left = spark.createDataFrame(rows, "a int, b string").repartition(7)
+    right = spark.createDataFrame([(1, "n1"), (5000, "z")], "c int, d string")
+    found = hot_keys(left, right, [("a", "c"), ("b", "d")], rows_per_task)
+    want = [((k, f"n{k}"), -(-n // rows_per_task), 1) for k, n in sizes.items() if n > rows_per_task]
+    assert found == sorted(want, key=lambda w: repr(w[0]))
