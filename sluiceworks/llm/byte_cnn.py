@@ -43,7 +43,8 @@ def chunks(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """(codes of each chunk, first chunk of each text); an empty text has one chunk of padding.
 
     A code is the byte, and AGAIN more where it begins four bytes that began at one of the LAGS
-    places before as well: filters over bytes alone can't tell that a word comes again and again.
+    places before as well (of the fourth byte the low five bits count): filters over bytes alone can't
+    tell that a word comes again and again.
     """
     size = np.diff(offsets)
     count = 1 + np.maximum(0, -(-(size - CHUNK) // STEP))

@@ -58,7 +58,6 @@ TEMPLATES = {
     ),
     "mpl": "this source code form is subject to the terms of the mozilla public license",
     "cc-by": "this work is licensed under a creative commons attribution international license",
-    "reserved": "all rights reserved",
     "mit/condition": (
         "the above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the software"
@@ -124,6 +123,7 @@ TEMPLATES = {
 }
 LEAST_MATCH = 3  # words
 LEAST_SHARE = 0.6  # of a template, for its label
+SPAN_SHARE = 0.2  # of a template, from which a chain is a span; less is a few words that any text may have
 INSIDE = np.ones(256, dtype=bool)  # bytes of words once A-Z is lowered
 INSIDE[:0x80] = False
 INSIDE[0x30:0x3A] = True
@@ -253,6 +253,7 @@ class LicenseScanner:
             ]
             labels = base | {x["label"] for x in spans if x["share"] >= LEAST_SHARE}
             score = 1.0 if found else max((x["share"] for x in spans), default=0.0)
+            spans = [x for x in spans if x["share"] >= SPAN_SHARE]
             starts = [s for s, _ in found]
             out.append(
                 (n, len(found), min(starts, default=None), max(starts, default=None),
@@ -374,8 +375,8 @@ def scan_licenses(
     stand consecutively, first_word and last_word are the smallest and largest start, counted from 0,
     else null. base_labels has the labels of these, labels also those of templates of which a chain
     covers LEAST_SHARE, both distinct, sorted and joined by commas. score is 1 with a phrase, else
-    the largest share covered. spans has a row for each chain, ends exclusive and places in words; a
-    template named "label/section" is a section of its own. Null and empty texts have no words and score 0. Null doc_ids and
+    the largest share covered. spans has a row for each chain that covers SPAN_SHARE, ends exclusive and
+    places in words; a template named "label/section" is a section of its own. Null and empty texts have no words and score 0. Null doc_ids and
     repeated rows are returned as they are. An empty table gives an empty result. Columns other
     than doc_id and text aren't read.
     """
