@@ -35,6 +35,8 @@ FOOTER = "<8sIIQQQQ"
 FOOTER_BYTES = struct.calcsize(FOOTER)
 BLOCK = 65_536  # a multiple of 8, so blocks end with a byte
 READ_IDS = 1 << 20  # ids read at once
+FILE_IDS = 1 << 26  # a file ends with the document that reaches so many ids,
+FILE_DOCS = 1 << 20  # or so many documents, whose index is held until then
 
 
 def width(size: int) -> int:
@@ -145,33 +147,48 @@ class TokenFile:
         self.file.close()
 
 
-def _written(folder: str, tokenizer: str, end_id: int):
+def _written(folder: str, tokenizer: str, end_id: int, file_ids: int, file_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        # a name for each attempt; only that of the attempt that counts gets into the list
-        path, out = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.bits", None
+        part, piece, out = TaskContext.get().partitionId(), 0, None
         encoder = PieceEncoder.of_worker(tokenizer)
+
+        def closed() -> pa.RecordBatch:
+            out.close()
+            sizes = [[part], [piece], [path], [len(out.doc_ids)], [out.n_ids]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in sizes], ["part", "piece", "path", "n_docs", "n_tokens"]
+            )
+
         for batch in batches:
             texts = (t.as_py() for t in batch.column(1))
             for doc_id, packed in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
-                out = out or TokenWriter(path, max(encoder.size, end_id + 1))
+                if out is None:
+                    # a name for each attempt; only that of the attempt that counts gets into the list
+                    path = f"{folder}/part-{part:06d}-{piece:06d}-{uuid.uuid4().hex}.bits"
+                    out = TokenWriter(path, max(encoder.size, end_id + 1))
                 out.add(doc_id, np.append(np.frombuffer(packed, encoder.dtype), end_id).astype("<u4"))
+                if out.n_ids >= file_ids or len(out.doc_ids) >= file_docs:
+                    yield closed()
+                    out, piece = None, piece + 1
         if out:
-            out.close()
-            sizes = [[part], [path], [len(out.doc_ids)], [out.n_ids]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in sizes], ["part", "path", "n_docs", "n_tokens"]
-            )
+            yield closed()
 
     return run
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
+def write_tokens(
+    docs: DataFrame,
+    folder: str,
+    tokenizer: str,
+    end_id: int,
+    file_ids: int = FILE_IDS,
+    file_docs: int = FILE_DOCS,
+) -> DataFrame:
     """Write the ids of ``docs`` (doc_id, text, ...), each with ``end_id``, as files in ``folder``.
 
-    Returns the list of the files: part, path, n_docs, n_tokens and start, the ids in all files
-    before. Documents are dealt by ranges of doc_id, one file each, sorted; null doc_ids come
-    first, and rows of one doc_id follow each other. Null and empty texts are just the end id. An
+    Returns the list of the files: their number, path, n_docs, n_tokens and start, the ids in all files
+    before. Documents are dealt by ranges of doc_id, sorted, a task each; a task begins a new file
+    when one has ``file_ids`` ids or ``file_docs`` documents. Null doc_ids come first, and rows of one doc_id follow each other. Null and empty texts are just the end id. An
     empty table makes no files. The folder must be one that all executors share.
     """
     modest_batches(docs.sparkSession)
@@ -186,12 +203,18 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> D
         "doc_id", F.xxhash64("text")
     )
     files = dealt.mapInArrow(
-        _written(folder, tokenizer, end_id), "part long, path string, n_docs long, n_tokens long"
+        _written(folder, tokenizer, end_id, file_ids, file_docs),
+        "part long, piece long, path string, n_docs long, n_tokens long",
     )
     # a row for each file
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return stored(docs.sparkSession, files, "token-files").withColumn(
-        "start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))
+    order = Window.orderBy("part", "piece")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return stored(docs.sparkSession, files, "token-files").select(
+        (F.row_number().over(order) - 1).alias("number"),
+        "path",
+        "n_docs",
+        "n_tokens",
+        F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"),
     )
 
 
@@ -217,10 +240,13 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
 
 
 def read_digests(files: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each document in files that write_tokens() listed."""
-    last = files.agg(F.max("part").alias("part")).first()["part"]
+    """doc_id, start, n_tokens, ids_crc32 of each document in files that write_tokens() listed.
+
+    A null doc_id comes back as one; repeated rows are documents of their own. An empty list gives an
+    empty result.
+    """
     # the list is short but its files are not: a task for each, which Spark must not join
-    dealt = files.repartitionById((last or 0) + 1, F.col("part").cast("int"))
+    dealt = files.repartitionById(max(1, files.count()), F.col("number"))
     return dealt.select("path", "start").mapInArrow(_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

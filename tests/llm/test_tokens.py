@@ -152,6 +152,20 @@ def test_files_edge_cases(spark, edge, nothing):
     assert read_digests(write_tokens(nothing, token_folder(spark), WORDS, 1)).count() == 0
 
 
+@pytest.mark.parametrize(("ids", "docs"), [(50, 1 << 20), (1 << 26, 3)])
+def test_files_end_at_their_bounds(spark, edge, ids, docs):
+    """Several files a task hold what one file would."""
+    whole = write_tokens(edge, token_folder(spark), WORDS, 1)
+    files = write_tokens(edge, token_folder(spark), WORDS, 1, file_ids=ids, file_docs=docs)
+    key = lambda r: (r["start"], r["n_tokens"])
+    assert sorted(read_digests(files).collect(), key=key) == sorted(read_digests(whole).collect(), key=key)
+    listed = files.orderBy("number").collect()
+    assert len(listed) > whole.count() and [r["number"] for r in listed] == list(range(len(listed)))
+    assert all(r["n_docs"] <= docs for r in listed)
+    largest = max(r["n_tokens"] for r in read_digests(whole).collect())
+    assert all(r["n_tokens"] < ids + largest for r in listed)
+
+
 # ---- packing ----------------------------------------------------------------------------
 
 
