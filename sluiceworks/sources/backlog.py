@@ -58,16 +58,38 @@ def _from_position(column: Column, kind: T.DataType) -> Column:
     return column.cast(kind)
 
 
-def depth_cuts(df: DataFrame, column: str, kind: T.DataType, rows: int, total: int) -> list[str]:
-    """Offsets, as text and in order, that cut ``total`` rows into parts of about ``rows`` each.
+@dataclass(frozen=True)
+class Survey:
+    """What one pass over the offsets tells: their number, both ends as text, and a sketch of numbers."""
+
+    rows: int
+    low: str | None
+    high: str | None
+    sketch: bytes | None
+
+
+def survey(df: DataFrame, column: str, kind: T.DataType) -> Survey:
+    """Null offsets don't count."""
+    offset = F.col(f"`{column}`")
+    numeric, sketch = _position(offset, kind), F.lit(None).cast("binary")
+    if numeric is not None:
+        position, name = numeric
+        known = F.when(~F.isnan(position), position) if name == "double" else position
+        sketch = F.call_function(f"kll_sketch_agg_{name}", known, F.lit(KLL_K))
+    ends = [as_text(f(offset), kind) for f in (F.min, F.max)]
+    row = df.agg(F.count(offset), *ends, sketch if numeric is not None else F.max(sketch)).first()
+    return Survey(row[0], row[1], row[2], None if row[3] is None else bytes(row[3]))
+
+
+def depth_cuts(df: DataFrame, column: str, kind: T.DataType, rows: int, known: Survey) -> list[str]:
+    """Offsets, as text and in order, that cut the table into parts of about ``rows`` rows each.
 
     At most FANOUT parts, and at least two unless all rows share one offset.
     """
-    low, high = _ends(df, F.col(f"`{column}`"), kind)
-    if low == high:
+    if known.low == known.high:
         return []
-    cuts = _quantiles(df, column, kind, rows, total)
-    ends = [F.lit(e).cast(kind) for e in (low, high)]
+    cuts = _quantiles(df, column, kind, rows, known)
+    ends = [F.lit(e).cast(kind) for e in (known.low, known.high)]
     inside = cuts.where((F.col("c") >= ends[0]) & (F.col("c") < ends[1])).distinct().orderBy("c")
     found = [r[0] for r in inside.select(as_text(F.col("c"), kind)).collect()]
     if found:
@@ -76,27 +98,20 @@ def depth_cuts(df: DataFrame, column: str, kind: T.DataType, rows: int, total: i
     return [df.where(offset < ends[1]).agg(as_text(F.max(offset), kind)).first()[0]]
 
 
-def _quantiles(df: DataFrame, column: str, kind: T.DataType, rows: int, total: int) -> DataFrame:
+def _quantiles(df: DataFrame, column: str, kind: T.DataType, rows: int, known: Survey) -> DataFrame:
     """Cuts (c) in no order, perhaps some of them equal."""
-    spark, offset = df.sparkSession, F.col(f"`{column}`")
-    parts = min(FANOUT, max(2, -(-total // rows)))
+    spark = df.sparkSession
+    parts = min(FANOUT, max(2, -(-known.rows // rows)))
     ranks = [i / parts for i in range(1, parts)]
-    numeric = _position(offset, kind)
-    if numeric is not None:
-        position, name = numeric
-        places = df.select(position.alias("x"))
-        if name == "double":
-            places = places.where(~F.isnan("x"))
-        row = places.agg(F.call_function(f"kll_sketch_agg_{name}", F.col("x"), F.lit(KLL_K))).first()
-        if row[0] is None:
-            return spark.createDataFrame([], T.StructType([T.StructField("c", kind)]))
+    if known.sketch is not None:
+        name = _position(F.lit(None), kind)[1]
         wanted = F.array(*[F.lit(r) for r in ranks])
-        quantiles = F.call_function(f"kll_sketch_get_quantile_{name}", F.lit(bytes(row[0])), wanted)
+        quantiles = F.call_function(f"kll_sketch_get_quantile_{name}", F.lit(known.sketch), wanted)
         cuts = spark.range(1).select(F.explode(quantiles).alias("x"))
         return cuts.select(_from_position(F.col("x"), kind).alias("c"))
-    share = min(1.0, SAMPLE / max(total, 1))
-    sample = df.select(offset.alias("c")).where(F.rand(17) < share).orderBy("c")
-    found = [r["c"] for r in sample.collect()]
+    share = min(1.0, SAMPLE / known.rows)
+    sample = df.select(F.col(f"`{column}`").alias("c")).where("c IS NOT NULL").where(F.rand(17) < share)
+    found = [r["c"] for r in sample.orderBy("c").collect()]
     picked = [(found[int(r * len(found))],) for r in ranks] if found else []
     return spark.createDataFrame(picked, T.StructType([T.StructField("c", kind)]))
 
@@ -130,21 +145,23 @@ def _deal(df: DataFrame, column: str, kind: T.DataType, cuts: list[str], path: s
     )
 
 
-def deal(df: DataFrame, column: str, kind: T.DataType, max_rows: int, path: str, total: int | None = None) -> list[Piece]:
+def deal(
+    df: DataFrame, column: str, kind: T.DataType, max_rows: int, path: str, known: Survey | None = None
+) -> list[Piece]:
     """Write ``df`` below ``path`` as ranges of at most ``max_rows`` rows, in order of the offset.
 
     Only rows that share one offset can make a larger range. Rows with a null offset are left out.
+    ``known`` is the survey of ``df``, if it has been made.
     """
     spark: SparkSession = df.sparkSession
     offset = F.col(f"`{column}`")
     if "_range" in df.columns:
         raise ValueError("the column name _range is taken")
-    if total is None:
-        df = df.where(offset.isNotNull())
-        total = df.count()
-    if total == 0:
+    known = known or survey(df, column, kind)
+    if known.rows == 0:
         return []
-    cuts = depth_cuts(df, column, kind, max(1, int(max_rows * FILL)), total)
+    df = df.where(offset.isNotNull())
+    cuts = depth_cuts(df, column, kind, max(1, int(max_rows * FILL)), known)
     _deal(df, column, kind, cuts, path)
     dealt = spark.read.schema(T.StructType(list(df.schema.fields)).add("_range", T.IntegerType())).parquet(path)
     found = dealt.groupBy("_range").agg(
@@ -157,12 +174,7 @@ def deal(df: DataFrame, column: str, kind: T.DataType, max_rows: int, path: str,
         own = f"{path}/_range={row['_range']}"
         if row["n"] > max_rows and row["lo"] != row["hi"]:
             part = spark.read.schema(df.schema).parquet(own)
-            pieces += deal(part, column, kind, max_rows, f"{path}-{row['_range']}", row["n"])
+            pieces += deal(part, column, kind, max_rows, f"{path}-{row['_range']}")
         else:
             pieces.append(Piece(row["hi"], own, row["n"]))
     return pieces
-
-
-def _ends(df: DataFrame, offset: Column, kind: T.DataType) -> tuple[str, str]:
-    row = df.agg(as_text(F.min(offset), kind).alias("lo"), as_text(F.max(offset), kind).alias("hi")).first()
-    return row["lo"], row["hi"]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sluiceworks.sources.backlog import Piece, as_text, deal
+from sluiceworks.sources.backlog import Piece, as_text, deal, survey
 from sluiceworks.storage import READER_PROPERTY, SharedFiles
 
 _RETAINED = 100  # log entries kept
@@ -485,12 +485,12 @@ class IncrementalReader:
         The note is published last: without it the next reader deals anew.
         """
         rows, place = self.table.scan(wanted), f"{self.log_dir}/backlog"
-        total = rows.count()
-        if total <= self.max_rows:
+        known = survey(rows, self.table.column, self.table.kind)
+        if known.rows <= self.max_rows:
             return
         self._files.delete(place)  # what an earlier try left
         pieces = deal(
-            rows, self.table.column, self.table.kind, self.max_rows, f"{place}/{uuid.uuid4().hex}", total
+            rows, self.table.column, self.table.kind, self.max_rows, f"{place}/{uuid.uuid4().hex}", known
         )
         note = {
             "first": self._last_id + 1,
