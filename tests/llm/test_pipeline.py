@@ -38,7 +38,7 @@ def test_queries_that_sql_can_say(spark, duck, name):
 def test_all_queries_are_registered():
     names = set(contract.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.ORACLE) <= set(contract.oracle_sql())
 
 
