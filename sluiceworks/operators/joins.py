@@ -147,13 +147,19 @@ def _untagged(value: object) -> object:
 
 
 def _spread(
-    df: DataFrame, columns: list[str], side: str, hot: list[HotKey], scattered: bool
+    df: DataFrame,
+    columns: list[str],
+    side: str,
+    hot: list[HotKey],
+    scattered: bool,
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add the cell (left part, right part) of each row in its key's grid of tasks.
 
     A row has one part of its own side, by its hash, and goes to all parts of the other. The list
     is short (see ``hot_keys``) and joins as a broadcast. ``scattered`` rows with a null key,
-    which match nothing, are dealt out evenly.
+    which match nothing, are dealt out evenly. With ``totals`` the rows of a key and part become one
+    before they go there.
     """
     spark, names = df.sparkSession, [f"_k{i}" for i in range(len(columns))]
     kinds = [T.StructField(n, df.schema[c].dataType) for n, c in zip(names, columns, strict=True)]
@@ -171,20 +177,38 @@ def _spread(
             lost = lost | df[f"`{c}`"].isNull()
         parts = F.when(lost, F.lit(_NULL_PARTS)).otherwise(parts)
     part = F.pmod(F.xxhash64(*[df[f"`{c}`"] for c in df.columns]), parts).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+    far = F.coalesce(F.col(other), F.lit(1))
+    if totals:
+        keyed = found.select(
+            *[df[f"`{c}`"] for c in df.columns], part.alias(f"_cell_{side}"), far.alias("_parts")
+        )
+        found = _totalled(keyed, [*columns, f"_cell_{side}", "_parts"], totals)
+        every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+        return found.withColumn(f"_far_{side}", every).drop("_parts")
+    every = F.explode(F.sequence(F.lit(0), far - 1))
     return found.select(
         *[df[f"`{c}`"] for c in df.columns], part.alias(f"_cell_{side}"), every.alias(f"_far_{side}")
     )
 
 
+def _totalled(df: DataFrame, columns: list[str], totals: dict[str, Column]) -> DataFrame:
+    grouped = df.groupBy(*[F.col(f"`{c}`") for c in columns])
+    return grouped.agg(*[total.alias(name) for name, total in totals.items()])
+
+
 def _salted(
-    left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], hot: list[HotKey]
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[tuple[str, str]],
+    hot: list[HotKey],
+    totals: dict[str, Column] | None = None,
 ) -> tuple[DataFrame, DataFrame, list[tuple[str, str]]]:
     """Both sides with their cells, and the cell columns that must be equal."""
+    own = [b for _, b in keys]
     if not hot:
-        return left, right, []
+        return left, _totalled(right, own, totals) if totals else right, []
     left = _spread(left, [a for a, _ in keys], "l", hot, True)
-    right = _spread(right, [b for _, b in keys], "r", hot, False)
+    right = _spread(right, own, "r", hot, False, totals)
     return left, right, [("_cell_l", "_far_r"), ("_far_l", "_cell_r")]
 
 
@@ -204,6 +228,7 @@ def key_join(
     keep: timedelta | None = None,
     times: tuple[str, str] | None = None,
     delays: tuple[str, str] | None = None,
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Equality join; on two streams only ``inner``, and without ``keep`` the state grows without bound.
 
@@ -215,18 +240,24 @@ def key_join(
     and a right column, are at most that far apart. The ``delays`` of the streams, their watermarks, let
     Spark drop a row from the state once nothing can come any more that is near enough. So the rows
     are the same however they are cut into batches, but for those behind the watermark.
+
+    With ``totals``, aggregates by name, a left row of a table meets totals of its partners instead
+    of the partners: one row for each part of the right side (one, if the key isn't hot there), for
+    the caller to add up. So a key that is hot on both sides costs its rows, not their pairs.
     """
     _check_how(how)
+    if totals and (keep is not None or left.isStreaming or right.isStreaming):
+        raise ValueError("totals of partners need tables, joined on keys alone")
     if keep is not None:
         if times is None or (left.isStreaming and delays is None):
             raise ValueError("to keep rows for some time only, a join needs times, on streams with delays")
         return interval_join(left, right, keys, *times, -keep, keep, how, *(delays or (None, None)), hot=hot)
     if how == "left_outer" and (left.isStreaming or right.isStreaming):
         raise ValueError("an outer join of streams needs a time interval: use interval_join")
-    wanted = left.columns + right.columns
+    wanted = left.columns + ([*[b for _, b in keys], *totals] if totals else right.columns)
     if how == "left_outer" and any(b > 1 for _, _, b in hot):
         raise ValueError("only the left side of an outer join can be spread")
-    left, right, cells = _salted(left, right, keys, list(hot))
+    left, right, cells = _salted(left, right, keys, list(hot), totals)
     return left.join(right, _equalities([*keys, *cells]), how).select(*wanted)
 
 

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sluiceworks.operators import hot_keys, interval_join, key_join, pinned_hot_keys, time_bin
+from sluiceworks.plans import queries
 from sluiceworks.sources import append_stream
 from sluiceworks.streaming import finish, start
 from tests.conftest import plan_of
@@ -349,3 +350,48 @@ def test_hot_keys_are_all_that_have_more_rows(spark, rows_per_task):
     found = hot_keys(left, right, [("a", "c"), ("b", "d")], rows_per_task)
     want = [((k, f"n{k}"), -(-n // rows_per_task), 1) for k, n in sizes.items() if n > rows_per_task]
     assert found == sorted(want, key=lambda w: repr(w[0]))
+
+
+@pytest.mark.parametrize("how", ["inner", "left_outer"])
+@pytest.mark.parametrize("hot", [[], [((0,), 3, 2)]])
+def test_totals_of_partners(spark, how, hot):
+    left = [(i, 0 if i % 2 else i) for i in range(20)] + [(99, None)]
+    right = [(i, 0 if i % 3 else i) for i in range(30)] * 2 + [(7, None), (None, 4)]
+    a = spark.createDataFrame(left, "i int, k int")
+    b = spark.createDataFrame(right, "j int, q int")
+    hot = [(k, x, 1) if how == "left_outer" else (k, x, y) for k, x, y in hot]
+    totals = {"n": F.count("*"), "all": F.sum("j")}
+    joined = key_join(a, b, [("k", "q")], how, hot, totals=totals)
+    got = joined.groupBy("i", "k").agg(F.sum("n").alias("n"), F.sum("all").alias("all")).collect()
+    expected = []
+    for i, k in left:
+        mine = [j for j, q in right if k is not None and q == k]
+        if mine or how == "left_outer":
+            known = [j for j in mine if j is not None]
+            expected.append((i, k, len(mine) or None, sum(known) if known else None))
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+
+
+def test_totals_need_tables_without_times(spark, ticks):
+    stream = ticks().select(F.col("value").alias("a"))
+    rows = spark.range(3).withColumnRenamed("id", "b")
+    with pytest.raises(ValueError, match="totals"):
+        key_join(stream, rows, [("a", "b")], totals={"n": F.count("*")})
+
+
+def test_key_hot_on_both_sides_builds_no_pairs(spark, tmp_path, monkeypatch):
+    spark.range(3000).withColumnRenamed("id", "o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(5000).withColumnRenamed("id", "c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    seen = []
+
+    def spy(*args, **named):
+        seen.append(key_join(*args, **named))
+        return seen[-1]
+
+    monkeypatch.setattr(queries, "key_join", spy)
+    got = {r["o_orderkey"]: (r["n"], r["sum_custkey"]) for r in queries.join_hot_both(spark, str(tmp_path)).collect()}
+    partners = range(0, 5000, 50)
+    expected = {i: (1, i) for i in range(3000) if i % 3 and i % 50}
+    expected |= {i: (len(partners), sum(partners)) for i in range(0, 3000, 3)}
+    assert got == expected
+    assert seen[0].count() < 10 * 3000  # there are 100,000 pairs of the hot key
