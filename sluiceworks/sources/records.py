@@ -22,8 +22,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sluiceworks.storage import scratch_dir
+
 QUOTE = '"'
 MOST_CHUNKS = 100_000  # whose beginnings are broadcast
+TASK_BYTES = 1 << 27  # of small chunks that one task reads, if that leaves enough tasks
+TASKS_PER_CORE = 4
+_PIECE = pa.schema(
+    [("owner", pa.int64()), ("chunk", pa.int64()), ("record", pa.string()), ("closed", pa.bool_())]
+)
 
 
 def csv_lines(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
@@ -40,23 +47,26 @@ def csv_lines(spark: SparkSession, path: str, streaming: bool = False, **options
     )
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """Stretches of rows of one chunk, in order."""
+def _parts(batches: Iterator[pa.RecordBatch], *by: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Stretches of rows with the same values of the columns ``by``, in order."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        files, chunks = batch.column("file").dictionary_encode(), batch.column("chunk").to_numpy()
-        code = files.indices.to_numpy()
-        new = np.flatnonzero((code[1:] != code[:-1]) | (chunks[1:] != chunks[:-1])) + 1
-        edges = [0, *new.tolist(), batch.num_rows]
+        columns = [batch.column(c).dictionary_encode() for c in by]
+        codes = [c.indices.to_numpy() for c in columns]
+        new = np.zeros(batch.num_rows - 1, dtype=bool)
+        for code in codes:
+            new |= code[1:] != code[:-1]
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
         for begin, end in zip(edges[:-1], edges[1:], strict=True):
-            key = (files.dictionary[int(code[begin])].as_py(), int(chunks[begin]))
+            key = tuple(c.dictionary[int(x[begin])].as_py() for c, x in zip(columns, codes, strict=True))
             yield key, batch.slice(begin, end - begin)
 
 
-def _odd_quotes(part: pa.RecordBatch) -> list[bool]:
-    """Of each line whether its quotes are odd in number."""
-    return pc.bit_wise_and(pc.count_substring(part.column("value"), QUOTE), 1).cast(pa.bool_()).to_pylist()
+def _inside(part: pa.RecordBatch, before: bool) -> np.ndarray:
+    """Of each line whether its end is within quotes; ``before`` says it of the first one's beginning."""
+    quotes = pc.count_substring(part.column("value"), QUOTE).to_numpy(zero_copy_only=False)
+    return (np.cumsum(quotes, dtype=np.int64) + before) % 2 == 1
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,94 +81,122 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["file", "chunk", "odd", "ends_even", "ends_odd"],
         )
 
-    for key, part in _parts(batches):
+    for key, part in _parts(batches, "file", "chunk"):
         if key != now:
             if now is not None:
                 yield answer()
             now, odd, ends = key, False, [False, False]
-        for line in _odd_quotes(part):
-            odd ^= line
-            ends[odd] = True
+        after = _inside(part, odd)
+        odd = bool(after[-1])
+        ends = [ends[0] or not after.all(), ends[1] or bool(after.any())]
     if now is not None:
         yield answer()
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with ``inside`` and ``owner`` to records; ``chunk`` is null where one is whole.
+def _cut(wanted: str):
+    """Lines of numbered chunks to records that lie in one chunk (``whole``) or to ``pieces`` of others.
 
-    A piece of a record has the chunk where the record begins as ``owner`` and its own chunk.
+    A piece has the number of the chunk where its record begins as ``owner``, and its own ``chunk``.
     """
-    now, inside, owner, open_ = None, False, 0, []
-    out: list[tuple] = []
 
-    def answer() -> pa.RecordBatch:
-        columns = zip(*out, strict=True) if out else [[]] * 5
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            ["file", "owner", "chunk", "record", "closed"],
-        )
-
-    def piece(closed: bool) -> None:
-        out.append((now[0], owner, now[1], "\n".join(open_), closed))
-        open_.clear()
-
-    for key, part in _parts(batches):
-        if key != now:
-            if now is not None and open_:
-                piece(False)
-            now = key
-            inside = part.column("inside")[0].as_py()
-            owner = part.column("owner")[0].as_py()
-        for text, odd in zip(part.column("value").to_pylist(), _odd_quotes(part), strict=True):
-            open_.append(text)
-            inside ^= odd
-            if not inside:
-                if owner != now[1]:
-                    piece(True)  # the end of a record of an earlier chunk
-                    owner = now[1]
-                else:
-                    out.append((now[0], owner, None, "\n".join(open_), True))
-                    open_.clear()
-        yield answer()
-        out = []
-    if now is not None and open_:
-        piece(False)
-        yield answer()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, inside, owner, open_ = None, False, 0, []
+
+        def piece(closed: bool) -> Iterator[pa.RecordBatch]:
+            text = "\n".join(open_)
+            open_.clear()
+            if wanted == "pieces":
+                yield pa.RecordBatch.from_pylist(
+                    [{"owner": owner, "chunk": now[1], "record": text, "closed": closed}], _PIECE
+                )
+
+        def whole(records: pa.Array) -> Iterator[pa.RecordBatch]:
+            if wanted == "whole" and len(records):
+                yield pa.RecordBatch.from_arrays([records.cast(pa.string())], ["record"])
+
+        for key, part in _parts(batches, "number", "chunk"):
+            if key != now:
+                if open_:
+                    yield from piece(False)
+                now = key
+                inside, owner = (part.column(c)[0].as_py() for c in ("inside", "owner"))
+                if inside is None:
+                    raise ValueError("the files were cut into other chunks before: were settings changed?")
+            lines, after = part.column("value"), _inside(part, inside)
+            ends = np.flatnonzero(~after) + 1  # of records, one behind the last line
+            inside = bool(after[-1])
+            if not len(ends):
+                open_.extend(lines.to_pylist())
+                continue
+            open_.extend(lines.slice(0, ends[0]).to_pylist())
+            if owner != now[0]:
+                yield from piece(True)  # the end of a record of an earlier chunk
+                owner = now[0]
+            else:
+                first = pa.array(["\n".join(open_)])
+                open_.clear()
+                yield from whole(first)
+            if wanted == "whole":
+                groups = pa.ListArray.from_arrays(
+                    pa.array(ends - ends[0], pa.int32()), lines.slice(ends[0], ends[-1] - ends[0])
+                )
+                yield from whole(pc.binary_join(groups, "\n"))
+            open_.extend(lines.slice(ends[-1]).to_pylist())
+        if open_:
+            yield from piece(False)
+
+    return run
+
+
+def _in_fewer_tasks(lines: DataFrame) -> DataFrame:
+    """Several small chunks for each task, one after the other; large ones stay by themselves."""
+    spark = lines.sparkSession
+    chunk_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    tasks = lines.rdd.getNumPartitions()
+    fewest = min(tasks, TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    wanted = max(fewest, -(-tasks // max(1, TASK_BYTES // chunk_bytes)))
+    return lines.coalesce(wanted) if 0 < wanted < tasks else lines
 
 
 def whole_records(lines: DataFrame) -> DataFrame:
     """(record, closed) for each record of ``lines`` (value, file, chunk), without its line's end.
 
     A record that its file's end leaves open is not closed. Empty lines between records are left out,
-    those within quotes stay.
+    those within quotes stay. The chunks are written to the scratch folder at once, a row for each, so
+    settings that cut files into chunks must stay until the records are read.
     """
+    spark = lines.sparkSession
+    lines = _in_fewer_tasks(lines)
     summary = lines.mapInArrow(
         _summaries, "file string, chunk long, odd boolean, ends_even boolean, ends_odd boolean"
-    )
+    ).withColumn("number", F.monotonically_increasing_id())
     order = Window.partitionBy("file").orderBy("chunk")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     begun = F.coalesce(F.sum(F.col("odd").cast("long")).over(before), F.lit(0)) % 2 == 1
     marked = summary.withColumn("inside", begun)
     leaves_open = F.col("inside") != F.col("odd")
     begins_here = leaves_open & (~F.col("inside") | F.col("ends_odd"))
-    opener = F.last(F.when(begins_here, F.col("chunk")), ignorenulls=True).over(before)
-    owner = F.when(F.col("inside"), opener).otherwise(F.col("chunk"))
-    chunks = marked.select("file", "chunk", "inside", owner.alias("owner"))
+    opener = F.last(F.when(begins_here, F.col("number")), ignorenulls=True).over(before)
+    owner = F.when(F.col("inside"), opener).otherwise(F.col("number"))
+    chunks = marked.select("file", "chunk", "number", "inside", owner.alias("owner"))
+    place = scratch_dir(spark, "chunks")
+    chunks.write.parquet(place)
+    chunks = spark.read.schema(chunks.schema).parquet(place)
+    # a left join, so that lines of a chunk that wasn't there before are seen
     if chunks.count() <= MOST_CHUNKS:
-        chunks = F.broadcast(chunks)
-        placed = lines.join(chunks, ["file", "chunk"])
+        placed = lines.join(F.broadcast(chunks), ["file", "chunk"], "left")
     else:  # a chunk's lines meet again in one task, in their order
         numbered = lines.withColumn("line", F.monotonically_increasing_id())
-        placed = numbered.join(chunks, ["file", "chunk"]).sortWithinPartitions("file", "chunk", "line")
-    cut = placed.select("value", "file", "chunk", "inside", "owner").mapInArrow(
-        _cut, "file string, owner long, chunk long, record string, closed boolean"
-    )
-    whole = cut.where("chunk IS NULL").select("record", "closed")
-    pieces = cut.where("chunk IS NOT NULL").groupBy("file", "owner").agg(
+        placed = numbered.join(chunks, ["file", "chunk"], "left")
+        placed = placed.sortWithinPartitions("file", "chunk", "line")
+    placed = placed.select("value", "number", "chunk", "inside", "owner")
+    whole = placed.mapInArrow(_cut("whole"), "record string").withColumn("closed", F.lit(True))
+    pieces = placed.mapInArrow(_cut("pieces"), "owner long, chunk long, record string, closed boolean")
+    joined = pieces.groupBy("owner").agg(
         F.sort_array(F.collect_list(F.struct("chunk", "record", "closed"))).alias("all")
-    )
-    joined = pieces.select(
+    ).select(
         F.array_join(F.col("all.record"), "\n").alias("record"),
         F.element_at("all", -1)["closed"].alias("closed"),
     )

@@ -99,3 +99,25 @@ def test_no_files_with_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text("\n\n")
     assert whole_records(csv_lines(spark, str(tmp_path))).count() == 0
     assert whole_records(csv_lines(spark, str(tmp_path)).where(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("chunk_bytes", [97, 1000], indirect=True)
+def test_small_chunks_share_tasks(spark, tmp_path, chunk_bytes):
+    rows = [(i, f'a\n"{i}",\n', i) for i in range(3000)]
+    written(tmp_path / "a.csv", rows)
+    lines = csv_lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() > 8 * spark.sparkContext.defaultParallelism
+    records = whole_records(lines)
+    # those of whole records, and those of the pieces' shuffle
+    assert records.rdd.getNumPartitions() <= 5 * spark.sparkContext.defaultParallelism
+    found = accepted(quoted_feed(lines, SCHEMA)).collect()
+    assert sorted(tuple(r) for r in found) == rows
+
+
+@pytest.mark.parametrize("chunk_bytes", [97], indirect=True)
+def test_other_chunks_than_summed_up_are_an_error(spark, tmp_path, chunk_bytes):
+    written(tmp_path / "a.csv", [(i, f"a\n{i}", i) for i in range(100)])
+    found = whole_records(csv_lines(spark, str(tmp_path)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "37")
+    with pytest.raises(Exception, match="other chunks"):
+        found.collect()
