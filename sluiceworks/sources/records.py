@@ -93,6 +93,13 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield answer()
 
 
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.column("number").null_count:
+            raise ValueError("the files were cut into other chunks before: were settings changed?")
+        yield batch
+
+
 def _cut(wanted: str):
     """Lines of numbered chunks to records that lie in one chunk (``whole``) or to ``pieces`` of others.
 
@@ -114,14 +121,12 @@ def _cut(wanted: str):
             if wanted == "whole" and len(records):
                 yield pa.RecordBatch.from_arrays([records.cast(pa.string())], ["record"])
 
-        for key, part in _parts(batches, "number", "chunk"):
+        for key, part in _parts(_known(batches), "number", "chunk"):
             if key != now:
                 if open_:
                     yield from piece(False)
                 now = key
                 inside, owner = (part.column(c)[0].as_py() for c in ("inside", "owner"))
-                if inside is None:
-                    raise ValueError("the files were cut into other chunks before: were settings changed?")
             lines, after = part.column("value"), _inside(part, inside)
             ends = np.flatnonzero(~after) + 1  # of records, one behind the last line
             inside = bool(after[-1])
