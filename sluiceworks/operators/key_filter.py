@@ -32,6 +32,9 @@ def _bit(keys: list[str], bitmaps: int) -> Column:
 def key_filter(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
     """The filter of the keys of ``rows``, for about ``n`` of them: numbered bitmaps."""
     bit = rows.select(_bit(keys, _bitmaps(n)).alias("bit"))
+    if _bitmaps(n) == 1:  # no shuffle by part
+        bits = F.bitmap_construct_agg(F.col("bit") % BITMAP_BITS).alias(_BITS)
+        return bit.agg(bits).select(F.lit(0).cast("long").alias(_PART), _BITS)
     part = F.call_function("div", F.col("bit"), F.lit(BITMAP_BITS)).alias(_PART)
     return bit.groupBy(part).agg(F.bitmap_construct_agg(F.col("bit") % BITMAP_BITS).alias(_BITS))
 
