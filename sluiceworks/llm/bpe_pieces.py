@@ -26,13 +26,11 @@ LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 UNKNOWN = re.compile("[^\t-\r\x20-\x7e\xa0-įı-ɏ‐-‧]")
 ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+# the library tries the endings first; what comes before them here begins with other characters
 BYTE_LEVEL = re.compile(
-    rf"{ENDINGS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+    rf" ?[{LETTERS}]+| ?[{NUMBERS}]+|{ENDINGS}| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
 )
 WORD_LEVEL = re.compile(rf"{ENDINGS}|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
-# white space that UNKNOWN lets through: what may part words, runs of it, and the rest
-RUNS = ("  ", " \n", "\n ", "\n\n")
-RARE_SPACES = "\t\r\v\f\xa0"
 MOST_KEPT = 150_000  # words asked for last; as many of before are kept too
 BLOCK_CHARS = 1 << 20
 
@@ -50,14 +48,14 @@ class Remembered(dict):
     What was asked for since the last turn is kept over the next one.
     """
 
-    def __init__(self, answer: Callable[[str], bytes]):
-        self.answer, self.before = answer, {}
+    def __init__(self, answer: Callable[[str], bytes], most: int):
+        self.answer, self.most, self.before = answer, most, {}
 
     def __missing__(self, key: str) -> bytes:
         found = self.before.get(key)
         if found is None:
             found = self.answer(key)
-        if len(self) >= MOST_KEPT:
+        if len(self) >= self.most:
             self.before = self.copy()
             self.clear()
         self[key] = found
@@ -90,9 +88,9 @@ class PieceEncoder:
         if self.cut:
             self.model, self.code = self.library.model, code
             self.signs = {byte: sign for sign, byte in byte_signs().items()}
-            self.before = "" if self.lower else " "  # what stands before each word
-            self.spelled_before = self.before.encode().decode("latin-1").translate(self.signs)
-            self.pieces, self.words = Remembered(self._piece), Remembered(self._word)
+            # all pieces of a byte-level tokenizer are kept here
+            self.pieces = Remembered(self._piece, MOST_KEPT if self.lower else 2 * MOST_KEPT)
+            self.words = Remembered(self._word, MOST_KEPT)
 
     @classmethod
     def of_worker(cls, path: str) -> PieceEncoder:
@@ -103,21 +101,20 @@ class PieceEncoder:
         return memory["pieces", path]
 
     def _piece(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self.signs)
+        spaced = piece[0] == " "
+        word = piece[1:] if spaced else piece
+        if word.isalpha() and word.isascii():  # its letters stand for themselves
+            spelled = self.signs[0x20] + word if spaced else word
+        else:
+            spelled = piece.encode().decode("latin-1").translate(self.signs)
         return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _word(self, word: str) -> bytes:
+        """The ids of a word between white space, which may be several pieces."""
         if word.isalpha():  # one piece
-            if not word.isascii():
-                return self._piece(self.before + word)
-            found = self.model.tokenize(self.spelled_before + word)
-            return array(self.code, [t.id for t in found]).tobytes()
-        n, out = len(self.before), []
-        for piece in self.cut.findall(self.before + word):
-            rest = piece[n:]
-            own = piece[:n] == self.before and rest.isalpha()
-            out.append(self.words[rest] if own else self.pieces[piece])
-        return b"".join(out)
+            return self._piece(word)
+        found = self.cut.findall(word)
+        return b"".join([self.words[p] if p.isalpha() else self.pieces[p] for p in found])
 
     @staticmethod
     def _word_level(spec: dict) -> bool:
@@ -137,13 +134,7 @@ class PieceEncoder:
             return np.array(ids, dtype=self.dtype).tobytes()
         if self.lower:  # white space parts words and is dropped
             return b"".join(map(self.words.__getitem__, text.lower().split()))
-        odd = any(r in text for r in RUNS) or any(c in text for c in RARE_SPACES)
-        if odd or text != text.strip():
-            return b"".join(map(self.pieces.__getitem__, self.cut.findall(text)))
-        # a single space goes with the word after it
-        first, *words = text.split(" ")
-        own = map(self.pieces.__getitem__, self.cut.findall(first))
-        return b"".join(own) + b"".join(map(self.words.__getitem__, words))
+        return b"".join(map(self.pieces.__getitem__, self.cut.findall(text)))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text; a null is an empty text."""

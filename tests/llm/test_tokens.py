@@ -53,6 +53,20 @@ def test_pieces_give_the_ids_of_whole_texts(odd_texts, path, monkeypatch):
     assert list(encoder.encode([None])) == [b""]
 
 
+def test_byte_level_texts_are_kept_by_piece():
+    # a word isn't asked for anew with each sign or line break that follows it
+    encoder = PieceEncoder(BYTES)
+    text = "A stone, the stone.\nStone; (stone) stone's\nend"
+    asked, answer = [], encoder.pieces.answer
+    encoder.pieces.answer = lambda piece: asked.append(piece) or answer(piece)
+    found = np.frombuffer(encoder.one(text), encoder.dtype).tolist()
+    assert [found] == ids_of(BYTES, [text])
+    assert sorted(asked) == sorted(
+        ["A", " stone", ",", " the", ".", "\n", "Stone", ";", " (", "stone", ")", "'s", "end"]
+    )
+    assert not encoder.words
+
+
 def test_trie_gives_the_ids_of_whole_texts(odd_texts, monkeypatch):
     monkeypatch.setattr("sluiceworks.llm.trie_bpe.MOST_KEPT", 500)
     encoder, library = TrieEncoder(BYTES), Tokenizer.from_file(BYTES)
