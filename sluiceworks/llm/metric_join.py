@@ -443,7 +443,8 @@ def near_vectors(
     release(spark)
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     edges = found.select(F.col("a").alias("centre"), F.col("b").alias("member")).where("centre <> member")
-    labels = stored(spark, components(spark, edges.distinct()), "labels")
+    links = stored(spark, edges.distinct(), "links")
+    labels = stored(spark, components(spark, links), "labels")
     return _result(spark, all_rows, homes, cells, counts, labels)
 
 

@@ -182,6 +182,8 @@ def _compare(percent: int):
 def confirm(sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     """The edges (centre, member) whose full sets (doc_id, words) are similar enough.
 
+    An edge comes once for each row that ``sets`` has of its member.
+
     A star is split into salts of about MEMBERS_PER_TASK members, counted beforehand, and its
     centre's set goes to each of them.
     """
@@ -205,20 +207,16 @@ def confirm(sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
         .repartition("centre", "salt")
         .sortWithinPartitions("centre", "salt", F.col("as_member").asc_nulls_first())
     )
-    return dealt.mapInArrow(_compare(percent), "centre long, member long").distinct()
+    return dealt.mapInArrow(_compare(percent), "centre long, member long")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, component): each linked node with the smallest node it can reach.
 
     Alternating large and small stars; every round at least halves the distance to the root.
-    The links are pairs (centre, member).
+    The links are pairs (centre, member), read from files; they may repeat.
     """
-    edges = stored(
-        spark,
-        links.select(F.col("centre").alias("a"), F.col("member").alias("b")).where("a <> b").distinct(),
-        "links",
-    )
+    edges = links.select(F.col("centre").alias("a"), F.col("member").alias("b")).where("a <> b")
     while True:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -238,9 +236,17 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         )
         after = stored(spark, small, "stars")
         # done when each node points at one root and no root points further
-        tops = after.select(F.col("b").alias("a")).distinct()
-        open_ = after.groupBy("a").count().where("count > 1").select("a").union(
-            after.select("a").distinct().join(tops, "a")
+        ends = F.explode(
+            F.array(
+                F.struct(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("root")),
+                F.struct(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("root")),
+            )
+        )
+        open_ = (
+            after.select(ends.alias("end"))
+            .groupBy("end.node")
+            .agg(F.sum("end.out").alias("out"), F.max("end.root").alias("root"))
+            .where("out > 1 OR out = 1 AND root = 1")
         )
         edges = after
         if open_.isEmpty():
@@ -423,8 +429,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
             new = stored(spark, confirm(sets, pairs, percent), "confirmed")
             tried = tried.union(pairs)
             if not new.isEmpty():
-                links = links.union(new)
-                labels = stored(spark, components(spark, links), "labels")
+                # what was reached before is a star by now
+                known = labels.select(F.col("component").alias("centre"), F.col("node").alias("member"))
+                labels = stored(spark, components(spark, known.union(new)), "labels")
             release(spark)
         centres *= 8
     named = (

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from sluiceworks.llm import queries, substring_dedup
+from sluiceworks.llm import near_dedup, queries, substring_dedup
 from sluiceworks.llm.arrow_words import WordReader, sliding_min
 from sluiceworks.llm.near_dedup import BINS, confirm, near_duplicates, sketch, walks
 from sluiceworks.llm.substring_dedup import occurrences, remove_repeats, without
@@ -115,6 +115,31 @@ def test_a_group_whose_first_member_is_a_poor_centre(spark):
     assert 1 < len({c for _, _, c in found_components(found)}) < 61
 
 
+def test_components_go_on_from_the_stars_found_before(spark, monkeypatch):
+    calls, components = [], near_dedup.components
+
+    def spy(spark, links):
+        out = components(spark, links)
+        calls.append(({tuple(r) for r in links.collect()}, {tuple(r) for r in out.collect()}))
+        return out
+
+    monkeypatch.setattr(near_dedup, "components", spy)
+    # one bucket for all, whose first member is a centre only for its own group
+    monkeypatch.setattr(near_dedup, "band_keys", lambda value: np.ones(1, dtype=np.uint64))
+    rows = [(100 * g + i, f"{words(150, g)} end{i}") for g in range(4) for i in range(3)]
+    assert found_components(near_duplicates(frame(spark, rows))) == expected_components(rows)
+    assert len(calls) > 1
+    for (_, known), (links, _) in zip(calls, calls[1:]):
+        assert {(component, node) for node, component in known} <= links
+
+
+def test_components_of_repeated_links(spark):
+    links = [(1, 2), (2, 1), (1, 2), (3, 3), (2, 7), (5, 4), (4, 9), (9, 8)]
+    found = near_dedup.components(spark, spark.createDataFrame(links, "centre long, member long"))
+    want = [(1, 1), (2, 1), (4, 4), (5, 4), (7, 1), (8, 4), (9, 4)]
+    assert sorted(tuple(r) for r in found.collect()) == want
+
+
 def test_hot_centre_is_split(spark, monkeypatch):
     monkeypatch.setattr("sluiceworks.llm.near_dedup.MEMBERS_PER_TASK", 5)
     sets = spark.createDataFrame(
