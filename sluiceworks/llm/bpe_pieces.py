@@ -4,7 +4,7 @@ A byte-pair tokenizer first cuts a text into pieces (words, numbers, runs of sig
 and encodes each by itself with its model. Texts whose characters all lie in a range where the
 pieces are known are cut here, and the model's answers for distinct pieces are remembered and strung
 together. Any other text, and one that spells an added token, goes to the library whole. Both ways
-give the same ids.
+give the same ids. Columns of texts for a byte-level tokenizer are cut all at once, from their bytes.
 """
 
 from __future__ import annotations
@@ -17,8 +17,12 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from sluiceworks.llm.arrow_words import text_bytes
+
 # Latin letters up to U+024F, digits and number signs, common punctuation. Left out, so that such
 # texts go whole: controls that not every library counts as white space, and the capital dotted I,
 # whose lower case is two characters.
@@ -33,6 +37,69 @@ BYTE_LEVEL = re.compile(
 WORD_LEVEL = re.compile(rf"{ENDINGS}|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
 MOST_KEPT = 150_000  # words asked for last; as many of before are kept too
 BLOCK_CHARS = 1 << 20
+COLUMN_BYTES = 1 << 21  # texts of a column that are cut at once
+OTHER, LETTER, NUMBER, WHITE, STRANGE = range(5)  # classes of characters; STRANGE are the UNKNOWN
+
+
+def class_of(char: str) -> int:
+    for pattern, kind in ((UNKNOWN, STRANGE), (f"[{LETTERS}]", LETTER), (f"[{NUMBERS}]", NUMBER), (r"\s", WHITE)):
+        if re.match(pattern, char):
+            return kind
+    return OTHER
+
+
+# by the byte, and by the low bits of the two bytes that make a character; longer ones are mostly strange
+ONE_BYTE = np.array([class_of(chr(c)) if c < 0x80 else STRANGE for c in range(0x100)], np.uint8)
+TWO_BYTES = np.array([class_of(chr(c)) if c >= 0x80 else STRANGE for c in range(0x800)], np.uint8)
+
+
+def classes(data: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte of valid UTF-8 belongs to."""
+    kind = ONE_BYTE[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    two = lead[data[lead] < 0xE0]
+    place = (data[two].astype(np.int64) & 0x1F) << 6 | (data[two + 1] & 0x3F)
+    kind[two] = kind[two + 1] = TWO_BYTES[place]
+    three = lead[data[lead] == 0xE2]
+    last = data[three + 2]
+    three = three[(data[three + 1] == 0x80) & (last >= 0x90) & (last <= 0xA7)]  # U+2010 to U+2027
+    for i in range(3):
+        kind[three + i] = OTHER
+    return kind
+
+
+def piece_starts(data: np.ndarray, kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether a piece of BYTE_LEVEL begins at each byte of texts in known classes.
+
+    ``offsets`` are the texts' ends and beginnings in ``data``, ``kind`` its classes.
+    """
+    first = np.zeros(len(data) + 3, dtype=bool)  # of a text; what is behind the last one is no text's
+    first[offsets] = True
+    first[len(data) :] = True
+    start = first[: len(data)].copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    # the last white space before something begins a piece, a blank that of what follows
+    white = kind == WHITE
+    after = np.flatnonzero(white[:-1] & ~white[1:]) + 1
+    after = after[~first[after]]
+    last = after - 1
+    last -= data[last] >= 0x80
+    start[last] = True
+    start[after[data[last] == 0x20]] = False
+    # endings: an apostrophe at a piece's start takes one or two letters
+    quote = np.flatnonzero((data == 0x27) & start)
+    quote = quote[~first[quote + 1]]
+    one, two = data[quote + 1], np.append(data, [0, 0])[quote + 2]
+    two = np.where(first[quote + 2], 0, two)
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = np.zeros(len(quote), dtype=bool)
+    for a, b in (b"re", b"ve", b"ll"):
+        long |= (one == a) & (two == b)
+    start[quote[short | long] + 1] = False
+    start[quote[long] + 2] = False
+    rest = np.concatenate([quote[short] + 2, quote[long] + 3])
+    start[rest[rest < len(data)]] = True
+    return start
 
 
 def byte_signs() -> dict[str, int]:
@@ -140,3 +207,59 @@ class PieceEncoder:
         """The ids of each text; a null is an empty text."""
         for text in texts:
             yield self.one(text or "")
+
+    def column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text of a string column; a null is an empty text."""
+        if self.cut is not BYTE_LEVEL:
+            for packed in self.encode(t.as_py() for t in texts):
+                yield np.frombuffer(packed, self.dtype)
+            return
+        texts.validate(full=True)
+        texts = texts.fill_null("")
+        offsets, data = text_bytes(texts)
+        a = 0
+        while a < len(texts):
+            most = offsets[a] + COLUMN_BYTES
+            b = max(a + 1, int(np.searchsorted(offsets, most, side="right")) - 1)
+            own = data[offsets[a] : offsets[b]]
+            ids, ends, whole = self._cut_at_once(texts[a:b], offsets[a : b + 1] - offsets[a], own)
+            for i in range(b - a):
+                if whole[i]:
+                    yield np.frombuffer(self.one(texts[a + i].as_py()), self.dtype)
+                else:
+                    yield ids[ends[i] : ends[i + 1]]
+            a = b
+
+    def _cut_at_once(
+        self, texts: pa.Array, offsets: np.ndarray, data: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts, where each text's begin and end, and which have none: they go whole."""
+        kind = classes(data)
+        start = piece_starts(data, kind, offsets)
+        whole = np.zeros(len(texts), dtype=bool)
+        whole[np.searchsorted(offsets, np.flatnonzero(kind == STRANGE), side="right") - 1] = True
+        content = data.tobytes()
+        for token in self.added:
+            if token.encode() in content:
+                whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(whole):  # one piece, which is null
+            start[offsets[i] + 1 : offsets[i + 1]] = False
+        begins = np.flatnonzero(start)
+        bounds = np.searchsorted(begins, offsets)
+        ends = np.append(begins, len(data)).astype(np.int32)
+        valid = np.ones(len(begins), dtype=bool)
+        valid[bounds[:-1][whole]] = False
+        mask = pa.py_buffer(np.packbits(valid, bitorder="little"))
+        every = pa.Array.from_buffers(
+            pa.string(), len(begins), [mask, pa.py_buffer(ends), pa.py_buffer(content)]
+        ).dictionary_encode()
+        distinct = every.dictionary.to_numpy(zero_copy_only=False)
+        found = [*map(self.pieces.__getitem__, distinct), b""]
+        which = every.indices.fill_null(len(distinct)).to_numpy(zero_copy_only=False)
+        ids = np.frombuffer(b"".join(found), self.dtype)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        each = size[which]  # ids of a piece
+        done = np.concatenate([[0], np.cumsum(each)])
+        place = np.repeat((np.cumsum(size) - size)[which] - done[:-1], each)
+        place += np.arange(len(place))
+        return ids[place], done[bounds], whole

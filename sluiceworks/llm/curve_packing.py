@@ -132,9 +132,9 @@ def _packed(path: str, end_id: int, length: int):
             out: list[tuple] = []
             held: list[np.ndarray] = []
             n_held = 0
-            texts = (t.as_py() for t in batch.column(1))
-            for doc_id, packed in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
-                ids = np.append(np.frombuffer(packed, encoder.dtype), end_id).astype("<u4")
+            own = encoder.column(batch.column(1))
+            for doc_id, found in zip(batch.column(0).to_pylist(), own, strict=True):
+                ids = np.append(found, end_id).astype("<u4")
                 for start, take, step, at in pieces(len(ids), offset, length):
                     out.append((doc_id, start, take, len(ids), sequence + step, at))
                 done = offset + len(ids)

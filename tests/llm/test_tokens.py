@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -67,6 +68,41 @@ def test_byte_level_texts_are_kept_by_piece():
     assert not encoder.words
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+@pytest.mark.parametrize("most", [1, 300, 1 << 22])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_columns_give_the_ids_of_whole_texts(odd_texts, path, most, kind, monkeypatch):
+    monkeypatch.setattr("sluiceworks.llm.bpe_pieces.COLUMN_BYTES", most)
+    texts = [None, *odd_texts, "<|endoftext|>", "", None, "it's 'tis 'll'veo x're'", "'", "'s", "'r", "e"]
+    texts += ["a \xa0b", "\xa0 b\xa0", "\n 's", "\n\n's", "x'\u2019s", "1's \u2027'd", "'l", "l "]
+    whole = pa.array(["left out", *texts], kind)
+    found = list(PieceEncoder(path).column(whole[1:]))
+    assert [f.tolist() for f in found] == ids_of(path, [t or "" for t in texts])
+    assert list(PieceEncoder(path).column(pa.array([], kind))) == []
+
+
+def test_each_class_of_character_is_cut_as_by_the_library():
+    signs = [chr(c) for c in [*range(0x250), *range(0x2000, 0x2030), 0x3BB, 0x3000, 0xFEFF, 0x1F600]]
+    texts = [f"a{c}b 1{c}2 .{c}; {c}\n{c}'s {c}{c} 's{c}" for c in signs]
+    found = PieceEncoder(BYTES).column(pa.array(texts))
+    assert [f.tolist() for f in found] == ids_of(BYTES, texts)
+
+
+def test_a_column_asks_for_each_distinct_piece_once():
+    encoder, asked = PieceEncoder(BYTES), []
+
+    class Pieces(dict):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return encoder._piece(piece)
+
+    encoder.pieces = Pieces()
+    texts = ["A stone, the stone.", "the stone's stone", None, "A stone \u4e2d stone"]
+    found = [f.tolist() for f in encoder.column(pa.array(texts))]
+    assert found == ids_of(BYTES, [t or "" for t in texts])
+    assert sorted(asked) == sorted(["A", " stone", ",", " the", ".", "the", "'s"])  # the last text goes whole
+
+
 def test_trie_gives_the_ids_of_whole_texts(odd_texts, monkeypatch):
     monkeypatch.setattr("sluiceworks.llm.trie_bpe.MOST_KEPT", 500)
     encoder, library = TrieEncoder(BYTES), Tokenizer.from_file(BYTES)
