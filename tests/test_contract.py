@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+import uuid
 
 import duckdb
 import pytest
@@ -45,5 +46,12 @@ def test_query(spark, duck, name):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, found.fetchall())
 
 
+@pytest.mark.parametrize("name", ["incr_jdbc", "db_upsert_row"])
+def test_embedded_database_in_a_folder_named_by_uri(spark, duck, tmp_path, monkeypatch, name):
+    folder = lambda _, label: f"file://{tmp_path}/{label}-{uuid.uuid4().hex}"
+    monkeypatch.setattr("sluiceworks.plans.queries.scratch_dir", folder)
+    test_query(spark, duck, name)
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
